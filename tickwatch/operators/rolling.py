@@ -117,8 +117,7 @@ def row_frames(
         raise ValueError(f"halo ({halo}) must not exceed chunk_rows ({chunk_rows})")
     original = df.columns
     ranked = _rank_per_key(df, key, order, time_col, bucket_seconds)
-    own = F.floor((F.col("_rank") - 1) / F.lit(chunk_rows)).cast("long")
-    ranked = ranked.withColumn("_own", own)
+    ranked = ranked.withColumn("_own", F.expr(f"(_rank - 1) div {int(chunk_rows)}"))
     pos = F.col("_rank") - 1 - F.col("_own") * F.lit(chunk_rows)
     if halo > 0:
         targets = F.when(

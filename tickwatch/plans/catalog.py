@@ -217,3 +217,419 @@ ORDER BY detected_at DESC, crypto_id, anomaly_type""",
 )
 def q_all_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_anomalies(spark, sf, sort=True), "reference_value", "variation_pct")
+
+
+# ---------------------------------------------------------------------------
+# Envelopes and ingestion: P2, P3, P5, P6, A8, P4, J1, S2, P1, P9.
+
+from tickwatch.operators import flatten as _flatten  # noqa: E402
+from tickwatch.operators.timecols import landing_key  # noqa: E402
+from tickwatch.plans import reports  # noqa: E402
+from tickwatch.sources import price_answer  # noqa: E402
+
+TICK_COLS = (
+    "collection_timestamp, crypto_id, price_usd, price_brl, volume_24h_usd, "
+    "change_24h_pct, last_updated_at, collected_at"
+)
+KEYS_SQL = "['click', 'error', 'purchase', 'signup', 'view']"
+HOUR = "(collection_timestamp // 3600) * 3600"
+
+
+def _hour_col() -> Column:
+    return F.expr("(collection_timestamp div 3600) * 3600")
+
+
+@register("envelope_flatten", f"WITH {TICKS_CTE} SELECT {TICK_COLS} FROM ticks")
+def q_envelope_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    ticks = _flatten.ticks_only(testdata.ticks(spark, sf)).drop("seq")
+    envelopes = _flatten.build_envelopes(ticks, testdata.EVENT_KEYS)
+    return _flatten.explode_and_flatten(envelopes)
+
+
+@register(
+    "collection_summary",
+    f"""WITH {TICKS_CTE}
+SELECT collection_timestamp,
+       CAST(5 AS INTEGER) AS total_expected,
+       CAST(count(*) AS INTEGER) AS success_count,
+       CAST(5 - count(*) AS INTEGER) AS failure_count,
+       CAST(count(*) AS INTEGER) AS rows_landed,
+       CAST(5 - count(DISTINCT crypto_id) AS INTEGER) AS n_errors
+FROM ticks GROUP BY collection_timestamp""",
+)
+def q_collection_summary(spark: SparkSession, sf: str) -> DataFrame:
+    ticks = _flatten.ticks_only(testdata.ticks(spark, sf)).drop("seq")
+    envelopes = _flatten.build_envelopes(ticks, testdata.EVENT_KEYS)
+    s = reports.collection_summary(envelopes)
+    return s.select(
+        "collection_timestamp", "total_expected", "success_count", "failure_count", "rows_landed",
+        F.size("errors").alias("n_errors"),
+    )
+
+
+@register(
+    "coverage",
+    f"""WITH {TICKS_CTE}
+SELECT {HOUR} AS collection,
+       CAST(5 AS INTEGER) AS total_expected,
+       CAST(count(DISTINCT crypto_id) AS INTEGER) AS success_count,
+       CAST(5 - count(DISTINCT crypto_id) AS INTEGER) AS failure_count,
+       CAST(5 - count(DISTINCT crypto_id) FILTER (WHERE crypto_id IN ('click', 'error', 'purchase', 'signup', 'view')) AS INTEGER) AS missing_count,
+       count(*) AS rows_collected
+FROM ticks GROUP BY 1""",
+)
+def q_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return _flatten.collection_coverage(testdata.ticks(spark, sf), testdata.EVENT_KEYS, _hour_col())
+
+
+@register(
+    "missing_report",
+    f"""WITH {TICKS_CTE},
+hours AS (SELECT DISTINCT {HOUR} AS collection FROM ticks),
+expected AS (SELECT unnest({KEYS_SQL}) AS crypto_id)
+SELECT h.collection, e.crypto_id, 'Missing data for crypto: ' || e.crypto_id AS error
+FROM hours h, expected e
+WHERE NOT EXISTS (SELECT 1 FROM ticks t WHERE {HOUR.replace('collection_timestamp', 't.collection_timestamp')} = h.collection
+                  AND t.crypto_id = e.crypto_id)""",
+)
+def q_missing_report(spark: SparkSession, sf: str) -> DataFrame:
+    return _flatten.missing_keys(testdata.ticks(spark, sf), testdata.EVENT_KEYS, _hour_col())
+
+
+@register("price_answer_decode", f"WITH {TICKS_CTE} SELECT {TICK_COLS} FROM ticks WHERE price_usd IS NOT NULL")
+def q_price_answer_decode(spark: SparkSession, sf: str) -> DataFrame:
+    bodies = price_answer.encode(testdata.ticks(spark, sf)).select("collection_timestamp", "body")
+    decoded = price_answer.decode(bodies)
+    return price_answer.answer_to_rows(decoded, "collection_timestamp", strict=True)
+
+
+@register(
+    "props_decode",
+    """SELECT event_id, k AS key, CAST(json_extract(props, '$.' || k) AS DOUBLE) AS value
+FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""",
+)
+def q_props_decode(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import types as T
+
+    ev = testdata.table(spark, sf, "events").select("event_id", F.col("props").alias("body"))
+    decoded = price_answer.decode(ev, value_type=T.DoubleType())
+    return decoded.select("event_id", F.explode("answer").alias("key", "value"))
+
+
+@register(
+    "partition_cols",
+    f"""WITH {TICKS_CTE}, p AS (
+  SELECT crypto_id, seq, make_timestamp(collection_timestamp * 1000000) AS t FROM ticks)
+SELECT crypto_id, seq,
+       strftime(t, '%Y') AS year, strftime(t, '%m') AS month, strftime(t, '%d') AS day, strftime(t, '%H') AS hour,
+       'crypto_prices_' || strftime(t, '%Y%m%d_%H%M%S') || '.json' AS file_name,
+       'year=' || strftime(t, '%Y') || '/month=' || strftime(t, '%m') || '/day=' || strftime(t, '%d')
+         || '/hour=' || strftime(t, '%H') || '/crypto_prices_' || strftime(t, '%Y%m%d_%H%M%S') || '.json' AS object_key
+FROM p""",
+)
+def q_partition_cols(spark: SparkSession, sf: str) -> DataFrame:
+    keyed = landing_key(testdata.ticks(spark, sf))
+    return keyed.select("crypto_id", "seq", "year", "month", "day", "hour", "file_name", "object_key")
+
+
+# ---------------------------------------------------------------------------
+# Documented rules: W4/D6, W5/D7, D8, W6, P12.
+
+from tickwatch.operators.rolling import add_time_frame_average  # noqa: E402
+from tickwatch.operators.validity import filter_valid  # noqa: E402
+
+VALID_CTE = (
+    TICKS_CTE
+    + """,
+valid AS (SELECT * FROM ticks WHERE price_usd > 0 AND volume_24h_usd > 0 AND crypto_id IS NOT NULL)"""
+)
+
+
+@register(
+    "variation_15min",
+    f"""WITH {VALID_CTE},
+lagged AS (SELECT *, lag(price_usd, 5) OVER (PARTITION BY crypto_id ORDER BY collection_timestamp, seq) AS ref FROM valid),
+pct AS (SELECT *, (price_usd - ref) / ref * 100 AS pct FROM lagged)
+SELECT crypto_id, 'price_spike' AS anomaly_type,
+       CASE WHEN abs(pct) > 20 THEN 'high' WHEN abs(pct) > 15 THEN 'medium' ELSE 'low' END AS severity,
+       collection_timestamp AS detected_at, price_usd AS current_price, ref AS reference_value,
+       round(pct + 1e-9, 6) AS variation_pct,
+       'Price changed ' || format('{{:,.2f}}', pct) || '% over the last 5 readings' AS description
+FROM pct WHERE abs(pct) > 10""",
+)
+def q_variation_15min(spark: SparkSession, sf: str) -> DataFrame:
+    valid = filter_valid(testdata.ticks(spark, sf))
+    return rounded(detect.detect_price_spikes(valid), "variation_pct")
+
+
+@register(
+    "pump_dump",
+    f"""WITH {VALID_CTE},
+framed AS (
+  SELECT *, min(price_usd) OVER w AS lo, max(price_usd) OVER w AS hi FROM valid
+  WINDOW w AS (PARTITION BY crypto_id ORDER BY collection_timestamp, seq ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
+s AS (SELECT *, (hi - lo) / lo * 100 AS pump, (hi - price_usd) / hi * 100 AS dump FROM framed)
+SELECT crypto_id, 'pump_dump' AS anomaly_type,
+       CASE WHEN least(pump, dump) > 16 THEN 'high' WHEN least(pump, dump) > 12 THEN 'medium' ELSE 'low' END AS severity,
+       collection_timestamp AS detected_at, price_usd AS current_price, hi AS reference_value,
+       round(dump + 1e-9, 6) AS variation_pct,
+       'Rose ' || format('{{:,.2f}}', pump) || '% then fell ' || format('{{:,.2f}}', dump) || '% within 10 readings' AS description
+FROM s WHERE pump > 8 AND dump > 8""",
+)
+def q_pump_dump(spark: SparkSession, sf: str) -> DataFrame:
+    valid = filter_valid(testdata.ticks(spark, sf))
+    return rounded(detect.detect_pump_dump(valid), "variation_pct")
+
+
+@register(
+    "volume_spikes_spec",
+    f"""WITH {TICKS_CTE},
+av AS (SELECT *, avg(volume_24h_usd) OVER (PARTITION BY crypto_id ORDER BY collection_timestamp, seq
+                                          ROWS BETWEEN 479 PRECEDING AND CURRENT ROW) AS vma FROM ticks),
+m AS (SELECT *, volume_24h_usd / vma AS mult FROM av
+      WHERE price_usd > 0 AND volume_24h_usd > 0 AND crypto_id IS NOT NULL AND vma IS NOT NULL AND vma > 0)
+SELECT crypto_id, 'volume_spike' AS anomaly_type,
+       CASE WHEN mult > 6 THEN 'high' WHEN mult > 4.5 THEN 'medium' ELSE 'low' END AS severity,
+       collection_timestamp AS detected_at, volume_24h_usd AS current_price,
+       round(vma + 1e-9, 6) AS reference_value, round(mult + 1e-9, 6) AS variation_pct,
+       'Volume is ' || format('{{:,.2f}}', mult) || 'x the 24h average' AS description
+FROM m WHERE mult > 3.0""",
+)
+def q_volume_spikes_spec(spark: SparkSession, sf: str) -> DataFrame:
+    out = detect.detect_volume_spikes_spec(testdata.ticks(spark, sf))
+    return rounded(out, "reference_value", "variation_pct")
+
+
+@register(
+    "time_frame_average",
+    f"""WITH {TICKS_CTE}
+SELECT crypto_id, seq, collection_timestamp,
+       round(avg(price_usd) OVER (PARTITION BY crypto_id ORDER BY collection_timestamp
+                                  RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) + 1e-9, 6) AS price_avg_24h_time
+FROM ticks""",
+)
+def q_time_frame_average(spark: SparkSession, sf: str) -> DataFrame:
+    out = add_time_frame_average(testdata.ticks(spark, sf), "price_usd", "price_avg_24h_time")
+    return rounded(out.select("crypto_id", "seq", "collection_timestamp", "price_avg_24h_time"), "price_avg_24h_time")
+
+
+@register(
+    "anomaly_metrics",
+    f"""WITH {ANOMALIES_CTE}
+SELECT crypto_id, anomaly_type, detected_at, 'current_price' AS metric, round(current_price + 1e-9, 6) AS value FROM anomalies
+UNION ALL
+SELECT crypto_id, anomaly_type, detected_at, 'reference_value', round(reference_value + 1e-9, 6) FROM anomalies
+UNION ALL
+SELECT crypto_id, anomaly_type, detected_at, 'variation_pct', round(variation_pct + 1e-9, 6) FROM anomalies""",
+)
+def q_anomaly_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    m = detect.with_metrics_map(_anomalies(spark, sf))
+    out = m.select("crypto_id", "anomaly_type", "detected_at", F.explode("metrics").alias("metric", "value"))
+    return rounded(out, "value")
+
+
+# ---------------------------------------------------------------------------
+# Reports: A1-A6, O3/P13, A7/S9, A14, A12/A13, S12.
+
+
+@register(
+    "stage_counts",
+    f"""WITH {ANOMALIES_CTE}
+SELECT 'flat_rows' AS stage, count(*) AS rows FROM ticks
+UNION ALL SELECT 'valid_rows', count(*) FROM metrics
+UNION ALL SELECT 'volume_spikes', count(*) FROM anomalies WHERE anomaly_type = 'volume_spike'
+UNION ALL SELECT 'price_variations', count(*) FROM anomalies WHERE anomaly_type = 'price_variation'""",
+)
+def q_stage_counts(spark: SparkSession, sf: str) -> DataFrame:
+    ticks = testdata.ticks(spark, sf)
+    metrics = transform.metrics(ticks)
+    anomalies = detect.detect_all(metrics, sort=False)
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
+
+    return (
+        stage(ticks, "flat_rows")
+        .unionByName(stage(metrics, "valid_rows"))
+        .unionByName(stage(anomalies.where(F.col("anomaly_type") == detect.VOLUME_SPIKE), "volume_spikes"))
+        .unionByName(stage(anomalies.where(F.col("anomaly_type") == detect.PRICE_VARIATION), "price_variations"))
+    )
+
+
+@register("records_per_key", f"WITH {METRICS_CTE} SELECT crypto_id, count(*) AS count FROM metrics GROUP BY 1 ORDER BY 2 DESC, 1")
+def q_records_per_key(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.records_per_key(_metrics(spark, sf))
+
+
+@register("anomalies_by_type", f"WITH {ANOMALIES_CTE} SELECT anomaly_type, count(*) AS count FROM anomalies GROUP BY 1")
+def q_anomalies_by_type(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.anomalies_by_type(_anomalies(spark, sf))
+
+
+@register("anomalies_by_severity", f"WITH {ANOMALIES_CTE} SELECT severity, count(*) AS count FROM anomalies GROUP BY 1")
+def q_anomalies_by_severity(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.anomalies_by_severity(_anomalies(spark, sf))
+
+
+@register("anomalies_by_key", f"WITH {ANOMALIES_CTE} SELECT crypto_id, count(*) AS count FROM anomalies GROUP BY 1")
+def q_anomalies_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.anomalies_by_key(_anomalies(spark, sf))
+
+
+@register(
+    "latest_price",
+    f"""WITH {METRICS_CTE}
+SELECT crypto_id, latest_timestamp, latest_price FROM (
+  SELECT crypto_id, max(collection_timestamp) OVER (PARTITION BY crypto_id) AS latest_timestamp,
+         price_usd AS latest_price,
+         row_number() OVER (PARTITION BY crypto_id ORDER BY collection_timestamp DESC, seq DESC) AS rn
+  FROM metrics) WHERE rn = 1""",
+)
+def q_latest_price(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.latest_price(_metrics(spark, sf))
+
+
+@register(
+    "top10_recent",
+    f"""WITH {ANOMALIES_CTE}
+SELECT crypto_id, anomaly_type, severity, description FROM anomalies
+ORDER BY detected_at DESC, crypto_id, anomaly_type, severity LIMIT 10""",
+)
+def q_top10_recent(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.top_recent(_anomalies(spark, sf), 10)
+
+
+RUNS_CTE = """
+runs AS (SELECT o_custkey AS records, floor(o_totalprice) AS anomalies, o_orderstatus <> 'P' AS success FROM orders)"""
+
+
+@register(
+    "run_report",
+    f"""WITH {RUNS_CTE}
+SELECT count(*) AS total_runs,
+       count_if(success) AS successful_runs,
+       count(*) - count_if(success) AS failed_runs,
+       CASE WHEN count(*) > 0 THEN CAST(floor(count_if(success) / count(*) * 100 + 0.5) AS BIGINT) ELSE 0 END AS success_rate_pct,
+       CAST(coalesce(sum(records), 0) AS BIGINT) AS total_records,
+       CAST(coalesce(sum(anomalies), 0) AS BIGINT) AS total_anomalies,
+       CASE WHEN coalesce(sum(records), 0) > 0
+            THEN CAST(CAST(round(CAST(CAST(sum(anomalies) / sum(records) * 100 AS VARCHAR) AS DECIMAL(38, 12)), 2)
+                           AS DECIMAL(38, 2)) AS VARCHAR)
+            ELSE '0.00' END AS anomaly_rate_pct,
+       CASE WHEN count(*) = 0 THEN 'No metrics available yet.' END AS note
+FROM runs""",
+)
+def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
+    text = testdata.run_log_text_from_orders(testdata.table(spark, sf, "orders"))
+    return reports.run_report(reports.parse_run_log(text))
+
+
+@register(
+    "window_15min",
+    f"""WITH {METRICS_CTE}
+SELECT crypto_id, (collection_timestamp // 900) * 900 AS window_start, (collection_timestamp // 900) * 900 + 900 AS window_end,
+       round(avg(price_usd) + 1e-9, 6) AS avg_price, min(price_usd) AS min_price, max(price_usd) AS max_price,
+       round(sum(volume_24h_usd) + 1e-9, 6) AS sum_volume, count(*) AS readings
+FROM metrics GROUP BY ALL""",
+)
+def q_window_15min(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(reports.window_aggregates(_metrics(spark, sf), 15), "avg_price", "sum_volume")
+
+
+@register(
+    "chart_stats",
+    f"""WITH {METRICS_CTE}
+SELECT crypto_id || '@' || CAST({HOUR} AS VARCHAR) AS chart_id, count(*) AS points,
+       min(price_usd) AS min_value, max(price_usd) AS max_value,
+       CASE WHEN count(*) >= 2 THEN round((max(price_usd) - min(price_usd)) / min(price_usd) * 100 + 1e-9, 6) END AS variation_pct
+FROM metrics GROUP BY 1""",
+)
+def q_chart_stats(spark: SparkSession, sf: str) -> DataFrame:
+    from tickwatch.sources import market_chart
+
+    pts = _metrics(spark, sf).select(
+        F.concat_ws("@", "crypto_id", _hour_col().cast("string")).alias("chart_id"), F.col("price_usd").alias("value")
+    )
+    return rounded(market_chart.chart_stats(pts), "variation_pct")
+
+
+RETAIN_AS_OF = "2024-02-15"
+
+
+@register(
+    "retained",
+    f"""WITH {METRICS_CTE}
+SELECT crypto_id, seq, collection_date FROM metrics WHERE collection_date > DATE '{RETAIN_AS_OF}' - INTERVAL 30 DAY""",
+)
+def q_retained(spark: SparkSession, sf: str) -> DataFrame:
+    from tickwatch.sources.tables import retain
+
+    return retain(_metrics(spark, sf), RETAIN_AS_OF, 30).select("crypto_id", "seq", "collection_date")
+
+
+# ---------------------------------------------------------------------------
+# Alerts: P10, P11a, P11b, S10, A9.
+
+from tickwatch.operators import alerts as _alerts  # noqa: E402
+
+_RULE_SQL = "'" + _alerts.RULE + "'"
+
+
+def _java_double_sql(x: str) -> str:
+    # Doubles print like the JVM: plain decimal in [1e-3, 1e7), else d.dddE±n.
+    return (
+        f"CASE WHEN abs({x}) >= 1e-3 AND abs({x}) < 1e7 OR {x} = 0 THEN CAST({x} AS VARCHAR) "
+        f"ELSE CAST({x} / pow(10, floor(log10(abs({x})))) AS VARCHAR) || 'E' || CAST(CAST(floor(log10(abs({x}))) AS BIGINT) AS VARCHAR) END"
+    )
+
+
+@register(
+    "alert_subject",
+    f"""WITH {ANOMALIES_CTE}
+SELECT crypto_id || '|' || anomaly_type || '|' || CAST(detected_at AS VARCHAR) AS alert_key,
+       CASE severity WHEN 'high' THEN 'HIGH' WHEN 'medium' THEN 'MEDIUM' ELSE '_' END
+         || ' Crypto Alert: ' || upper(crypto_id) || ' - ' || anomaly_type AS subject
+FROM anomalies""",
+)
+def q_alert_subject(spark: SparkSession, sf: str) -> DataFrame:
+    return _alerts.with_text(_alerts.to_alerts(_anomalies(spark, sf))).select("alert_key", "subject")
+
+
+@register(
+    "alert_body",
+    f"""WITH {ANOMALIES_CTE},
+a AS (SELECT crypto_id, anomaly_type, severity, description, detected_at,
+             round(current_price + 1e-9, 6) AS cp, round(variation_pct + 1e-9, 6) AS vp FROM anomalies)
+SELECT crypto_id || '|' || anomaly_type || '|' || CAST(detected_at AS VARCHAR) AS alert_key,
+       concat_ws(chr(10), '', {_RULE_SQL}, 'CRYPTO ANOMALY ALERT', {_RULE_SQL}, '',
+         'Cryptocurrency: ' || upper(crypto_id),
+         'Anomaly Type:   ' || anomaly_type,
+         'Severity:       ' || upper(severity),
+         '',
+         'Current Price:  $' || ({_java_double_sql('cp')}),
+         'Variation:      ' || ({_java_double_sql('vp')}) || '%',
+         '',
+         'Description:    ' || description,
+         '',
+         'Detected At:    ' || strftime(make_timestamp(detected_at * 1000000), '%Y-%m-%d %H:%M:%S') || ' UTC',
+         '', {_RULE_SQL}, 'This is an automated alert from Crypto Anomaly Detection System', {_RULE_SQL},
+         '       ') AS message
+FROM a""",
+)
+def q_alert_body(spark: SparkSession, sf: str) -> DataFrame:
+    """Message text over alert numbers presented at 6 decimals (the engines
+    differ in the last bits of the averages behind the multipliers)."""
+    al = _alerts.to_alerts(_anomalies(spark, sf)).withColumns(
+        {"current_price": cmp_round("current_price"), "variation_pct": cmp_round("variation_pct")}
+    )
+    return _alerts.with_text(al).select("alert_key", "message")
+
+
+@register(
+    "delivery_tally",
+    f"""WITH {ANOMALIES_CTE}
+SELECT count(*) AS succeeded, CAST(0 AS BIGINT) AS failed FROM anomalies""",
+)
+def q_delivery_tally(spark: SparkSession, sf: str) -> DataFrame:
+    text = _alerts.with_text(_alerts.to_alerts(_anomalies(spark, sf)))
+    return _alerts.tally(_alerts.deliver(text))

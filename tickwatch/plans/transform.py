@@ -13,13 +13,21 @@ from pyspark.sql import DataFrame
 from tickwatch.operators.rolling import DEFAULT_CHUNK_ROWS, add_moving_averages
 from tickwatch.operators.timecols import add_time_columns
 from tickwatch.operators.validity import filter_valid
+from tickwatch.schemas import TIME_COLUMNS
+
+TIME_COLUMN_NAMES = [f.name for f in TIME_COLUMNS.fields]
 
 
 def with_averages(
     ticks: DataFrame, method: str = "prefix", chunk_rows: int | None = DEFAULT_CHUNK_ROWS
 ) -> DataFrame:
-    """P7 + W1-W3 on all rows (before the validity filter)."""
-    return add_moving_averages(add_time_columns(ticks), method=method, chunk_rows=chunk_rows)
+    """P7 + W1-W3 on all rows (before the validity filter).
+
+    The time columns are a per-row projection, so they are added after the
+    window exchanges instead of being shuffled twice."""
+    averaged = add_moving_averages(ticks, method=method, chunk_rows=chunk_rows)
+    ma_cols = [c for c in averaged.columns if c not in ticks.columns]
+    return add_time_columns(averaged).select(*ticks.columns, *TIME_COLUMN_NAMES, *ma_cols)
 
 
 def metrics(
