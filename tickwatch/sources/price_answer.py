@@ -41,11 +41,17 @@ def answer_to_rows(decoded: DataFrame, collection_ts: str | Column, strict: bool
     keeps the complete keys of a partly broken answer and nulls the rest.
     """
     ts = F.col(collection_ts) if isinstance(collection_ts, str) else collection_ts
-    df = decoded.withColumn("_cts", ts.cast("long"))
+    answer = F.col("answer")
     if strict:
-        df = df.where(F.forall(F.map_values("answer"), _complete))
+        answer = F.when(F.forall(F.map_values(answer), _complete), answer)
+    # explode_outer + a filter on the generated key (rather than explode and
+    # a filter on the answer): no predicate over the decoded map can then be
+    # pushed below the projection, so each body is parsed exactly once.
     q = F.col("quote")
-    return df.select("_cts", F.explode("answer").alias("crypto_id", "quote")).select(
+    exploded = decoded.select(
+        ts.cast("long").alias("_cts"), F.explode_outer(answer).alias("crypto_id", "quote")
+    ).where(F.col("crypto_id").isNotNull())
+    return exploded.select(
         F.col("_cts").alias("collection_timestamp"),
         "crypto_id",
         q["usd"].alias("price_usd"),
