@@ -57,7 +57,10 @@ def read_envelopes(
     df = read_envelopes_raw(spark, root, multiline)
     if where is not None:
         df = df.where(where)
-    df = df.where(F.col(CORRUPT).isNull())
+    # Malformed lines have every data column null; naming ``metadata`` in the
+    # predicate also keeps a data column in the scan (Spark rejects scans of
+    # raw JSON that would read only the corrupt-record column).
+    df = df.where(F.col(CORRUPT).isNull() | F.col("metadata").isNotNull())
     cols = ["metadata", "data"] + (list(PARTITIONS) if keep_partitions else [])
     return df.select(*cols)
 
@@ -67,7 +70,8 @@ def quarantine(spark: SparkSession, root: str, where: Column | None = None) -> D
     df = read_envelopes_raw(spark, root)
     if where is not None:
         df = df.where(where)
-    return df.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw_line"), *PARTITIONS)
+    bad = F.col(CORRUPT).isNotNull() & F.col("metadata").isNull()
+    return df.where(bad).select(F.col(CORRUPT).alias("raw_line"), *PARTITIONS)
 
 
 def partition_range(start_ts: int, end_ts: int) -> Column:

@@ -51,8 +51,9 @@ def write_metrics(metrics: DataFrame, path: str, replace: str = "all") -> None:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """S6."""
-    return spark.read.schema(METRICS).parquet(path)
+    """S6 (partition columns come back last from the scan; the contract's
+    column order is restored)."""
+    return spark.read.schema(METRICS).parquet(path).select(*METRICS.fieldNames())
 
 
 # --- anomalies --------------------------------------------------------------
@@ -116,7 +117,7 @@ def replace_anomaly_dates(anomalies: DataFrame, path: str, dates: Iterable[dt.da
 def read_anomalies(spark: SparkSession, path: str, on_date: Column | dt.date | str | None = None) -> DataFrame:
     """Stored anomalies; ``on_date`` keeps one detection date (pruned at
     listing). Pass ``F.current_date()`` for "today"."""
-    df = spark.read.schema(STORED_ANOMALIES).parquet(path)
+    df = spark.read.schema(STORED_ANOMALIES).parquet(path).select(*STORED_ANOMALIES.fieldNames())
     if on_date is not None:
         d = on_date if isinstance(on_date, Column) else F.lit(on_date).cast("date")
         df = df.where(F.col("detection_date") == d)
