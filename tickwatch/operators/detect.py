@@ -8,7 +8,7 @@ keyword parameters; all bounds are strict ``>``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwatch.functions.columns import fmt2, pct_change, ratio, tiers
@@ -33,6 +33,52 @@ def _contract(df: DataFrame) -> DataFrame:
     return df.select(*ANOMALY_COLUMNS)
 
 
+def _record(**cols: Column) -> Column:
+    """An anomaly as one struct, fields in contract order."""
+    return F.struct(*[cols[c].alias(c) for c in ANOMALY_COLUMNS])
+
+
+def volume_spike_rule(
+    threshold: float = 2.5, high: float = 5.0, medium: float = 3.5, ma_col: str = "volume_ma_24h"
+) -> tuple[Column, Column]:
+    """D1 + D3a + D4a as ``(condition, record)`` over a metrics row."""
+    ma = F.col(ma_col)
+    mult = ratio("volume_24h_usd", ma_col)
+    cond = ma.isNotNull() & (ma > 0) & (mult > threshold)
+    rec = _record(
+        crypto_id=F.col("crypto_id"),
+        anomaly_type=F.lit(VOLUME_SPIKE),
+        severity=tiers(mult, high, medium),
+        detected_at=F.col("collection_timestamp"),
+        current_price=F.col("volume_24h_usd"),
+        reference_value=ma,
+        variation_pct=mult,
+        description=F.concat(F.lit("Volume is "), fmt2(mult), F.lit("x the 24h average")),
+    )
+    return cond, rec
+
+
+def price_variation_rule(threshold: float = 5.0, high: float = 15.0, medium: float = 10.0) -> tuple[Column, Column]:
+    """D2 + D3b + D4b as ``(condition, record)`` over a metrics row."""
+    change = F.col("change_24h_pct")
+    rec = _record(
+        crypto_id=F.col("crypto_id"),
+        anomaly_type=F.lit(PRICE_VARIATION),
+        severity=tiers(F.abs(change), high, medium),
+        detected_at=F.col("collection_timestamp"),
+        current_price=F.col("price_usd"),
+        reference_value=F.lit(0.0),
+        variation_pct=change,
+        description=F.concat(F.lit("Price changed "), fmt2(change), F.lit("% in 24 hours")),
+    )
+    return F.abs(change) > threshold, rec
+
+
+def _apply(metrics: DataFrame, rule: tuple[Column, Column]) -> DataFrame:
+    cond, rec = rule
+    return metrics.where(cond).select(rec.alias("a")).select("a.*")
+
+
 def detect_volume_spikes(
     metrics: DataFrame,
     threshold: float = 2.5,
@@ -40,57 +86,38 @@ def detect_volume_spikes(
     medium: float = 3.5,
     ma_col: str = "volume_ma_24h",
 ) -> DataFrame:
-    """D1 + D3a + D4a: ``volume / volume_ma > threshold`` where the MA is
-    positive. ``current_price`` carries the volume, ``reference_value`` the MA
-    and ``variation_pct`` the multiplier (column contract of the table)."""
-    mult = ratio("volume_24h_usd", ma_col)
-    return _contract(
-        metrics.where(F.col(ma_col).isNotNull() & (F.col(ma_col) > 0))
-        .withColumn("_mult", mult)
-        .where(F.col("_mult") > threshold)
-        .select(
-            "crypto_id",
-            F.lit(VOLUME_SPIKE).alias("anomaly_type"),
-            tiers("_mult", high, medium).alias("severity"),
-            F.col("collection_timestamp").alias("detected_at"),
-            F.col("volume_24h_usd").alias("current_price"),
-            F.col(ma_col).alias("reference_value"),
-            F.col("_mult").alias("variation_pct"),
-            F.concat(F.lit("Volume is "), fmt2("_mult"), F.lit("x the 24h average")).alias("description"),
-        )
-    )
+    """``volume / volume_ma > threshold`` where the MA is positive.
+    ``current_price`` carries the volume, ``reference_value`` the MA and
+    ``variation_pct`` the multiplier (column contract of the table)."""
+    return _apply(metrics, volume_spike_rule(threshold, high, medium, ma_col))
 
 
 def detect_price_variations(
     metrics: DataFrame, threshold: float = 5.0, high: float = 15.0, medium: float = 10.0
 ) -> DataFrame:
-    """D2 + D3b + D4b: ``abs(change_24h_pct) > threshold`` (sign kept in
+    """``abs(change_24h_pct) > threshold`` (sign kept in
     ``variation_pct``, ``reference_value`` is 0.0)."""
-    change = F.col("change_24h_pct")
-    return _contract(
-        metrics.where(F.abs(change) > threshold).select(
-            "crypto_id",
-            F.lit(PRICE_VARIATION).alias("anomaly_type"),
-            tiers(F.abs(change), high, medium).alias("severity"),
-            F.col("collection_timestamp").alias("detected_at"),
-            F.col("price_usd").alias("current_price"),
-            F.lit(0.0).alias("reference_value"),
-            change.alias("variation_pct"),
-            F.concat(F.lit("Price changed "), fmt2(change), F.lit("% in 24 hours")).alias("description"),
-        )
-    )
+    return _apply(metrics, price_variation_rule(threshold, high, medium))
+
+
+def detect_with_rules(metrics: DataFrame, rules: list[tuple[Column, Column]]) -> DataFrame:
+    """Bag union of several row rules in one pass: each row yields the
+    records of the rules it meets (possibly several), through one
+    generator — the input is read and computed once, not once per rule."""
+    hits = F.filter(F.array(*[F.when(c, r) for c, r in rules]), lambda x: x.isNotNull())
+    return metrics.select(F.inline(hits))
 
 
 def detect_all(metrics: DataFrame, sort: bool = True, **params) -> DataFrame:
-    """Bag union of D1 and D2 (duplicates kept), newest first.
+    """D1 and D2 together (duplicates kept), newest first.
 
-    Both branches scan the same (ideally persisted) metrics. ``sort=False``
-    skips the global range-partitioned sort for consumers that do not need
-    order (sinks, counts).
+    ``vol_*`` / ``price_*`` keyword parameters go to the two rules.
+    ``sort=False`` skips the global range-partitioned sort for consumers
+    that do not need order (sinks, counts).
     """
     vol = {k[4:]: v for k, v in params.items() if k.startswith("vol_")}
     price = {k[6:]: v for k, v in params.items() if k.startswith("price_")}
-    out = detect_volume_spikes(metrics, **vol).unionByName(detect_price_variations(metrics, **price))
+    out = detect_with_rules(metrics, [volume_spike_rule(**vol), price_variation_rule(**price)])
     if sort:
         out = out.orderBy(F.col("detected_at").desc(), "crypto_id", "anomaly_type")
     return out

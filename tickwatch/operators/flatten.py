@@ -130,20 +130,25 @@ def collection_coverage(
 
     ``success_count`` counts distinct keys in the answer (extra keys included),
     ``failure_count = expected - success`` (may be negative), ``missing_count``
-    counts expected keys that were not fetched. One aggregation; the distinct
-    count uses Spark's two-phase distinct aggregation, and the key set per
-    collection is never materialised.
+    counts expected keys that were not fetched. The key set per collection
+    is never materialised.
     """
     coll = F.col(collection_col) if isinstance(collection_col, str) else collection_col
     total = len(expected_keys)
-    is_expected = F.col("crypto_id").isin(list(expected_keys))
-    return (
+    # Distinct (collection, key) pairs first — a map-side combined
+    # aggregation, so a hot collection shrinks to its distinct keys before
+    # the shuffle — then one row per collection.
+    pairs = (
         ticks.select(coll.alias("collection"), "crypto_id")
-        .groupBy("collection")
+        .groupBy("collection", "crypto_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    return (
+        pairs.groupBy("collection")
         .agg(
-            F.count(F.lit(1)).alias("rows_collected"),
-            F.count_distinct("crypto_id").alias("success_count"),
-            F.count_distinct(F.when(is_expected, F.col("crypto_id"))).alias("_hit"),
+            F.sum("_n").alias("rows_collected"),
+            F.count("crypto_id").alias("success_count"),
+            F.count_if(F.col("crypto_id").isin(list(expected_keys))).alias("_hit"),
         )
         .select(
             "collection",
@@ -163,18 +168,16 @@ def missing_keys(
 ) -> DataFrame:
     """One row per (collection, expected key not fetched) with its error line.
 
-    Expected keys come from configuration, so each collection fans out to at
-    most ``len(expected_keys)`` candidate rows; the anti-join against the
-    distinct fetched pairs then keeps the missing ones.
+    One aggregation per collection collects the set of *expected* keys seen
+    (never more than ``len(expected_keys)`` elements, combined map-side), and
+    ``array_except`` against the configured list yields the missing ones —
+    no join and no per-collection list of all keys.
     """
     coll = F.col(collection_col) if isinstance(collection_col, str) else collection_col
-    keyed = ticks.select(coll.alias("collection"), F.col("crypto_id"))
     expected = F.array(*[F.lit(k) for k in expected_keys])
-    candidates = keyed.select("collection").distinct().select(
-        "collection", F.explode(expected).alias("crypto_id")
-    )
-    fetched = keyed.where(F.col("crypto_id").isin(list(expected_keys))).distinct()
-    return candidates.join(fetched, ["collection", "crypto_id"], "left_anti").select(
+    seen = F.collect_set(F.when(F.col("crypto_id").isin(list(expected_keys)), F.col("crypto_id")))
+    per = ticks.select(coll.alias("collection"), "crypto_id").groupBy("collection").agg(seen.alias("_seen"))
+    return per.select("collection", F.explode(F.array_except(expected, F.col("_seen"))).alias("crypto_id")).select(
         "collection",
         "crypto_id",
         F.concat(F.lit(MISSING_PREFIX), F.col("crypto_id")).alias("error"),

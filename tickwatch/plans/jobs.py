@@ -84,13 +84,19 @@ def processing_job(
         tables.write_metrics(metrics, metrics_path)
         result.records = int(obs.get.get("rows", 0))
         stored = tables.read_metrics(spark, metrics_path)
-        found, aobs = reports.observed(detect.detect_all(stored, sort=False), "anomalies")
-        tables.save_anomalies(found, anomalies_path)
-        result.anomalies = int(aobs.get.get("rows", 0)) if aobs.get else 0
-        if send is not None and result.anomalies:
-            delivered = alerts.deliver(alerts.with_text(alerts.to_alerts(found)), send)
-            row = alerts.tally(delivered).first()
-            result.alerts_sent, result.alerts_failed = int(row["succeeded"]), int(row["failed"])
+        # Anomalies are a small fraction of the metrics: cache them once for
+        # the count, the sink (probe, date lookup, write) and the alerts.
+        # A lost executor only means recomputing from the metrics parquet.
+        found = detect.detect_all(stored, sort=False).persist()
+        try:
+            result.anomalies = found.count()
+            tables.save_anomalies(found, anomalies_path)
+            if send is not None and result.anomalies:
+                delivered = alerts.deliver(alerts.with_text(alerts.to_alerts(found)), send)
+                row = alerts.tally(delivered).first()
+                result.alerts_sent, result.alerts_failed = int(row["succeeded"]), int(row["failed"])
+        finally:
+            found.unpersist()
         result.success = True
     except Exception as exc:  # noqa: BLE001 - recorded, then re-raised
         result.error = f"{type(exc).__name__}: {exc}"

@@ -71,30 +71,33 @@ def save_anomalies(anomalies: DataFrame, path: str, dedup: bool = True) -> bool:
     left-anti join against only the dates present in the batch (static
     partition pruning on ``detection_date``), so saving a batch twice
     stores it once. Duplicates inside one batch are kept. Assumes a single
-    writer per table.
-    Returns whether anything was written.
+    writer per table. The batch is cached for the probe, the date lookup and
+    the write. Returns whether anything was written.
     """
     spark = anomalies.sparkSession
-    batch = with_detection_date(anomalies.select(*ANOMALY_COLUMNS))
-    if batch.isEmpty():
-        return False
-    spark_dates: list[dt.date] = []
-    if dedup and _exists(spark, path):
-        # Bounded by the number of distinct days in the batch.
-        spark_dates = [r[0] for r in batch.select("detection_date").distinct().collect()]
-        stored = read_anomalies(spark, path).where(F.col("detection_date").isin(spark_dates))
-        batch = batch.join(
-            stored.select("detection_date", *ANOMALY_KEY).distinct(),
-            ["detection_date", *ANOMALY_KEY],
-            "left_anti",
+    batch = with_detection_date(anomalies.select(*ANOMALY_COLUMNS)).persist()
+    try:
+        if batch.isEmpty():
+            return False
+        out = batch
+        if dedup and _exists(spark, path):
+            # Bounded by the number of distinct days in the batch.
+            dates = [r[0] for r in batch.select("detection_date").distinct().collect()]
+            stored = read_anomalies(spark, path).where(F.col("detection_date").isin(dates))
+            out = batch.join(
+                stored.select("detection_date", *ANOMALY_KEY).distinct(),
+                ["detection_date", *ANOMALY_KEY],
+                "left_anti",
+            )
+        (
+            out.hint("rebalance", *ANOMALY_PARTITIONS)
+            .write.mode("append")
+            .partitionBy(*ANOMALY_PARTITIONS)
+            .parquet(path)
         )
-    (
-        batch.hint("rebalance", *ANOMALY_PARTITIONS)
-        .write.mode("append")
-        .partitionBy(*ANOMALY_PARTITIONS)
-        .parquet(path)
-    )
-    return True
+        return True
+    finally:
+        batch.unpersist()
 
 
 def replace_anomaly_dates(anomalies: DataFrame, path: str, dates: Iterable[dt.date]) -> None:
