@@ -46,7 +46,7 @@ DEFAULT_MA_FRAMES: dict[str, tuple[str, int]] = {
     "price_ma_15min": ("price_usd", 5),
 }
 
-_HELPERS = ("_tb", "_rn", "_off", "_rank", "_own", "_chunk")
+_HELPERS = ("_kv", "_kn", "_tbv", "_rn", "_off", "_rank", "_own", "_chunk")
 
 
 def order_columns(df: DataFrame, ts_col: str = "collection_timestamp", tie_col: str = "seq") -> list[str]:
@@ -63,28 +63,35 @@ def order_columns(df: DataFrame, ts_col: str = "collection_timestamp", tie_col:
 def _rank_per_key(
     df: DataFrame, key: str, order: Sequence[str], time_col: str, bucket_seconds: int
 ) -> DataFrame:
+    # Non-null surrogates for (key, bucket): the bucket window and the join
+    # to the offsets use the same plain equi-keys, so when the offsets are
+    # too large to broadcast, the sort-merge join reuses the window's hash
+    # partitioning and only the small offsets side is shuffled.
+    k = F.col(key)
     tb = F.floor(F.col(time_col) / F.lit(bucket_seconds))
-    with_tb = df.withColumn("_tb", tb)
+    with_tb = df.withColumns(
+        {
+            "_kv": F.coalesce(k.cast("string"), F.lit("")),
+            "_kn": k.isNull(),
+            "_tbv": F.coalesce(tb, F.lit(-(2**62))),
+        }
+    )
+    parts = ["_kv", "_kn", "_tbv"]
     offsets = (
-        with_tb.groupBy(key, "_tb")
+        with_tb.groupBy(*parts)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
-            F.col(key).alias("_k"),
-            F.col("_tb").alias("_otb"),
+            *parts,
             F.coalesce(
                 F.sum("_n").over(
-                    Window.partitionBy(key).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
+                    Window.partitionBy("_kv", "_kn").orderBy("_tbv").rowsBetween(Window.unboundedPreceding, -1)
                 ),
                 F.lit(0),
             ).alias("_off"),
         )
     )
-    numbered = with_tb.withColumn("_rn", F.row_number().over(Window.partitionBy(key, "_tb").orderBy(*order)))
-    joined = numbered.join(
-        offsets,
-        F.col(key).eqNullSafe(F.col("_k")) & F.col("_tb").eqNullSafe(F.col("_otb")),
-        "inner",
-    ).drop("_k", "_otb")
+    numbered = with_tb.withColumn("_rn", F.row_number().over(Window.partitionBy(*parts).orderBy(*order)))
+    joined = numbered.join(offsets, parts, "inner").drop(*parts)
     return joined.withColumn("_rank", (F.col("_off") + F.col("_rn")).cast("long"))
 
 
