@@ -633,3 +633,95 @@ SELECT count(*) AS succeeded, CAST(0 AS BIGINT) AS failed FROM anomalies""",
 def q_delivery_tally(spark: SparkSession, sf: str) -> DataFrame:
     text = _alerts.with_text(_alerts.to_alerts(_anomalies(spark, sf)))
     return _alerts.tally(_alerts.deliver(text))
+
+
+# ---------------------------------------------------------------------------
+# Sink round trips: S3/S1, S4/S6, S5/J2/S7, S8/S9, ST1. Each call writes under
+# the session's checkpoint directory (shared storage on a cluster) and
+# returns a DataFrame over what was written.
+
+from tickwatch.session import scratch_path  # noqa: E402
+from tickwatch.sources import envelopes as _envelopes  # noqa: E402
+from tickwatch.sources import run_log as _run_log  # noqa: E402
+from tickwatch.sources import tables as _tables  # noqa: E402
+
+STORED_ANOMALIES_SQL = f"""WITH {ANOMALIES_CTE}
+SELECT * REPLACE ({_sql_round('reference_value', 'variation_pct')}),
+       CAST(make_timestamp(detected_at * 1000000) AS DATE) AS detection_date
+FROM anomalies"""
+
+
+@register("landing_roundtrip", f"WITH {TICKS_CTE} SELECT {TICK_COLS} FROM ticks")
+def q_landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "raw")
+    ticks = _flatten.ticks_only(testdata.ticks(spark, sf)).drop("seq")
+    _envelopes.land_envelopes(_flatten.build_envelopes(ticks, testdata.EVENT_KEYS), root)
+    return _flatten.explode_and_flatten(_envelopes.read_envelopes(spark, root))
+
+
+@register(
+    "metrics_table_roundtrip",
+    f"""WITH {METRICS_CTE}
+SELECT * EXCLUDE (seq) REPLACE ({_sql_round(*MA_COLS)}) FROM metrics""",
+)
+def q_metrics_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "metrics")
+    _tables.write_metrics(_metrics(spark, sf), path)
+    return rounded(_tables.read_metrics(spark, path), *MA_COLS)
+
+
+@register("anomaly_sink_twice", STORED_ANOMALIES_SQL)
+def q_anomaly_sink_twice(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "anomalies")
+    found = _anomalies(spark, sf)
+    _tables.save_anomalies(found, path)
+    _tables.save_anomalies(found, path)  # a rerun: stores nothing new
+    return rounded(_tables.read_anomalies(spark, path), "reference_value", "variation_pct")
+
+
+ONE_DAY = "2024-01-15"
+
+
+@register(
+    "anomalies_one_day",
+    f"""SELECT * FROM ({STORED_ANOMALIES_SQL}) WHERE detection_date = DATE '{ONE_DAY}'""",
+)
+def q_anomalies_one_day(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "anomalies")
+    _tables.save_anomalies(_anomalies(spark, sf), path)
+    return rounded(_tables.read_anomalies(spark, path, ONE_DAY), "reference_value", "variation_pct")
+
+
+@register("run_log_csv_report", ORACLE_SQL["run_report"])
+def q_run_log_csv_report(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "runlog-csv")
+    typed = reports.parse_run_log(testdata.run_log_text_from_orders(testdata.table(spark, sf, "orders")))
+    _run_log.write_run_log_csv(typed, path)
+    return reports.run_report(_run_log.read_run_log_csv(spark, path))
+
+
+@register("run_log_parquet_report", ORACLE_SQL["run_report"])
+def q_run_log_parquet_report(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "runlog")
+    typed = reports.parse_run_log(testdata.run_log_text_from_orders(testdata.table(spark, sf, "orders")))
+    _run_log.append_run(typed, path)
+    return reports.run_report(_run_log.read_run_log(spark, path))
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """ST1 over envelopes landed from the events table: flat ticks deduplicated
+    on (crypto_id, collection_timestamp) within the watermark. Which of two
+    rows sharing that identity survives is not defined, so there is no SQL
+    twin; the row count is the number of distinct identities."""
+    from tickwatch.streaming import ingest
+
+    raw, out, ck = scratch_path(spark, "raw"), scratch_path(spark, "ticks"), scratch_path(spark, "ck")
+    ticks = _flatten.ticks_only(testdata.ticks(spark, sf)).drop("seq")
+    _envelopes.land_envelopes(_flatten.build_envelopes(ticks, testdata.EVENT_KEYS), raw)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        ingest.write_ticks(batch, out)
+
+    ingest.start(ingest.stream_ticks(spark, raw, watermark="1 day"), sink, ck, available_now=True).awaitTermination()
+    return spark.read.parquet(out).select(*ticks.columns)

@@ -23,6 +23,10 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Small shuffles (a batch of a few MB written into hourly directories)
+    # keep their parallelism instead of collapsing into one task; large ones
+    # are sized by the advisory partition size as usual.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -47,17 +51,24 @@ def build_session(
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    apply_defaults(spark)
+    for k, v in conf.items():  # a reused session gets the runtime settings too
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # static conf of an already running context
+            pass
     return spark
 
 
+# Settings results depend on (dates and hours are UTC, like the landing
+# layout). Applied to any session handed to us; performance settings are
+# left to whoever built the session.
+SEMANTIC_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
+
+
 def apply_defaults(spark: SparkSession) -> None:
-    """Apply the runtime-settable defaults to an existing session."""
-    for k, v in SESSION_DEFAULTS.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on an existing session: keep what it has
-            pass
+    """Apply the settings results depend on to an existing session."""
+    for k, v in SEMANTIC_SETTINGS.items():
+        spark.conf.set(k, v)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
