@@ -442,18 +442,11 @@ UNION ALL SELECT 'price_variations', count(*) FROM anomalies WHERE anomaly_type
 )
 def q_stage_counts(spark: SparkSession, sf: str) -> DataFrame:
     ticks = testdata.ticks(spark, sf)
-    metrics = transform.metrics(ticks)
-    anomalies = detect.detect_all(metrics, sort=False)
-
-    def stage(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
-
-    return (
-        stage(ticks, "flat_rows")
-        .unionByName(stage(metrics, "valid_rows"))
-        .unionByName(stage(anomalies.where(F.col("anomaly_type") == detect.VOLUME_SPIKE), "volume_spikes"))
-        .unionByName(stage(anomalies.where(F.col("anomaly_type") == detect.PRICE_VARIATION), "price_variations"))
-    )
+    rules = {
+        "volume_spikes": detect.volume_spike_rule()[0],
+        "price_variations": detect.price_variation_rule()[0],
+    }
+    return reports.stage_counts(ticks, transform.metrics(ticks), rules)
 
 
 @register("records_per_key", f"WITH {METRICS_CTE} SELECT crypto_id, count(*) AS count FROM metrics GROUP BY 1 ORDER BY 2 DESC, 1")

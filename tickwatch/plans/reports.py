@@ -30,6 +30,22 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def stage_counts(flat: DataFrame, metrics: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """A1 as a table ``(stage, rows)``: flat rows, valid rows and the rows
+    meeting each detection rule. The metrics are aggregated once (``count_if``
+    per rule) instead of once per stage."""
+
+    def unpivot(df: DataFrame, names: list[str]) -> DataFrame:
+        pairs = ", ".join(f"'{n}', `{n}`" for n in names)
+        return df.selectExpr(f"stack({len(names)}, {pairs}) as (stage, rows)")
+
+    a = flat.agg(F.count(F.lit(1)).alias("flat_rows"))
+    b = metrics.agg(
+        F.count(F.lit(1)).alias("valid_rows"), *[F.count_if(c).alias(n) for n, c in rules.items()]
+    )
+    return unpivot(a, ["flat_rows"]).unionByName(unpivot(b, ["valid_rows", *rules]))
+
+
 def is_empty(df: DataFrame) -> bool:
     """Emptiness via a one-row probe, not a full count."""
     return df.isEmpty()
