@@ -144,3 +144,46 @@ def test_processing_job_records_failure(spark, tmp_dir):
 
     r = run_log.read_run_log(spark, lp).first()
     assert r.success is False and r.error_message
+
+
+def test_text_lines(spark):
+    counts = spark.createDataFrame([("bitcoin", 1234), ("eth", 5)], "crypto_id string, count long")
+    assert [r.line for r in reports.records_per_key_lines(counts).collect()] == [
+        "          bitcoin: 1,234 records", "              eth:     5 records"]
+    latest = spark.createDataFrame([("bitcoin", 70956.0)], "crypto_id string, latest_price double")
+    assert reports.latest_price_lines(latest).first().line == "          bitcoin: $70,956.00"
+    types = spark.createDataFrame([("volume_spike", 3)], "anomaly_type string, count long")
+    assert reports.count_lines(types, "anomaly_type").first().line == "          volume_spike:     3"
+    ticks = ticks_df(spark, [tick(1, "bitcoin", price=70956.0, volume=40022567994.55898, change=2.09)])
+    assert reports.collected_lines(ticks).first().line == (
+        "        bitcoin: USD     70956.00 | Change   2.09% | Vol     40022567995")
+
+
+def test_incremental_job_matches_full_recompute(spark, tmp_dir):
+    from tickwatch.plans import transform
+
+    raw = os.path.join(tmp_dir, "raw")
+    t0 = 1704067200
+    rows = [tick(t0 + i * 180, k, price=50.0 + (i % 9), volume=10.0 if i % 40 else 80.0, change=6.0 if i % 33 == 0 else 0.0)
+            for i in range(600) for k in ("bitcoin", "solana")]
+    envelopes.land_envelopes(flatten.build_envelopes(ticks_df(spark, rows)), raw)
+    tp, mp, ap = (os.path.join(tmp_dir, x) for x in ("ticks", "metrics", "anoms"))
+    cut = t0 + 400 * 180 - (t0 + 400 * 180) % 3600  # an hour boundary
+    jobs.incremental_job(spark, raw, t0, cut - 1, tp, mp, ap)
+    jobs.incremental_job(spark, raw, cut, t0 + 600 * 180, tp, mp, ap)
+    full = {(r.crypto_id, r.collection_timestamp): r for r in transform.metrics(ticks_df(spark, rows)).collect()}
+    inc = {(r.crypto_id, r.collection_timestamp): r for r in tables.read_metrics(spark, mp).collect()}
+    assert full.keys() == inc.keys()
+    assert all(abs(full[k].volume_ma_24h - inc[k].volume_ma_24h) < 1e-9 for k in full)
+    assert tables.read_anomalies(spark, ap).count() == detect.detect_all(transform.metrics(ticks_df(spark, rows))).count()
+
+
+def test_expire_raw_days(spark, tmp_dir):
+    import datetime as dt
+
+    raw = os.path.join(tmp_dir, "raw")
+    rows = [tick(1704067200, "bitcoin"), tick(1706745600, "bitcoin")]  # 2024-01-01, 2024-02-01
+    envelopes.land_envelopes(flatten.build_envelopes(ticks_df(spark, rows)), raw)
+    assert envelopes.expire_raw(spark, raw, dt.date(2024, 2, 10), 30) == ["2024-01-01"]
+    left = flatten.explode_and_flatten(envelopes.read_envelopes(spark, raw)).collect()
+    assert [r.collection_timestamp for r in left] == [1706745600]

@@ -154,3 +154,27 @@ def monitoring_report(
         except Exception:  # noqa: BLE001
             pass
     return out
+
+
+def incremental_job(
+    spark: SparkSession,
+    raw_root: str,
+    start_ts: int,
+    end_ts: int,
+    ticks_path: str,
+    metrics_path: str,
+    anomalies_path: str,
+    context_days: int = 2,
+    chunk_rows: int | None = 16_384,
+) -> None:
+    """Process only the raw hours ``[start_ts, end_ts]`` (epoch seconds;
+    directory pruning): the new flat ticks are stored, the moving averages
+    use the stored ticks of the preceding ``context_days`` as context, and
+    only the new rows' metrics and anomalies are written (anomalies
+    idempotently). Same code path as the streaming sink (ST3)."""
+    from tickwatch.operators.timecols import add_time_columns
+    from tickwatch.streaming.ingest import rolling_metrics_sink
+
+    raw = envelopes.read_envelopes(spark, raw_root, where=envelopes.partition_range(start_ts, end_ts))
+    flat = add_time_columns(flatten.explode_and_flatten(raw))
+    rolling_metrics_sink(ticks_path, metrics_path, anomalies_path, context_days, chunk_rows)(flat, 0)

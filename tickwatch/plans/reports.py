@@ -252,3 +252,44 @@ def window_aggregates(metrics: DataFrame, minutes: int = 15) -> DataFrame:
             "avg_price", "min_price", "max_price", "sum_volume", "readings",
         )
     )
+
+
+# --- P14: text lines ----------------------------------------------------------
+
+# Line patterns of the text reports (Java format syntax, which
+# ``format_string`` implements).
+LINE_RECORDS_PER_KEY = "  %15s: %,5d records"
+LINE_LATEST_PRICE = "  %15s: $%,.2f"
+LINE_BY_TYPE = "  %20s: %5d"
+LINE_BY_KEY_OR_SEVERITY = "  %15s: %5d"
+LINE_RECENT = "  %15s | %15s | %8s | %s"
+LINE_ALERT = "  %15s | %20s | %8s | %s"
+LINE_COLLECTED = "%15s: USD %12.2f | Change %6.2f%% | Vol %15.0f"
+
+
+def text_lines(df: DataFrame, pattern: str, *cols: str) -> DataFrame:
+    """One formatted text line per row (``line``), computed in the
+    executors; order is the input's order."""
+    return df.select(F.format_string(pattern, *[F.col(c) for c in cols]).alias("line"))
+
+
+def records_per_key_lines(counts: DataFrame) -> DataFrame:
+    return text_lines(counts, LINE_RECORDS_PER_KEY, "crypto_id", "count")
+
+
+def latest_price_lines(latest: DataFrame) -> DataFrame:
+    return text_lines(latest, LINE_LATEST_PRICE, "crypto_id", "latest_price")
+
+
+def count_lines(counts: DataFrame, col: str) -> DataFrame:
+    pattern = LINE_BY_TYPE if col == "anomaly_type" else LINE_BY_KEY_OR_SEVERITY
+    return text_lines(counts, pattern, col, "count")
+
+
+def recent_lines(recent: DataFrame) -> DataFrame:
+    return text_lines(recent, LINE_RECENT, *RECENT_COLUMNS)
+
+
+def collected_lines(flat_ticks: DataFrame) -> DataFrame:
+    """A8's per-row line of a collection summary."""
+    return text_lines(flat_ticks, LINE_COLLECTED, "crypto_id", "price_usd", "change_24h_pct", "volume_24h_usd")
