@@ -153,3 +153,50 @@ def test_per_key_plan_has_one_exchange_and_one_sort(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
+
+
+@pytest.mark.parametrize("layout", ["buckets", "rank"])
+@pytest.mark.parametrize("chunk_rows", [5, 6, 7, 13])
+def test_chunk_layouts_match_one_partition_per_key(spark, layout, chunk_rows):
+    """Uneven buckets (empty stretches, a few large ones), tiny chunks and a
+    halo equal to the chunk size: a bucket may feed two later chunks."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(chunk_rows)
+    rows, seq = [], 0
+    for key in ("a", "b", None):
+        ts = 0
+        for _ in range(rnd.randint(30, 120)):
+            ts += rnd.choice([0, 0, 1, 3, 10, 40, 200])
+            rows.append(tick(ts, key, price=float(rnd.randint(1, 99)), seq=seq))
+            seq += 1
+    df = ticks_df(spark, rows, with_seq=True)
+    stages = [
+        lag_stage("price_usd", 5, "lag5"),
+        lambda w: {"lo": F.min("price_usd").over(w.rowsBetween(-5, 0)), "n": F.count("price_usd").over(w.rowsBetween(-5, 0))},
+    ]
+    want = {r.seq: (r.lag5, r.lo, r.n) for r in row_frames(df, stages, halo=5, chunk_rows=None).collect()}
+    got = row_frames(df, stages, halo=5, chunk_rows=chunk_rows, bucket_seconds=10, layout=layout).collect()
+    assert len(got) == len(rows)
+    assert {r.seq: (r.lag5, r.lo, r.n) for r in got} == want
+
+
+def test_bucket_plan_targets(spark):
+    from tickwatch.operators.rolling import bucket_plan
+
+    # one key; buckets of 10 s with 8, 1, 1, 4 rows; chunks of 5 rows, halo 5
+    sizes = [8, 1, 1, 4]
+    rows = [tick(b * 10 + i % 10, "k") for b, n in enumerate(sizes) for i in range(n)]
+    plan = {r._tbv: (r._own, list(r._to)) for r in bucket_plan(ticks_df(spark, rows), bucket_seconds=10,
+                                                                  chunk_rows=5, halo=5).collect()}
+    # offsets 0, 8, 9, 10 -> chunks 0, 1, 1, 2; chunk starts at 0, 8, 10
+    assert plan == {0: (0, [1, 2]), 1: (1, [2]), 2: (1, [2]), 3: (2, [])}
+
+
+def test_bucket_layout_shuffles_rows_once(spark):
+    rows = [tick(i * 60, k, seq=i) for i in range(200) for k in ("a", "b")]
+    df = add_moving_averages(ticks_df(spark, rows, with_seq=True), chunk_rows=480)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    assert "BroadcastHashJoin" in plan and "_chunk" in plan

@@ -4,18 +4,27 @@ The plain form is ``Window.partitionBy(key).orderBy(ts, seq).rowsBetween(-n, 0)`
 one exchange on ``key`` and one sort, but then every row of a key goes
 through a single task, and a key may hold a third of all rows.
 
-:func:`row_frames` keeps the same frames but partitions by ``(key, chunk)``:
-
-1. A distributed rank per key, without sorting a whole key in one task:
-   rows are counted per ``(key, time bucket)`` (a small aggregate), the
-   counts are prefix-summed per key (small window) into bucket offsets, and
-   each row gets ``offset + row_number()`` inside its ``(key, bucket)``.
-   The join back to the offsets is a plain equi-join; AQE turns it into a
-   broadcast only once the offsets stage has measured small.
-2. Rank ranges of ``chunk_rows`` rows form chunks; the last ``halo`` rows of
-   each chunk are copied into the next one, so every frame of at most
-   ``halo`` preceding rows is complete inside its chunk. Halo copies are
-   dropped after the window. Extra rows: ``halo / chunk_rows`` of the input.
+:func:`row_frames` keeps the same frames but partitions by ``(key, chunk)``
+where a chunk is a run of about ``chunk_rows`` consecutive rows of one key,
+and every chunk also receives the rows just before it (its *halo*, at least
+``halo`` rows) so each frame is complete inside its chunk. Halo copies are
+dropped after the window. Two layouts build the chunks:
+
+* ``"buckets"`` (default when it fits): rows are counted per
+  ``(key, time bucket)`` — a small, map-side combined aggregate. From the
+  counts alone a *bucket plan* assigns every bucket to a chunk (by its row
+  offset within the key) and lists the at most two following chunks whose
+  halo it falls into. The plan is checkpointed to the shared checkpoint
+  directory, its size is checked, and only then is it broadcast; the rows
+  are exchanged **once**, by ``(key, chunk)``. Whole buckets are copied as
+  halo, so the halo is ``halo`` rows plus at most a bucket's worth.
+* ``"rank"`` (used when the plan is over ``max_broadcast_rows``): every row
+  gets its rank per key (bucket offset + ``row_number()`` inside its
+  bucket), chunks are exact rank ranges and exactly ``halo`` rows are copied.
+  This costs a second full exchange (by ``(key, bucket)``) and sort.
+
+A bucket is never split, so one ``(key, bucket)`` must fit a task; pick
+``bucket_seconds`` accordingly (an hour is 20 readings at a 3-minute cadence).
 
 Averages over long frames default to ``method="prefix"``: a running sum and
 non-null count inside the chunk, minus the same values ``n + 1`` rows back.
@@ -37,6 +46,9 @@ Stage = Callable[[WindowSpec], Mapping[str, Column]]
 
 DEFAULT_CHUNK_ROWS = 16_384
 DEFAULT_BUCKET_SECONDS = 3_600
+# Largest bucket plan (one row per key and bucket, five small columns) that
+# is broadcast; beyond it the rank layout is used.
+MAX_BROADCAST_PLAN_ROWS = 2_000_000
 
 # Frames of the metrics table: (source column, preceding rows). The current
 # row is always included, so 480 preceding rows is a 481-row frame.
@@ -46,7 +58,7 @@ DEFAULT_MA_FRAMES: dict[str, tuple[str, int]] = {
     "price_ma_15min": ("price_usd", 5),
 }
 
-_HELPERS = ("_kv", "_kn", "_tbv", "_rn", "_off", "_rank", "_own", "_chunk")
+_HELPERS = ("_kv", "_kn", "_tbv", "_rn", "_off", "_rank", "_own", "_chunk", "_to")
 
 
 def order_columns(df: DataFrame, ts_col: str = "collection_timestamp", tie_col: str = "seq") -> list[str]:
@@ -60,28 +72,92 @@ def order_columns(df: DataFrame, ts_col: str = "collection_timestamp", tie_col:
     return [ts_col] + [c for c in df.columns if c != ts_col]
 
 
-def _rank_per_key(
-    df: DataFrame, key: str, order: Sequence[str], time_col: str, bucket_seconds: int
-) -> DataFrame:
-    # Non-null surrogates for (key, bucket): the bucket window and the join
-    # to the offsets use the same plain equi-keys, so when the offsets are
-    # too large to broadcast, the sort-merge join reuses the window's hash
-    # partitioning and only the small offsets side is shuffled.
+def _with_surrogates(df: DataFrame, key: str, time_col: str, bucket_seconds: int) -> DataFrame:
+    """Non-null stand-ins for (key, bucket), so joins and partitionings on
+    them are plain equi-keys (a null key stays distinct from every value)."""
     k = F.col(key)
     tb = F.floor(F.col(time_col) / F.lit(bucket_seconds))
-    with_tb = df.withColumns(
+    return df.withColumns(
         {
             "_kv": F.coalesce(k.cast("string"), F.lit("")),
             "_kn": k.isNull(),
             "_tbv": F.coalesce(tb, F.lit(-(2**62))),
         }
     )
-    parts = ["_kv", "_kn", "_tbv"]
+
+
+_PARTS = ["_kv", "_kn", "_tbv"]
+
+
+def bucket_plan(
+    df: DataFrame,
+    key: str = "crypto_id",
+    time_col: str = "collection_timestamp",
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    halo: int = 480,
+) -> DataFrame:
+    """One row per (key, bucket): its chunk ``_own`` and the chunks ``_to``
+    whose halo it must also feed. Computed from bucket counts only.
+
+    A bucket with rows at offsets ``[off, end)`` of its key belongs to chunk
+    ``off div chunk_rows``; it feeds the halo of every later chunk starting
+    at ``s`` with ``s - halo < end``. Chunk starts are at least
+    ``chunk_rows >= halo`` apart from the second one on, so that is at most
+    the next two chunk starts, found with running minima over the buckets
+    in reverse order (linear, unlike unbounded-following frames).
+    """
+    counts = _with_surrogates(df, key, time_col, bucket_seconds).groupBy(*_PARTS).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    asc = Window.partitionBy("_kv", "_kn").orderBy("_tbv")
+    after = Window.partitionBy("_kv", "_kn").orderBy(F.col("_tbv").desc()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    p = counts.withColumn(
+        "_off", F.coalesce(F.sum("_n").over(asc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).withColumn("_own", F.expr(f"_off div {int(chunk_rows)}"))
+    p = p.withColumn("_starts", F.coalesce(F.lag("_own").over(asc) != F.col("_own"), F.lit(True)))
+    p = p.withColumns(
+        {
+            "_s1": F.min(F.when(F.col("_starts"), F.col("_off"))).over(after),
+            "_c1": F.min(F.when(F.col("_starts"), F.col("_own"))).over(after),
+        }
+    )
+    p = p.withColumns(
+        {
+            "_s2": F.min(F.when(F.col("_starts"), F.col("_s1"))).over(after),
+            "_c2": F.min(F.when(F.col("_starts"), F.col("_c1"))).over(after),
+        }
+    )
+    reach = F.col("_off") + F.col("_n") + F.lit(halo)
+    to = F.array_compact(F.array(F.when(F.col("_s1") < reach, F.col("_c1")), F.when(F.col("_s2") < reach, F.col("_c2"))))
+    return p.select(*_PARTS, "_own", (to if halo > 0 else F.array().cast("array<bigint>")).alias("_to"))
+
+
+def _checked_plan(plan: DataFrame, max_rows: int) -> DataFrame | None:
+    """The plan cut from its lineage (reliable checkpoint in the session's
+    checkpoint directory), or None when it is too large to broadcast."""
+    from tickwatch.session import checkpoint_root
+
+    checkpoint_root(plan.sparkSession)
+    saved = plan.checkpoint(eager=True)
+    return saved if saved.count() <= max_rows else None
+
+
+def _rank_per_key(
+    df: DataFrame, key: str, order: Sequence[str], time_col: str, bucket_seconds: int
+) -> DataFrame:
+    # The bucket window and the join to the offsets use the same plain
+    # equi-keys: when the offsets are too large to broadcast, the sort-merge
+    # join reuses the window's hash partitioning and only the small offsets
+    # side is shuffled.
+    with_tb = _with_surrogates(df, key, time_col, bucket_seconds)
     offsets = (
-        with_tb.groupBy(*parts)
+        with_tb.groupBy(*_PARTS)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
-            *parts,
+            *_PARTS,
             F.coalesce(
                 F.sum("_n").over(
                     Window.partitionBy("_kv", "_kn").orderBy("_tbv").rowsBetween(Window.unboundedPreceding, -1)
@@ -90,8 +166,8 @@ def _rank_per_key(
             ).alias("_off"),
         )
     )
-    numbered = with_tb.withColumn("_rn", F.row_number().over(Window.partitionBy(*parts).orderBy(*order)))
-    joined = numbered.join(offsets, parts, "inner").drop(*parts)
+    numbered = with_tb.withColumn("_rn", F.row_number().over(Window.partitionBy(*_PARTS).orderBy(*order)))
+    joined = numbered.join(offsets, _PARTS, "inner").drop(*_PARTS)
     return joined.withColumn("_rank", (F.col("_off") + F.col("_rn")).cast("long"))
 
 
@@ -104,13 +180,16 @@ def row_frames(
     chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
     time_col: str = "collection_timestamp",
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    layout: str = "auto",
+    max_broadcast_rows: int = MAX_BROADCAST_PLAN_ROWS,
 ) -> DataFrame:
     """Add the columns produced by ``stages`` evaluated over ordered rows per key.
 
     Each stage gets a ``WindowSpec`` (partitioned and ordered, no frame) and
     returns ``{name: column}``; later stages may read earlier stages' columns.
     Frames may look back at most ``halo`` rows. ``chunk_rows=None`` uses one
-    window partition per key.
+    window partition per key. ``layout`` is ``"auto"`` (bucket plan when its
+    checked size allows a broadcast, else ranks), ``"buckets"`` or ``"rank"``.
     """
     order = list(order or order_columns(df, time_col))
     if chunk_rows is None:
@@ -123,17 +202,28 @@ def row_frames(
     if halo > chunk_rows:
         raise ValueError(f"halo ({halo}) must not exceed chunk_rows ({chunk_rows})")
     original = df.columns
-    ranked = _rank_per_key(df, key, order, time_col, bucket_seconds)
-    ranked = ranked.withColumn("_own", F.expr(f"(_rank - 1) div {int(chunk_rows)}"))
-    pos = F.col("_rank") - 1 - F.col("_own") * F.lit(chunk_rows)
-    if halo > 0:
-        targets = F.when(
-            pos >= chunk_rows - halo, F.array(F.col("_own"), F.col("_own") + 1)
-        ).otherwise(F.array(F.col("_own")))
-        spread = ranked.withColumn("_chunk", F.explode(targets))
+    plan = None
+    if layout in ("auto", "buckets"):
+        plan = _checked_plan(
+            bucket_plan(df, key, time_col, bucket_seconds, chunk_rows, halo),
+            max_broadcast_rows if layout == "auto" else 2**62,
+        )
+    if plan is not None:
+        rows = _with_surrogates(df, key, time_col, bucket_seconds).join(F.broadcast(plan), _PARTS)
+        spread = rows.withColumn("_chunk", F.explode(F.concat(F.array(F.col("_own")), F.col("_to"))))
+        w = Window.partitionBy("_kv", "_kn", "_chunk").orderBy(*order)
     else:
-        spread = ranked.withColumn("_chunk", F.col("_own"))
-    w = Window.partitionBy(key, "_chunk").orderBy("_rank")
+        ranked = _rank_per_key(df, key, order, time_col, bucket_seconds)
+        ranked = ranked.withColumn("_own", F.expr(f"(_rank - 1) div {int(chunk_rows)}"))
+        pos = F.col("_rank") - 1 - F.col("_own") * F.lit(chunk_rows)
+        if halo > 0:
+            targets = F.when(
+                pos >= chunk_rows - halo, F.array(F.col("_own"), F.col("_own") + 1)
+            ).otherwise(F.array(F.col("_own")))
+            spread = ranked.withColumn("_chunk", F.explode(targets))
+        else:
+            spread = ranked.withColumn("_chunk", F.col("_own"))
+        w = Window.partitionBy(key, "_chunk").orderBy("_rank")
     out = spread
     for stage in stages:
         out = out.withColumns(dict(stage(w)))
@@ -185,6 +275,7 @@ def add_moving_averages(
     chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
     order: Sequence[str] | None = None,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    layout: str = "auto",
 ) -> DataFrame:
     """Per-key moving averages over row frames (defaults: 481 and 6 rows).
 
@@ -201,6 +292,7 @@ def add_moving_averages(
         halo=halo,
         chunk_rows=chunk_rows if chunk_rows is None else max(chunk_rows, halo),
         bucket_seconds=bucket_seconds,
+        layout=layout,
     )
     return out.drop(*[c for c in out.columns if c.startswith("_mas") or c.startswith("_mac")])
 
