@@ -45,6 +45,9 @@ def build_session(
     conf = dict(SESSION_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    # Reliable checkpoints (the row-frame bucket plans) are removed once the
+    # DataFrames using them are garbage collected.
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
