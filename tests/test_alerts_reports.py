@@ -187,3 +187,37 @@ def test_expire_raw_days(spark, tmp_dir):
     assert envelopes.expire_raw(spark, raw, dt.date(2024, 2, 10), 30) == ["2024-01-01"]
     left = flatten.explode_and_flatten(envelopes.read_envelopes(spark, raw)).collect()
     assert [r.collection_timestamp for r in left] == [1706745600]
+
+
+def test_ingestion_job_lands_answers_and_failed_fetches(spark, tmp_dir):
+    import json
+
+    raw = os.path.join(tmp_dir, "raw")
+    good = {"bitcoin": {"usd": 70956.0, "brl": 370185.0, "usd_24h_vol": 4.0e10, "usd_24h_change": 2.09,
+                        "last_updated_at": 1770586071},
+            "ethereum": {"usd": 2110.0, "brl": 11000.0, "usd_24h_vol": 1.8e10, "usd_24h_change": 0.23,
+                         "last_updated_at": 1770586070}}
+    answers = spark.createDataFrame(
+        [(1770586080, json.dumps(good), None), (1770586260, None, "HTTP 429 Too Many Requests")],
+        "collection_timestamp long, body string, error string",
+    )
+    summary = {r.collection_timestamp: r for r in jobs.ingestion_job(answers, raw, error_col="error").collect()}
+    ok = summary[1770586080]
+    assert (ok.total_expected, ok.success_count, ok.failure_count, ok.rows_landed) == (5, 2, 3, 2)
+    assert sorted(ok.errors) == ["Missing data for crypto: binancecoin", "Missing data for crypto: cardano",
+                                 "Missing data for crypto: solana"]
+    bad = summary[1770586260]
+    assert (bad.success_count, bad.failure_count, bad.rows_landed, bad.errors) == (0, 5, 0, ["HTTP 429 Too Many Requests"])
+    flat = flatten.explode_and_flatten(envelopes.read_envelopes(spark, raw)).collect()
+    assert sorted(r.crypto_id for r in flat) == ["bitcoin", "ethereum"]
+    assert os.path.isdir(os.path.join(raw, "year=2026", "month=02", "day=08", "hour=21"))
+
+
+def test_daily_outputs(spark, tmp_dir):
+    from tickwatch.plans import transform
+
+    rows = [tick(1770575272 + i * 180, "bitcoin", change=7.0) for i in range(5)]
+    m = transform.metrics(ticks_df(spark, rows))
+    jobs.daily_outputs(m, detect.detect_all(m, sort=False), tmp_dir)
+    for name in ("anomalies", "aggregated_metrics"):
+        assert os.path.isdir(os.path.join(tmp_dir, name, "year=2026", "month=02", "day=08"))

@@ -178,3 +178,11 @@ def incremental_job(
     raw = envelopes.read_envelopes(spark, raw_root, where=envelopes.partition_range(start_ts, end_ts))
     flat = add_time_columns(flatten.explode_and_flatten(raw))
     rolling_metrics_sink(ticks_path, metrics_path, anomalies_path, context_days, chunk_rows)(flat, 0)
+
+
+def daily_outputs(metrics: DataFrame, anomalies: DataFrame, root: str, window_minutes: int = 15) -> None:
+    """The documented daily layout — ``anomalies`` and
+    ``aggregated_metrics`` (A14's windowed aggregates) under
+    ``<root>/<name>/year=/month=/day=``."""
+    tables.write_daily(anomalies, root, "anomalies", "detected_at")
+    tables.write_daily(reports.window_aggregates(metrics, window_minutes), root, "aggregated_metrics", "window_start")
