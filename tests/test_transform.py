@@ -200,3 +200,27 @@ def test_bucket_layout_shuffles_rows_once(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1, plan
     assert "BroadcastHashJoin" in plan and "_chunk" in plan
+
+
+@pytest.mark.parametrize("chunk_rows", [3, 8, 16384])
+def test_time_frame_average_matches_brute_force(spark, chunk_rows):
+    rnd = random.Random(chunk_rows)
+    rows = []
+    for key in ("a", "b"):
+        ts = 0
+        for _ in range(150):
+            ts += rnd.choice([0, 60, 600, 3600, 20000, 90000])
+            rows.append(tick(ts, key, price=None if rnd.random() < 0.1 else float(rnd.randint(1, 50))))
+    out = add_time_frame_average(ticks_df(spark, rows), "price_usd", "avg_t", chunk_rows=chunk_rows,
+                                 bucket_seconds=3600).collect()
+    assert len(out) == len(rows)
+    order = lambda x: (x[0], x[1], repr(x[2]), repr(x[3]))
+    got = sorted(((r.crypto_id, r.collection_timestamp, r.price_usd, r.avg_t) for r in out), key=order)
+    want = []
+    for ts, k, p, *_ in rows:
+        frame = [r[2] for r in rows if r[1] == k and ts - 86400 <= r[0] <= ts and r[2] is not None]
+        want.append((k, ts, p, sum(frame) / len(frame) if frame else None))
+    want.sort(key=order)
+    assert len(got) == len(want)
+    for g, e in zip(got, want):
+        assert g[:3] == e[:3] and _close(g[3], e[3]), (g, e)

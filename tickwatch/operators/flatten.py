@@ -45,8 +45,8 @@ def explode_and_flatten(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def _price_row(prefix: str = "") -> Column:
-    c = lambda name: F.col(prefix + name)
+def _price_row() -> Column:
+    c = F.col
     return F.struct(
         c("crypto_id").alias("cryptoId"),
         c("price_usd").alias("usd"),

@@ -46,9 +46,9 @@ Stage = Callable[[WindowSpec], Mapping[str, Column]]
 
 DEFAULT_CHUNK_ROWS = 16_384
 DEFAULT_BUCKET_SECONDS = 3_600
-# Largest bucket plan (one row per key and bucket, five small columns) that
-# is broadcast; beyond it the rank layout is used.
-MAX_BROADCAST_PLAN_ROWS = 2_000_000
+# Largest bucket plan (one row per key and bucket, five small columns, about
+# 50-80 MB at this bound) that is broadcast; beyond it the rank layout is used.
+MAX_BROADCAST_PLAN_ROWS = 1_000_000
 
 # Frames of the metrics table: (source column, preceding rows). The current
 # row is always included, so 480 preceding rows is a 481-row frame.
@@ -317,29 +317,61 @@ def add_time_frame_average(
     seconds: int = 86_400,
     key: str = "crypto_id",
     ts_col: str = "collection_timestamp",
-    bucket_seconds: int | None = None,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    max_broadcast_rows: int = MAX_BROADCAST_PLAN_ROWS,
 ) -> DataFrame:
     """``avg(value)`` over the rows of the same key whose timestamp lies in
     ``[ts - seconds, ts]`` — a true-time 24h frame that does not assume a
-    fixed collection cadence.
-
-    Partitioned by ``(key, time bucket)``; each bucket also receives the rows
-    of the preceding ``ceil(seconds / bucket_seconds)`` buckets as a halo. The
-    frame sum is a running sum minus the running sum of rows older than the
-    frame (``rangeBetween(unboundedPreceding, -seconds - 1)``), both
-    incremental frames, so the cost is linear in the partition.
+    fixed collection cadence. Rows with a null timestamp get null.
+
+    Sweep line: every row enters the stream of its key at ``ts`` with
+    ``+value`` and leaves it at ``ts + seconds + 1`` with ``-value`` (and the
+    same with ``+1/-1`` for the non-null count). The frame sum at ``t`` is
+    the running sum of all events at times ``<= t``. The event stream is cut
+    into chunks with the checked bucket plan (no halo needed); each chunk
+    starts from the total of the earlier chunks (a small aggregate), so the
+    rows are exchanged once and a busy day is spread over many tasks.
     """
-    width = bucket_seconds or seconds
-    reach = -(-seconds // width)  # ceil
-    own = F.floor(F.col(ts_col) / F.lit(width)).cast("long")
-    spread = df.withColumn("_own", own).withColumn(
-        "_chunk", F.explode_outer(F.sequence(F.col("_own"), F.col("_own") + F.lit(reach)))
-    )
-    w = Window.partitionBy(key, "_chunk").orderBy(F.col(ts_col))
-    upto = w.rangeBetween(Window.unboundedPreceding, 0)
-    before = w.rangeBetween(Window.unboundedPreceding, -seconds - 1)
+    original = df.columns
+    t = F.col(ts_col)
     v = F.coalesce(F.col(value), F.lit(0.0))
-    s = F.sum(v).over(upto) - F.coalesce(F.sum(v).over(before), F.lit(0.0))
-    c = F.count(value).over(upto) - F.coalesce(F.count(value).over(before), F.lit(0))
-    out = spread.withColumn(name, F.when(c > 0, ratio(s, c))).where(F.col("_chunk").eqNullSafe(F.col("_own")))
-    return out.drop("_own", "_chunk")
+    c = F.col(value).isNotNull().cast("long")
+    rows = df.where(t.isNotNull()).withColumns({"_et": t, "_dv": v, "_dc": c, "_row": F.lit(True)})
+    leave = df.where(t.isNotNull()).select(
+        F.col(key),
+        (t + F.lit(seconds + 1)).alias("_et"),
+        (-v).alias("_dv"),
+        (-c).alias("_dc"),
+        F.lit(False).alias("_row"),
+    )
+    events = rows.unionByName(leave, allowMissingColumns=True)
+    plan = _checked_plan(bucket_plan(events, key, "_et", bucket_seconds, chunk_rows, 0), max_broadcast_rows)
+    if plan is None:
+        raise ValueError("bucket plan too large to broadcast: raise bucket_seconds or max_broadcast_rows")
+    placed = _with_surrogates(events, key, "_et", bucket_seconds).join(
+        F.broadcast(plan.drop("_to")), _PARTS
+    )
+    starts = (
+        placed.groupBy("_kv", "_kn", "_own")
+        .agg(F.sum("_dv").alias("_tv"), F.sum("_dc").alias("_tc"))
+        .select(
+            "_kv", "_kn", "_own",
+            *[
+                F.coalesce(
+                    F.sum(x).over(
+                        Window.partitionBy("_kv", "_kn").orderBy("_own").rowsBetween(Window.unboundedPreceding, -1)
+                    ),
+                    F.lit(0),
+                ).alias(o)
+                for x, o in (("_tv", "_ov"), ("_tc", "_oc"))
+            ],
+        )
+    )
+    w = Window.partitionBy("_kv", "_kn", "_own").orderBy("_et").rangeBetween(Window.unboundedPreceding, 0)
+    swept = placed.join(starts, ["_kv", "_kn", "_own"]).withColumns(
+        {"_s": F.col("_ov") + F.sum("_dv").over(w), "_n": F.col("_oc") + F.sum("_dc").over(w)}
+    )
+    out = swept.where(F.col("_row")).withColumn(name, F.when(F.col("_n") > 0, ratio("_s", "_n")))
+    nulls = df.where(t.isNull()).withColumn(name, F.lit(None).cast("double"))
+    return out.select(*original, name).unionByName(nulls)
