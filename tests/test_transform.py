@@ -224,3 +224,28 @@ def test_time_frame_average_matches_brute_force(spark, chunk_rows):
     assert len(got) == len(want)
     for g, e in zip(got, want):
         assert g[:3] == e[:3] and _close(g[3], e[3]), (g, e)
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """One key with most of the rows: the chunked layout evaluates its windows
+    in several shuffle partitions, the per-key layout in one."""
+    from pyspark.sql import functions as F
+
+    rows = [tick(i * 60, "hot", seq=i) for i in range(6000)] + [tick(i * 60, k, seq=10_000 + i)
+                                                               for i in range(50) for k in ("x", "y")]
+    df = ticks_df(spark, rows, with_seq=True)
+    stage = [lambda w: {"ma": F.avg("volume_24h_usd").over(w.rowsBetween(-480, 0))}]
+
+    def tasks(out):
+        # keep "ma" in use, otherwise the window is pruned away
+        hot = out.where(F.col("crypto_id") == "hot").select(F.spark_partition_id().alias("p"), "ma")
+        return hot.groupBy("p").agg(F.count("ma").alias("n")).where("n > 0").count()
+
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # tiny data would be merged into one task
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        assert tasks(row_frames(df, stage, halo=480, chunk_rows=None)) == 1
+        assert tasks(row_frames(df, stage, halo=480, chunk_rows=500, bucket_seconds=600)) >= 4
+    finally:
+        spark.conf.set(key, before)
