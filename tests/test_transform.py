@@ -249,3 +249,20 @@ def test_hot_key_is_spread_over_tasks(spark):
         assert tasks(row_frames(df, stage, halo=480, chunk_rows=500, bucket_seconds=600)) >= 4
     finally:
         spark.conf.set(key, before)
+
+
+def test_large_plans_take_the_other_way(spark):
+    """Over the broadcast bound: row frames use the rank layout, the time
+    frame joins the plan with a shuffle; results do not change."""
+    from pyspark.sql import functions as F
+
+    rows = [tick(i * 700, k, price=float(i % 13 + 1), seq=i * 3 + j) for i in range(300) for j, k in enumerate("abc")]
+    df = ticks_df(spark, rows, with_seq=True)
+    stage = [lambda w: {"lo": F.min("price_usd").over(w.rowsBetween(-5, 0))}]
+    want = {r.seq: r.lo for r in row_frames(df, stage, halo=5, chunk_rows=None).collect()}
+    got = row_frames(df, stage, halo=5, chunk_rows=7, bucket_seconds=600, max_broadcast_rows=1)
+    assert "row_number()" in got._jdf.queryExecution().optimizedPlan().toString()  # the rank layout
+    assert {r.seq: r.lo for r in got.collect()} == want
+    a = {r.seq: r.t for r in add_time_frame_average(df, "price_usd", "t", chunk_rows=9).collect()}
+    b = {r.seq: r.t for r in add_time_frame_average(df, "price_usd", "t", chunk_rows=9, max_broadcast_rows=1).collect()}
+    assert a == b

@@ -135,14 +135,14 @@ def bucket_plan(
     return p.select(*_PARTS, "_own", (to if halo > 0 else F.array().cast("array<bigint>")).alias("_to"))
 
 
-def _checked_plan(plan: DataFrame, max_rows: int) -> DataFrame | None:
+def _checked_plan(plan: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     """The plan cut from its lineage (reliable checkpoint in the session's
-    checkpoint directory), or None when it is too large to broadcast."""
+    checkpoint directory) and whether it is small enough to broadcast."""
     from tickwatch.session import checkpoint_root
 
     checkpoint_root(plan.sparkSession)
     saved = plan.checkpoint(eager=True)
-    return saved if saved.count() <= max_rows else None
+    return saved, saved.count() <= max_rows
 
 
 def _rank_per_key(
@@ -204,10 +204,12 @@ def row_frames(
     original = df.columns
     plan = None
     if layout in ("auto", "buckets"):
-        plan = _checked_plan(
+        plan, small = _checked_plan(
             bucket_plan(df, key, time_col, bucket_seconds, chunk_rows, halo),
             max_broadcast_rows if layout == "auto" else 2**62,
         )
+        if not small:
+            plan = None
     if plan is not None:
         rows = _with_surrogates(df, key, time_col, bucket_seconds).join(F.broadcast(plan), _PARTS)
         spread = rows.withColumn("_chunk", F.explode(F.concat(F.array(F.col("_own")), F.col("_to"))))
@@ -346,11 +348,12 @@ def add_time_frame_average(
         F.lit(False).alias("_row"),
     )
     events = rows.unionByName(leave, allowMissingColumns=True)
-    plan = _checked_plan(bucket_plan(events, key, "_et", bucket_seconds, chunk_rows, 0), max_broadcast_rows)
-    if plan is None:
-        raise ValueError("bucket plan too large to broadcast: raise bucket_seconds or max_broadcast_rows")
+    plan, small = _checked_plan(bucket_plan(events, key, "_et", bucket_seconds, chunk_rows, 0), max_broadcast_rows)
+    plan = plan.drop("_to")
+    # Broadcast only a plan of checked size; a larger one is joined with a
+    # shuffle (one more exchange of the events).
     placed = _with_surrogates(events, key, "_et", bucket_seconds).join(
-        F.broadcast(plan.drop("_to")), _PARTS
+        F.broadcast(plan) if small else plan, _PARTS
     )
     starts = (
         placed.groupBy("_kv", "_kn", "_own")
