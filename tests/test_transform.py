@@ -266,3 +266,25 @@ def test_large_plans_take_the_other_way(spark):
     a = {r.seq: r.t for r in add_time_frame_average(df, "price_usd", "t", chunk_rows=9).collect()}
     b = {r.seq: r.t for r in add_time_frame_average(df, "price_usd", "t", chunk_rows=9, max_broadcast_rows=1).collect()}
     assert a == b
+
+
+def test_hot_hour_is_split_with_finer_buckets(spark):
+    """A burst: 3000 rows of one key inside a single hour. The plan is rebuilt
+    with one-minute buckets so the burst is spread over several tasks, and
+    the frames still match one partition per key."""
+    from pyspark.sql import functions as F
+
+    rows = [tick(7200 + i // 2, "hot", price=float(i % 17 + 1), seq=i) for i in range(3000)]
+    df = ticks_df(spark, rows, with_seq=True)
+    stage = [lambda w: {"lo": F.min("price_usd").over(w.rowsBetween(-20, 0))}]
+    want = {r.seq: r.lo for r in row_frames(df, stage, halo=20, chunk_rows=None).collect()}
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        out = row_frames(df, stage, halo=20, chunk_rows=200, bucket_seconds=3600)
+        assert {r.seq: r.lo for r in out.collect()} == want
+        parts = out.select(F.spark_partition_id().alias("p"), "lo").groupBy("p").agg(F.count("lo").alias("n"))
+        assert parts.where("n > 0").count() >= 4
+    finally:
+        spark.conf.set(key, before)

@@ -23,8 +23,9 @@ dropped after the window. Two layouts build the chunks:
   bucket), chunks are exact rank ranges and exactly ``halo`` rows are copied.
   This costs a second full exchange (by ``(key, bucket)``) and sort.
 
-A bucket is never split, so one ``(key, bucket)`` must fit a task; pick
-``bucket_seconds`` accordingly (an hour is 20 readings at a 3-minute cadence).
+A bucket is never split. When a bucket holds more than ``chunk_rows`` rows
+(a burst on one key), the plan is rebuilt with finer buckets, down to one
+second, so only rows sharing one timestamp stay together.
 
 Averages over long frames default to ``method="prefix"``: a running sum and
 non-null count inside the chunk, minus the same values ``n + 1`` rows back.
@@ -58,7 +59,7 @@ DEFAULT_MA_FRAMES: dict[str, tuple[str, int]] = {
     "price_ma_15min": ("price_usd", 5),
 }
 
-_HELPERS = ("_kv", "_kn", "_tbv", "_rn", "_off", "_rank", "_own", "_chunk", "_to")
+_HELPERS = ("_kv", "_kn", "_tbv", "_n", "_rn", "_off", "_rank", "_own", "_chunk", "_to")
 
 
 def order_columns(df: DataFrame, ts_col: str = "collection_timestamp", tie_col: str = "seq") -> list[str]:
@@ -97,8 +98,9 @@ def bucket_plan(
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     halo: int = 480,
 ) -> DataFrame:
-    """One row per (key, bucket): its chunk ``_own`` and the chunks ``_to``
-    whose halo it must also feed. Computed from bucket counts only.
+    """One row per (key, bucket): its row count ``_n``, its chunk ``_own`` and
+    the chunks ``_to`` whose halo it must also feed. Computed from bucket
+    counts only.
 
     A bucket with rows at offsets ``[off, end)`` of its key belongs to chunk
     ``off div chunk_rows``; it feeds the halo of every later chunk starting
@@ -132,7 +134,7 @@ def bucket_plan(
     )
     reach = F.col("_off") + F.col("_n") + F.lit(halo)
     to = F.array_compact(F.array(F.when(F.col("_s1") < reach, F.col("_c1")), F.when(F.col("_s2") < reach, F.col("_c2"))))
-    return p.select(*_PARTS, "_own", (to if halo > 0 else F.array().cast("array<bigint>")).alias("_to"))
+    return p.select(*_PARTS, "_n", "_own", (to if halo > 0 else F.array().cast("array<bigint>")).alias("_to"))
 
 
 def _checked_plan(plan: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
@@ -145,6 +147,23 @@ def _checked_plan(plan: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     return saved, saved.count() <= max_rows
 
 
+def _adaptive_plan(
+    df: DataFrame, key: str, time_col: str, bucket_seconds: int, chunk_rows: int, halo: int, max_rows: int
+) -> tuple[DataFrame, bool, int]:
+    """A checked bucket plan whose buckets fit a chunk: while some bucket
+    holds more than ``chunk_rows`` rows (a burst on one key), the plan is
+    rebuilt with 60x finer buckets, down to one second. Returns the plan,
+    whether it may be broadcast, and the bucket width used."""
+    while True:
+        plan, small = _checked_plan(bucket_plan(df, key, time_col, bucket_seconds, chunk_rows, halo), max_rows)
+        if bucket_seconds <= 1 or not small:
+            return plan, small, bucket_seconds
+        biggest = plan.agg(F.max("_n")).first()[0] or 0
+        if biggest <= chunk_rows:
+            return plan, small, bucket_seconds
+        bucket_seconds = max(1, bucket_seconds // 60)
+
+
 def _rank_per_key(
     df: DataFrame, key: str, order: Sequence[str], time_col: str, bucket_seconds: int
 ) -> DataFrame:
@@ -204,14 +223,14 @@ def row_frames(
     original = df.columns
     plan = None
     if layout in ("auto", "buckets"):
-        plan, small = _checked_plan(
-            bucket_plan(df, key, time_col, bucket_seconds, chunk_rows, halo),
+        plan, small, bucket_seconds = _adaptive_plan(
+            df, key, time_col, bucket_seconds, chunk_rows, halo,
             max_broadcast_rows if layout == "auto" else 2**62,
         )
         if not small:
             plan = None
     if plan is not None:
-        rows = _with_surrogates(df, key, time_col, bucket_seconds).join(F.broadcast(plan), _PARTS)
+        rows = _with_surrogates(df, key, time_col, bucket_seconds).join(F.broadcast(plan.drop("_n")), _PARTS)
         spread = rows.withColumn("_chunk", F.explode(F.concat(F.array(F.col("_own")), F.col("_to"))))
         w = Window.partitionBy("_kv", "_kn", "_chunk").orderBy(*order)
     else:
@@ -348,8 +367,10 @@ def add_time_frame_average(
         F.lit(False).alias("_row"),
     )
     events = rows.unionByName(leave, allowMissingColumns=True)
-    plan, small = _checked_plan(bucket_plan(events, key, "_et", bucket_seconds, chunk_rows, 0), max_broadcast_rows)
-    plan = plan.drop("_to")
+    plan, small, bucket_seconds = _adaptive_plan(
+        events, key, "_et", bucket_seconds, chunk_rows, 0, max_broadcast_rows
+    )
+    plan = plan.drop("_to", "_n")
     # Broadcast only a plan of checked size; a larger one is joined with a
     # shuffle (one more exchange of the events).
     placed = _with_surrogates(events, key, "_et", bucket_seconds).join(
