@@ -77,14 +77,19 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared scratch root: the session's ``spark.checkpoint.dir``.
 
-    If the session has none (local runs), a fresh directory is created and
-    registered so that later ``DataFrame.checkpoint()`` calls work too.
+    Only a local session without one (tests, the bench) gets a fresh
+    temporary directory; on a cluster a machine-local folder would not be
+    shared with the executors, so an unset directory is an error there.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local"):
+                raise RuntimeError(
+                    "set spark.checkpoint.dir to a shared location (e.g. an object-store path) for this cluster"
+                )
             root = tempfile.mkdtemp(prefix="tickwatch-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
