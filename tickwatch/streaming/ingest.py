@@ -20,14 +20,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickwatch.operators import detect, flatten
 from tickwatch.operators.timecols import add_time_columns
 from tickwatch.operators.validity import filter_valid
 from tickwatch.plans import transform
-from tickwatch.schemas import ENVELOPE, TICK_COLUMNS
+from tickwatch.schemas import ENVELOPE, FLAT_TICKS, TICK_COLUMNS
 from tickwatch.sources import tables
 
+# The stored flat-ticks table (partitioned by date; explicit read schema).
+_TICKS_STORED = T.StructType(FLAT_TICKS.fields + [T.StructField("collection_date", T.DateType())])
+
 
 def stream_ticks(spark: SparkSession, raw_root: str, watermark: str = "1 hour", max_files: int | None = None) -> DataFrame:
     """ST1: a streaming DataFrame of flat ticks with ``event_time`` and time
@@ -66,6 +70,19 @@ def price_variation_sink(anomalies_path: str, **params):
     return run
 
 
+def _not_stored(batch: DataFrame, spark: SparkSession, path: str, dates: list, metrics: bool = False) -> DataFrame:
+    """Rows of ``batch`` whose ``(crypto_id, collection_timestamp)`` is not
+    yet in the table at ``path`` (only the batch's dates are read)."""
+    try:
+        table = tables.read_metrics(spark, path) if metrics else spark.read.schema(_TICKS_STORED).parquet(path)
+        stored = table.where(F.col("collection_date").isin(dates))
+    except Exception:  # noqa: BLE001 - no table yet
+        return batch
+    return batch.join(
+        stored.select("crypto_id", "collection_timestamp").distinct(), ["crypto_id", "collection_timestamp"], "left_anti"
+    )
+
+
 def rolling_metrics_sink(
     ticks_path: str,
     metrics_path: str,
@@ -76,6 +93,11 @@ def rolling_metrics_sink(
     """ST3: a ``foreachBatch`` function that stores the batch's flat ticks,
     computes W1-W3 with stored context, and writes metrics and anomalies.
 
+    Each of the three writes is idempotent (ticks and metrics skip
+    identities already stored for the batch's dates, anomalies go through
+    the deduplicating sink), so a micro-batch replayed after a failure at
+    any point leaves every table as one successful run would.
+
     ``context_days`` must cover the longest frame (481 readings is one day at
     the 3-minute cadence). Ticks that arrive later than the context of an
     already processed batch need a recompute of the affected dates
@@ -88,29 +110,27 @@ def rolling_metrics_sink(
         try:
             if batch.isEmpty():
                 return
-            lo = batch.agg(F.min("collection_date")).first()[0]
-            new_keys = batch.select("crypto_id", "collection_timestamp").distinct()
-            context = None
+            # Bounded by the number of days in the micro-batch.
+            dates = [r[0] for r in batch.select("collection_date").distinct().collect()]
+            lo = min(dates)
+            ids = batch.select("crypto_id", "collection_timestamp").distinct()
+            marked = batch.select(*TICK_COLUMNS).withColumn("_new", F.lit(True))
             try:
-                stored = spark.read.parquet(ticks_path).where(
+                stored = spark.read.schema(_TICKS_STORED).parquet(ticks_path).where(
                     F.col("collection_date") >= F.date_sub(F.lit(lo), context_days)
                 )
-                # Rows already stored for this batch's keys are a replay: skip them.
-                context = stored.select(*TICK_COLUMNS)
-                batch_new = batch.join(stored.select("crypto_id", "collection_timestamp"),
-                                       ["crypto_id", "collection_timestamp"], "left_anti")
-            except Exception:  # noqa: BLE001 - first batch: no stored ticks yet
-                batch_new = batch
-            write_ticks(batch_new, ticks_path)
-            marked = batch_new.select(*TICK_COLUMNS).withColumn("_new", F.lit(True))
-            if context is not None:
+                context = stored.select(*TICK_COLUMNS).join(ids, ["crypto_id", "collection_timestamp"], "left_anti")
                 marked = marked.unionByName(context.withColumn("_new", F.lit(False)))
+            except Exception:  # noqa: BLE001 - first batch: no stored ticks yet
+                pass
             metrics = transform.metrics(marked, chunk_rows=chunk_rows).where("_new").drop("_new")
-            metrics.hint("rebalance", *tables.METRIC_PARTITIONS).write.mode("append").partitionBy(
+            fresh = _not_stored(metrics, spark, metrics_path, dates, metrics=True)
+            fresh.hint("rebalance", *tables.METRIC_PARTITIONS).write.mode("append").partitionBy(
                 *tables.METRIC_PARTITIONS
             ).parquet(metrics_path)
+            write_ticks(_not_stored(batch, spark, ticks_path, dates), ticks_path)
             stored_metrics = tables.read_metrics(spark, metrics_path).join(
-                new_keys, ["crypto_id", "collection_timestamp"], "left_semi"
+                ids, ["crypto_id", "collection_timestamp"], "left_semi"
             )
             tables.save_anomalies(detect.detect_all(stored_metrics, sort=False), anomalies_path)
         finally:
