@@ -17,8 +17,19 @@ from pyspark.sql import functions as F
 from tickwatch.functions.columns import lenient_long, ratio
 from tickwatch.schemas import RUN_LOG
 
-# Report text.
+# Run-report text.
 NO_METRICS = "No metrics available yet."
+REPORT_RULE = "═" * 55
+REPORT_TITLE = "METRICS REPORT"
+REPORT_LINES = (
+    "Total Pipeline Runs:        %d",
+    "Successful Runs:             %d",
+    "Failed Runs:                 %d",
+    "Success Rate:                %d%%",
+    "Total Records Processed:     %d",
+    "Total Anomalies Detected:    %d",
+    "Anomaly Rate:                %s%%",
+)
 
 
 # --- A1 / A11 ---------------------------------------------------------------
@@ -158,18 +169,18 @@ def run_report(run_log: DataFrame) -> DataFrame:
 
 def run_report_text(report: DataFrame) -> DataFrame:
     """The report as one text column (or the empty-log note)."""
-    rule = "═" * 55
+    runs, ok, failed, rate, records, anomalies, anomaly_rate = REPORT_LINES
     lines = [
-        F.lit(""), F.lit(rule), F.lit("METRICS REPORT"), F.lit(rule), F.lit(""),
-        F.format_string("Total Pipeline Runs:        %d", "total_runs"),
-        F.format_string("Successful Runs:             %d", "successful_runs"),
-        F.format_string("Failed Runs:                 %d", "failed_runs"),
-        F.format_string("Success Rate:                %d%%", "success_rate_pct"),
+        F.lit(""), F.lit(REPORT_RULE), F.lit(REPORT_TITLE), F.lit(REPORT_RULE), F.lit(""),
+        F.format_string(runs, "total_runs"),
+        F.format_string(ok, "successful_runs"),
+        F.format_string(failed, "failed_runs"),
+        F.format_string(rate, "success_rate_pct"),
         F.lit(""),
-        F.format_string("Total Records Processed:     %d", "total_records"),
-        F.format_string("Total Anomalies Detected:    %d", "total_anomalies"),
-        F.format_string("Anomaly Rate:                %s%%", "anomaly_rate_pct"),
-        F.lit(""), F.lit(rule), F.lit(" " * 7),
+        F.format_string(records, "total_records"),
+        F.format_string(anomalies, "total_anomalies"),
+        F.format_string(anomaly_rate, "anomaly_rate_pct"),
+        F.lit(""), F.lit(REPORT_RULE), F.lit(" " * 7),
     ]
     return report.select(F.coalesce(F.col("note"), F.concat_ws("\n", *lines)).alias("report"))
 
