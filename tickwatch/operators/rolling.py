@@ -137,14 +137,16 @@ def bucket_plan(
     return p.select(*_PARTS, "_n", "_own", (to if halo > 0 else F.array().cast("array<bigint>")).alias("_to"))
 
 
-def _checked_plan(plan: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+def _checked_plan(plan: DataFrame, max_rows: int) -> tuple[DataFrame, bool, int]:
     """The plan cut from its lineage (reliable checkpoint in the session's
-    checkpoint directory) and whether it is small enough to broadcast."""
+    checkpoint directory), whether it is small enough to broadcast, and its
+    largest bucket (rows)."""
     from tickwatch.session import checkpoint_root
 
     checkpoint_root(plan.sparkSession)
     saved = plan.checkpoint(eager=True)
-    return saved, saved.count() <= max_rows
+    n, biggest = saved.agg(F.count(F.lit(1)), F.max("_n")).first()
+    return saved, n <= max_rows, int(biggest or 0)
 
 
 def _adaptive_plan(
@@ -155,11 +157,10 @@ def _adaptive_plan(
     rebuilt with 60x finer buckets, down to one second. Returns the plan,
     whether it may be broadcast, and the bucket width used."""
     while True:
-        plan, small = _checked_plan(bucket_plan(df, key, time_col, bucket_seconds, chunk_rows, halo), max_rows)
-        if bucket_seconds <= 1 or not small:
-            return plan, small, bucket_seconds
-        biggest = plan.agg(F.max("_n")).first()[0] or 0
-        if biggest <= chunk_rows:
+        plan, small, biggest = _checked_plan(
+            bucket_plan(df, key, time_col, bucket_seconds, chunk_rows, halo), max_rows
+        )
+        if bucket_seconds <= 1 or not small or biggest <= chunk_rows:
             return plan, small, bucket_seconds
         bucket_seconds = max(1, bucket_seconds // 60)
 
