@@ -127,3 +127,25 @@ def test_variation_rules_run_on_sf_tables(spark):
     d = detect.detect_pump_dump(valid, threshold=95.0, chunk_rows=None).count()
     assert c == d
     assert valid.where(F.col("price_usd") <= 0).count() == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(min_value=0.0, max_value=1e9, allow_nan=False), min_size=1, max_size=40))
+def test_volume_multiplier_bounded_by_frame_rows(spark, volumes):
+    """With non-negative volumes the multiplier cannot exceed the number of
+    rows in the frame, so there is no spike before row 3 at 2.5x."""
+    from tickwatch.plans import transform
+
+    rows = [tick(1000 + i * 180, "k", volume=v, seq=i) for i, v in enumerate(volumes)]
+    out = transform.with_averages(ticks_df(spark, rows, with_seq=True), chunk_rows=480).collect()
+    for r in out:
+        if r.volume_ma_24h:
+            assert r.volume_24h_usd / r.volume_ma_24h <= min(r.seq + 1, 481) * (1 + 1e-9)
+    spikes = detect.detect_volume_spikes(
+        transform.metrics(ticks_df(spark, rows, with_seq=True), chunk_rows=480)
+    ).collect()
+    assert all(s.detected_at >= 1000 + 2 * 180 for s in spikes)
