@@ -59,7 +59,13 @@ def ingestion_job(
         )
     env = flatten.build_envelopes(rows, expected_keys, failed_collections=failed)
     envelopes.land_envelopes(env, raw_root)
-    return reports.collection_summary(envelopes.read_envelopes(answers.sparkSession, raw_root))
+    # Read back only this batch: its time span prunes the hour directories.
+    lo, hi = answers.agg(F.min(ts_col), F.max(ts_col)).first()
+    if lo is None:
+        return reports.collection_summary(env.limit(0))
+    landed = envelopes.read_envelopes(answers.sparkSession, raw_root, where=envelopes.partition_range(lo, hi))
+    ts = F.col("metadata.collectionTimestamp")
+    return reports.collection_summary(landed.where((ts >= lo) & (ts <= hi)))
 
 
 def processing_job(
