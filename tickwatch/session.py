@@ -81,7 +81,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     temporary directory; on a cluster a machine-local folder would not be
     shared with the executors, so an unset directory is an error there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint directory
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir on the Spark Connect server") from None
+        return root
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)

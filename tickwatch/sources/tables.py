@@ -24,10 +24,12 @@ ANOMALY_KEY = ("crypto_id", "anomaly_type", "detected_at")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    """Whether a parquet table exists at ``path`` (a footer/listing probe)."""
+    try:
+        spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only
+        return True
+    except Exception:  # noqa: BLE001 - missing path or no files yet
+        return False
 
 
 # --- metrics ----------------------------------------------------------------
