@@ -718,3 +718,29 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
     ingest.start(ingest.stream_ticks(spark, raw, watermark="1 day"), sink, ck, available_now=True).awaitTermination()
     return spark.read.parquet(out).select(*ticks.columns)
+
+
+@register(
+    "ingestion_summary",
+    f"""WITH {TICKS_CTE}
+SELECT collection_timestamp,
+       CAST(5 AS INTEGER) AS total_expected,
+       CAST(count(*) AS INTEGER) AS success_count,
+       CAST(5 - count(*) AS INTEGER) AS failure_count,
+       CAST(count(*) AS INTEGER) AS rows_landed,
+       CAST(5 - count(DISTINCT crypto_id) AS INTEGER) AS n_errors
+FROM ticks WHERE price_usd IS NOT NULL GROUP BY collection_timestamp""",
+)
+def q_ingestion_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The ingestion job end to end: API answers built from the events table
+    (one per tick) are decoded strictly (an answer with a missing price is
+    dropped whole), turned into rows, grouped into envelopes, landed under
+    the hourly layout, read back, and summarised per envelope."""
+    from tickwatch.plans import jobs
+
+    answers = price_answer.encode(testdata.ticks(spark, sf)).select("collection_timestamp", "body")
+    summary = jobs.ingestion_job(answers, scratch_path(spark, "raw"), expected_keys=testdata.EVENT_KEYS)
+    return summary.select(
+        "collection_timestamp", "total_expected", "success_count", "failure_count", "rows_landed",
+        F.size("errors").alias("n_errors"),
+    )
