@@ -66,33 +66,48 @@ ticks AS (
   FROM events
 )"""
 
-AVERAGED_CTE = (
-    TICKS_CTE
-    + """,
+SEQ_ORDER = "collection_timestamp, seq"
+# Without a tie-breaker column the pipeline orders equal timestamps by the
+# remaining columns, ascending with nulls first (see rolling.order_columns).
+ROW_ORDER = ", ".join(
+    f"{c} NULLS FIRST"
+    for c in ("collection_timestamp", "crypto_id", "price_usd", "price_brl", "volume_24h_usd",
+              "change_24h_pct", "last_updated_at", "collected_at")
+)
+
+
+def averaged_cte(order: str = SEQ_ORDER) -> str:
+    frame = f"OVER (PARTITION BY crypto_id ORDER BY {order} ROWS BETWEEN {{n}} PRECEDING AND CURRENT ROW)"
+    return (
+        TICKS_CTE
+        + f""",
 averaged AS (
   SELECT *,
          strftime(make_timestamp(collection_timestamp * 1000000), '%Y-%m-%d %H:%M:%S') AS collection_datetime,
          CAST(make_timestamp(collection_timestamp * 1000000) AS DATE) AS collection_date,
          CAST(hour(make_timestamp(collection_timestamp * 1000000)) AS INTEGER) AS collection_hour,
          CAST(minute(make_timestamp(collection_timestamp * 1000000)) AS INTEGER) AS collection_minute,
-         avg(price_usd) OVER (PARTITION BY crypto_id ORDER BY collection_timestamp, seq
-                              ROWS BETWEEN 480 PRECEDING AND CURRENT ROW) AS price_ma_24h,
-         avg(volume_24h_usd) OVER (PARTITION BY crypto_id ORDER BY collection_timestamp, seq
-                                   ROWS BETWEEN 480 PRECEDING AND CURRENT ROW) AS volume_ma_24h,
-         avg(price_usd) OVER (PARTITION BY crypto_id ORDER BY collection_timestamp, seq
-                              ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS price_ma_15min
+         avg(price_usd) {frame.format(n=480)} AS price_ma_24h,
+         avg(volume_24h_usd) {frame.format(n=480)} AS volume_ma_24h,
+         avg(price_usd) {frame.format(n=5)} AS price_ma_15min
   FROM ticks
 )"""
-)
+    )
 
-METRICS_CTE = (
-    AVERAGED_CTE
-    + """,
+
+def metrics_cte(order: str = SEQ_ORDER) -> str:
+    return (
+        averaged_cte(order)
+        + """,
 metrics AS (
   SELECT * FROM averaged
   WHERE price_usd > 0 AND volume_24h_usd > 0 AND crypto_id IS NOT NULL
 )"""
-)
+    )
+
+
+AVERAGED_CTE = averaged_cte()
+METRICS_CTE = metrics_cte()
 
 VOLUME_SPIKES_SQL = """
   SELECT crypto_id, 'volume_spike' AS anomaly_type,
@@ -118,15 +133,19 @@ PRICE_VARIATIONS_SQL = """
   FROM metrics
   WHERE abs(change_24h_pct) > 5.0"""
 
-ANOMALIES_CTE = (
-    METRICS_CTE
-    + f""",
+def anomalies_cte(order: str = SEQ_ORDER) -> str:
+    return (
+        metrics_cte(order)
+        + f""",
 anomalies AS (
 {VOLUME_SPIKES_SQL}
   UNION ALL
 {PRICE_VARIATIONS_SQL}
 )"""
-)
+    )
+
+
+ANOMALIES_CTE = anomalies_cte()
 
 MA_COLS = ("price_ma_24h", "volume_ma_24h", "price_ma_15min")
 _R = "round({0} + 1e-9, 6) AS {0}"
@@ -744,3 +763,28 @@ def q_ingestion_summary(spark: SparkSession, sf: str) -> DataFrame:
         "collection_timestamp", "total_expected", "success_count", "failure_count", "rows_landed",
         F.size("errors").alias("n_errors"),
     )
+
+
+@register(
+    "processing_job_anomalies",
+    f"""WITH {anomalies_cte(ROW_ORDER)}
+SELECT * REPLACE ({_sql_round('reference_value', 'variation_pct')}),
+       CAST(make_timestamp(detected_at * 1000000) AS DATE) AS detection_date
+FROM anomalies""",
+)
+def q_processing_job_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    """The processing job end to end over envelopes landed from the events
+    table: scan, flatten, metrics written and read back, detection, the
+    idempotent anomaly sink (run twice), alert delivery and the run log.
+    Landing drops the tie-breaker column, so equal timestamps are ordered by
+    the row's other columns, on both sides."""
+    from tickwatch.plans import jobs
+
+    raw, metrics_path, anomalies_path, runs = (
+        scratch_path(spark, x) for x in ("raw", "metrics", "anomalies", "runs")
+    )
+    ticks = _flatten.ticks_only(testdata.ticks(spark, sf)).drop("seq")
+    _envelopes.land_envelopes(_flatten.build_envelopes(ticks, testdata.EVENT_KEYS), raw)
+    for _ in range(2):
+        jobs.processing_job(spark, raw, metrics_path, anomalies_path, runs, keys_configured=len(testdata.EVENT_KEYS))
+    return rounded(_tables.read_anomalies(spark, anomalies_path), "reference_value", "variation_pct")

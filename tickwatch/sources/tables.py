@@ -24,7 +24,14 @@ ANOMALY_KEY = ("crypto_id", "anomaly_type", "detected_at")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a parquet table exists at ``path`` (a footer/listing probe)."""
+    """Whether a parquet table exists at ``path``: a plain check for local
+    paths, a listing probe through Spark for other file systems."""
+    if "://" not in path or path.startswith("file:"):
+        import os
+
+        from tickwatch.session import local_path
+
+        return os.path.exists(local_path(path))
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only
         return True
