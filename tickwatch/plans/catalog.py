@@ -788,3 +788,19 @@ def q_processing_job_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     for _ in range(2):
         jobs.processing_job(spark, raw, metrics_path, anomalies_path, runs, keys_configured=len(testdata.EVENT_KEYS))
     return rounded(_tables.read_anomalies(spark, anomalies_path), "reference_value", "variation_pct")
+
+
+@register(
+    "alerting_job_tally",
+    f"""WITH {ANOMALIES_CTE}
+SELECT count(*) AS succeeded, CAST(0 AS BIGINT) AS failed FROM anomalies
+WHERE CAST(make_timestamp(detected_at * 1000000) AS DATE) = DATE '{ONE_DAY}'""",
+)
+def q_alerting_job_tally(spark: SparkSession, sf: str) -> DataFrame:
+    """The alerting job: one detection date read back from the anomaly table
+    (partition pruned), alert text, delivery in the executors, tally."""
+    from tickwatch.plans import jobs
+
+    path = scratch_path(spark, "anomalies")
+    _tables.save_anomalies(_anomalies(spark, sf), path)
+    return jobs.alerting_job(spark, path, ONE_DAY)
