@@ -17,9 +17,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwatch.operators import alerts as _alerts
 from tickwatch.operators import detect
-from tickwatch.plans import transform
-from tickwatch.sources import testdata
+from tickwatch.operators import flatten as _flatten
+from tickwatch.operators.rolling import add_time_frame_average
+from tickwatch.operators.timecols import landing_key
+from tickwatch.operators.validity import filter_valid
+from tickwatch.plans import reports, transform
+from tickwatch.session import scratch_path
+from tickwatch.sources import envelopes as _envelopes
+from tickwatch.sources import price_answer, testdata
+from tickwatch.sources import run_log as _run_log
+from tickwatch.sources import tables as _tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -241,10 +250,6 @@ def q_all_anomalies(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Envelopes and ingestion: P2, P3, P5, P6, A8, P4, J1, S2, P1, P9.
 
-from tickwatch.operators import flatten as _flatten  # noqa: E402
-from tickwatch.operators.timecols import landing_key  # noqa: E402
-from tickwatch.plans import reports  # noqa: E402
-from tickwatch.sources import price_answer  # noqa: E402
 
 TICK_COLS = (
     "collection_timestamp, crypto_id, price_usd, price_brl, volume_24h_usd, "
@@ -354,8 +359,6 @@ def q_partition_cols(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Documented rules: W4/D6, W5/D7, D8, W6, P12.
 
-from tickwatch.operators.rolling import add_time_frame_average  # noqa: E402
-from tickwatch.operators.validity import filter_valid  # noqa: E402
 
 VALID_CTE = (
     TICKS_CTE
@@ -582,7 +585,6 @@ def q_retained(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Alerts: P10, P11a, P11b, S10, A9.
 
-from tickwatch.operators import alerts as _alerts  # noqa: E402
 
 _RULE_SQL = "'" + _alerts.RULE + "'"
 
@@ -652,10 +654,6 @@ def q_delivery_tally(spark: SparkSession, sf: str) -> DataFrame:
 # the session's checkpoint directory (shared storage on a cluster) and
 # returns a DataFrame over what was written.
 
-from tickwatch.session import scratch_path  # noqa: E402
-from tickwatch.sources import envelopes as _envelopes  # noqa: E402
-from tickwatch.sources import run_log as _run_log  # noqa: E402
-from tickwatch.sources import tables as _tables  # noqa: E402
 
 STORED_ANOMALIES_SQL = f"""WITH {ANOMALIES_CTE}
 SELECT * REPLACE ({_sql_round('reference_value', 'variation_pct')}),
