@@ -149,3 +149,17 @@ def test_volume_multiplier_bounded_by_frame_rows(spark, volumes):
         transform.metrics(ticks_df(spark, rows, with_seq=True), chunk_rows=480)
     ).collect()
     assert all(s.detected_at >= 1000 + 2 * 180 for s in spikes)
+
+
+def test_min_history(spark):
+    from tickwatch.plans import transform
+
+    vols = [1.0, 100.0, 1.0, 1.0, 1.0, 1.0, 60.0]
+    rows = [tick(100 + i * 180, "k", volume=v, seq=i) for i, v in enumerate(vols)]
+    m = transform.metrics(ticks_df(spark, rows, with_seq=True), with_counts=True, chunk_rows=480)
+    assert "volume_ma_24h_n" in m.columns and "price_ma_15min_n" in m.columns
+    # row 2: 100 / 50.5 = 1.98 (bounded by its 2-row frame); row 7: 60 / (165 / 7) = 2.55 with 7 readings
+    spikes = lambda h: sorted(r.detected_at for r in detect.detect_volume_spikes(m, min_history=h).collect())
+    assert spikes(1) == [100 + 6 * 180]
+    assert spikes(7) == [100 + 6 * 180]
+    assert spikes(8) == []

@@ -39,12 +39,23 @@ def _record(**cols: Column) -> Column:
 
 
 def volume_spike_rule(
-    threshold: float = 2.5, high: float = 5.0, medium: float = 3.5, ma_col: str = "volume_ma_24h"
+    threshold: float = 2.5,
+    high: float = 5.0,
+    medium: float = 3.5,
+    ma_col: str = "volume_ma_24h",
+    min_history: int = 1,
 ) -> tuple[Column, Column]:
-    """D1 + D3a + D4a as ``(condition, record)`` over a metrics row."""
+    """D1 + D3a + D4a as ``(condition, record)`` over a metrics row.
+
+    ``min_history > 1`` also requires that many readings in the average's
+    frame (column ``<ma_col>_n``, from ``metrics(..., with_counts=True)``);
+    the default 1 keeps the collector's behaviour, where the first row's
+    average is the row itself."""
     ma = F.col(ma_col)
     mult = ratio("volume_24h_usd", ma_col)
     cond = ma.isNotNull() & (ma > 0) & (mult > threshold)
+    if min_history > 1:
+        cond = cond & (F.col(f"{ma_col}_n") >= min_history)
     rec = _record(
         crypto_id=F.col("crypto_id"),
         anomaly_type=F.lit(VOLUME_SPIKE),
@@ -85,11 +96,12 @@ def detect_volume_spikes(
     high: float = 5.0,
     medium: float = 3.5,
     ma_col: str = "volume_ma_24h",
+    min_history: int = 1,
 ) -> DataFrame:
     """``volume / volume_ma > threshold`` where the MA is positive.
     ``current_price`` carries the volume, ``reference_value`` the MA and
     ``variation_pct`` the multiplier (column contract of the table)."""
-    return _apply(metrics, volume_spike_rule(threshold, high, medium, ma_col))
+    return _apply(metrics, volume_spike_rule(threshold, high, medium, ma_col, min_history))
 
 
 def detect_price_variations(

@@ -254,12 +254,18 @@ def row_frames(
     return out.select(*original, *added)
 
 
-def moving_average_stages(frames: Mapping[str, tuple[str, int]], method: str = "prefix") -> list[Stage]:
-    """Stages that add ``avg(src)`` over ``rowsBetween(-n, 0)`` for each frame."""
+def moving_average_stages(
+    frames: Mapping[str, tuple[str, int]], method: str = "prefix", with_counts: bool = False
+) -> list[Stage]:
+    """Stages that add ``avg(src)`` over ``rowsBetween(-n, 0)`` for each frame
+    (and, with ``with_counts``, ``<name>_n``: the non-null readings in it)."""
     if method == "sliding":
 
         def sliding(w: WindowSpec) -> dict[str, Column]:
-            return {name: F.avg(src).over(w.rowsBetween(-n, 0)) for name, (src, n) in frames.items()}
+            cols = {name: F.avg(src).over(w.rowsBetween(-n, 0)) for name, (src, n) in frames.items()}
+            if with_counts:
+                cols.update({f"{name}_n": F.count(src).over(w.rowsBetween(-n, 0)) for name, (src, n) in frames.items()})
+            return cols
 
         return [sliding]
     if method != "prefix":
@@ -284,6 +290,8 @@ def moving_average_stages(frames: Mapping[str, tuple[str, int]], method: str = "
             c_back = F.lag(c, n + 1, 0).over(w)
             count = c - c_back
             cols[name] = F.when(count > 0, ratio(s - s_back, count))
+            if with_counts:
+                cols[f"{name}_n"] = count
         return cols
 
     return [running, differenced]
@@ -298,8 +306,10 @@ def add_moving_averages(
     order: Sequence[str] | None = None,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     layout: str = "auto",
+    with_counts: bool = False,
 ) -> DataFrame:
     """Per-key moving averages over row frames (defaults: 481 and 6 rows).
+    ``with_counts`` also adds ``<name>_n``, the non-null readings per frame.
 
     All frames share one partitioning and ordering, so the plan has a single
     window exchange and sort for them.
@@ -308,7 +318,7 @@ def add_moving_averages(
     halo = max(n for _, n in frames.values())
     out = row_frames(
         df,
-        moving_average_stages(frames, method),
+        moving_average_stages(frames, method, with_counts),
         key=key,
         order=order,
         halo=halo,
