@@ -221,3 +221,29 @@ def test_daily_outputs(spark, tmp_dir):
     jobs.daily_outputs(m, detect.detect_all(m, sort=False), tmp_dir)
     for name in ("anomalies", "aggregated_metrics"):
         assert os.path.isdir(os.path.join(tmp_dir, name, "year=2026", "month=02", "day=08"))
+
+
+def test_command_line_jobs(spark, tmp_dir, capsys):
+    import json
+
+    from tickwatch.__main__ import main
+
+    answers = os.path.join(tmp_dir, "answers.json")
+    with open(answers, "w") as f:
+        for i in range(30):
+            body = {"bitcoin": {"usd": 100.0 + i, "brl": 500.0, "usd_24h_vol": 10.0 if i != 20 else 90.0,
+                                "usd_24h_change": 6.0 if i == 25 else 0.0, "last_updated_at": 1704067100 + i * 180}}
+            f.write(json.dumps({"collection_timestamp": 1704067200 + i * 180, "body": json.dumps(body)}) + "\n")
+        f.write(json.dumps({"collection_timestamp": 1704067200 + 31 * 180, "error": "HTTP 500"}) + "\n")
+    raw, mp, ap, lp = (os.path.join(tmp_dir, x) for x in ("raw", "metrics", "anomalies", "runs"))
+    assert main(["ingest", "--answers", answers, "--raw", raw]) == 0
+    assert main(["process", "--raw", raw, "--metrics", mp, "--anomalies", ap, "--runs", lp]) == 0
+    out = capsys.readouterr().out
+    res = json.loads(out.strip().splitlines()[-1])
+    assert res["records"] == 30 and res["anomalies"] == 2 and res["success"]
+    assert main(["alert", "--anomalies", ap, "--date", "2024-01-01"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"succeeded": 2, "failed": 0}
+    assert main(["monitor", "--metrics", mp, "--anomalies", ap, "--runs", lp]) == 0
+    assert "--- run_report" in capsys.readouterr().out
+    assert main(["expire", "--raw", raw, "--as-of", "2024-03-01", "--days", "30"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"expired_days": ["2024-01-01"]}
