@@ -99,10 +99,22 @@ def outbox_send(key: str, subject_text: str, message: str) -> str:
     return "outbox-" + hashlib.sha1(key.encode("utf-8")).hexdigest()[:16]
 
 
+def _pickle_package_by_value() -> None:
+    """Ship this package's code inside the serialized task function, so the
+    executors' Python workers need not have ``tickwatch`` installed or on
+    their path (functions of importable modules are otherwise pickled by
+    reference)."""
+    import tickwatch
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(tickwatch)
+
+
 def deliver(alerts_text: DataFrame, send: Send = outbox_send) -> DataFrame:
     """Call ``send(alert_key, subject, message)`` for every alert inside
     the executors; one failure never stops the rest. Returns one row per
     alert: ``alert_key, ok, message_id, error``."""
+    _pickle_package_by_value()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
