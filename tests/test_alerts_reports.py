@@ -247,3 +247,27 @@ def test_command_line_jobs(spark, tmp_dir, capsys):
     assert "--- run_report" in capsys.readouterr().out
     assert main(["expire", "--raw", raw, "--as-of", "2024-03-01", "--days", "30"]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"expired_days": ["2024-01-01"]}
+
+
+def test_delivery_runs_where_the_package_is_not_on_the_workers_path(tmp_dir):
+    """Started from another directory, executors cannot import the package;
+    delivery must still work (the task function carries the code)."""
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+from tickwatch.operators import alerts
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+df = spark.createDataFrame([("k", "volume_spike", "low", 1, 1.0, 2.0, "d")],
+    "crypto_id string, anomaly_type string, severity string, detected_at long, current_price double, "
+    "variation_pct double, description string")
+t = alerts.tally(alerts.deliver(alerts.with_text(df))).first()
+print("TALLY", t.succeeded, t.failed)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, env=env, capture_output=True, text=True,
+                         timeout=600)
+    assert "TALLY 1 0" in out.stdout, out.stderr[-2000:]
