@@ -9,8 +9,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickwatch.llm import token_counts, unigram
+from tickwatch.llm import mixing, secret_scan, token_counts, unigram
 
 #: Folder of the public tokenizer files; a parameter of the deployment.
 TOKENIZERS = "/opt/tokenizers"
@@ -41,6 +42,58 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.encoded_and_decoded(docs, model_path())
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op5_sentencepiece)}
-
-ORACLE_SQL: dict[str, str] = {}
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a 150% mix with weights 5, 2, 1 takes of every document."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 4).alias("target"), "taken")
+
+
+#: Words of a text in DuckDB, as an array.
+SQL_WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+
+OP8_SQL = f"""
+WITH sized AS (
+  SELECT doc_id, source, len({SQL_WORDS}) AS size,
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS key
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5.0, 2.0, 1.0][1 + ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)]::DOUBLE AS w
+  FROM sized GROUP BY source),
+leveled AS (
+  SELECT *, row_number() OVER by_cap AS pos, 2.0::DOUBLE * source_size AS most,
+         (1.5::DOUBLE * sum(source_size) OVER ()
+          - coalesce(sum(2.0::DOUBLE * source_size) OVER (by_cap ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(w) OVER (by_cap ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources WINDOW by_cap AS (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST)),
+aims AS (
+  SELECT source, source_size,
+         least(most, w * (SELECT arg_min(level, pos) FROM leveled WHERE level * w <= most)) AS target
+  FROM leveled),
+placed AS (
+  SELECT doc_id, size, source_size, coalesce(target, 2.0 * source_size) AS target,
+         floor(coalesce(target, 2.0 * source_size) + 0.5)::BIGINT AS budget,
+         coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY key, doc_id, size
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sized s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source)
+SELECT doc_id, size::BIGINT AS size, source_size, round(target, 4) AS target,
+       (CASE WHEN source_size > 0 THEN (budget // source_size) * size
+              + greatest(0, least(size, budget % source_size - before)) ELSE 0 END)::BIGINT AS taken
+FROM placed"""
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text: base findings, and credential parts that co-occur."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, secret_scan.BASE_KINDS),
+        F.sha2(secret_scan.spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.spans_text(secret_scan.in_order(F.concat("base", "linked"))).alias("spans"),
+        F.size("linked").cast("long").alias("n_linked"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op5_sentencepiece, op8_mixing, op10_secret_scan)}
+
+ORACLE_SQL: dict[str, str] = {"op8_mixing": OP8_SQL}
