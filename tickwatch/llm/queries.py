@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import mixing, secret_scan, token_counts, unigram
+from tickwatch.llm import mixing, quality, secret_scan, token_counts, unigram
 
 #: Folder of the public tokenizer files; a parameter of the deployment.
 TOKENIZERS = "/opt/tokenizers"
@@ -36,6 +36,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.selectExpr("doc_id", "n_bytes", "n_tokens", "n_tokens > 4096 AS over_limit")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures of every text, and the verdict of the combined rules."""
+    return quality.quality_table(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "votes", "posterior")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram pieces of every text, and whether they decode to it again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -49,7 +56,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Words of a text in DuckDB, as an array.
-SQL_WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+SQL_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 OP8_SQL = f"""
 WITH sized AS (
@@ -94,6 +101,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op5_sentencepiece, op8_mixing, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_sentencepiece, op8_mixing, op10_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op8_mixing": OP8_SQL}
