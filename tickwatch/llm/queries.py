@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import mixing, quality, secret_scan, token_counts, unigram
+from tickwatch.llm import mixing, quality, secret_scan, simhash, token_counts, unigram
 
 #: Folder of the public tokenizer files; a parameter of the deployment.
 TOKENIZERS = "/opt/tokenizers"
@@ -30,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every text and its edited text, their likenesses, and near fingerprints of the query rows."""
+    return simhash.fingerprint_table(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text under the 32k byte-pair model."""
     out = token_counts.token_counts(table(spark, sf_dir, "documents"), model_path())
@@ -101,6 +106,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_rules, op5_sentencepiece, op8_mixing, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op4_quality_rules, op5_sentencepiece, op8_mixing, op10_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op8_mixing": OP8_SQL}
