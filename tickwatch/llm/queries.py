@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import mixing, quality, secret_scan, simhash, token_counts, unigram
+from tickwatch.llm import mixing, neardup, quality, secret_scan, simhash, token_counts, unigram
 
 #: Folder of the public tokenizer files; a parameter of the deployment.
 TOKENIZERS = "/opt/tokenizers"
@@ -54,6 +54,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.encoded_and_decoded(docs, model_path())
 
 
+def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies: 4-word shingle sets with a similarity of 0.8 or more, connected."""
+    return neardup.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a 150% mix with weights 5, 2, 1 takes of every document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -106,6 +111,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op4_quality_rules, op5_sentencepiece, op8_mixing, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op4_quality_rules, op5_sentencepiece, op7_minhash_neardup, op8_mixing, op10_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op8_mixing": OP8_SQL}
