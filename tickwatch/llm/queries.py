@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import mixing, neardup, quality, secret_scan, simhash, token_counts, unigram
+from tickwatch.llm import mixing, neardup, quality, secret_scan, simhash, token_counts, toxicity, unigram
 
 #: Folder of the public tokenizer files; a parameter of the deployment.
 TOKENIZERS = "/opt/tokenizers"
@@ -99,6 +99,11 @@ SELECT doc_id, size::BIGINT AS size, source_size, round(target, 4) AS target,
 FROM placed"""
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text by its nearest labelled examples."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text: base findings, and credential parts that co-occur."""
     found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -111,6 +116,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op4_quality_rules, op5_sentencepiece, op7_minhash_neardup, op8_mixing, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op4_quality_rules, op5_sentencepiece, op7_minhash_neardup, op8_mixing, op9_toxicity, op10_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op8_mixing": OP8_SQL}
