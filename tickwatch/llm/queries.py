@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import mixing, neardup, quality, secret_scan, simhash, token_counts, toxicity, unigram
+from tickwatch.llm import mixing, neardup, quality, secret_scan, simhash, token_counts, toxicity, unigram, warc
 
 #: Folder of the public tokenizer files; a parameter of the deployment.
 TOKENIZERS = "/opt/tokenizers"
@@ -54,6 +54,26 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.encoded_and_decoded(docs, model_path())
 
 
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to WARC, deduplicated by revisit records and read back."""
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+#: SHA-1 in base32: ten hexadecimal digits hold eight groups of five bits.
+OP6_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS hex FROM p),
+e AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((('0x' || substr(hex, (1 + 10 * (i // 8))::INT, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31), 1)), '')
+      AS payload_digest FROM d),
+f AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS original FROM e)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM f"""
+
+
 def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near copies: 4-word shingle sets with a similarity of 0.8 or more, connected."""
     return neardup.near_groups(table(spark, sf_dir, "documents"))
@@ -116,6 +136,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op4_quality_rules, op5_sentencepiece, op7_minhash_neardup, op8_mixing, op9_toxicity, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op4_quality_rules, op5_sentencepiece, op6_warc_revisits, op7_minhash_neardup, op8_mixing, op9_toxicity, op10_secret_scan)}
 
-ORACLE_SQL: dict[str, str] = {"op8_mixing": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_warc_revisits": OP6_SQL, "op8_mixing": OP8_SQL}
