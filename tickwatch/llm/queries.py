@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import mixing, neardup, quality, secret_scan, simhash, token_counts, toxicity, unigram, warc
+from tickwatch.llm import mixing, neardup, pii, quality, secret_scan, simhash, token_counts, toxicity, unigram, warc
 
 #: Folder of the public tokenizer files; a parameter of the deployment.
 TOKENIZERS = "/opt/tokenizers"
@@ -41,6 +41,15 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.selectExpr("doc_id", "n_bytes", "n_tokens", "n_tokens > 4096 AS over_limit")
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: base findings, and spans the boosted trees add."""
+    rows = pii.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return rows.select(
+        "doc_id", *map(count, pii.BASE), F.sha2(pii.spans_text("base").cast("binary"), 256).alias("base_sha256"),
+        pii.spans_text("spans").alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_added"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures of every text, and the verdict of the combined rules."""
     return quality.quality_table(table(spark, sf_dir, "documents")).select(
@@ -136,6 +145,6 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op4_quality_rules, op5_sentencepiece, op6_warc_revisits, op7_minhash_neardup, op8_mixing, op9_toxicity, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_personal_data, op4_quality_rules, op5_sentencepiece, op6_warc_revisits, op7_minhash_neardup, op8_mixing, op9_toxicity, op10_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op6_warc_revisits": OP6_SQL, "op8_mixing": OP8_SQL}
