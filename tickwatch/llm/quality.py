@@ -196,4 +196,6 @@ def kept_documents(df: DataFrame, text_col: str = "text") -> DataFrame:
     model = fit_on(with_votes(measures(df.select(F.col(f"`{text_col}`").alias("text")))))
     own = fresh_name(df, "quality_row")
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(own), F.col(f"`{text_col}`").alias("text"))
-    return decide(with_votes(measures(rows).drop("text")), model).where("kept").select(f"{own}.*")
+    # A filter is not pushed below a row number; pushed into the measures it would compute them many times over.
+    judged = decide(with_votes(measures(rows).drop("text")), model).select(own, "kept", F.monotonically_increasing_id().alias("at"))
+    return judged.where("kept AND at >= 0").select(f"{own}.*")
