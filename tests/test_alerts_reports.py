@@ -92,11 +92,11 @@ def test_window_aggregates(spark):
 
 
 def test_collection_summary_and_rollup(spark):
-    env = flatten.build_envelopes(ticks_df(spark, [tick(100, "bitcoin"), tick(100, "ethereum"), tick(200, "bitcoin")]))
+    env = flatten.envelopes_from_ticks(ticks_df(spark, [tick(100, "bitcoin"), tick(150, "ethereum"), tick(200, "bitcoin")]))
     s = {r.collection_timestamp: r for r in reports.collection_summary(env).collect()}
-    assert (s[100].success_count, s[100].failure_count, len(s[100].errors)) == (2, 3, 3)
+    assert (s[100].success_count, s[100].failure_count, len(s[100].errors)) == (1, 4, 4)
     roll = reports.collection_rollup(env).first()
-    assert (roll.collections, roll.collected, roll.rows_landed) == (2, 3, 3)
+    assert (roll.collections, roll.collected, roll.rows_landed) == (3, 3, 3)
 
 
 def test_observe_and_is_empty(spark):
@@ -112,7 +112,7 @@ def test_processing_alerting_monitoring_jobs(spark, tmp_dir):
     for i in range(30):
         rows.append(tick(1704067200 + i * 180, "bitcoin", price=100.0 + i, volume=10.0 if i != 20 else 100.0,
                          change=6.0 if i == 25 else 0.0))
-    envelopes.land_envelopes(flatten.build_envelopes(ticks_df(spark, rows)), raw)
+    envelopes.land_envelopes(flatten.envelopes_from_ticks(ticks_df(spark, rows)), raw)
     mp, ap, lp = (os.path.join(tmp_dir, x) for x in ("metrics", "anomalies", "runlog"))
     sent = []
 
@@ -166,7 +166,7 @@ def test_incremental_job_matches_full_recompute(spark, tmp_dir):
     t0 = 1704067200
     rows = [tick(t0 + i * 180, k, price=50.0 + (i % 9), volume=10.0 if i % 40 else 80.0, change=6.0 if i % 33 == 0 else 0.0)
             for i in range(600) for k in ("bitcoin", "solana")]
-    envelopes.land_envelopes(flatten.build_envelopes(ticks_df(spark, rows)), raw)
+    envelopes.land_envelopes(flatten.envelopes_from_ticks(ticks_df(spark, rows)), raw)
     tp, mp, ap = (os.path.join(tmp_dir, x) for x in ("ticks", "metrics", "anoms"))
     cut = t0 + 400 * 180 - (t0 + 400 * 180) % 3600  # an hour boundary
     jobs.incremental_job(spark, raw, t0, cut - 1, tp, mp, ap)
@@ -183,7 +183,7 @@ def test_expire_raw_days(spark, tmp_dir):
 
     raw = os.path.join(tmp_dir, "raw")
     rows = [tick(1704067200, "bitcoin"), tick(1706745600, "bitcoin")]  # 2024-01-01, 2024-02-01
-    envelopes.land_envelopes(flatten.build_envelopes(ticks_df(spark, rows)), raw)
+    envelopes.land_envelopes(flatten.envelopes_from_ticks(ticks_df(spark, rows)), raw)
     assert envelopes.expire_raw(spark, raw, dt.date(2024, 2, 10), 30) == ["2024-01-01"]
     left = flatten.explode_and_flatten(envelopes.read_envelopes(spark, raw)).collect()
     assert [r.collection_timestamp for r in left] == [1706745600]

@@ -56,23 +56,40 @@ def test_missing_and_extra_keys_and_counts(spark):
     assert miss == [(100, "Missing data for crypto: cardano"), (100, "Missing data for crypto: ethereum")]
 
 
-def test_envelopes_metadata_and_failed_fetch(spark):
-    keys = ("bitcoin", "ethereum")
-    df = ticks_df(spark, [tick(100, "bitcoin")])
-    failed = spark.createDataFrame([(200, "HTTP 429")], "collection_timestamp long, error string")
-    env = {r.metadata.collectionTimestamp: r for r in flatten.build_envelopes(df, keys, failed_collections=failed).collect()}
-    m = env[100].metadata
-    assert (m.totalCryptos, m.successCount, m.failureCount, m.errors) == (2, 1, 1, ["Missing data for crypto: ethereum"])
-    m = env[200].metadata
-    assert (m.successCount, m.failureCount, m.errors, env[200].data) == (0, 2, ["HTTP 429"], [])
+def _answers(spark, rows):
+    from tickwatch.sources import price_answer
+
+    return price_answer.decode(spark.createDataFrame(rows, "collection_timestamp long, body string"))
+
 
+QUOTE = '{"usd": 1.0, "brl": 5.0, "usd_24h_vol": 9.0, "usd_24h_change": 0.5, "last_updated_at": 40}'
 
-def test_hot_collection_is_split_into_bounded_envelopes(spark):
-    rows = [tick(100, f"k{i}") for i in range(50)] + [tick(200, "bitcoin")]
-    env = flatten.build_envelopes(ticks_df(spark, rows), max_rows_per_envelope=10)
-    sizes = sorted(len(r.data) for r in env.collect())
-    assert sum(sizes) == 51 and max(sizes) <= 25 and len(sizes) >= 4
-    assert flatten.explode_and_flatten(env).count() == 51
+
+def test_every_answer_gives_one_envelope(spark):
+    from tickwatch.sources import price_answer
+
+    keys = ("bitcoin", "ethereum")
+    rows = [(100, f'{{"bitcoin": {QUOTE}}}'), (100, f'{{"ethereum": {QUOTE}}}'), (200, '{"bitcoin": {"usd": 1.0}}'),
+            (300, '{"bitcoin": '), (400, "{}"), (500, None), (None, f'{{"bitcoin": {QUOTE}, "extra": {QUOTE}}}')]
+    env = flatten.envelopes_from_answers(_answers(spark, rows), expected_keys=keys, error=price_answer.decode_error())
+    got = [(r.metadata.collectionTimestamp, r.metadata.successCount, r.metadata.failureCount, tuple(r.metadata.errors), len(r.data))
+           for r in env.collect()]
+    missing = "Missing data for crypto: "
+    assert sorted(got, key=repr) == sorted([
+        (100, 1, 1, (missing + "ethereum",), 1), (100, 1, 1, (missing + "bitcoin",), 1),
+        (200, 0, 2, (price_answer.INCOMPLETE,), 0), (300, 0, 2, (price_answer.NOT_JSON,), 0),
+        (400, 0, 2, (missing + "bitcoin", missing + "ethereum"), 0), (500, 0, 2, (price_answer.NOT_JSON,), 0),
+        (None, 2, 0, (missing + "ethereum",), 2)], key=repr)
+    lenient = flatten.envelopes_from_answers(_answers(spark, rows), expected_keys=keys, error=price_answer.decode_error(strict=False))
+    assert [len(r.data) for r in lenient.where("metadata.collectionTimestamp = 200").collect()] == [1]
+
+
+def test_large_answer_is_one_envelope_without_a_shuffle(spark):
+    body = "{" + ", ".join(f'"k{i}": {QUOTE}' for i in range(25_000)) + "}"
+    env = flatten.envelopes_from_answers(_answers(spark, [(100, body)]))
+    r = env.first()
+    assert len(r.data) == r.metadata.successCount == 25_000 and r.metadata.failureCount == 5 - 25_000
+    assert "Exchange" not in env._jdf.queryExecution().executedPlan().toString()
 
 
 _tick_rows = st.lists(
@@ -91,7 +108,7 @@ _tick_rows = st.lists(
 @given(_tick_rows)
 def test_envelope_roundtrip_is_identity(spark, rows):
     df = ticks_df(spark, [tick(ts, k, price=p, volume=v) for ts, k, p, v in rows])
-    back = flatten.explode_and_flatten(flatten.build_envelopes(df))
+    back = flatten.explode_and_flatten(flatten.envelopes_from_ticks(df))
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
 
 
@@ -105,7 +122,7 @@ def test_landing_layout_and_read_back_with_pruning(spark, tmp_dir):
         "year=2026/month=02/day=08/hour=18/crypto_prices_20260208_182752.json",
         "year=2026/month=02/day=09/hour=00/crypto_prices_20260209_000300.json",
     ]
-    envelopes.land_envelopes(flatten.build_envelopes(df), root)
+    envelopes.land_envelopes(flatten.envelopes_from_ticks(df), root)
     assert os.path.isdir(os.path.join(root, "year=2026", "month=02", "day=08", "hour=18"))
     back = flatten.explode_and_flatten(envelopes.read_envelopes(spark, root))
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)

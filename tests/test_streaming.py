@@ -12,7 +12,7 @@ from tickwatch.streaming import ingest
 
 
 def _land(spark, root, rows):
-    envelopes.land_envelopes(flatten.build_envelopes(ticks_df(spark, rows)), root)
+    envelopes.land_envelopes(flatten.envelopes_from_ticks(ticks_df(spark, rows)), root)
 
 
 def test_stream_dedup_and_price_variation_sink(spark, tmp_dir):

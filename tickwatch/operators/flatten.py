@@ -1,7 +1,8 @@
 """Envelope <-> flat tick conversions and collection coverage.
 
 * :func:`explode_and_flatten` — envelopes to one row per price (P6).
-* :func:`build_envelopes` — flat rows back into envelopes (P2, P3).
+* :func:`envelopes_from_answers` — one envelope per decoded answer (P2, P3);
+  :func:`envelopes_from_ticks` — the same for answers of a single key.
 * :func:`collection_coverage` / :func:`missing_keys` — expected vs fetched keys
   per collection (P4, P5, J1, A8).
 """
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwatch.schemas import TICK_COLUMNS
+from tickwatch.schemas import ENVELOPE, TICK_COLUMNS
 
 # The five keys the collector requests by default.
 DEFAULT_KEYS = ("bitcoin", "ethereum", "cardano", "binancecoin", "solana")
@@ -45,80 +46,72 @@ def explode_and_flatten(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def _price_row() -> Column:
-    c = F.col
-    return F.struct(
-        c("crypto_id").alias("cryptoId"),
-        c("price_usd").alias("usd"),
-        c("price_brl").alias("brl"),
-        c("volume_24h_usd").alias("usd24hVol"),
-        c("change_24h_pct").alias("usd24hChange"),
-        c("last_updated_at").alias("lastUpdatedAt"),
-        c("collected_at").alias("collectedAt"),
+# Field names of a price row inside an envelope and their sources in a quote (fixed by the envelope schema).
+QUOTE_FIELDS = {"usd": "usd", "brl": "brl", "usd24hVol": "usd_24h_vol", "usd24hChange": "usd_24h_change",
+                "lastUpdatedAt": "last_updated_at"}
+
+
+def _envelope(ts: Column, data: Column, keys: Column, error: Column, expected_keys: Sequence[str]) -> list[Column]:
+    """``metadata`` and ``data`` of one answer; with an ``error`` the envelope is empty and carries it."""
+    total = len(expected_keys)
+    expected = F.array(*[F.lit(k) for k in expected_keys]) if expected_keys else F.array().cast("array<string>")
+    missing = F.transform(F.array_except(expected, keys), lambda k: F.concat(F.lit(MISSING_PREFIX), k))
+    failed = error.isNotNull()
+    data = F.when(failed, F.array().cast(ENVELOPE["data"].dataType)).otherwise(data)
+    count = F.when(failed, F.lit(0)).otherwise(F.size(keys))
+    metadata = F.struct(
+        ts.cast("long").alias("collectionTimestamp"),
+        F.lit(total).alias("totalCryptos"),
+        count.alias("successCount"),
+        (F.lit(total) - count).alias("failureCount"),
+        F.when(failed, F.array(error)).otherwise(missing).alias("errors"),
     )
+    return [metadata.alias("metadata"), data.alias("data")]
 
 
-def build_envelopes(
-    ticks: DataFrame,
+def envelopes_from_answers(
+    decoded: DataFrame,
+    ts_col: str = "collection_timestamp",
     expected_keys: Sequence[str] = DEFAULT_KEYS,
-    max_rows_per_envelope: int = 10_000,
-    failed_collections: DataFrame | None = None,
+    error: Column | None = None,
 ) -> DataFrame:
-    """Group flat rows by collection time into ``{metadata, data}`` envelopes.
-
-    A collection is one API answer, so it normally holds a handful of rows.
-    A pathological collection that holds a large share of the table is split
-    into several envelopes with the same ``collectionTimestamp`` (each of at
-    most about ``max_rows_per_envelope`` rows) so no single task assembles an
-    unbounded array; the per-collection row count is a small aggregate.
-    ``successCount`` / ``failureCount`` are per envelope: ``failureCount`` is
-    ``len(expected_keys) - successCount`` and goes negative when an answer
-    carries keys that were not requested, as in the collector. ``errors``
-    lists the expected keys absent from the envelope.
-
-    ``failed_collections`` (columns ``collection_timestamp``, ``error``) adds
-    one empty envelope per failed fetch (P3).
+    """One ``{metadata, data}`` envelope per answer, row by row (no shuffle).
+
+    ``decoded`` holds ``answer: map<string, quote>``; ``error`` is the text of a
+    fetch or decode failure, null for a good answer. A failed answer gives an
+    empty envelope with that text as its only error (P3). Otherwise
+    ``successCount`` counts the answer's keys, ``failureCount`` is
+    ``len(expected_keys) - successCount`` (negative when an answer carries
+    keys that were not requested, as in the collector) and ``errors`` lists
+    the expected keys that are absent.
     """
-    ts = "collection_timestamp"
-    sizes = ticks.groupBy(ts).agg(F.count(F.lit(1)).alias("_n"))
-    n_parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_rows_per_envelope)))
-    salted = ticks.join(sizes, ts).withColumn(
-        "_part",
-        F.when(F.col("_n") <= max_rows_per_envelope, F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(*[F.col(c) for c in ticks.columns]), n_parts.cast("long"))
+    ts, answer = F.col(ts_col), F.col("answer")
+    error = F.lit(None).cast("string") if error is None else error
+    data = F.transform(
+        F.map_entries(answer),
+        lambda e: F.struct(
+            e["key"].alias("cryptoId"),
+            *[e["value"][source].alias(name) for name, source in QUOTE_FIELDS.items()],
+            ts.cast("long").alias("collectedAt"),
         ),
     )
-    total = len(expected_keys)
-    expected = F.array(*[F.lit(k) for k in expected_keys]) if expected_keys else F.array().cast("array<string>")
-    grouped = salted.groupBy(ts, "_part").agg(
-        F.collect_list(_price_row()).alias("data"),
-        F.collect_set("crypto_id").alias("_ids"),
-    )
-    envelopes = grouped.select(
-        F.struct(
-            F.col(ts).alias("collectionTimestamp"),
-            F.lit(total).alias("totalCryptos"),
-            F.size("data").alias("successCount"),
-            (F.lit(total) - F.size("data")).alias("failureCount"),
-            F.transform(F.array_except(expected, F.col("_ids")), lambda k: F.concat(F.lit(MISSING_PREFIX), k)).alias(
-                "errors"
-            ),
-        ).alias("metadata"),
-        F.col("data"),
+    return decoded.select(*_envelope(ts, data, F.map_keys(answer), error, expected_keys))
+
+
+def envelopes_from_ticks(ticks: DataFrame, expected_keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
+    """One envelope per flat row, read as an answer of a single key."""
+    c = F.col
+    row = F.struct(
+        c("crypto_id").alias("cryptoId"),
+        c("price_usd").alias("usd"),
+        c("price_brl").alias("brl"),
+        c("volume_24h_usd").alias("usd24hVol"),
+        c("change_24h_pct").alias("usd24hChange"),
+        c("last_updated_at").alias("lastUpdatedAt"),
+        c("collected_at").alias("collectedAt"),
     )
-    if failed_collections is not None:
-        failed = failed_collections.select(
-            F.struct(
-                F.col(ts).cast("long").alias("collectionTimestamp"),
-                F.lit(total).alias("totalCryptos"),
-                F.lit(0).alias("successCount"),
-                F.lit(total).alias("failureCount"),
-                F.array(F.col("error").cast("string")).alias("errors"),
-            ).alias("metadata"),
-            F.array().cast(envelopes.schema["data"].dataType).alias("data"),
-        )
-        envelopes = envelopes.unionByName(failed)
-    return envelopes
+    none = F.lit(None).cast("string")
+    return ticks.select(*_envelope(c("collection_timestamp"), F.array(row), F.array("crypto_id"), none, expected_keys))
 
 
 def collection_coverage(

@@ -266,31 +266,41 @@ def _hour_col() -> Column:
 @register("envelope_flatten", f"WITH {TICKS_CTE} SELECT {TICK_COLS} FROM ticks")
 def q_envelope_flatten(spark: SparkSession, sf: str) -> DataFrame:
     ticks = _flatten.ticks_only(testdata.ticks(spark, sf)).drop("seq")
-    envelopes = _flatten.build_envelopes(ticks, testdata.EVENT_KEYS)
+    envelopes = _flatten.envelopes_from_ticks(ticks, testdata.EVENT_KEYS)
     return _flatten.explode_and_flatten(envelopes)
 
 
-@register(
-    "collection_summary",
-    f"""WITH {TICKS_CTE}
-SELECT collection_timestamp,
-       CAST(5 AS INTEGER) AS total_expected,
-       CAST(count(*) AS INTEGER) AS success_count,
-       CAST(5 - count(*) AS INTEGER) AS failure_count,
-       CAST(count(*) AS INTEGER) AS rows_landed,
-       CAST(5 - count(DISTINCT crypto_id) AS INTEGER) AS n_errors
-FROM ticks GROUP BY collection_timestamp""",
-)
-def q_collection_summary(spark: SparkSession, sf: str) -> DataFrame:
-    ticks = _flatten.ticks_only(testdata.ticks(spark, sf)).drop("seq")
-    envelopes = _flatten.build_envelopes(ticks, testdata.EVENT_KEYS)
-    s = reports.collection_summary(envelopes)
-    return s.select(
+ANSWERS_SQL = f"""WITH {TICKS_CTE},
+quotes AS (
+  SELECT seq // 5 AS answer_id, min(collection_timestamp) OVER (PARTITION BY seq // 5) AS collection_timestamp, crypto_id, price_usd
+  FROM ticks QUALIFY row_number() OVER (PARTITION BY seq // 5, crypto_id ORDER BY seq DESC) = 1),
+answers AS (
+  SELECT answer_id, min(collection_timestamp) AS collection_timestamp,
+         answer_id % 13 = 0 OR (answer_id % 17 <> 0 AND count(price_usd) < count(*)) AS failed,
+         CASE WHEN answer_id % 17 = 0 THEN 0 ELSE count(*) END AS keys
+  FROM quotes GROUP BY answer_id),
+counted AS (SELECT *, CASE WHEN failed THEN 0 ELSE keys END AS n FROM answers)
+SELECT collection_timestamp, CAST(5 AS INTEGER) AS total_expected, CAST(n AS INTEGER) AS success_count,
+       CAST(5 - n AS INTEGER) AS failure_count, CAST(n AS INTEGER) AS rows_landed,
+       CAST(CASE WHEN failed THEN 1 ELSE 5 - n END AS INTEGER) AS n_errors
+FROM counted"""
+
+
+def _summary(summary: DataFrame) -> DataFrame:
+    return summary.select(
         "collection_timestamp", "total_expected", "success_count", "failure_count", "rows_landed",
         F.size("errors").alias("n_errors"),
     )
 
 
+@register("collection_summary", ANSWERS_SQL)
+def q_collection_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """One envelope per answer, failed answers included, with its counts and errors."""
+    decoded = price_answer.decode(testdata.answers(spark, sf))
+    return _summary(reports.collection_summary(_flatten.envelopes_from_answers(
+        decoded, expected_keys=testdata.EVENT_KEYS, error=price_answer.decode_error())))
+
+
 @register(
     "coverage",
     f"""WITH {TICKS_CTE}
@@ -665,7 +675,7 @@ FROM anomalies"""
 def q_landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "raw")
     ticks = _flatten.ticks_only(testdata.ticks(spark, sf)).drop("seq")
-    _envelopes.land_envelopes(_flatten.build_envelopes(ticks, testdata.EVENT_KEYS), root)
+    _envelopes.land_envelopes(_flatten.envelopes_from_ticks(ticks, testdata.EVENT_KEYS), root)
     return _flatten.explode_and_flatten(_envelopes.read_envelopes(spark, root))
 
 
@@ -728,7 +738,7 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
     raw, out, ck = scratch_path(spark, "raw"), scratch_path(spark, "ticks"), scratch_path(spark, "ck")
     ticks = _flatten.ticks_only(testdata.ticks(spark, sf)).drop("seq")
-    _envelopes.land_envelopes(_flatten.build_envelopes(ticks, testdata.EVENT_KEYS), raw)
+    _envelopes.land_envelopes(_flatten.envelopes_from_ticks(ticks, testdata.EVENT_KEYS), raw)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         ingest.write_ticks(batch, out)
@@ -737,30 +747,16 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).select(*ticks.columns)
 
 
-@register(
-    "ingestion_summary",
-    f"""WITH {TICKS_CTE}
-SELECT collection_timestamp,
-       CAST(5 AS INTEGER) AS total_expected,
-       CAST(count(*) AS INTEGER) AS success_count,
-       CAST(5 - count(*) AS INTEGER) AS failure_count,
-       CAST(count(*) AS INTEGER) AS rows_landed,
-       CAST(5 - count(DISTINCT crypto_id) AS INTEGER) AS n_errors
-FROM ticks WHERE price_usd IS NOT NULL GROUP BY collection_timestamp""",
-)
+@register("ingestion_summary", ANSWERS_SQL)
 def q_ingestion_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """The ingestion job end to end: API answers built from the events table
-    (one per tick) are decoded strictly (an answer with a missing price is
-    dropped whole), turned into rows, grouped into envelopes, landed under
-    the hourly layout, read back, and summarised per envelope."""
+    """The ingestion job end to end: answers of several keys, some broken,
+    incomplete or empty, are decoded strictly, wrapped one by one, landed under
+    the hourly layout and read back; every answer has its envelope."""
     from tickwatch.plans import jobs
 
-    answers = price_answer.encode(testdata.ticks(spark, sf)).select("collection_timestamp", "body")
-    summary = jobs.ingestion_job(answers, scratch_path(spark, "raw"), expected_keys=testdata.EVENT_KEYS)
-    return summary.select(
-        "collection_timestamp", "total_expected", "success_count", "failure_count", "rows_landed",
-        F.size("errors").alias("n_errors"),
-    )
+    raw = scratch_path(spark, "raw")
+    jobs.ingestion_job(testdata.answers(spark, sf), raw, expected_keys=testdata.EVENT_KEYS)
+    return _summary(reports.collection_summary(_envelopes.read_envelopes(spark, raw)))
 
 
 @register(
@@ -782,7 +778,7 @@ def q_processing_job_anomalies(spark: SparkSession, sf: str) -> DataFrame:
         scratch_path(spark, x) for x in ("raw", "metrics", "anomalies", "runs")
     )
     ticks = _flatten.ticks_only(testdata.ticks(spark, sf)).drop("seq")
-    _envelopes.land_envelopes(_flatten.build_envelopes(ticks, testdata.EVENT_KEYS), raw)
+    _envelopes.land_envelopes(_flatten.envelopes_from_ticks(ticks, testdata.EVENT_KEYS), raw)
     for _ in range(2):
         jobs.processing_job(spark, raw, metrics_path, anomalies_path, runs, keys_configured=len(testdata.EVENT_KEYS))
     return rounded(_tables.read_anomalies(spark, anomalies_path), "reference_value", "variation_pct")

@@ -46,26 +46,18 @@ def ingestion_job(
     strict: bool = True,
     error_col: str | None = None,
 ) -> DataFrame:
-    """Decode answers (S2), turn them into rows (P1), build envelopes with
-    coverage metadata (P2, P4, P5) — failed fetches become empty envelopes
-    with their error (P3) — and land them (S3). Returns the per-envelope
-    summary (A8) as a lazy DataFrame over what was written."""
+    """Decode answers (S2), wrap each one into an envelope with coverage
+    metadata (P1, P2, P4, P5) and land the envelopes (S3). A failed fetch
+    (``error_col``) and an answer that cannot be decoded become empty
+    envelopes with their error (P3), so every answer is landed. Returns the
+    summary (A8) of this batch's envelopes as a lazy DataFrame."""
     decoded = price_answer.decode(answers, body_col)
-    rows = price_answer.answer_to_rows(decoded, ts_col, strict=strict)
-    failed = None
+    error = price_answer.decode_error(body_col, strict)
     if error_col is not None:
-        failed = answers.where(F.col(error_col).isNotNull()).select(
-            F.col(ts_col).alias("collection_timestamp"), F.col(error_col).alias("error")
-        )
-    env = flatten.build_envelopes(rows, expected_keys, failed_collections=failed)
+        error = F.coalesce(F.col(error_col).cast("string"), error)
+    env = flatten.envelopes_from_answers(decoded, ts_col, expected_keys, error)
     envelopes.land_envelopes(env, raw_root)
-    # Read back only this batch: its time span prunes the hour directories.
-    lo, hi = answers.agg(F.min(ts_col), F.max(ts_col)).first()
-    if lo is None:
-        return reports.collection_summary(env.limit(0))
-    landed = envelopes.read_envelopes(answers.sparkSession, raw_root, where=envelopes.partition_range(lo, hi))
-    ts = F.col("metadata.collectionTimestamp")
-    return reports.collection_summary(landed.where((ts >= lo) & (ts <= hi)))
+    return reports.collection_summary(env)
 
 
 def processing_job(

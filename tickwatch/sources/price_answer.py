@@ -3,7 +3,7 @@
 An answer is one JSON object keyed by id: ``{"bitcoin": {"usd": ..., ...}}``.
 Bodies are decoded in parallel with ``from_json`` and exploded; malformed
 text decodes to null and yields no rows (it is reported by
-:func:`undecodable`).
+:func:`undecodable` and named by :func:`decode_error`).
 """
 
 from __future__ import annotations
@@ -31,6 +31,21 @@ def _complete(quote: Column) -> Column:
     return cond
 
 
+# Our error texts of answers that cannot be used.
+NOT_JSON = "Could not decode the price answer"
+INCOMPLETE = "Incomplete quote in the price answer"
+
+
+def decode_error(body: str | Column = "body", strict: bool = True) -> Column:
+    """Text of a decode failure, null for a usable answer: a body that is no
+    JSON object, or with ``strict`` (the collector's all-or-nothing decode) an
+    answer in which a quote lacks a field."""
+    body = F.col(body) if isinstance(body, str) else body
+    answer = F.col("answer")
+    out = F.when(answer.isNull() | body.isNull(), F.lit(NOT_JSON))
+    return out.when(~F.forall(F.map_values(answer), _complete), F.lit(INCOMPLETE)) if strict else out
+
+
 def answer_to_rows(decoded: DataFrame, collection_ts: str | Column, strict: bool = False) -> DataFrame:
     """One flat tick per key of the answer, stamped with the collection
     time (``collected_at``); the source's own clock stays in

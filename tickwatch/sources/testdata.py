@@ -62,6 +62,26 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_from_events(table(spark, sf_dir, "events"))
 
 
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price answers from the events: one per five consecutive event ids, the
+    last event of a type being that key's quote, stamped with the earliest
+    time. Every 13th body is cut off and every 17th an empty object; a null
+    price leaves its field out."""
+    quote = F.struct(
+        F.col("price_usd").alias("usd"), F.col("price_brl").alias("brl"), F.col("volume_24h_usd").alias("usd_24h_vol"),
+        F.col("change_24h_pct").alias("usd_24h_change"), F.col("last_updated_at").alias("last_updated_at"),
+    )
+    rows = ticks(spark, sf_dir).withColumn("answer_id", F.expr("seq div 5"))
+    per_key = rows.groupBy("answer_id", "crypto_id").agg(
+        F.min("collection_timestamp").alias("first"), F.max_by(quote, F.col("seq")).alias("quote"))
+    grouped = per_key.groupBy("answer_id").agg(  # at most five quotes
+        F.min("first").alias("collection_timestamp"),
+        F.to_json(F.map_from_entries(F.collect_list(F.struct("crypto_id", "quote")))).alias("body"))
+    body = F.when(F.col("answer_id") % 13 == 0, F.expr("left(body, length(body) - 9)")).when(
+        F.col("answer_id") % 17 == 0, F.lit("{}")).otherwise(F.col("body"))
+    return grouped.select("answer_id", "collection_timestamp", body.alias("body"))
+
+
 def run_log_text_from_orders(orders: DataFrame) -> DataFrame:
     """Run-log rows as text fields (the CSV form), one run per order.
 
