@@ -71,9 +71,8 @@ def test_validity_filter_nulls_fail(spark):
     assert [r.collection_timestamp for r in out] == [7]
 
 
-@pytest.mark.parametrize("chunk_rows,method", [(None, "sliding"), (None, "prefix"), (500, "prefix"),
-                                               (480, "sliding"), (16384, "prefix")])
-def test_moving_average_frames_match_brute_force(spark, chunk_rows, method):
+@pytest.mark.parametrize("chunk_rows", [None, 480, 500, 16384])
+def test_moving_average_frames_match_brute_force(spark, chunk_rows):
     """Frame edges at rows 6/7 and 481/482, nulls and zeros averaged, ties on
     the timestamp broken by seq; chunked layouts with halos match."""
     rnd = random.Random(7)
@@ -86,7 +85,7 @@ def test_moving_average_frames_match_brute_force(spark, chunk_rows, method):
             rows.append(tick(ts, key, price=price, volume=round(rnd.uniform(1, 900), 2), seq=seq))
             seq += 1
     df = ticks_df(spark, rows, with_seq=True)
-    out = add_moving_averages(df, method=method, chunk_rows=chunk_rows, bucket_seconds=3600).toPandas()
+    out = add_moving_averages(df, chunk_rows=chunk_rows, bucket_seconds=3600).toPandas()
     assert len(out) == len(rows)
     src = pd.DataFrame(rows, columns=df.columns).sort_values(["crypto_id", "collection_timestamp", "seq"])
     exp = {}
@@ -149,15 +148,14 @@ def test_chunked_plan_partitions_by_key_and_chunk(spark):
 
 def test_per_key_plan_has_one_exchange_and_one_sort(spark):
     rows = [tick(i, seq=i) for i in range(10)]
-    df = add_moving_averages(ticks_df(spark, rows, with_seq=True), chunk_rows=None, method="sliding")
+    df = add_moving_averages(ticks_df(spark, rows, with_seq=True), chunk_rows=None)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
 
 
-@pytest.mark.parametrize("layout", ["buckets", "rank"])
 @pytest.mark.parametrize("chunk_rows", [5, 6, 7, 13])
-def test_chunk_layouts_match_one_partition_per_key(spark, layout, chunk_rows):
+def test_chunks_match_one_partition_per_key(spark, chunk_rows):
     """Uneven buckets (empty stretches, a few large ones), tiny chunks and a
     halo equal to the chunk size: a bucket may feed two later chunks."""
     from pyspark.sql import functions as F
@@ -176,7 +174,7 @@ def test_chunk_layouts_match_one_partition_per_key(spark, layout, chunk_rows):
         lambda w: {"lo": F.min("price_usd").over(w.rowsBetween(-5, 0)), "n": F.count("price_usd").over(w.rowsBetween(-5, 0))},
     ]
     want = {r.seq: (r.lag5, r.lo, r.n) for r in row_frames(df, stages, halo=5, chunk_rows=None).collect()}
-    got = row_frames(df, stages, halo=5, chunk_rows=chunk_rows, bucket_seconds=10, layout=layout).collect()
+    got = row_frames(df, stages, halo=5, chunk_rows=chunk_rows, bucket_seconds=10).collect()
     assert len(got) == len(rows)
     assert {r.seq: (r.lag5, r.lo, r.n) for r in got} == want
 
@@ -202,17 +200,16 @@ def test_bucket_layout_shuffles_rows_once(spark):
     assert "BroadcastHashJoin" in plan and "_chunk" in plan
 
 
-@pytest.mark.parametrize("chunk_rows", [3, 8, 16384])
-def test_time_frame_average_matches_brute_force(spark, chunk_rows):
-    rnd = random.Random(chunk_rows)
+@pytest.mark.parametrize("seed", [3, 8])
+def test_time_frame_average_matches_brute_force(spark, seed):
+    rnd = random.Random(seed)
     rows = []
     for key in ("a", "b"):
         ts = 0
         for _ in range(150):
             ts += rnd.choice([0, 60, 600, 3600, 20000, 90000])
             rows.append(tick(ts, key, price=None if rnd.random() < 0.1 else float(rnd.randint(1, 50))))
-    out = add_time_frame_average(ticks_df(spark, rows), "price_usd", "avg_t", chunk_rows=chunk_rows,
-                                 bucket_seconds=3600).collect()
+    out = add_time_frame_average(ticks_df(spark, rows), "price_usd", "avg_t").collect()
     assert len(out) == len(rows)
     order = lambda x: (x[0], x[1], repr(x[2]), repr(x[3]))
     got = sorted(((r.crypto_id, r.collection_timestamp, r.price_usd, r.avg_t) for r in out), key=order)
@@ -251,21 +248,47 @@ def test_hot_key_is_spread_over_tasks(spark):
         spark.conf.set(key, before)
 
 
-def test_large_plans_take_the_other_way(spark):
-    """Over the broadcast bound: row frames use the rank layout, the time
-    frame joins the plan with a shuffle; results do not change."""
+def test_a_plan_too_large_to_broadcast_gives_the_same_values(spark):
     from pyspark.sql import functions as F
 
     rows = [tick(i * 700, k, price=float(i % 13 + 1), seq=i * 3 + j) for i in range(300) for j, k in enumerate("abc")]
     df = ticks_df(spark, rows, with_seq=True)
     stage = [lambda w: {"lo": F.min("price_usd").over(w.rowsBetween(-5, 0))}]
     want = {r.seq: r.lo for r in row_frames(df, stage, halo=5, chunk_rows=None).collect()}
-    got = row_frames(df, stage, halo=5, chunk_rows=7, bucket_seconds=600, max_broadcast_rows=1)
-    assert "row_number()" in got._jdf.queryExecution().optimizedPlan().toString()  # the rank layout
-    assert {r.seq: r.lo for r in got.collect()} == want
-    a = {r.seq: r.t for r in add_time_frame_average(df, "price_usd", "t", chunk_rows=9).collect()}
-    b = {r.seq: r.t for r in add_time_frame_average(df, "price_usd", "t", chunk_rows=9, max_broadcast_rows=1).collect()}
-    assert a == b
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        got = row_frames(df, stage, halo=5, chunk_rows=7, bucket_seconds=600)
+        assert {r.seq: r.lo for r in got.collect()} == want
+        assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), 1e18])
+def test_a_bad_reading_affects_its_frames_only(spark, bad):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    rows = [tick(i * 180, "a", volume=bad if i == 10 else float(i % 7 + 1), seq=i) for i in range(1200)]
+    df = ticks_df(spark, rows, with_seq=True)
+    frame = Window.partitionBy("crypto_id").orderBy("seq").rowsBetween(-480, 0)
+    want = [r.v for r in df.withColumn("v", F.avg("volume_24h_usd").over(frame)).orderBy("seq").collect()]
+    got = [r.volume_ma_24h for r in add_moving_averages(df, chunk_rows=500).orderBy("seq").collect()]
+    assert list(map(repr, got)) == list(map(repr, want))
+    clean = {r.seq: r.t for r in add_time_frame_average(df.where("seq <> 10"), "volume_24h_usd", "t").collect()}
+    timed = {r.seq: r.t for r in add_time_frame_average(df, "volume_24h_usd", "t").collect()}
+    assert all(timed[i] == clean[i] for i in range(491, 1200))
+
+
+def test_rows_without_a_time_do_not_refine_the_plan(spark):
+    from tickwatch.operators.rolling import _adaptive_plan
+
+    rows = [tick(i * 180, "a", seq=i) for i in range(20)]
+    rows += [(None,) + tick(0, "a", seq=100 + i)[1:] for i in range(50)]
+    plan, width = _adaptive_plan(ticks_df(spark, rows, with_seq=True), "crypto_id", "collection_timestamp", 3600, 32, 5)
+    assert width == 3600 and plan.agg({"_n": "sum"}).first()[0] == 70
 
 
 def test_hot_hour_is_split_with_finer_buckets(spark):

@@ -8,30 +8,24 @@ through a single task, and a key may hold a third of all rows.
 where a chunk is a run of about ``chunk_rows`` consecutive rows of one key,
 and every chunk also receives the rows just before it (its *halo*, at least
 ``halo`` rows) so each frame is complete inside its chunk. Halo copies are
-dropped after the window. Two layouts build the chunks:
-
-* ``"buckets"`` (default when it fits): rows are counted per
-  ``(key, time bucket)`` — a small, map-side combined aggregate. From the
-  counts alone a *bucket plan* assigns every bucket to a chunk (by its row
-  offset within the key) and lists the at most two following chunks whose
-  halo it falls into. The plan is checkpointed to the shared checkpoint
-  directory, its size is checked, and only then is it broadcast; the rows
-  are exchanged **once**, by ``(key, chunk)``. Whole buckets are copied as
-  halo, so the halo is ``halo`` rows plus at most a bucket's worth.
-* ``"rank"`` (used when the plan is over ``max_broadcast_rows``): every row
-  gets its rank per key (bucket offset + ``row_number()`` inside its
-  bucket), chunks are exact rank ranges and exactly ``halo`` rows are copied.
-  This costs a second full exchange (by ``(key, bucket)``) and sort.
+dropped after the window.
+
+Rows are counted per ``(key, time bucket)`` — a small, map-side combined
+aggregate. From the counts alone a *bucket plan* assigns every bucket to a
+chunk (by its row offset within the key) and lists the at most two following
+chunks whose halo it falls into. The plan is written below the shared
+checkpoint directory and joined by an ordinary equi-join: Spark broadcasts it
+when its size on disk allows, and shuffles both sides otherwise. Whole
+buckets are copied as halo, so the halo is ``halo`` rows plus at most a
+bucket's worth.
 
 A bucket is never split. When a bucket holds more than ``chunk_rows`` rows
 (a burst on one key), the plan is rebuilt with finer buckets, down to one
-second, so only rows sharing one timestamp stay together.
+second, so only rows sharing one timestamp, or without one, stay together.
 
-Averages over long frames default to ``method="prefix"``: a running sum and
-non-null count inside the chunk, minus the same values ``n + 1`` rows back.
-That is O(1) per row, where Spark's bounded sliding frame re-aggregates the
-whole frame for every row (O(frame) per row). ``method="sliding"`` uses the
-built-in frame and is bit-for-bit the usual ``avg``.
+Frames are Spark's own bounded frames: a bad reading (NaN, infinite or far too
+large) affects the rows whose frame holds it and no others, which running
+sums minus earlier running sums cannot guarantee.
 """
 
 from __future__ import annotations
@@ -41,15 +35,12 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tickwatch.functions.columns import ratio
-
 Stage = Callable[[WindowSpec], Mapping[str, Column]]
 
 DEFAULT_CHUNK_ROWS = 16_384
 DEFAULT_BUCKET_SECONDS = 3_600
-# Largest bucket plan (one row per key and bucket, five small columns, about
-# 50-80 MB at this bound) that is broadcast; beyond it the rank layout is used.
-MAX_BROADCAST_PLAN_ROWS = 1_000_000
+# Stands for the bucket of rows without a time.
+NO_TIME = -(2**62)
 
 # Frames of the metrics table: (source column, preceding rows). The current
 # row is always included, so 480 preceding rows is a 481-row frame.
@@ -59,7 +50,7 @@ DEFAULT_MA_FRAMES: dict[str, tuple[str, int]] = {
     "price_ma_15min": ("price_usd", 5),
 }
 
-_HELPERS = ("_kv", "_kn", "_tbv", "_n", "_rn", "_off", "_rank", "_own", "_chunk", "_to")
+_HELPERS = ("_kv", "_kn", "_tbv", "_n", "_own", "_chunk", "_to")
 
 
 def order_columns(df: DataFrame, ts_col: str = "collection_timestamp", tie_col: str = "seq") -> list[str]:
@@ -82,7 +73,7 @@ def _with_surrogates(df: DataFrame, key: str, time_col: str, bucket_seconds: int
         {
             "_kv": F.coalesce(k.cast("string"), F.lit("")),
             "_kn": k.isNull(),
-            "_tbv": F.coalesce(tb, F.lit(-(2**62))),
+            "_tbv": F.coalesce(tb, F.lit(NO_TIME)),
         }
     )
 
@@ -137,60 +128,27 @@ def bucket_plan(
     return p.select(*_PARTS, "_n", "_own", (to if halo > 0 else F.array().cast("array<bigint>")).alias("_to"))
 
 
-def _checked_plan(plan: DataFrame, max_rows: int) -> tuple[DataFrame, bool, int]:
-    """The plan cut from its lineage (reliable checkpoint in the session's
-    checkpoint directory), whether it is small enough to broadcast, and its
-    largest bucket (rows)."""
-    from tickwatch.session import checkpoint_root
-
-    checkpoint_root(plan.sparkSession)
-    saved = plan.checkpoint(eager=True)
-    n, biggest = saved.agg(F.count(F.lit(1)), F.max("_n")).first()
-    return saved, n <= max_rows, int(biggest or 0)
-
-
 def _adaptive_plan(
-    df: DataFrame, key: str, time_col: str, bucket_seconds: int, chunk_rows: int, halo: int, max_rows: int
-) -> tuple[DataFrame, bool, int]:
-    """A checked bucket plan whose buckets fit a chunk: while some bucket
-    holds more than ``chunk_rows`` rows (a burst on one key), the plan is
-    rebuilt with 60x finer buckets, down to one second. Returns the plan,
-    whether it may be broadcast, and the bucket width used."""
+    df: DataFrame, key: str, time_col: str, bucket_seconds: int, chunk_rows: int, halo: int
+) -> tuple[DataFrame, int]:
+    """A bucket plan whose buckets fit a chunk, and the bucket width used:
+    while some bucket with a time holds more than ``chunk_rows`` rows, the plan
+    is rebuilt with 60x finer buckets, down to one second. The plan is written
+    below the session's checkpoint directory, so that its size is known to the join."""
+    from tickwatch.session import scratch_path
+
+    spark = df.sparkSession
     while True:
-        plan, small, biggest = _checked_plan(
-            bucket_plan(df, key, time_col, bucket_seconds, chunk_rows, halo), max_rows
-        )
-        if bucket_seconds <= 1 or not small or biggest <= chunk_rows:
-            return plan, small, bucket_seconds
+        made = bucket_plan(df, key, time_col, bucket_seconds, chunk_rows, halo)
+        path = scratch_path(spark, "bucket-plan")
+        made.write.parquet(path)
+        plan = spark.read.schema(made.schema).parquet(path)
+        biggest = plan.where(F.col("_tbv") != F.lit(NO_TIME)).agg(F.max("_n")).first()[0] or 0
+        if bucket_seconds <= 1 or biggest <= chunk_rows:
+            return plan, bucket_seconds
         bucket_seconds = max(1, bucket_seconds // 60)
 
 
-def _rank_per_key(
-    df: DataFrame, key: str, order: Sequence[str], time_col: str, bucket_seconds: int
-) -> DataFrame:
-    # The bucket window and the join to the offsets use the same plain
-    # equi-keys: when the offsets are too large to broadcast, the sort-merge
-    # join reuses the window's hash partitioning and only the small offsets
-    # side is shuffled.
-    with_tb = _with_surrogates(df, key, time_col, bucket_seconds)
-    offsets = (
-        with_tb.groupBy(*_PARTS)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            *_PARTS,
-            F.coalesce(
-                F.sum("_n").over(
-                    Window.partitionBy("_kv", "_kn").orderBy("_tbv").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ).alias("_off"),
-        )
-    )
-    numbered = with_tb.withColumn("_rn", F.row_number().over(Window.partitionBy(*_PARTS).orderBy(*order)))
-    joined = numbered.join(offsets, _PARTS, "inner").drop(*_PARTS)
-    return joined.withColumn("_rank", (F.col("_off") + F.col("_rn")).cast("long"))
-
-
 def row_frames(
     df: DataFrame,
     stages: Sequence[Stage],
@@ -200,16 +158,13 @@ def row_frames(
     chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
     time_col: str = "collection_timestamp",
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    layout: str = "auto",
-    max_broadcast_rows: int = MAX_BROADCAST_PLAN_ROWS,
 ) -> DataFrame:
     """Add the columns produced by ``stages`` evaluated over ordered rows per key.
 
     Each stage gets a ``WindowSpec`` (partitioned and ordered, no frame) and
     returns ``{name: column}``; later stages may read earlier stages' columns.
     Frames may look back at most ``halo`` rows. ``chunk_rows=None`` uses one
-    window partition per key. ``layout`` is ``"auto"`` (bucket plan when its
-    checked size allows a broadcast, else ranks), ``"buckets"`` or ``"rank"``.
+    window partition per key.
     """
     order = list(order or order_columns(df, time_col))
     if chunk_rows is None:
@@ -222,30 +177,10 @@ def row_frames(
     if halo > chunk_rows:
         raise ValueError(f"halo ({halo}) must not exceed chunk_rows ({chunk_rows})")
     original = df.columns
-    plan = None
-    if layout in ("auto", "buckets"):
-        plan, small, bucket_seconds = _adaptive_plan(
-            df, key, time_col, bucket_seconds, chunk_rows, halo,
-            max_broadcast_rows if layout == "auto" else 2**62,
-        )
-        if not small:
-            plan = None
-    if plan is not None:
-        rows = _with_surrogates(df, key, time_col, bucket_seconds).join(F.broadcast(plan.drop("_n")), _PARTS)
-        spread = rows.withColumn("_chunk", F.explode(F.concat(F.array(F.col("_own")), F.col("_to"))))
-        w = Window.partitionBy("_kv", "_kn", "_chunk").orderBy(*order)
-    else:
-        ranked = _rank_per_key(df, key, order, time_col, bucket_seconds)
-        ranked = ranked.withColumn("_own", F.expr(f"(_rank - 1) div {int(chunk_rows)}"))
-        pos = F.col("_rank") - 1 - F.col("_own") * F.lit(chunk_rows)
-        if halo > 0:
-            targets = F.when(
-                pos >= chunk_rows - halo, F.array(F.col("_own"), F.col("_own") + 1)
-            ).otherwise(F.array(F.col("_own")))
-            spread = ranked.withColumn("_chunk", F.explode(targets))
-        else:
-            spread = ranked.withColumn("_chunk", F.col("_own"))
-        w = Window.partitionBy(key, "_chunk").orderBy("_rank")
+    plan, bucket_seconds = _adaptive_plan(df, key, time_col, bucket_seconds, chunk_rows, halo)
+    rows = _with_surrogates(df, key, time_col, bucket_seconds).join(plan.drop("_n"), _PARTS)
+    spread = rows.withColumn("_chunk", F.explode(F.concat(F.array(F.col("_own")), F.col("_to"))))
+    w = Window.partitionBy("_kv", "_kn", "_chunk").orderBy(*order)
     out = spread
     for stage in stages:
         out = out.withColumns(dict(stage(w)))
@@ -254,58 +189,26 @@ def row_frames(
     return out.select(*original, *added)
 
 
-def moving_average_stages(
-    frames: Mapping[str, tuple[str, int]], method: str = "prefix", with_counts: bool = False
-) -> list[Stage]:
-    """Stages that add ``avg(src)`` over ``rowsBetween(-n, 0)`` for each frame
+def moving_average_stages(frames: Mapping[str, tuple[str, int]], with_counts: bool = False) -> list[Stage]:
+    """A stage that adds ``avg(src)`` over ``rowsBetween(-n, 0)`` for each frame
     (and, with ``with_counts``, ``<name>_n``: the non-null readings in it)."""
-    if method == "sliding":
-
-        def sliding(w: WindowSpec) -> dict[str, Column]:
-            cols = {name: F.avg(src).over(w.rowsBetween(-n, 0)) for name, (src, n) in frames.items()}
-            if with_counts:
-                cols.update({f"{name}_n": F.count(src).over(w.rowsBetween(-n, 0)) for name, (src, n) in frames.items()})
-            return cols
-
-        return [sliding]
-    if method != "prefix":
-        raise ValueError(f"unknown method {method!r}")
-
-    sources = sorted({src for src, _ in frames.values()})
-
-    def running(w: WindowSpec) -> dict[str, Column]:
-        run = w.rowsBetween(Window.unboundedPreceding, 0)
-        cols: dict[str, Column] = {}
-        for i, src in enumerate(sources):
-            cols[f"_mas{i}"] = F.sum(F.coalesce(F.col(src), F.lit(0.0))).over(run)
-            cols[f"_mac{i}"] = F.count(src).over(run)
-        return cols
 
-    def differenced(w: WindowSpec) -> dict[str, Column]:
-        cols: dict[str, Column] = {}
-        for name, (src, n) in frames.items():
-            i = sources.index(src)
-            s, c = F.col(f"_mas{i}"), F.col(f"_mac{i}")
-            s_back = F.lag(s, n + 1, 0.0).over(w)
-            c_back = F.lag(c, n + 1, 0).over(w)
-            count = c - c_back
-            cols[name] = F.when(count > 0, ratio(s - s_back, count))
-            if with_counts:
-                cols[f"{name}_n"] = count
+    def averages(w: WindowSpec) -> dict[str, Column]:
+        cols = {name: F.avg(src).over(w.rowsBetween(-n, 0)) for name, (src, n) in frames.items()}
+        if with_counts:
+            cols.update({f"{name}_n": F.count(src).over(w.rowsBetween(-n, 0)) for name, (src, n) in frames.items()})
         return cols
 
-    return [running, differenced]
+    return [averages]
 
 
 def add_moving_averages(
     df: DataFrame,
     frames: Mapping[str, tuple[str, int]] | None = None,
     key: str = "crypto_id",
-    method: str = "prefix",
     chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
     order: Sequence[str] | None = None,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    layout: str = "auto",
     with_counts: bool = False,
 ) -> DataFrame:
     """Per-key moving averages over row frames (defaults: 481 and 6 rows).
@@ -316,17 +219,15 @@ def add_moving_averages(
     """
     frames = dict(frames or DEFAULT_MA_FRAMES)
     halo = max(n for _, n in frames.values())
-    out = row_frames(
+    return row_frames(
         df,
-        moving_average_stages(frames, method, with_counts),
+        moving_average_stages(frames, with_counts),
         key=key,
         order=order,
         halo=halo,
         chunk_rows=chunk_rows if chunk_rows is None else max(chunk_rows, halo),
         bucket_seconds=bucket_seconds,
-        layout=layout,
     )
-    return out.drop(*[c for c in out.columns if c.startswith("_mas") or c.startswith("_mac")])
 
 
 def lag_stage(value: str, n: int, name: str) -> Stage:
@@ -349,64 +250,19 @@ def add_time_frame_average(
     seconds: int = 86_400,
     key: str = "crypto_id",
     ts_col: str = "collection_timestamp",
-    chunk_rows: int = DEFAULT_CHUNK_ROWS,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    max_broadcast_rows: int = MAX_BROADCAST_PLAN_ROWS,
 ) -> DataFrame:
     """``avg(value)`` over the rows of the same key whose timestamp lies in
     ``[ts - seconds, ts]`` — a true-time 24h frame that does not assume a
     fixed collection cadence. Rows with a null timestamp get null.
 
-    Sweep line: every row enters the stream of its key at ``ts`` with
-    ``+value`` and leaves it at ``ts + seconds + 1`` with ``-value`` (and the
-    same with ``+1/-1`` for the non-null count). The frame sum at ``t`` is
-    the running sum of all events at times ``<= t``. The event stream is cut
-    into chunks with the checked bucket plan (no halo needed); each chunk
-    starts from the total of the earlier chunks (a small aggregate), so the
-    rows are exchanged once and a busy day is spread over many tasks.
+    Time is cut into spans of ``seconds``. A frame reaches into its own span
+    and the one before, so every row is dealt to its own span and, as halo, to
+    the next: the rows are exchanged once, by ``(key, span)``.
     """
-    original = df.columns
     t = F.col(ts_col)
-    v = F.coalesce(F.col(value), F.lit(0.0))
-    c = F.col(value).isNotNull().cast("long")
-    rows = df.where(t.isNotNull()).withColumns({"_et": t, "_dv": v, "_dc": c, "_row": F.lit(True)})
-    leave = df.where(t.isNotNull()).select(
-        F.col(key),
-        (t + F.lit(seconds + 1)).alias("_et"),
-        (-v).alias("_dv"),
-        (-c).alias("_dc"),
-        F.lit(False).alias("_row"),
-    )
-    events = rows.unionByName(leave, allowMissingColumns=True)
-    plan, small, bucket_seconds = _adaptive_plan(
-        events, key, "_et", bucket_seconds, chunk_rows, 0, max_broadcast_rows
-    )
-    plan = plan.drop("_to", "_n")
-    # Broadcast only a plan of checked size; a larger one is joined with a
-    # shuffle (one more exchange of the events).
-    placed = _with_surrogates(events, key, "_et", bucket_seconds).join(
-        F.broadcast(plan) if small else plan, _PARTS
-    )
-    starts = (
-        placed.groupBy("_kv", "_kn", "_own")
-        .agg(F.sum("_dv").alias("_tv"), F.sum("_dc").alias("_tc"))
-        .select(
-            "_kv", "_kn", "_own",
-            *[
-                F.coalesce(
-                    F.sum(x).over(
-                        Window.partitionBy("_kv", "_kn").orderBy("_own").rowsBetween(Window.unboundedPreceding, -1)
-                    ),
-                    F.lit(0),
-                ).alias(o)
-                for x, o in (("_tv", "_ov"), ("_tc", "_oc"))
-            ],
-        )
-    )
-    w = Window.partitionBy("_kv", "_kn", "_own").orderBy("_et").rangeBetween(Window.unboundedPreceding, 0)
-    swept = placed.join(starts, ["_kv", "_kn", "_own"]).withColumns(
-        {"_s": F.col("_ov") + F.sum("_dv").over(w), "_n": F.col("_oc") + F.sum("_dc").over(w)}
-    )
-    out = swept.where(F.col("_row")).withColumn(name, F.when(F.col("_n") > 0, ratio("_s", "_n")))
-    nulls = df.where(t.isNull()).withColumn(name, F.lit(None).cast("double"))
-    return out.select(*original, name).unionByName(nulls)
+    own = F.floor(t / F.lit(seconds))
+    spans = F.when(t.isNull(), F.array(F.lit(None).cast("bigint"))).otherwise(F.array(own, own + 1))
+    dealt = df.withColumn("_own", own).withColumn("_span", F.explode(spans))
+    frame = Window.partitionBy(key, "_span").orderBy(ts_col).rangeBetween(-seconds, 0)
+    averaged = dealt.withColumn(name, F.when(t.isNotNull(), F.avg(value).over(frame)))
+    return averaged.where(F.col("_own").eqNullSafe(F.col("_span"))).drop("_own", "_span")

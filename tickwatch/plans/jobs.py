@@ -69,7 +69,6 @@ def processing_job(
     raw_filter: Column | None = None,
     send: alerts.Send | None = alerts.outbox_send,
     keys_configured: int = len(flatten.DEFAULT_KEYS),
-    method: str = "prefix",
     chunk_rows: int | None = 16_384,
 ) -> RunResult:
     """S1 -> P6 -> P7/W1-W3/P8 -> S4 -> (S6) -> D5 -> S5 (+J2) -> alerts -> S8."""
@@ -78,7 +77,7 @@ def processing_job(
     try:
         raw = envelopes.read_envelopes(spark, raw_root, where=raw_filter)
         flat = flatten.explode_and_flatten(raw)
-        metrics, obs = reports.observed(transform.metrics(flat, method=method, chunk_rows=chunk_rows), "metrics")
+        metrics, obs = reports.observed(transform.metrics(flat, chunk_rows=chunk_rows), "metrics")
         tables.write_metrics(metrics, metrics_path)
         result.records = int(obs.get.get("rows", 0))
         stored = tables.read_metrics(spark, metrics_path)

@@ -19,20 +19,20 @@ TIME_COLUMN_NAMES = [f.name for f in TIME_COLUMNS.fields]
 
 
 def with_averages(
-    ticks: DataFrame, method: str = "prefix", chunk_rows: int | None = DEFAULT_CHUNK_ROWS, with_counts: bool = False
+    ticks: DataFrame, chunk_rows: int | None = DEFAULT_CHUNK_ROWS, with_counts: bool = False
 ) -> DataFrame:
     """P7 + W1-W3 on all rows (before the validity filter).
 
     The time columns are a per-row projection, so they are added after the
     window exchanges instead of being shuffled twice."""
-    averaged = add_moving_averages(ticks, method=method, chunk_rows=chunk_rows, with_counts=with_counts)
+    averaged = add_moving_averages(ticks, chunk_rows=chunk_rows, with_counts=with_counts)
     ma_cols = [c for c in averaged.columns if c not in ticks.columns]
     return add_time_columns(averaged).select(*ticks.columns, *TIME_COLUMN_NAMES, *ma_cols)
 
 
 def metrics(
-    ticks: DataFrame, method: str = "prefix", chunk_rows: int | None = DEFAULT_CHUNK_ROWS, with_counts: bool = False
+    ticks: DataFrame, chunk_rows: int | None = DEFAULT_CHUNK_ROWS, with_counts: bool = False
 ) -> DataFrame:
     """The metrics table: valid rows with time columns and moving averages
     (``with_counts`` adds the readings per frame, e.g. ``volume_ma_24h_n``)."""
-    return filter_valid(with_averages(ticks, method=method, chunk_rows=chunk_rows, with_counts=with_counts))
+    return filter_valid(with_averages(ticks, chunk_rows=chunk_rows, with_counts=with_counts))
