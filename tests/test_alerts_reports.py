@@ -121,10 +121,14 @@ def test_processing_alerting_monitoring_jobs(spark, tmp_dir):
     stored = tables.read_anomalies(spark, ap)
     assert sorted(r.anomaly_type for r in stored.collect()) == ["price_variation", "volume_spike"]
     # rerun over the same raw data: nothing stored twice
-    jobs.processing_job(spark, raw, mp, ap, lp, send=None)
+    again = jobs.processing_job(spark, raw, mp, ap, lp, send=lambda k, s, m: "ok")
+    assert (again.alerts_sent, again.alerts_failed) == (0, 0)  # the outbox holds them
     assert tables.read_anomalies(spark, ap).count() == 2
-    tally = jobs.alerting_job(spark, ap, "2024-01-01").first()
-    assert (tally.succeeded, tally.failed) == (2, 0)
+    other = os.path.join(tmp_dir, "outbox")
+    job = jobs.alerting_job(spark, ap, "2024-01-01", outbox_path=other)
+    assert (job.first().succeeded, job.first().failed) == (2, 0)  # a second action sends nothing
+    assert [r.detected_at for r in alerts.sent_alerts(spark, other).collect()] == [1704067200 + 25 * 180, 1704067200 + 20 * 180]
+    assert tuple(jobs.alerting_job(spark, ap, "2024-01-01", outbox_path=other).first()) == (0, 0)
     dash = jobs.monitoring_report(spark, mp, ap, lp)
     rr = dash["run_report"].first()
     assert (rr.total_runs, rr.successful_runs, rr.total_records, rr.total_anomalies) == (2, 2, 60, 4)
@@ -237,12 +241,14 @@ def test_command_line_jobs(spark, tmp_dir, capsys):
         f.write(json.dumps({"collection_timestamp": 1704067200 + 31 * 180, "error": "HTTP 500"}) + "\n")
     raw, mp, ap, lp = (os.path.join(tmp_dir, x) for x in ("raw", "metrics", "anomalies", "runs"))
     assert main(["ingest", "--answers", answers, "--raw", raw]) == 0
-    assert main(["process", "--raw", raw, "--metrics", mp, "--anomalies", ap, "--runs", lp]) == 0
+    assert main(["process", "--raw", raw, "--metrics", mp, "--anomalies", ap, "--runs", lp, "--no-alerts"]) == 0
     out = capsys.readouterr().out
     res = json.loads(out.strip().splitlines()[-1])
     assert res["records"] == 30 and res["anomalies"] == 2 and res["success"]
     assert main(["alert", "--anomalies", ap, "--date", "2024-01-01"]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"succeeded": 2, "failed": 0}
+    assert main(["alert", "--anomalies", ap, "--date", "2024-01-01"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"succeeded": 0, "failed": 0}
     assert main(["monitor", "--metrics", mp, "--anomalies", ap, "--runs", lp]) == 0
     assert "--- run_report" in capsys.readouterr().out
     assert main(["expire", "--raw", raw, "--as-of", "2024-03-01", "--days", "30"]) == 0
@@ -264,7 +270,7 @@ spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "fals
 df = spark.createDataFrame([("k", "volume_spike", "low", 1, 1.0, 2.0, "d")],
     "crypto_id string, anomaly_type string, severity string, detected_at long, current_price double, "
     "variation_pct double, description string")
-t = alerts.tally(alerts.deliver(alerts.with_text(df))).first()
+t = alerts.tally(alerts.deliver(alerts.with_text(df), alerts.outbox_send)).first()
 print("TALLY", t.succeeded, t.failed)
 """
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}

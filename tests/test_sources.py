@@ -222,7 +222,7 @@ def test_run_log_csv_import_and_report(spark, tmp_dir):
         f.write("2026-02-08 18:00:00,processing,5,100,3,3,1200,true,\n")
         f.write('2026-02-08 18:15:00,processing,5,abc,2,0,900,false,"bad, thing\nhappened"\n')
         f.write("2026-02-08 18:30:00,processing,5,0,0,0,100,true,\n")
-    log = run_log.read_run_log_csv(spark, p)
+    log = run_log.read_run_log_csv(spark, p, quoted_newlines=True)
     rows = log.orderBy("timestamp").collect()
     assert [r.records_processed for r in rows] == [100, 0, 0]
     assert rows[1].error_message == "bad, thing\nhappened" and rows[1].success is False
@@ -266,3 +266,28 @@ def test_market_chart(spark):
     first = market_chart.first_points(dec).where(F.col("chart_id") == "two").orderBy("idx").collect()
     assert [r.price for r in first] == [70000.0, 71000.0, 69000.0]
     assert first[0].ts == dt.datetime(2026, 2, 7, 21, 33, 20)
+
+
+def test_table_exists_fails_closed(spark, tmp_dir):
+    import pytest
+
+    assert not tables.table_exists(spark, os.path.join(tmp_dir, "none"))
+    assert tables.table_exists(spark, tmp_dir)
+    with pytest.raises(Exception):  # an unreadable store is not an absent table
+        tables.table_exists(spark, "nosuchstore://bucket/table")
+    df = spark.createDataFrame([("b", "volume_spike", "low", 86400, 1.0, 1.0, 1.0, "d")],
+                               "crypto_id string, anomaly_type string, severity string, detected_at long, current_price double, "
+                               "reference_value double, variation_pct double, description string")
+    path = "file:" + os.path.join(tmp_dir, "anoms")
+    assert tables.save_anomalies(df, path) and tables.save_anomalies(df, path)
+    assert tables.read_anomalies(spark, path).count() == 1
+    later = df.withColumn("current_price", F.lit(2.0))  # another reading of the same second
+    tables.save_anomalies(later, path)
+    assert tables.read_anomalies(spark, path).count() == 2
+
+
+def test_daily_layout_rerun_replaces(spark, tmp_dir):
+    df = spark.createDataFrame([(1, 86400), (2, 172800)], "v int, ts long")
+    for _ in range(2):
+        tables.write_daily(df, tmp_dir, "x", "ts")
+    assert spark.read.parquet(os.path.join(tmp_dir, "x")).count() == 2

@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
         summary.orderBy("collection_timestamp").show(truncate=False)
     elif args.job == "process":
         res = jobs.processing_job(
-            spark, args.raw, args.metrics, args.anomalies, args.runs, send=None if args.no_alerts else alerts.outbox_send
+            spark, args.raw, args.metrics, args.anomalies, args.runs, alert=not args.no_alerts
         )
         print(json.dumps(res.__dict__))
     elif args.job == "alert":

@@ -9,14 +9,16 @@ same alert, so delivery is at-least-once: every alert carries a stable
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwatch.functions.columns import double_text, epoch_text
-from tickwatch.schemas import ALERTS, DELIVERY_RESULT
+from tickwatch.schemas import ALERTS, DELIVERY_RESULT, OUTBOX
+from tickwatch.sources.tables import table_exists
 
 # Alert text.
 RULE = "═" * 55
@@ -24,15 +26,13 @@ TITLE = "CRYPTO ANOMALY ALERT"
 FOOTER = "This is an automated alert from Crypto Anomaly Detection System"
 SUBJECT_MIDDLE = " Crypto Alert: "
 SEVERITY_MARK = {"high": "HIGH", "medium": "MEDIUM"}  # anything else: "_"
-LABELS = (
-    "Cryptocurrency: ",
-    "Anomaly Type:   ",
-    "Severity:       ",
-    "Current Price:  $",
-    "Variation:      ",
-    "Description:    ",
-    "Detected At:    ",
-)
+LABEL_KEY = "Cryptocurrency: "
+LABEL_TYPE = "Anomaly Type:   "
+LABEL_SEVERITY = "Severity:       "
+LABEL_PRICE = "Current Price:  $"
+LABEL_VARIATION = "Variation:      "
+LABEL_DESCRIPTION = "Description:    "
+LABEL_DETECTED_AT = "Detected At:    "
 TRAILER = " " * 7  # the body ends with a newline and seven spaces
 
 
@@ -57,23 +57,22 @@ def subject() -> Column:
 def body() -> Column:
     """The fixed multi-line message. Numbers print the JVM way
     (``70956.0``, ``4.0E10``); the time is the detection time in UTC."""
-    lab = dict(zip(("key", "type", "sev", "price", "var", "desc", "at"), LABELS))
     lines = [
         F.lit(""),
         F.lit(RULE),
         F.lit(TITLE),
         F.lit(RULE),
         F.lit(""),
-        F.concat(F.lit(lab["key"]), F.upper("crypto_id")),
-        F.concat(F.lit(lab["type"]), F.col("anomaly_type")),
-        F.concat(F.lit(lab["sev"]), F.upper("severity")),
+        F.concat(F.lit(LABEL_KEY), F.upper("crypto_id")),
+        F.concat(F.lit(LABEL_TYPE), F.col("anomaly_type")),
+        F.concat(F.lit(LABEL_SEVERITY), F.upper("severity")),
         F.lit(""),
-        F.concat(F.lit(lab["price"]), double_text("current_price")),
-        F.concat(F.lit(lab["var"]), double_text("variation_pct"), F.lit("%")),
+        F.concat(F.lit(LABEL_PRICE), double_text("current_price")),
+        F.concat(F.lit(LABEL_VARIATION), double_text("variation_pct"), F.lit("%")),
         F.lit(""),
-        F.concat(F.lit(lab["desc"]), F.col("description")),
+        F.concat(F.lit(LABEL_DESCRIPTION), F.col("description")),
         F.lit(""),
-        F.concat(F.lit(lab["at"]), epoch_text("detected_at"), F.lit(" UTC")),
+        F.concat(F.lit(LABEL_DETECTED_AT), epoch_text("detected_at"), F.lit(" UTC")),
         F.lit(""),
         F.lit(RULE),
         F.lit(FOOTER),
@@ -92,8 +91,8 @@ Send = Callable[[str, str, str], str]
 
 
 def outbox_send(key: str, subject_text: str, message: str) -> str:
-    """Default delivery: nothing leaves the job; the message id is derived
-    from the alert key so a retried task reports the same id."""
+    """A sender that sends nothing: the message id is derived from the alert
+    key, as :func:`deliver` does without a sender."""
     import hashlib
 
     return "outbox-" + hashlib.sha1(key.encode("utf-8")).hexdigest()[:16]
@@ -110,15 +109,26 @@ def _pickle_package_by_value() -> None:
     cloudpickle.register_pickle_by_value(tickwatch)
 
 
-def deliver(alerts_text: DataFrame, send: Send = outbox_send) -> DataFrame:
+def deliver(alerts_text: DataFrame, send: Send | None = None) -> DataFrame:
     """Call ``send(alert_key, subject, message)`` for every alert inside
-    the executors; one failure never stops the rest. Returns one row per
-    alert: ``alert_key, ok, message_id, error``."""
+    the executors; one failure never stops the rest. Without ``send`` alerts
+    are only recorded. Returns one row per alert: ``alert_key, subject,
+    detected_at, ok, message_id, error``. Every action on the result delivers:
+    write it once, as :func:`deliver_pending` does."""
+    if send is None:
+        return alerts_text.select(
+            "alert_key",
+            "subject",
+            "detected_at",
+            F.lit(True).alias("ok"),
+            F.concat(F.lit("outbox-"), F.left(F.sha1(F.col("alert_key").cast("binary")), F.lit(16))).alias("message_id"),
+            F.lit(None).cast("string").alias("error"),
+        )
     _pickle_package_by_value()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = {"alert_key": [], "ok": [], "message_id": [], "error": []}
+            out = {"ok": [], "message_id": [], "error": []}
             for key, subj, msg in zip(pdf["alert_key"], pdf["subject"], pdf["message"]):
                 try:
                     mid = send(key, subj, msg)
@@ -129,10 +139,33 @@ def deliver(alerts_text: DataFrame, send: Send = outbox_send) -> DataFrame:
                     out["ok"].append(False)
                     out["message_id"].append(None)
                     out["error"].append(f"{type(exc).__name__}: {exc}")
-                out["alert_key"].append(key)
-            yield pd.DataFrame(out)
-
-    return alerts_text.select("alert_key", "subject", "message").mapInPandas(run, DELIVERY_RESULT)
+            yield pd.concat([pdf[["alert_key", "subject", "detected_at"]], pd.DataFrame(out)], axis=1)
+
+    return alerts_text.select("alert_key", "subject", "detected_at", "message").mapInPandas(run, DELIVERY_RESULT)
+
+
+def deliver_pending(anomalies: DataFrame, outbox_path: str, send: Send | None = None) -> DataFrame:
+    """Deliver the alerts of ``anomalies`` that the outbox table does not hold
+    as delivered, newest first, and append the attempts to it. Returns this
+    run's attempts, read back from the table, so later actions deliver
+    nothing. A run that stops
+    between delivery and the end of its write repeats its alerts
+    (at-least-once); a failed attempt is tried again by the next run."""
+    spark = anomalies.sparkSession
+    text = with_text(to_alerts(anomalies))
+    if table_exists(spark, outbox_path):
+        done = spark.read.schema(OUTBOX).parquet(outbox_path).where("ok").select("alert_key").distinct()
+        text = text.join(done, "alert_key", "left_anti")
+    run_id = uuid.uuid4().hex
+    attempts = deliver(text.orderBy(F.col("detected_at").desc(), "alert_key"), send).withColumn("run_id", F.lit(run_id))
+    attempts.select(*OUTBOX.fieldNames()).write.mode("append").parquet(outbox_path)
+    return spark.read.schema(OUTBOX).parquet(outbox_path).where(F.col("run_id") == run_id)
+
+
+def sent_alerts(spark: SparkSession, outbox_path: str) -> DataFrame:
+    """The delivered alerts, newest first."""
+    sent = spark.read.schema(OUTBOX).parquet(outbox_path).where("ok")
+    return sent.orderBy(F.col("detected_at").desc(), "alert_key")
 
 
 def tally(results: DataFrame) -> DataFrame:

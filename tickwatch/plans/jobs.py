@@ -67,11 +67,17 @@ def processing_job(
     anomalies_path: str,
     run_log_path: str | None = None,
     raw_filter: Column | None = None,
-    send: alerts.Send | None = alerts.outbox_send,
+    send: alerts.Send | None = None,
+    alert: bool = True,
+    outbox_path: str | None = None,
     keys_configured: int = len(flatten.DEFAULT_KEYS),
     chunk_rows: int | None = 16_384,
 ) -> RunResult:
-    """S1 -> P6 -> P7/W1-W3/P8 -> S4 -> (S6) -> D5 -> S5 (+J2) -> alerts -> S8."""
+    """S1 -> P6 -> P7/W1-W3/P8 -> S4 -> (S6) -> D5 -> S5 (+J2) -> alerts -> S8.
+
+    Alerts go out for anomalies that the outbox table (by default next to the
+    anomaly table) does not hold as delivered, so a rerun alerts nothing
+    again. ``send=None`` records them only; ``alert=False`` leaves them alone."""
     started = int(time.time() * 1000)
     result = RunResult()
     try:
@@ -88,9 +94,9 @@ def processing_job(
         try:
             result.anomalies = found.count()
             tables.save_anomalies(found, anomalies_path)
-            if send is not None and result.anomalies:
-                delivered = alerts.deliver(alerts.with_text(alerts.to_alerts(found)), send)
-                row = alerts.tally(delivered).first()
+            if alert and result.anomalies:
+                attempts = alerts.deliver_pending(found, outbox_path or default_outbox(anomalies_path), send)
+                row = alerts.tally(attempts).first()
                 result.alerts_sent, result.alerts_failed = int(row["succeeded"]), int(row["failed"])
         finally:
             found.unpersist()
@@ -108,17 +114,22 @@ def processing_job(
     return result
 
 
+def default_outbox(anomalies_path: str) -> str:
+    return anomalies_path.rstrip("/") + "-outbox"
+
+
 def alerting_job(
     spark: SparkSession,
     anomalies_path: str,
     on_date: Column | str | None = None,
-    send: alerts.Send = alerts.outbox_send,
+    send: alerts.Send | None = None,
+    outbox_path: str | None = None,
 ) -> DataFrame:
-    """S7 (today's partition, pruned) -> P10 -> P11 -> S10 -> A9.
-    Returns the one-row tally (lazy)."""
+    """S7 (today's partition, pruned) -> P10 -> P11 -> S10 -> A9: delivers the
+    day's pending alerts newest first and returns the one-row tally of this
+    run, read from the outbox table. :func:`tickwatch.operators.alerts.sent_alerts` lists them."""
     day = tables.read_anomalies(spark, anomalies_path, on_date if on_date is not None else F.current_date())
-    text = alerts.with_text(alerts.to_alerts(day))
-    return alerts.tally(alerts.deliver(text, send))
+    return alerts.tally(alerts.deliver_pending(day, outbox_path or default_outbox(anomalies_path), send))
 
 
 def monitoring_report(
@@ -127,29 +138,24 @@ def monitoring_report(
     anomalies_path: str | None = None,
     run_log_path: str | None = None,
 ) -> dict[str, DataFrame]:
-    """The dashboard as DataFrames; a missing table just leaves its entries out."""
+    """The dashboard as DataFrames; a missing table just leaves its entries
+    out, any other failure is raised."""
+    there = lambda path: path is not None and tables.table_exists(spark, path)
     out: dict[str, DataFrame] = {}
-    if run_log_path is not None:
-        try:
-            out["run_report"] = reports.run_report(run_log.read_run_log(spark, run_log_path))
-        except Exception:  # noqa: BLE001 - degrade like the dashboard
-            pass
-    if metrics_path is not None:
-        try:
-            m = tables.read_metrics(spark, metrics_path)
-            out["records_per_key"] = reports.records_per_key(m)
-            out["latest_price"] = reports.latest_price(m)
-        except Exception:  # noqa: BLE001
-            pass
-    if anomalies_path is not None:
-        try:
-            a = tables.read_anomalies(spark, anomalies_path)
-            out["anomalies_by_type"] = reports.anomalies_by_type(a)
-            out["anomalies_by_severity"] = reports.anomalies_by_severity(a)
-            out["anomalies_by_key"] = reports.anomalies_by_key(a)
-            out["top_recent"] = reports.top_recent(a)
-        except Exception:  # noqa: BLE001
-            pass
+    if there(run_log_path):
+        out["run_report"] = reports.run_report(run_log.read_run_log(spark, run_log_path))
+    if there(metrics_path):
+        m = tables.read_metrics(spark, metrics_path)
+        out["records_per_key"] = reports.records_per_key(m)
+        out["latest_price"] = reports.latest_price(m)
+        out["total_records"] = reports.total(m)
+    if there(anomalies_path):
+        a = tables.read_anomalies(spark, anomalies_path)
+        out["anomalies_by_type"] = reports.anomalies_by_type(a)
+        out["anomalies_by_severity"] = reports.anomalies_by_severity(a)
+        out["anomalies_by_key"] = reports.anomalies_by_key(a)
+        out["top_recent"] = reports.top_recent(a)
+        out["total_anomalies"] = reports.total(a)
     return out
 
 
@@ -161,20 +167,18 @@ def incremental_job(
     ticks_path: str,
     metrics_path: str,
     anomalies_path: str,
-    context_days: int = 2,
     chunk_rows: int | None = 16_384,
 ) -> None:
     """Process only the raw hours ``[start_ts, end_ts]`` (epoch seconds;
     directory pruning): the new flat ticks are stored, the moving averages
-    use the stored ticks of the preceding ``context_days`` as context, and
-    only the new rows' metrics and anomalies are written (anomalies
+    use the last stored ticks of every key as context, and only the new rows' metrics and anomalies are written (anomalies
     idempotently). Same code path as the streaming sink (ST3)."""
     from tickwatch.operators.timecols import add_time_columns
     from tickwatch.streaming.ingest import rolling_metrics_sink
 
     raw = envelopes.read_envelopes(spark, raw_root, where=envelopes.partition_range(start_ts, end_ts))
     flat = add_time_columns(flatten.explode_and_flatten(raw))
-    rolling_metrics_sink(ticks_path, metrics_path, anomalies_path, context_days, chunk_rows)(flat, 0)
+    rolling_metrics_sink(ticks_path, metrics_path, anomalies_path, chunk_rows=chunk_rows)(flat, 0)
 
 
 def daily_outputs(metrics: DataFrame, anomalies: DataFrame, root: str, window_minutes: int = 15) -> None:

@@ -89,17 +89,22 @@ def anomalies_by_key(anomalies: DataFrame) -> DataFrame:
     return count_by(anomalies, "crypto_id")
 
 
+def total(df: DataFrame) -> DataFrame:
+    """One row with the number of rows (the dashboard's totals)."""
+    return df.agg(F.count(F.lit(1)).alias("total"))
+
+
 # --- A6 ---------------------------------------------------------------------
 
 def latest_price(metrics: DataFrame, tie_col: str = "seq") -> DataFrame:
     """Latest timestamp and the price of the latest row per key.
 
     ``max_by`` over ``(timestamp, tie-breaker)`` is deterministic and
-    partially aggregated, unlike an unordered ``last``.
+    partially aggregated, unlike an unordered ``last``. Without the
+    tie-breaking column the row's other columns decide, so file order never does.
     """
-    order: Column = (
-        F.struct("collection_timestamp", tie_col) if tie_col in metrics.columns else F.col("collection_timestamp")
-    )
+    others = [c for c in metrics.columns if c not in ("collection_timestamp", "crypto_id")]
+    order: Column = F.struct("collection_timestamp", *([tie_col] if tie_col in metrics.columns else others))
     return (
         metrics.groupBy("crypto_id")
         .agg(
@@ -301,6 +306,11 @@ def recent_lines(recent: DataFrame) -> DataFrame:
     return text_lines(recent, LINE_RECENT, *RECENT_COLUMNS)
 
 
+def alert_lines(anomalies: DataFrame) -> DataFrame:
+    """The list of alerts an alerting run sends."""
+    return text_lines(anomalies, LINE_ALERT, *RECENT_COLUMNS)
+
+
 def collected_lines(flat_ticks: DataFrame) -> DataFrame:
     """A8's per-row line of a collection summary."""
     return text_lines(flat_ticks, LINE_COLLECTED, "crypto_id", "price_usd", "change_24h_pct", "volume_24h_usd")

@@ -118,12 +118,17 @@ ALERTS = T.StructType(
 DELIVERY_RESULT = T.StructType(
     [
         T.StructField("alert_key", T.StringType()),
+        T.StructField("subject", T.StringType()),
+        T.StructField("detected_at", T.LongType()),
         T.StructField("ok", T.BooleanType()),
         T.StructField("message_id", T.StringType()),
         T.StructField("error", T.StringType()),
     ]
 )
 
+# The outbox: one row per delivery attempt.
+OUTBOX = T.StructType([T.StructField("run_id", T.StringType()), *DELIVERY_RESULT.fields])
+
 RUN_LOG = T.StructType(
     [
         T.StructField("timestamp", T.StringType()),

@@ -16,20 +16,20 @@ from tickwatch.schemas import RUN_LOG, RUN_LOG_COLUMNS, RUN_LOG_STRINGS
 
 def append_run(record: DataFrame, path: str) -> None:
     """Append run record(s) (normally one row) to the log."""
-    record.select(*RUN_LOG_COLUMNS).coalesce(1).write.mode("append").parquet(path)
+    record.select(*RUN_LOG_COLUMNS).write.mode("append").parquet(path)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_LOG).parquet(path)
 
 
-def read_run_log_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header; quoted fields may hold commas, quotes and
-    newlines (``multiLine`` reads are not split inside a file)."""
+def read_run_log_csv(spark: SparkSession, path: str, quoted_newlines: bool = False) -> DataFrame:
+    """CSV with a header; quoted fields may hold commas and quotes. Fields
+    that hold newlines must be declared: such files cannot be split over tasks."""
     text = (
         spark.read.schema(RUN_LOG_STRINGS)
         .option("header", "true")
-        .option("multiLine", "true")
+        .option("multiLine", str(quoted_newlines).lower())
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .csv(path)
@@ -39,6 +39,6 @@ def read_run_log_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def write_run_log_csv(run_log: DataFrame, path: str) -> None:
     """The text form, for tools that want CSV (quoted where needed)."""
-    run_log.select(*RUN_LOG_COLUMNS).coalesce(1).write.mode("overwrite").option("header", "true").option(
+    run_log.select(*RUN_LOG_COLUMNS).write.mode("overwrite").option("header", "true").option(
         "escape", '"'
     ).csv(path)

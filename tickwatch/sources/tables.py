@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,23 +21,20 @@ from tickwatch.schemas import ANOMALY_COLUMNS, METRICS, STORED_ANOMALIES
 
 METRIC_PARTITIONS = ("collection_date", "crypto_id")
 ANOMALY_PARTITIONS = ("detection_date", "severity")
-ANOMALY_KEY = ("crypto_id", "anomaly_type", "detected_at")
+# What makes two stored anomalies the same: the rule, the key, the second and the reading itself.
+ANOMALY_KEY = ("crypto_id", "anomaly_type", "detected_at", "current_price")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a parquet table exists at ``path``: a plain check for local
-    paths, a listing probe through Spark for other file systems."""
-    if "://" not in path or path.startswith("file:"):
-        import os
-
-        from tickwatch.session import local_path
-
-        return os.path.exists(local_path(path))
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, asked of the path's own file
+    system. Only "path not found" means no; every other failure is raised."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only
-        return True
-    except Exception:  # noqa: BLE001 - missing path or no files yet
-        return False
+        spark.read.schema("x int").parquet(path)  # lists the path, opens no file
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 # --- metrics ----------------------------------------------------------------
@@ -75,11 +73,11 @@ def save_anomalies(anomalies: DataFrame, path: str, dedup: bool = True) -> bool:
     """S5 (+J2): append anomalies by ``detection_date, severity``.
 
     Skips the write when there is nothing to save (a one-row probe). With
-    ``dedup`` rows already stored under the same
-    ``(crypto_id, anomaly_type, detected_at)`` are removed first by a
-    left-anti join against only the dates present in the batch (static
-    partition pruning on ``detection_date``), so saving a batch twice
-    stores it once. Duplicates inside one batch are kept. Assumes a single
+    ``dedup`` rows already stored under the same :data:`ANOMALY_KEY` are
+    removed first by a left-anti join against only the dates present in the
+    batch (static partition pruning on ``detection_date``), so saving a batch
+    twice stores it once. Different readings of one second are different
+    anomalies, in one batch or in two. Repeats inside one batch are kept. Assumes a single
     writer per table. The batch is cached for the probe, the date lookup and
     the write. Returns whether anything was written.
     """
@@ -89,15 +87,14 @@ def save_anomalies(anomalies: DataFrame, path: str, dedup: bool = True) -> bool:
         if batch.isEmpty():
             return False
         out = batch
-        if dedup and _exists(spark, path):
+        if dedup and table_exists(spark, path):
             # Bounded by the number of distinct days in the batch.
             dates = [r[0] for r in batch.select("detection_date").distinct().collect()]
             stored = read_anomalies(spark, path).where(F.col("detection_date").isin(dates))
-            out = batch.join(
-                stored.select("detection_date", *ANOMALY_KEY).distinct(),
-                ["detection_date", *ANOMALY_KEY],
-                "left_anti",
-            )
+            identity = ["detection_date", *ANOMALY_KEY]
+            known = stored.select(*[F.col(c).alias(f"_{c}") for c in identity]).distinct()
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in identity]
+            out = batch.join(known, same, "left_anti")
         (
             out.hint("rebalance", *ANOMALY_PARTITIONS)
             .write.mode("append")
@@ -163,14 +160,16 @@ def expire_dates(spark: SparkSession, path: str, date_col: str, schema: T.Struct
 
 
 def write_daily(df: DataFrame, root: str, name: str, ts_col: str) -> None:
-    """``<root>/year=YYYY/month=MM/day=DD/<name>`` parquet layout."""
+    """``<root>/<name>/year=YYYY/month=MM/day=DD`` parquet layout. The
+    days present in ``df`` are replaced, so a rerun writes the same table."""
     ts = F.timestamp_seconds(F.col(ts_col))
     parted = df.withColumns(
         {"year": F.date_format(ts, "yyyy"), "month": F.date_format(ts, "MM"), "day": F.date_format(ts, "dd")}
     )
     (
         parted.hint("rebalance", "year", "month", "day")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", "day")
         .parquet(f"{root.rstrip('/')}/{name}")
     )

@@ -7,8 +7,8 @@
   micro-batch into the anomaly table through the idempotent writer (S5+J2),
   so a replayed batch stores nothing twice.
 * ST3 :func:`rolling_metrics_sink` — row-frame averages are not available on
-  streams, so each micro-batch is joined with the stored flat ticks of the
-  preceding ``context_days`` and the batch windows (W1-W3, chunked) run over
+  streams, so each micro-batch is joined with the last ``context_rows`` stored
+  flat ticks of every key and the batch windows (W1-W3, chunked) run over
   context + batch; only the batch's rows are kept, filtered (P8), written to
   the metrics table and run through D1/D2.
 
@@ -18,7 +18,7 @@ checkpoint, so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,21 +73,32 @@ def price_variation_sink(anomalies_path: str, **params):
 def _not_stored(batch: DataFrame, spark: SparkSession, path: str, dates: list, metrics: bool = False) -> DataFrame:
     """Rows of ``batch`` whose ``(crypto_id, collection_timestamp)`` is not
     yet in the table at ``path`` (only the batch's dates are read)."""
-    try:
-        table = tables.read_metrics(spark, path) if metrics else spark.read.schema(_TICKS_STORED).parquet(path)
-        stored = table.where(F.col("collection_date").isin(dates))
-    except Exception:  # noqa: BLE001 - no table yet
+    if not tables.table_exists(spark, path):
         return batch
+    table = tables.read_metrics(spark, path) if metrics else spark.read.schema(_TICKS_STORED).parquet(path)
+    stored = table.where(F.col("collection_date").isin(dates))
     return batch.join(
         stored.select("crypto_id", "collection_timestamp").distinct(), ["crypto_id", "collection_timestamp"], "left_anti"
     )
 
 
+def _context(stored: DataFrame, lo, context_rows: int) -> DataFrame:
+    """Stored ticks from the latest date on from which every key has
+    ``context_rows`` ticks before the date ``lo`` (all, where a key has fewer)."""
+    newest_first = Window.partitionBy("crypto_id").orderBy(F.col("collection_date").desc())
+    counts = stored.where(F.col("collection_date") < F.lit(lo)).groupBy("crypto_id", "collection_date").agg(
+        F.count(F.lit(1)).alias("n"))
+    reached = counts.withColumn("n", F.sum("n").over(newest_first)).groupBy("crypto_id").agg(
+        F.coalesce(F.max(F.when(F.col("n") >= context_rows, F.col("collection_date"))), F.min("collection_date")).alias("first"))
+    first = reached.agg(F.min("first")).first()[0]
+    return stored.where(F.col("collection_date") >= F.lit(first if first is not None else lo))
+
+
 def rolling_metrics_sink(
     ticks_path: str,
     metrics_path: str,
     anomalies_path: str,
-    context_days: int = 2,
+    context_rows: int = 480,
     chunk_rows: int | None = 16_384,
 ):
     """ST3: a ``foreachBatch`` function that stores the batch's flat ticks,
@@ -98,9 +109,10 @@ def rolling_metrics_sink(
     the deduplicating sink), so a micro-batch replayed after a failure at
     any point leaves every table as one successful run would.
 
-    ``context_days`` must cover the longest frame (481 readings is one day at
-    the 3-minute cadence). Ticks that arrive later than the context of an
-    already processed batch need a recompute of the affected dates
+    ``context_rows`` must cover the longest frame (480 rows before the current
+    one). The context begins at the latest stored date from which every key
+    has that many ticks, found from counts per key and date, so it does not
+    depend on the cadence. Ticks older than already processed ones need a recompute of the affected dates
     (``tables.write_metrics(..., replace="dates")``).
     """
 
@@ -115,14 +127,10 @@ def rolling_metrics_sink(
             lo = min(dates)
             ids = batch.select("crypto_id", "collection_timestamp").distinct()
             marked = batch.select(*TICK_COLUMNS).withColumn("_new", F.lit(True))
-            try:
-                stored = spark.read.schema(_TICKS_STORED).parquet(ticks_path).where(
-                    F.col("collection_date") >= F.date_sub(F.lit(lo), context_days)
-                )
+            if tables.table_exists(spark, ticks_path):
+                stored = _context(spark.read.schema(_TICKS_STORED).parquet(ticks_path), lo, context_rows)
                 context = stored.select(*TICK_COLUMNS).join(ids, ["crypto_id", "collection_timestamp"], "left_anti")
                 marked = marked.unionByName(context.withColumn("_new", F.lit(False)))
-            except Exception:  # noqa: BLE001 - first batch: no stored ticks yet
-                pass
             metrics = transform.metrics(marked, chunk_rows=chunk_rows).where("_new").drop("_new")
             fresh = _not_stored(metrics, spark, metrics_path, dates, metrics=True)
             fresh.hint("rebalance", *tables.METRIC_PARTITIONS).write.mode("append").partitionBy(
