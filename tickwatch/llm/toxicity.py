@@ -67,8 +67,11 @@ def informative_terms(labelled: DataFrame, most: int = TERMS) -> list[str]:
                 [pa.array(list(found), pa.string()), *(pa.array([n[i] for n in found.values()], pa.int64()) for i in (0, 1))],
                 names=["term", "n", "toxic"])
 
-    spread = F.array_min(F.transform(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+")), lambda t: F.xxhash64(t)))
-    labelled = labelled.groupBy("label", spread.alias("alike")).agg(F.min("text").alias("text"))  # most near copies count once
+    # Most near copies count once: the smallest hash of a text's 3-word windows stands for the text.
+    parted = labelled.select("text", "label", F.split(F.lower("text"), r"[^\p{L}]+").alias("w"))
+    alike = F.when(F.size("w") < 3, F.xxhash64("text")).otherwise(F.expr(
+        "array_min(transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2])))"))
+    labelled = parted.groupBy("label", alike.alias("alike")).agg(F.min("text").alias("text"))
     total = labelled.agg(F.count("*"), F.sum("label")).first()
     if not total[0] or not total[1]:
         return []
