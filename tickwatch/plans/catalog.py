@@ -21,7 +21,7 @@ from tickwatch.operators import alerts as _alerts
 from tickwatch.operators import detect
 from tickwatch.operators import flatten as _flatten
 from tickwatch.operators.rolling import add_time_frame_average
-from tickwatch.operators.timecols import landing_key
+from tickwatch.operators.timecols import landing_columns, landing_key
 from tickwatch.operators.validity import filter_valid
 from tickwatch.plans import reports, transform
 from tickwatch.session import scratch_path
@@ -869,3 +869,97 @@ def q_incremental_metrics(spark: SparkSession, sf: str) -> DataFrame:
     jobs.incremental_job(spark, raw, cut, hi, tp, mp, ap)
     out = _tables.read_metrics(spark, mp).select("crypto_id", "collection_timestamp", "price_ma_24h", "volume_ma_24h")
     return rounded(out, "price_ma_24h", "volume_ma_24h")
+
+
+# ---------------------------------------------------------------------------
+# Market charts; S1b quarantine; S13 daily layout; P14 text lines.
+
+
+CHART_POINTS_CTE = VALID_CTE + f""",
+points AS (
+  SELECT crypto_id || '@' || CAST({HOUR} AS VARCHAR) AS chart_id, 'prices' AS series, collection_timestamp * 1000 AS ts_ms, seq,
+         price_usd AS value FROM valid
+  UNION ALL
+  SELECT crypto_id || '@' || CAST({HOUR} AS VARCHAR), 'total_volumes', collection_timestamp * 1000, seq, volume_24h_usd
+  FROM valid WHERE seq % 2 = 0),
+placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY chart_id, series ORDER BY ts_ms, seq) - 1 AS INTEGER) AS idx FROM points)"""
+
+
+def _charts(spark: SparkSession, sf: str) -> DataFrame:
+    from tickwatch.sources import market_chart
+
+    return market_chart.decode(testdata.chart_bodies(spark, sf))
+
+
+@register("chart_points", f"WITH {CHART_POINTS_CTE} SELECT chart_id, series, idx, ts_ms, value FROM placed")
+def q_chart_points(spark: SparkSession, sf: str) -> DataFrame:
+    from tickwatch.sources import market_chart
+
+    return market_chart.points(_charts(spark, sf)).drop("ts")
+
+
+@register(
+    "chart_sizes",
+    f"""WITH {CHART_POINTS_CTE}
+SELECT chart_id, CAST(count_if(series = 'prices') AS INTEGER) AS prices_points, CAST(0 AS INTEGER) AS market_caps_points,
+       CAST(count_if(series = 'total_volumes') AS INTEGER) AS total_volumes_points FROM placed GROUP BY chart_id""",
+)
+def q_chart_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    from tickwatch.sources import market_chart
+
+    return market_chart.series_sizes(_charts(spark, sf))
+
+
+@register(
+    "chart_first_points",
+    f"WITH {CHART_POINTS_CTE} SELECT chart_id, idx, ts_ms // 1000 AS ts_s, value AS price FROM placed WHERE series = 'prices' AND idx < 3",
+)
+def q_chart_first_points(spark: SparkSession, sf: str) -> DataFrame:
+    from tickwatch.sources import market_chart
+
+    first = market_chart.first_points(_charts(spark, sf))
+    return first.select("chart_id", "idx", F.unix_seconds("ts").alias("ts_s"), "price")
+
+
+@register(
+    "quarantined_lines",
+    f"""WITH {TICKS_CTE}
+SELECT '{{"metadata": broken ' || CAST(seq AS VARCHAR) AS raw_line,
+       strftime(make_timestamp(collection_timestamp * 1000000), '%Y-%m-%d-%H') AS hour FROM ticks WHERE seq % 20 = 0""",
+)
+def q_quarantined_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Broken lines landed among good envelopes come back as quarantined, with their hour."""
+    root = scratch_path(spark, "raw")
+    ticks = testdata.ticks(spark, sf)
+    _envelopes.land_envelopes(_flatten.envelopes_from_ticks(ticks, testdata.EVENT_KEYS), root)
+    broken = landing_columns(ticks.where("seq % 20 = 0"), "collection_timestamp").select(
+        F.concat(F.lit('{"metadata": broken '), F.col("seq").cast("string")).alias("value"), *_envelopes.PARTITIONS)
+    broken.write.mode("append").partitionBy(*_envelopes.PARTITIONS).text(root)
+    return _envelopes.quarantine(spark, root).select("raw_line", F.concat_ws("-", *_envelopes.PARTITIONS).alias("hour"))
+
+
+@register(
+    "daily_outputs_twice",
+    f"""WITH {METRICS_CTE},
+w AS (SELECT crypto_id, (collection_timestamp // 900) * 900 AS window_start, count(*) AS readings FROM metrics GROUP BY ALL)
+SELECT crypto_id, window_start, readings, CAST(year(make_timestamp(window_start * 1000000)) AS INTEGER) AS year,
+       CAST(month(make_timestamp(window_start * 1000000)) AS INTEGER) AS month,
+       CAST(day(make_timestamp(window_start * 1000000)) AS INTEGER) AS day FROM w""",
+)
+def q_daily_outputs_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """The windowed aggregates in the daily layout; a rerun replaces its days."""
+    root = scratch_path(spark, "daily")
+    windows = reports.window_aggregates(_valid(spark, sf), 15)
+    for _ in range(2):
+        _tables.write_daily(windows, root, "aggregated_metrics", "window_start")
+    days = [F.col(c).cast("int").alias(c) for c in ("year", "month", "day")]
+    return spark.read.parquet(f"{root}/aggregated_metrics").select("crypto_id", "window_start", "readings", *days)
+
+
+@register(
+    "report_lines",
+    f"""WITH {METRICS_CTE}, n AS (SELECT crypto_id, count(*) AS n FROM metrics GROUP BY 1)
+SELECT '  ' || lpad(crypto_id, 15, ' ') || ': ' || lpad(format('{{:,}}', n), 5, ' ') || ' records' AS line FROM n""",
+)
+def q_report_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.records_per_key_lines(reports.records_per_key(_valid(spark, sf)))

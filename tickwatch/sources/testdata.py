@@ -82,6 +82,22 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("answer_id", "collection_timestamp", body.alias("body"))
 
 
+def chart_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market-chart answers from the valid ticks: one per key and hour, prices
+    in time order, volumes of every other event, no market caps."""
+    rows = ticks(spark, sf_dir).where("price_usd > 0 AND volume_24h_usd > 0 AND crypto_id IS NOT NULL")
+    hour = F.expr("collection_timestamp div 3600 * 3600").cast("string")
+    ms = (F.col("collection_timestamp") * 1000).cast("double")
+
+    def series(value: str, where: Column) -> Column:
+        points = F.array_sort(F.collect_list(F.when(where, F.struct("collection_timestamp", "seq", F.array(ms, F.col(value)).alias("p")))))
+        return F.transform(points, lambda x: x["p"])
+
+    return rows.groupBy(F.concat_ws("@", "crypto_id", hour).alias("chart_id")).agg(
+        F.to_json(F.struct(series("price_usd", F.lit(True)).alias("prices"),
+                           series("volume_24h_usd", F.col("seq") % 2 == 0).alias("total_volumes"))).alias("body"))
+
+
 def run_log_text_from_orders(orders: DataFrame) -> DataFrame:
     """Run-log rows as text fields (the CSV form), one run per order.
 
