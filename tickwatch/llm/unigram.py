@@ -15,6 +15,8 @@ space markers, so texts are encoded chunk by chunk and equal chunks once.
 from __future__ import annotations
 
 import re
+from array import array
+from collections import ChainMap
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +32,9 @@ from tickwatch.llm.piece_model import MARK, NORMAL, PieceModel, marked, read_mod
 #: Fixed value of the Unigram model: what an unknown character costs below the lowest score.
 UNKNOWN_PENALTY = 10.0
 #: Distinct chunks kept per Python worker (a cache).
-CHUNKS_KEPT = 500_000
+CHUNKS_KEPT = 300_000
+#: Chunks of at most so many characters are encoded many at once, and kept.
+TOGETHER = 48
 #: Fixed value: what the library prints for an unknown piece without byte fallback.
 UNKNOWN_SURFACE = " ⁇ "
 
@@ -113,6 +117,15 @@ class Codec:
         self.chunks = (re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall if model.words_start_with_marks()
                        else lambda s: [s])
         self.known: dict[str, bytes] = {}
+        reach = max(self.codes.values()) + 1  # slots past the end that a step may look at
+        self.base_array = np.concatenate([trie.base, np.zeros(reach, np.int32)])
+        self.check_array = np.concatenate([trie.check, np.full(reach, -1, np.int32)])
+        self.value_array = np.concatenate([trie.value, np.full(reach, -1, np.int32)])
+        self.score_array = np.array(self.scores)
+        # What an unknown character becomes: for ASCII its byte piece, -1 for those that take several or the unknown piece.
+        self.unknown_as = np.array([*(self.byte_ids or [-1] * 256)[:128], -1], np.int32)
+        self.code_of = np.zeros(0x110000, np.int32)
+        self.code_of[[ord(c) for c in self.codes]] = list(self.codes.values())
         byte_of = {i: b for b, i in enumerate(self.byte_ids or [])}
         self.surface = [
             bytes([byte_of[i]]) if i in byte_of else p.replace(MARK, " ").encode("utf-8") if k == NORMAL
@@ -154,32 +167,82 @@ class Codec:
             end = start
         return path[::-1]
 
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of a chunk as native 32-bit integers."""
-        out = self.known.get(chunk)
-        if out is None:
-            ids: list[int] = []
-            for start, end, piece in self.best_split(chunk):
-                if piece >= 0:
-                    ids.append(piece)
-                elif self.byte_ids:
-                    ids += [self.byte_ids[b] for b in chunk[start:end].encode("utf-8")]
-                else:
-                    ids.append(self.unknown_id)
-            out = np.array(ids, dtype=np.int32).tobytes()
-            if len(self.known) >= CHUNKS_KEPT:
-                self.known.clear()
-            if len(chunk) <= 64:
-                self.known[chunk] = out
-        return out
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """:meth:`_ids` of many short chunks at once: the steps of :meth:`best_split` on arrays, a chunk per column.
+
+        All chunks' paths from position ``i`` go down the trie together; a chunk leaves when it leaves the trie."""
+        length = np.array([len(c) for c in chunks])
+        width = int(length.max())
+        points = np.ascontiguousarray(np.array(chunks, dtype=f"<U{width}").view(np.uint32).reshape(len(chunks), width).T)
+        codes = self.code_of[points]
+        best = np.full((width + 1, len(chunks)), -np.inf)
+        best[0] = 0.0
+        start = np.zeros((width + 1, len(chunks)), np.int32)
+        piece = np.full((width + 1, len(chunks)), -1, np.int32)
+        for i in range(width):
+            at = np.nonzero(length > i)[0]
+            here, node = best[i][at], np.zeros(len(at), np.int32)
+            for j in range(i, width):
+                code = codes[j][at]
+                to = self.base_array[node] + code
+                ok = (self.check_array[to] == node) & (code > 0) & (to > 0)
+                value = np.where(ok, self.value_array[to], -1)
+                score = here + self.score_array[value]  # of value -1 the last entry, not used
+                better = (value >= 0) & (score > best[j + 1][at])
+                if j == i:  # an unknown character, where no piece is just this character
+                    unknown = (value < 0) & (here + self.unknown_score > best[i + 1][at])
+                    better |= unknown
+                    score = np.where(unknown, here + self.unknown_score, score)
+                    value = np.where(unknown, self.unknown_as[np.minimum(points[i][at], 128)], value)
+                won = at[better]
+                best[j + 1][won] = score[better]
+                start[j + 1][won] = i
+                piece[j + 1][won] = value[better]
+                stay = ok & (length[at] > j + 1)
+                at, here, node = at[stay], here[stay], to[stay]
+                if not len(at):
+                    break
+        found, count, end, column = [], np.zeros(len(chunks), np.int64), length.copy(), np.arange(len(chunks))
+        while (on := end > 0).any():
+            found.append(np.where(on, piece[end, column], 0))
+            count += on
+            end = np.where(on, start[end, column], 0)
+        ids = np.ascontiguousarray(np.array(found, np.int32).T[:, ::-1])
+        spelled = (ids < 0).any(axis=1)
+        width = ids.shape[1]
+        return [self._ids(c, self.best_split(c)) if odd else row[width - n:].tobytes()
+                for c, odd, row, n in zip(chunks, spelled.tolist(), ids, count.tolist())]
+
+    def _ids(self, chunk: str, path: list[tuple[int, int, int]]) -> bytes:
+        """Ids of a chunk's path as native 32-bit integers."""
+        ids: list[int] = []
+        for start, end, piece in path:
+            if piece >= 0:
+                ids.append(piece)
+            elif self.byte_ids:
+                ids += [self.byte_ids[b] for b in chunk[start:end].encode("utf-8")]
+            else:
+                ids.append(self.unknown_id)
+        return array("i", ids).tobytes()
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """Piece ids of whole texts, without begin and end pieces."""
+        split = [self.chunks(marked(t, self.add_prefix)) for t in texts]
+        if len(self.known) >= CHUNKS_KEPT:
+            self.known.clear()
+        fresh = {c for chunks in split for c in chunks}.difference(self.known)
+        long = {c: self._ids(c, self.best_split(c)) for c in fresh if len(c) > TOGETHER}
+        short = sorted((c for c in fresh if len(c) <= TOGETHER), key=len)
+        for at in range(0, len(short), 4096):
+            some = short[at:at + 4096]
+            self.known.update(zip(some, self.encode_chunks(some)))
+        known = ChainMap(long, self.known) if long else self.known
+        return [self._joined(b"".join(map(known.__getitem__, chunks))) for chunks in split]
 
     def encode(self, text: str) -> np.ndarray:
-        """Piece ids of a whole text, without begin and end pieces."""
-        chunks = self.chunks(marked(text, self.add_prefix))
-        try:
-            data = b"".join(map(self.known.__getitem__, chunks))
-        except KeyError:
-            data = b"".join(map(self._chunk, chunks))
+        return self.encode_many([text])[0]
+
+    def _joined(self, data: bytes) -> np.ndarray:
         ids = np.frombuffer(data, dtype=np.int32)
         if self.byte_ids is None and len(ids):  # a run of unknown characters is one unknown piece
             unknown = ids == self.unknown_id
@@ -203,45 +266,62 @@ def _codec_maker(model_path: str):
     return lambda: worker_cache(("unigram", hash(data)), lambda: Codec(read_model(data), trie))
 
 
-def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """Replace ``text_col`` by ``ids_col``, an array of piece ids.
+Batches = Iterator[pa.RecordBatch]
 
-    A null text counts as empty (no ids); other columns pass through; a column
-    already named ``ids_col`` is replaced. No shuffle.
-    """
-    codec = _codec_maker(model_path)
-    rows = df.select(*without(df, [text_col, ids_col]), text_or_empty(text_col).alias(ids_col))
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoder(codec, text_at: int, ids_col: str):
+    """Task function: the text column, at ``text_at``, becomes a last column of ids."""
+    def run(batches: Batches) -> Batches:
         c = codec()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):  # the ids of a few texts at a time
                 part = batch.slice(at, 1024)
-                ids = [c.encode(t) for t in part.columns[-1].to_pylist()]
+                ids = c.encode_many(part.column(text_at).to_pylist())
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*ids, np.empty(0, np.int32)])))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], column], names=part.schema.names)
-
-    return rows.mapInArrow(run, schema)
+                keep = [i for i in range(part.num_columns) if i != text_at]
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in keep), column],
+                                                 names=[*(part.schema.names[i] for i in keep), ids_col])
+    return run
 
 
-def decode(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """Add ``text_col``, the text of the piece ids (null ids: an empty text)."""
-    codec = _codec_maker(model_path)
-    rows = df.select(*without(df, [text_col]))
-    schema = T.StructType([*rows.schema.fields, T.StructField(text_col, T.StringType(), False)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decoder(codec, ids_at: int, text_col: str):
+    """Task function: adds a last column, the texts of the ids at ``ids_at``."""
+    def run(batches: Batches) -> Batches:
         c = codec()
         for batch in batches:
-            where = batch.schema.get_field_index(ids_col)
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                texts = pa.array([c.decode(ids or []) for ids in part.column(where).to_pylist()], pa.string())
+                texts = pa.array([c.decode(ids or []) for ids in part.column(ids_at).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, text_col])
+    return run
+
 
-    return rows.mapInArrow(run, schema)
+def _texts(df: DataFrame, text_col: str, replaced: list[str]) -> DataFrame:
+    """The columns of ``df`` but for ``replaced``, the text last."""
+    return df.select(*without(df, [text_col, *replaced]), text_or_empty(f"`{text_col}`").alias(text_col))
+
+
+def _ids_field(name: str) -> T.StructField:
+    return T.StructField(name, T.ArrayType(T.IntegerType(), False), False)
+
+
+def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    """Replace ``text_col`` by ``ids_col``, an array of piece ids.
+
+    A null text counts as empty (no ids); other columns pass through; a column
+    already named ``ids_col`` is replaced. No shuffle.
+    """
+    rows = _texts(df, text_col, [ids_col])
+    schema = T.StructType([*rows.schema.fields[:-1], _ids_field(ids_col)])
+    return rows.mapInArrow(_encoder(_codec_maker(model_path), len(rows.columns) - 1, ids_col), schema)
+
+
+def decode(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+    """Add ``text_col``, the text of the piece ids (null ids: an empty text)."""
+    rows = df.select(*without(df, [text_col]))
+    schema = T.StructType([*rows.schema.fields, T.StructField(text_col, T.StringType(), False)])
+    return rows.mapInArrow(_decoder(_codec_maker(model_path), rows.columns.index(ids_col), text_col), schema)
 
 
 def encoded_and_decoded(df: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
@@ -255,9 +335,12 @@ def encoded_and_decoded(df: DataFrame, model_path: str, text_col: str = "text")
     model = read_model(read_model_file(model_path))
     byte_ids = model.byte_ids() or []
     low, high = (min(byte_ids), max(byte_ids)) if byte_ids else (0, -1)
-    rows = df.select(*without(df, [*made, text_col]), F.sha2(text_or_empty(text_col).cast("binary"), 256).alias("_sha256"),
-                     text_or_empty(text_col).alias(text_col))
-    both = decode(encode(rows, model_path, text_col), model_path, "ids", "_decoded")
+    rows = df.select(*without(df, [*made, text_col]), F.sha2(text_or_empty(f"`{text_col}`").cast("binary"), 256).alias("_sha256"),
+                     text_or_empty(f"`{text_col}`").alias(text_col))
+    schema = T.StructType([*rows.schema.fields[:-1], _ids_field("ids"), T.StructField("_decoded", T.StringType(), False)])
+    codec, last = _codec_maker(model_path), len(rows.columns) - 1
+    encoder, decoder = _encoder(codec, last, "ids"), _decoder(codec, last, "_decoded")
+    both = rows.mapInArrow(lambda batches: decoder(encoder(batches)), schema)  # one worker, one codec for both
     sha = F.sha2(F.col("_decoded").cast("binary"), 256)
     return both.select(
         *without(both, ["ids", "_sha256", "_decoded"]),
