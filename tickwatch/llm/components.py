@@ -19,7 +19,12 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
     def smallest(edges: DataFrame) -> DataFrame:
         return edges.groupBy("u").agg(F.min("v").alias("m"))
 
+    def mark(edges: DataFrame) -> tuple:
+        """Number and checksum of the links, to see whether a round changed any."""
+        return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
+    before = mark(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = smallest(both).withColumn("m", F.least("u", "m"))
@@ -31,8 +36,8 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
             F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                               F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         ).select("e.*").where("u <> v").distinct()
-        after = stored(small, name)
-        changed = after.join(edges, ["u", "v"], "left_anti").limit(1).count() + edges.join(after, ["u", "v"], "left_anti").limit(1).count()
-        edges = after
-        if not changed:
+        edges = stored(small, name)
+        after = mark(edges)
+        if after == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+        before = after

@@ -11,7 +11,8 @@ has its pairs listed. First every set is compared with one partner, the
 smallest set of its buckets; most groups are connected then. In buckets that
 still hold several groups, members outside the bucket's largest group are
 compared with the members of other groups, where a 128-bit sketch and the set
-sizes leave a similarity of 0.8 possible.
+sizes leave a similarity of 0.8 possible. The pairs are compared where blocks
+of texts meet, and only links leave.
 """
 
 from __future__ import annotations
@@ -34,12 +35,14 @@ PERMUTATIONS = 75
 #: Values of a band. 30 bands of 5 miss a pair of similarity 0.8 with probability (1 - 0.8**5)**30 = 7e-6.
 ROWS = 5
 BANDS = 2 * PERMUTATIONS // ROWS
-#: Agreeing bits of 128 that a link must have: 115 are expected at similarity 0.8, and this is seven deviations below.
-LEAST_BITS = 91
+#: Agreeing bits of 128 that a link must have: 115 are expected at similarity 0.8, and this is five deviations below (3e-7).
+LEAST_BITS = 98
 #: Members of a comparison that one task checks against one text, about.
 CHECKED = 256
+#: Members of a bucket in one list, and texts whose sets a task holds at a time, about.
+PART, BLOCK = 256, 1024
 #: Word hashes kept per Python worker (a cache).
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 250_000
 
 
 class Shingler:
@@ -140,13 +143,13 @@ def signed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = worker_cache("shingler", Shingler)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            start = size = 0
-            for i, text in enumerate(texts):
-                size += len(text)
-                if size > 1 << 19 or i == len(texts) - 1:  # sets that stay in the processor's cache
-                    yield some(shingler, batch.column(0).slice(start, i + 1 - start), texts[start:i + 1])
-                    start, size = i + 1, 0
+            texts, size = [], 0
+            for i, text in enumerate(batch.column(1), 1):
+                texts.append(text.as_py())
+                size += len(texts[-1])
+                if size > 1 << 19 or i == batch.num_rows:  # sets that stay in the processor's cache
+                    yield some(shingler, batch.column(0).slice(i - len(texts), len(texts)), texts)
+                    texts, size = [], 0
 
     id_type = df.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(run, f"id {id_type}, {SIGNED}")
@@ -171,8 +174,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         a_now, a_set = None, np.empty(0, np.uint64)
         for batch in batches:
             found: tuple[list, list] = ([], [])
-            for a, b, text in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
-                own = shingler.shingles(text)
+            for a, b, text in zip(*(batch.column(i).to_pylist() for i in (0, 2)), batch.column(3)):
+                own = shingler.shingles(text.as_py())
                 if a == b:
                     a_now, a_set = a, own
                     continue
@@ -186,6 +189,72 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
+def candidate_lists(mixed: DataFrame) -> DataFrame:
+    """``a, partners``: for members outside their bucket's largest group, the
+    members of other groups that sizes and sketches allow, as one list.
+
+    A bucket's members are packed into parts of about PART; a member meets
+    the parts, not the single members, and what a part leaves of it is a list.
+    Every bucket a pair shares holds both its groups, so it is enough to take
+    a pair in the first band it shares.
+    """
+    parts = mixed.groupBy("key").agg(F.ceil(F.count("*") / PART).alias("parts"))
+    member = F.struct("rep", "label", "n_shingles", "s0", "s1", "bands")
+    packed = (mixed.join(parts, "key").groupBy("key", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part"))
+              .agg(F.collect_list(member).alias("members")).drop("part"))
+    met = mixed.where("label <> largest").join(packed, "key")
+
+    def possible(y):
+        small, large = F.least("n_shingles", y["n_shingles"]), F.greatest("n_shingles", y["n_shingles"])
+        differing = F.bit_count(F.col("s0").bitwiseXOR(y["s0"])) + F.bit_count(F.col("s1").bitwiseXOR(y["s1"]))
+        before = lambda bands: F.slice(bands, F.lit(1), F.col("band"))  # noqa: E731  keys differ from band to band
+        return ((y["label"] != F.col("label")) & ((y["label"] == F.col("largest")) | (F.col("rep") < y["rep"]))
+                & (differing <= 128 - LEAST_BITS) & (small * 100 >= large * PERCENT)
+                & ~F.arrays_overlap(before(F.col("bands")), before(y["bands"])))
+
+    left = met.select(F.col("rep").alias("a"), F.transform(F.filter("members", possible), lambda y: y["rep"]).alias("found"))
+    return left.where(F.size("found") > 0).groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("partners"))
+
+
+def confirmed_lists(asked: DataFrame, texts: DataFrame) -> DataFrame:
+    """The links ``(a, b)`` among ``(a, partners)``.
+
+    The partners' texts are dealt into blocks of about BLOCK texts by a hash
+    of their id. A text goes, once, to every block that holds partners of it; a
+    task holds one block's sets and compares the texts sent there with their partners.
+    """
+    ship_code()
+    blocks = max(1, -(-texts.count() // BLOCK))
+    block_of = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    sent = asked.withColumn("block", F.explode(F.array_distinct(F.transform("partners", block_of)))).select(
+        "block", F.col("a").alias("id"),
+        F.filter("partners", lambda p: block_of(p) == F.col("block")).alias("partners"))
+    held = texts.select(block_of(F.col("id")).alias("block"), "id", F.lit(None).cast("array<bigint>").alias("partners"), "text")
+    rows = held.unionByName(sent.join(texts, "id").select("block", "id", "partners", "text"))
+    dealt = rows.repartition("block").sortWithinPartitions("block", F.col("partners").isNotNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = worker_cache("shingler", Shingler)
+        now, sets = None, {}
+        for batch in batches:
+            found: tuple[list, list] = ([], [])
+            for block, a, partners, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2)), batch.column(3)):
+                if block != now:
+                    now, sets = block, {}
+                own = shingler.shingles(text.as_py())
+                if partners is None:
+                    sets[a] = own
+                    continue
+                for b in partners:
+                    both = len(np.intersect1d(own, sets[b], assume_unique=True))
+                    if 100 * both >= PERCENT * (len(own) + len(sets[b]) - both):
+                        found[0].append(a)
+                        found[1].append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a bigint, b bigint")
+
+
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``id_col, n_shingles, component_id`` (smallest id reachable over links), ``kept`` (its own is the smallest).
 
@@ -197,7 +266,7 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     sets = stored(
         signed.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(
             F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("n_shingles", "s0", "s1", "bands")]), "sets")
-    keyed = sets.select("rep", "n_shingles", "s0", "s1", F.explode("bands").alias("key"))
+    keyed = sets.select("rep", "n_shingles", "s0", "s1", F.posexplode("bands").alias("band", "key"))
     shared = keyed.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).where("center <> last")
     members = stored(keyed.join(shared.select("key", "center"), "key"), "members")
 
@@ -211,16 +280,8 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         "label", F.coalesce("label", "rep"))
     by_group = grouped.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(
         F.max(F.struct("n", "label"))["label"].alias("largest"), F.count("*").alias("groups")).where("groups > 1")
-    mixed = stored(grouped.drop("center").join(by_group.drop("groups"), "key"), "mixed")
-    x, y = mixed.where("label <> largest").alias("x"), mixed.alias("y")
-    small, large = F.least("x.n_shingles", "y.n_shingles"), F.greatest("x.n_shingles", "y.n_shingles")
-    differing = F.bit_count(F.col("x.s0").bitwiseXOR(F.col("y.s0"))) + F.bit_count(F.col("x.s1").bitwiseXOR(F.col("y.s1")))
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))
-                    & ((F.col("y.label") == F.col("y.largest")) | (F.col("x.rep") < F.col("y.rep")))
-                    & (small * 100 >= large * PERCENT) & (differing <= 128 - LEAST_BITS))
-    pairs = stored(across.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-                   .join(first.select(F.col("center").alias("a"), F.col("rep").alias("b")), ["a", "b"], "left_anti"), "pairs")
-    more = confirmed(pairs, texts)
+    mixed = stored(grouped.drop("center").join(by_group.drop("groups"), "key").join(sets.select("rep", "bands"), "rep"), "mixed")
+    more = stored(confirmed_lists(candidate_lists(mixed), texts), "more-links")
     label = components(links.unionByName(more), "components")
 
     of_set = sets.select("digest", "rep").join(label.withColumnRenamed("node", "rep"), "rep", "left").select(
