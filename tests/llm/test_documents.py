@@ -110,6 +110,16 @@ def test_op4_measures_equal_brute_force(spark):
     assert right > 0.97 * total  # the labels were not used
 
 
+def test_lines_are_those_with_a_word(spark):
+    """Repeated one-word lines count; lines of spaces, tabs or carriage returns alone do not."""
+    texts = ["Menu\nhello\nMenu\nhello\nx90\n2\n2\n\\\n\\", "one line\n \n \n\t\n\t\nother line", "a b\r\n\r\n\r\n\r\nc d\r\n\r\n",
+             "\x0b\n\x0b\n\x0c\n\x0c", "hello\r\nhello\r\n\r\n", "\x1f\n\x1f\n\xa0\n\xa0\n\x1c"]
+    lines = [[x for x in t.split("\n") if WORD.search(x)] for t in texts]
+    out = quality.measures(spark.createDataFrame(list(enumerate(texts)), "id int, text string")).collect()
+    assert {r.id: (r.n_lines, r.n_dup_lines) for r in out} == {i: (len(x), len(x) - len(set(x))) for i, x in enumerate(lines)}
+    assert {r.id: r.n_dup_lines for r in out} == {i: measured(t)[3] for i, t in enumerate(texts)}
+
+
 def test_windows_that_share_a_hash_are_compared_by_words(spark, monkeypatch):
     """With a hash that separates nothing, the words decide."""
     real = quality.F.expr

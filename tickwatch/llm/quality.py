@@ -57,7 +57,7 @@ def measures(df: DataFrame, text_col: str = "text") -> DataFrame:
     step = lambda t, **made: t.withColumns({f"{mark}{k}": F.expr(e.replace("$", mark)) for k, e in made.items()})
     t = df.select(*own, text_or_empty(f"`{text_col}`").alias(f"{mark}t"))
     t = t.withColumn(f"{mark}w", words(f"{mark}t"))
-    t = step(t, n="size($w)", lines=r"filter(split($t, '\n', -1), l -> l RLIKE '[^\x20\x09-\x0D]')")
+    t = step(t, n="size($w)", lines=r"filter(split($t, '\n', -1), l -> l RLIKE '[^\\x20\\x09-\\x0D]')")
     t = step(t, b="coalesce(CAST(ceil(log2($n + 1)) AS INT), 0)")
     t = step(t, s="""CASE WHEN $n < 3 THEN array() ELSE sort_array(transform(sequence(0, $n - 3),
         i -> coalesce(shiftleft(xxhash64($w[i], $w[i + 1], $w[i + 2]), $b) | CAST(i AS BIGINT), 0L))) END""")
