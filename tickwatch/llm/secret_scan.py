@@ -39,17 +39,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 ACCESS_LENGTH = 18
 HEX = re.compile(r"[0-9a-f]{16,}")
 
-#: Weak patterns. A value's span is reported, or the whole match without one.
+#: Weak patterns. A value's span is reported, or the whole match without one; values are whole runs, of any length.
 LONG_RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 WEAK_ACCESS = re.compile(
     r"""(?<![A-Za-z0-9])(?:access[_-]?key(?:[_-]?id)?|client[_-]?id|user(?:name)?|login|account)["']?"""
-    r"""[\x20\t]{0,8}[:=][\x20\t]{0,8}["']?([A-Za-z0-9._@+-]{3,128})""", re.ASCII | re.IGNORECASE)
+    r"""[\x20\t]{0,8}[:=][\x20\t]{0,8}["']?([A-Za-z0-9._@+-]{3,}+)""", re.ASCII | re.IGNORECASE)
 WEAK_SECRET = re.compile(
     r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|auth|bearer|credential|private[_-]?key)["']?"""
-    r"""[\x20\t]{0,8}[:=][\x20\t]{0,8}["']?([A-Za-z0-9+/_.=!@#$%^&*-]{6,256})""", re.ASCII | re.IGNORECASE)
+    r"""[\x20\t]{0,8}[:=][\x20\t]{0,8}["']?([A-Za-z0-9+/_.=!@#$%^&*-]{6,}+)""", re.ASCII | re.IGNORECASE)
 ENDPOINT = re.compile(
-    r"""(?<![A-Za-z0-9])(?:[a-z][a-z0-9+]{1,15}://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]{4,512}"""
-    r"""|(?:host|hostname|endpoint|server|url)["']?[\x20\t]{0,8}[:=][\x20\t]{0,8}["']?[A-Za-z0-9._:/-]{3,256})""",
+    r"""(?<![A-Za-z0-9])(?:[a-z][a-z0-9+]{1,15}://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]{4,}+"""
+    r"""|(?:host|hostname|endpoint|server|url)["']?[\x20\t]{0,8}[:=][\x20\t]{0,8}["']?[A-Za-z0-9._:/-]{3,}+)""",
     re.ASCII | re.IGNORECASE)
 #: Strings one of which every match of the patterns beside it has, in lower case.
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -82,20 +82,30 @@ def _random_looking(value: str) -> bool:
 
 
 def linked_spans(text: str, base: list[Span], runs: list[tuple[int, int]], lowered: str) -> list[Span]:
-    """Weak parts with a complementary part in their scope."""
+    """Weak parts with a complementary part in their scope, or inside their span under a label of its own."""
     weak: dict[str, list[tuple[int, int]]] = {"access": [], "secret": [], "endpoint": []}
-    weak["secret"] += [r for r in runs if 20 <= r[1] - r[0] <= 256 and _random_looking(text[slice(*r)])]
+    random = [r for r in runs if r[1] - r[0] >= 20 and _random_looking(text[slice(*r)])]
+    weak["secret"] += random
+    matches: dict[str, list[tuple[int, int, int]]] = {}  # by role: start of the label, span
     if any(h in lowered for h in WEAK_HINTS):
-        weak["access"] += [m.span(1) for m in WEAK_ACCESS.finditer(text)]
-        weak["secret"] += [m.span(1) for m in WEAK_SECRET.finditer(text)]
-        weak["endpoint"] += [m.span() for m in ENDPOINT.finditer(text)]
+        matches["access"] = [(m.start(), *m.span(1)) for m in WEAK_ACCESS.finditer(text)]
+        matches["secret"] = [(m.start(), *m.span(1)) for m in WEAK_SECRET.finditer(text)]
+        matches["endpoint"] = [(m.start(), *m.span()) for m in ENDPOINT.finditer(text)]
+        for role, found in matches.items():
+            weak[role] += [(a, b) for _, a, b in found]
     if not any(weak.values()):
         return []
     cuts = [m.start() for m in PARAGRAPH.finditer(text)]
     scope = lambda at: bisect_right(cuts, at)
     strong = {"access": [s[1:] for s in base if s[0] == "access"],
               "secret": [s[1:] for s in base if s[0] != "access"], "endpoint": []}
-    covered = sorted(s[1:] for s in base)
+    covered: list[list[int]] = []  # base findings, overlapping ones as one
+    for a, b in sorted(s[1:] for s in base):
+        if covered and a <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], b)
+        else:
+            covered.append([a, b])
+    assigned = sorted(s[1:] for s in base if s[0] == "assign")
     starts = {role: sorted(a for a, _ in weak[role] + strong[role]) for role in weak}
     ends = {role: sorted(b for _, b in weak[role] + strong[role]) for role in weak}
 
@@ -107,13 +117,32 @@ def linked_spans(text: str, base: list[Span], runs: list[tuple[int, int]], lower
         at = bisect_right(ends[role], a) - 1
         return at >= 0 and a - ends[role][at] <= WINDOW and scope(ends[role][at] - 1) == scope(a)
 
+    unlabelled = set(random) - {(a, b) for _, a, b in matches.get("secret", [])}
+
+    def reported(a: int, b: int) -> bool:
+        """Whether base findings report all of [a, b); of an unlabelled run an assignment's own name may stand before them."""
+        at = bisect_right(covered, a, key=lambda s: s[0]) - 1
+        if at >= 0 and covered[at][1] >= b:
+            return True
+        at = bisect_left(assigned, (b,)) - 1
+        return (a, b) in unlabelled and at >= 0 and assigned[at][1] >= b
+
     partners = {"access": ("secret",), "secret": ("access", "endpoint"), "endpoint": ("access", "secret")}
+    # A long value may hold its partner: settings joined by &, the query of a URL.
+    holding: set[tuple[str, int, int]] = set()
+    for role, outer in matches.items():
+        for partner in partners[role]:
+            inner = sorted([*matches[partner], *((a, a, b) for a, b in strong[partner])])
+            for _, a, b in outer:
+                at = bisect_right(inner, a, key=lambda m: m[0])
+                while at < len(inner) and inner[at][0] < b:
+                    if inner[at][2] <= b:
+                        holding |= {(role, a, b), (partner, *inner[at][1:])}
+                    at += 1
     found = set()
     for role, parts in weak.items():
         for a, b in parts:
-            at = bisect_left(covered, (b,)) - 1
-            inside = at >= 0 and max(e for _, e in covered[max(0, at - 2):at + 1]) > a  # of a base finding
-            if not inside and any(near(p, a, b) for p in partners[role]):
+            if not reported(a, b) and ((role, a, b) in holding or any(near(p, a, b) for p in partners[role])):
                 found.add((f"linked_{role}", a, b))
     return list(found)
 
