@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -345,6 +346,20 @@ def test_op9_held_out_labels_are_not_read(spark):
     assert score(labels) == score(turned)
 
 
+def test_texts_are_compared_over_all_terms(spark):
+    """A text without telling terms meets its own copy among the examples; unlike texts do not have cosine 1."""
+    rows = [(i, text_of(200 + i, 40) + f" only{chr(97 + i % 26)}{chr(97 + i // 26)}x", 0) for i in range(0, 80)]
+    rows = [(i, t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows[5] = (rows[5][0], "quaint zephyr gambol", 1)
+    free = [i for i in range(1000, 1010) if zlib.crc32(str(i).encode()) % 4 == 2][0]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(free, "gambol zephyr quaint"), (free + 4000, "zephyr, newer words")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    out = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    assert [(e.id, e.cosine, e.label) for e in out[free].evidence] == [(rows[5][0], 1.0, 1)]
+    assert [e.id for e in out[free + 4000].evidence] == [rows[5][0]] and 0 < out[free + 4000].evidence[0].cosine < 0.5
+    assert out[free].score > max(out[i].score for i, _, y in rows if not y)
+
+
 def test_op9_edge_cases(clashing, nothing, spark):
     labels = spark.createDataFrame([(0, 1), (0, 1), (1, None), (None, 1), (99, 0)], "doc_id bigint, toxic int")
     rows = toxicity.toxicity(clashing, labels).collect()

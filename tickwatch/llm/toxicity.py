@@ -1,39 +1,42 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
 Learning reads a bounded sample of labelled rows (:data:`EXAMPLES`, chosen by a
-hash of the id): it picks the terms whose texts are toxic clearly more often
-than others, and keeps the sample's rows as examples. Over these terms all
-texts become TF-IDF vectors; document frequencies count all documents. A text
-is compared with the examples through an inverted index cut into blocks of
-examples with each term's largest weight per block: blocks are read in the
-order of the bound these give, until no block can hold a nearer example, so
-the nearest ones are exact. Their labels vote with the squared cosine; a
-logistic curve fitted to leave-one-out votes of the examples calibrates the
-score. Texts without any of the terms get the rate of such examples.
+hash of the id) and keeps its rows as examples. All texts are compared with the
+examples twice: over all terms of the examples, and over the telling terms,
+whose texts are toxic clearly more often than others. Document frequencies
+count all documents. Each comparison goes through an inverted index over all
+examples, so the nearest ones are exact; their labels vote with the squared
+cosine. A logistic curve over both votes, fitted to leave-one-out votes of the
+examples, calibrates the score. Texts without any of the terms get the rate of
+such examples. The evidence is that of all terms.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
+import uuid
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwatch.llm.common import ship_code, stored, text_or_empty
+from tickwatch.llm.common import ship_code, stored, text_or_empty, worker_cache
 
 #: Labelled rows to learn from, about: bounds what is broadcast and what the driver and each worker hold.
 EXAMPLES = 20_000
-#: Terms at most.
+#: Telling terms at most.
 TERMS = 1024
 #: Fewest examples with a term, and how many times the overall rate its lower confidence bound must reach.
 LEAST_EXAMPLES, LEAST_LIFT, DEVIATIONS = 5, 2.0, 3.0
-#: Distinct example vectors that vote, examples of a block, and examples named as evidence.
-NEIGHBOURS, BLOCK, EVIDENCE = 10, 64, 3
+#: Distinct example vectors that vote, and examples named as evidence.
+NEIGHBOURS, EVIDENCE = 10, 3
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
 
@@ -84,61 +87,82 @@ def informative_terms(labelled: DataFrame, most: int = TERMS) -> list[str]:
     return [r["term"] for r in ranked.orderBy(F.desc("lower"), "term").limit(most).collect()]
 
 
-def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """``id, terms, counts``: which of the terms every whole text has, and how often."""
-    number = {t: i for i, t in enumerate(terms)}
+def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Offsets and values of a list column."""
+    offsets = column.offsets.to_numpy()
+    return offsets - offsets[0], column.flatten()
 
+
+def example_terms(learned: DataFrame) -> DataFrame:
+    """``id, label, terms, counts`` of ``(id, label, text)``: all terms of every whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for text in batch.column(1).to_pylist():
-                hits = Counter(map(number.get, TERM.findall(text.lower())))
-                hits.pop(None, None)
-                found.append(sorted(hits.items()))
-            ints = pa.list_(pa.int32())
+            found = [sorted(term_counts(t).items()) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([[h[i] for h in hits] for hits in found], ints) for i in (0, 1))],
-                names=["id", "terms", "counts"])
+                [batch.column(0), batch.column(1), pa.array([[t for t, _ in f] for f in found], pa.list_(pa.string())),
+                 pa.array([[n for _, n in f] for f in found], pa.list_(pa.int32()))], names=["id", "label", "terms", "counts"])
+
+    kind = learned.schema["id"].dataType.simpleString()
+    return learned.select("id", "label", "text").mapInArrow(run, f"id {kind}, label int, terms array<string>, counts array<int>")
+
+
+class _Entries:
+    """Rows of a sparse matrix as ((term, count), ...)."""
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, terms array<int>, counts array<int>")
+    def __init__(self, starts: np.ndarray, terms: np.ndarray, counts: np.ndarray):
+        self.starts, self.terms, self.counts = starts, terms, counts
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def __getitem__(self, i: int) -> tuple:
+        if not 0 <= i < len(self):
+            raise IndexError(i)
+        part = slice(self.starts[i], self.starts[i + 1])
+        return tuple(zip(self.terms[part].tolist(), self.counts[part].tolist()))
 
 
 class Index:
-    """Examples under an inverted index with a largest weight per term and block."""
+    """Examples under an inverted index."""
 
-    def __init__(self, idf: np.ndarray, examples: list[tuple[int, list[int], list[int], int]]):
-        """examples: (id, terms, counts, label). Equal vectors become one entry; those without terms the blank rate."""
+    def __init__(self, idf: np.ndarray, examples: Iterable[tuple[int, list[int], list[int], int]]):
+        """examples: (id, terms, counts, label), terms in order. Equal vectors become one entry; those without terms the blank rate."""
         self.idf = idf
-        labels = [e[3] for e in examples]
+        members: dict[tuple[bytes, bytes], list[tuple[int, int]]] = {}
+        labels: list[int] = []
+        blank: list[int] = []
+        for number, terms, counts, label in examples:
+            labels.append(label)
+            if len(terms):
+                members.setdefault(self._key(terms, counts), []).append((label, number))
+            else:
+                blank.append(label)
         self.rate = (sum(labels) + 0.5) / (len(labels) + 10.0)
-        blank = [e[3] for e in examples if not e[1]]
         self.blank_score = (sum(blank) + self.rate) / (len(blank) + 1.0)
-        groups: dict[tuple, list[tuple[int, int]]] = {}
-        for number, terms, counts, label in examples:
-            if terms:
-                groups.setdefault(tuple(zip(terms, counts)), []).append((label, number))
-        self.entries = sorted(groups)  # like vectors lie in one block
-        members = [sorted(groups[e]) for e in self.entries]
-        self.n = np.array([len(m) for m in members], float)
-        self.toxic = np.array([sum(x[0] for x in m) for m in members], float)
-        self.shown = [[(number, label) for label, number in m[:EVIDENCE]] for m in members]
-        self.blocks = -(-len(self.entries) // BLOCK)
-        postings: dict[int, list[tuple[int, float]]] = {}
-        for at, entry in enumerate(self.entries):
-            for t, w in zip(*self.weigh(entry)):
-                postings.setdefault(int(t), []).append((at, w))
-        self.postings, self.most = {}, {}
-        for t, found in postings.items():
-            at = np.array([p[0] for p in found])
-            w = np.array([p[1] for p in found])
-            starts = np.searchsorted(at, np.arange(self.blocks + 1) * BLOCK)
-            most = np.zeros(self.blocks)
-            np.maximum.at(most, at // BLOCK, w)
-            self.postings[t], self.most[t] = (at, w, starts), most
-        self.slope, self.shift = 1.0, 0.0
-        self._calibrate()
-        self.known: dict[tuple, tuple[float, list]] = {}
+        keys = sorted(members)
+        self.digests = {hashlib.sha256(b"|".join(k)).digest(): i for i, k in enumerate(keys)}
+        self.n = np.array([len(members[k]) for k in keys], float)
+        self.toxic = np.array([sum(x[0] for x in members[k]) for k in keys], float)
+        self.shown = [[(number, label) for label, number in sorted(members[k])[:EVIDENCE]] for k in keys]
+        starts = np.cumsum([0, *(len(k[0]) // 4 for k in keys)])
+        terms = np.frombuffer(b"".join(k[0] for k in keys), np.int32)
+        counts = np.frombuffer(b"".join(k[1] for k in keys), np.int32)
+        self.entries = _Entries(starts, terms, counts)
+        weight = (1 + np.log(counts)) * idf[terms] if len(terms) else np.zeros(0)
+        norm = np.sqrt(np.add.reduceat(weight * weight, starts[:-1])) if len(keys) else np.ones(0)
+        weight /= np.repeat(norm, np.diff(starts))
+        order = np.argsort(terms, kind="stable")
+        self.at = np.repeat(np.arange(len(keys), dtype=np.int32), np.diff(starts))[order]
+        self.weight = weight[order]
+        self.begin = np.searchsorted(terms[order], np.arange(len(idf) + 1))
+
+    @staticmethod
+    def _key(terms, counts) -> tuple[bytes, bytes]:
+        return np.asarray(terms, np.int32).tobytes(), np.asarray(counts, np.int32).tobytes()
+
+    def entry_of(self, terms, counts) -> int:
+        """The number of the entry of this very vector, -1 without one."""
+        return self.digests.get(hashlib.sha256(b"|".join(self._key(terms, counts))).digest(), -1)
 
     def weigh(self, entry: tuple) -> tuple[np.ndarray, np.ndarray]:
         """Unit TF-IDF vector of ((term, count), ...)."""
@@ -146,26 +170,27 @@ class Index:
         w = (1 + np.log([e[1] for e in entry])) * self.idf[t]
         return t, w / np.sqrt(np.dot(w, w))
 
-    def nearest(self, entry: tuple, k: int = NEIGHBOURS, leave: int = -1) -> list[tuple[float, int]]:
-        """The k entries of largest cosine (ties: smaller entry number), without ``leave``; entries of cosine 0 are none."""
-        terms, weights = self.weigh(entry)
-        own = [(int(t), w) for t, w in zip(terms, weights) if int(t) in self.postings]
-        if not own:
+    def nearest(self, entry: tuple, k: int = NEIGHBOURS, unseen: float = 0.0) -> list[tuple[float, int]]:
+        """The k entries of largest cosine (ties: smaller entry number); entries of cosine 0 are none.
+
+        unseen: the squared TF-IDF length of the text's terms that no example has.
+        """
+        if not entry or not len(self.n):
             return []
-        bound = sum(w * self.most[t] for t, w in own)
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or (len(best) == k and bound[block] + 1e-12 < -best[-1][0]):
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in own:
-                at, weight, starts = self.postings[t]
-                part = slice(starts[block], starts[block + 1])
-                scores[at[part] - block * BLOCK] += w * weight[part]
+        t = np.array([e[0] for e in entry])
+        w = (1 + np.log([e[1] for e in entry])) * self.idf[t]
+        w = w / np.sqrt(np.dot(w, w) + unseen)
+        scores = np.zeros(len(self.n))
+        at, weight = self.at, self.weight
+        for x, a, b in zip(w.tolist(), self.begin[t].tolist(), self.begin[t + 1].tolist()):
+            scores[at[a:b]] += x * weight[a:b]  # a term has an entry once
+        if len(scores) > k:
+            least = np.partition(scores, len(scores) - k)[len(scores) - k]
+            hits = np.nonzero((scores >= least) & (scores > 0))[0]
+        else:
             hits = np.nonzero(scores)[0]
-            best += [(-scores[i], int(block * BLOCK + i)) for i in hits if block * BLOCK + i != leave]
-            best = sorted(best)[:k]
-        return [(-s, i) for s, i in best]
+        best = sorted((-scores[i], int(i)) for i in hits)[:k]
+        return [(float(-s), i) for s, i in best]
 
     def vote(self, near: list[tuple[float, int]], entry: int = -1, label: int = 0) -> float:
         """Weighted share of toxic neighbours, drawn to the overall rate; an example given by ``entry`` and ``label`` is left out."""
@@ -178,49 +203,76 @@ class Index:
             toxic += s * s * t
         return toxic / weight
 
-    def _calibrate(self, rounds: int = 25) -> None:
-        """Fit the logistic curve to the leave-one-out votes, by Newton's method with a small penalty."""
-        x, y, weight = [], [], []
-        for i, entry in enumerate(self.entries):
-            near = self.nearest(entry)
-            for label, n in ((1, self.toxic[i]), (0, self.n[i] - self.toxic[i])):
-                if n:
-                    v = self.vote(near, i, label)
-                    x.append(math.log(v / (1 - v)))
-                    y.append(label)
-                    weight.append(n)
-        if not x or len(set(y)) < 2:
-            return
-        x, y, weight = map(np.array, (x, y, weight))
-        p = np.array([1.0, 0.0])
+
+def _log_odds(p: float) -> float:
+    return math.log(p / (1 - p))
+
+
+def calibration(x: np.ndarray, y: np.ndarray, rounds: int = 25) -> list[float]:
+    """Factors of the columns of ``x`` and a constant of the logistic curve of ``y``, by Newton's method with a small penalty.
+
+    A column with a falling curve, which would turn its votes around, is left out.
+    """
+    columns = list(range(x.shape[1]))
+    start = [1.0 / len(columns)] * len(columns) + [0.0]
+    if not len(y) or len(set(y.tolist())) < 2:
+        return start
+    while columns:
+        z = np.column_stack([x[:, columns], np.ones(len(y))])
+        first = np.array([1.0 / len(columns)] * len(columns) + [0.0])
+        p = first.copy()
         for _ in range(rounds):
-            s = 1 / (1 + np.exp(-np.clip(p[0] * x + p[1], -30, 30)))
-            g = np.array([np.sum(weight * (s - y) * x), np.sum(weight * (s - y))]) + (p - [1.0, 0.0])
-            c = weight * s * (1 - s)
-            h = np.array([[np.sum(c * x * x), np.sum(c * x)], [np.sum(c * x), np.sum(c)]]) + np.eye(2)
+            s = 1 / (1 + np.exp(-np.clip(z @ p, -30, 30)))
+            g = z.T @ (s - y) + (p - first)
+            h = (z * (s * (1 - s))[:, None]).T @ z + np.eye(len(p))
             p = p - np.linalg.solve(h, g)
-        if p[0] > 0:  # a falling curve would turn the votes around
-            self.slope, self.shift = map(float, p)
+        if np.all(p[:-1] > 0):
+            out = [0.0] * x.shape[1] + [float(p[-1])]
+            for c, v in zip(columns, p):
+                out[c] = float(v)
+            return out
+        columns.pop(int(np.argmin(p[:-1])))
+    return start
 
-    def score(self, terms: list[int], counts: list[int]) -> tuple[float, list[tuple[int, float, int]]]:
-        """Calibrated score of a vector, and its evidence: (example id, cosine, label)."""
-        entry = tuple(zip(terms, counts))
-        if not entry:
-            return self.blank_score, []
-        out = self.known.get(entry)
-        if out is None:
-            near = self.nearest(entry)
-            if near:
-                v = self.vote(near)
-                s = 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * math.log(v / (1 - v)) + self.shift))))
-                evidence = [(number, round(c, 6), label) for c, i in near[:EVIDENCE] for number, label in self.shown[i]][:EVIDENCE]
-                out = s, evidence
+
+class Scorer:
+    """Votes of all terms and of the telling terms."""
+
+    def __init__(self, number: dict[str, int], keep: np.ndarray, whole: Index, focused: Index, rare_idf: float):
+        """number: of every term; keep: a term's number among the telling ones, or -1."""
+        self.number = number
+        self.telling = {int(t): int(keep[t]) for t in np.nonzero(keep >= 0)[0]}
+        self.whole, self.focused, self.rare = whole, focused, rare_idf
+        self.known: dict[tuple, float] = {}
+
+    def votes(self, found: dict[str, int], label: int | None = None) -> tuple[float, float, list[tuple[float, int]]]:
+        """Log odds of both votes, and the nearest examples over all terms; an example's label is left out of its votes."""
+        hits, unseen = [], 0.0
+        for term, n in found.items():
+            t = self.number.get(term)
+            if t is None:
+                unseen += ((1 + math.log(n)) * self.rare) ** 2
             else:
-                out = self.rate, []
-            if len(self.known) >= 200_000:
-                self.known.clear()
-            self.known[entry] = out
-        return out
+                hits.append((t, n))
+        hits.sort()
+        near = self.whole.nearest(tuple(hits), NEIGHBOURS + (label is not None), unseen)
+        own = self.whole.entry_of(*zip(*hits)) if label is not None and hits else -1
+        if own >= 0:  # an example alone with its vector takes no place among its neighbours
+            near = [x for x in near if x[1] != own or self.whole.n[own] > 1]
+        near = near[:NEIGHBOURS]
+        every = self.whole.vote(near, own, label or 0) if hits else self.whole.blank_score
+        entry = tuple(sorted((self.telling[t], n) for t, n in hits if t in self.telling))
+        if not entry:
+            return _log_odds(every), _log_odds(self.focused.blank_score), near
+        told = self.known.get(entry) if label is None else None
+        if told is None:
+            own = self.focused.entry_of(*zip(*entry)) if label is not None else -1
+            told = _log_odds(self.focused.vote(self.focused.nearest(entry), own, label or 0))
+            if label is None:
+                if len(self.known) >= 200_000:
+                    self.known.clear()
+                self.known[entry] = told
+        return _log_odds(every), told, near
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -236,26 +288,97 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(f"`{text_col}`").alias("text"))
     few = stored(sample(labels, id_col, label_col, examples), "toxicity-sample")
     labelled = rows.join(F.broadcast(few), "id")  # about EXAMPLES rows of an id and a label
-    terms = informative_terms(labelled)
-    all_vectors = stored(vectors(rows, terms), "toxicity-vectors")
-    n = all_vectors.count()
-    seen = dict(all_vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect())  # at most TERMS rows
-    idf = np.array([math.log((1 + n) / (1 + seen.get(t, 0))) + 1 for t in range(len(terms))])
-    learned = all_vectors.join(F.broadcast(few), "id").groupBy("id").agg(  # repeated ids teach once
-        F.min(F.struct("terms", "counts", "label")).alias("e")).select("id", "e.*").collect()
-    index = Index(idf, sorted((r["id"], r["terms"], r["counts"], r["label"]) for r in learned))
+    telling = informative_terms(labelled)
+    once = labelled.groupBy("id").agg(F.min(F.struct("text", "label")).alias("e")).select("id", "e.label", "e.text")  # repeated ids teach once
+    learned = stored(example_terms(once), "toxicity-examples")
+    table = learned.orderBy("id").toArrow().combine_chunks()
+    if len(table):
+        offsets, flat = _lists(table["terms"].chunk(0))
+        coded = flat.dictionary_encode()
+        vocabulary, codes, counts = coded.dictionary, coded.indices.to_numpy(), _lists(table["counts"].chunk(0))[1].to_numpy()
+    else:
+        flat = coded = None
+        offsets, vocabulary, codes, counts = np.zeros(1, int), pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, np.int32)
+    ids, ys = table["id"].to_pylist(), table["label"].to_pylist()
+    # Broadcasts are small bytes, as every executor keeps them on disk; a worker builds its index from them once.
+    send = lambda x: rows.sparkSession.sparkContext.broadcast(zlib.compress(cloudpickle.dumps(x)))
+    receive = lambda sent: cloudpickle.loads(zlib.decompress(sent.value))
+    vocabulary = vocabulary.to_pylist()
+    shared = send("\n".join(vocabulary))  # terms are letters
+    key = uuid.uuid4().hex
+
+    def numbers() -> dict[str, int]:
+        return worker_cache(f"{key}-terms", lambda: {t: i for i, t in enumerate(filter(None, receive(shared).split("\n")))})
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = numbers()
+        seen = np.zeros(len(number) + 1, np.int64)  # the last counts texts
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                hits = [i for t in set(TERM.findall(text.lower())) if (i := number.get(t)) is not None]
+                seen[hits] += 1
+            seen[-1] += batch.num_rows
+        at = np.nonzero(seen)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at])], names=["t", "n"])
+
+    counted = rows.select("text").mapInArrow(frequencies, "t int, n bigint").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(vocabulary) + 1)
+    df[counted["t"].to_numpy()] = counted["n"].to_numpy()
+    idf, rare = np.log((1 + df[-1]) / (1 + df[:-1])) + 1, math.log(1 + df[-1]) + 1
+
+    number = {t: i for i, t in enumerate(telling)}
+    keep = np.array([number.get(t, -1) for t in vocabulary], np.int32)
+    ends, n_telling = np.array(offsets), len(telling)
+    order = np.lexsort((codes, np.repeat(np.arange(len(ys)), np.diff(ends))))  # each example's terms by number
+    indexed = send((codes[order], counts[order], ends, ys, idf, keep))
+    del table, flat, coded, order, codes, counts, vocabulary
+
+    def build() -> Scorer:
+        codes, counts, ends, ys, idf, keep = receive(indexed)
+
+        def vectors(all_terms: bool) -> Iterator[tuple]:
+            for i, y in enumerate(ys):
+                t, c = codes[ends[i]:ends[i + 1]], counts[ends[i]:ends[i + 1]]
+                if not all_terms:
+                    t = keep[t]
+                    t, c = t[t >= 0], c[t >= 0]
+                    by = np.argsort(t)
+                    t, c = t[by], c[by]
+                yield i, t, c, y
+
+        focused_idf = np.ones(n_telling)
+        focused_idf[keep[keep >= 0]] = idf[keep >= 0]
+        return Scorer(numbers(), keep, Index(idf, vectors(True)), Index(focused_idf, vectors(False)), rare)
+
+    scorer = lambda: worker_cache(key, build)
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ys, terms, counts = (batch.column(i).to_pylist() for i in (1, 2, 3))
+            found = [scorer().votes(dict(zip(t, c)), y) for y, t, c in zip(ys, terms, counts)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array([f[i] for f in found], pa.float64()) for i in (0, 1))],
+                                             names=["label", "every", "told"])
+
+    own = learned.repartition(48, "id").mapInArrow(left_out, "label int, every double, told double").orderBy("label", "every", "told").toArrow()
+    curve = calibration(np.column_stack([own["every"].to_numpy(), own["told"].to_numpy()]), own["label"].to_numpy().astype(float))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [index.score(t, c) for t, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            evidence = [[{"id": i, "cosine": c, "label": y} for i, c, y in e] for _, e in found]
+            scores, evidence = [], []
+            judge = scorer()
+            for text in batch.column(1).to_pylist():
+                every, told, near = judge.votes(term_counts(text))
+                odds = curve[0] * every + curve[1] * told + curve[2]
+                scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, odds)))))
+                evidence.append([{"id": ids[number], "cosine": round(c, 6), "label": y}
+                                 for c, i in near[:EVIDENCE] for number, y in judge.whole.shown[i]][:EVIDENCE])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s for s, _ in found], pa.float64()),
+                [batch.column(0), pa.array(scores, pa.float64()),
                  pa.array(evidence, pa.list_(pa.struct([("id", batch.schema.field(0).type), ("cosine", pa.float64()), ("label", pa.int32())])))],
                 names=["id", "score", "evidence"])
 
-    scored = all_vectors.mapInArrow(run, f"id {kind}, score double, evidence array<struct<id:{kind},cosine:double,label:int>>")
+    scored = rows.mapInArrow(run, f"id {kind}, score double, evidence array<struct<id:{kind},cosine:double,label:int>>")
     held = F.crc32(F.col("id").cast("string").cast("binary")) % 4 == 2
     return scored.select(F.col("id").alias(id_col), F.coalesce(held, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence")
