@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import mixing, neardup, pii, quality, secret_scan, simhash, token_counts, toxicity, unigram, warc
+from tickwatch.llm import linededup, mixing, neardup, pii, quality, secret_scan, simhash, token_counts, toxicity, unigram, warc
 
 #: Folder of the public tokenizer files; a parameter of the deployment.
 TOKENIZERS = "/opt/tokenizers"
@@ -145,6 +145,32 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_personal_data, op4_quality_rules, op5_sentencepiece, op6_warc_revisits, op7_minhash_neardup, op8_mixing, op9_toxicity, op10_secret_scan)}
-
-ORACLE_SQL: dict[str, str] = {"op6_warc_revisits": OP6_SQL, "op8_mixing": OP8_SQL}
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the long lines that five or more of them share, except in the largest."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = linededup.kept_texts(docs, linededup.keep_bitmaps(docs))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP13_SQL = """
+WITH split AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM split),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+shared AS (
+  SELECT k, coalesce(max(doc_id)::VARCHAR, 'none') AS last FROM keyed WHERE length(k) >= 40
+  GROUP BY k HAVING count(DISTINCT coalesce(doc_id::VARCHAR, 'null')) >= 5),
+marked AS (
+  SELECT r, doc_id, pos, line, s.k IS NOT NULL AND coalesce(doc_id::VARCHAR, 'null') <> s.last AS gone
+  FROM keyed LEFT JOIN shared s ON keyed.k = s.k)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r"""
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_fingerprints, op2_token_counts, op3_personal_data, op4_quality_rules, op5_sentencepiece, op6_warc_revisits,
+    op7_minhash_neardup, op8_mixing, op9_toxicity, op10_secret_scan, op13_line_dedup)}
+
+ORACLE_SQL: dict[str, str] = {"op6_warc_revisits": OP6_SQL, "op8_mixing": OP8_SQL, "op13_line_dedup": OP13_SQL}
