@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import linededup, mixing, neardup, pii, quality, secret_scan, simhash, token_counts, toxicity, unigram, warc
+from tickwatch.llm import linededup, mixing, neardup, pii, prefix_trie, quality, secret_scan, simhash, token_counts, toxicity, unigram, warc
 
 #: Folder of the public tokenizer files; a parameter of the deployment.
 TOKENIZERS = "/opt/tokenizers"
@@ -145,6 +145,47 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+#: CRC-32 of a number's decimal text, bit by bit.
+SQL_CRC32 = """xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT),
+  lambda a, b: list_reduce([xor(a, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)), 4294967295::BIGINT)"""
+
+OP11_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''),
+              md5('0:' || length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, ''))) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+cut AS (SELECT conv_id, own, ({SQL_CRC32} % 4)::INT AS h FROM turns),
+rebuilt AS (
+  SELECT c.conv_id, coalesce(list_slice(b.own, 1, c.h), []) || coalesce(list_slice(c.own, c.h + 1, len(c.own)), []) AS seq
+  FROM cut c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 20),
+prefixes AS (
+  SELECT conv_id, len(seq) AS n, d AS depth, list_slice(seq, 1, d) AS p
+  FROM (SELECT *, unnest(range(len(seq) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT p, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256,
+         CASE WHEN any_value(depth) = 0 THEN 0
+              ELSE len(regexp_extract_all(any_value(p)[-1].t, '[^\x20\x09-\x0D]+')) END AS w
+  FROM prefixes GROUP BY p),
+linked AS (
+  SELECT c.*, x.conv_id AS parent_conv_id FROM nodes c
+  LEFT JOIN nodes x ON x.depth = c.depth - 1 AND x.p = list_slice(c.p, 1, c.depth - 1)),
+childless AS (
+  SELECT n.*, (SELECT count(*) FROM linked k WHERE k.depth = n.depth + 1 AND k.parent_conv_id = n.conv_id) AS n_children
+  FROM linked n)
+SELECT v.conv_id, v.depth::BIGINT AS depth, v.parent_conv_id, v.n_convs::BIGINT AS n_convs, v.n_children::BIGINT AS n_children,
+       count(*) FILTER (WHERE u.n_children = 0)::BIGINT AS n_leaves, sum((u.n_convs - 1) * u.w)::BIGINT AS saved_tokens, v.ends_sha256
+FROM childless v JOIN childless u ON u.depth >= v.depth AND list_slice(u.p, 1, v.depth) = v.p
+GROUP BY ALL"""
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the long lines that five or more of them share, except in the largest."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -171,6 +212,7 @@ FROM marked GROUP BY r"""
 
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_token_counts, op3_personal_data, op4_quality_rules, op5_sentencepiece, op6_warc_revisits,
-    op7_minhash_neardup, op8_mixing, op9_toxicity, op10_secret_scan, op13_line_dedup)}
+    op7_minhash_neardup, op8_mixing, op9_toxicity, op10_secret_scan, op11_prefix_trie,
+    op13_line_dedup)}
 
-ORACLE_SQL: dict[str, str] = {"op6_warc_revisits": OP6_SQL, "op8_mixing": OP8_SQL, "op13_line_dedup": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_warc_revisits": OP6_SQL, "op8_mixing": OP8_SQL, "op11_prefix_trie": OP11_SQL, "op13_line_dedup": OP13_SQL}
