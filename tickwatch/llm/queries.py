@@ -11,7 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import linededup, mixing, neardup, pii, prefix_trie, quality, secret_scan, simhash, token_counts, toxicity, unigram, warc
+from tickwatch.llm import hard_negatives, linededup, mixing, neardup, pii, prefix_trie, quality, secret_scan, simhash, token_counts, toxicity, unigram, warc
 
 #: Folder of the public tokenizer files; a parameter of the deployment.
 TOKENIZERS = "/opt/tokenizers"
@@ -186,6 +186,34 @@ FROM childless v JOIN childless u ON u.depth >= v.depth AND list_slice(u.p, 1, v
 GROUP BY ALL"""
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, after moving the label of every seventh."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", label)
+
+
+OP12_SQL = """
+WITH taken AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+rows AS (SELECT vec_id, label, v::DOUBLE[] AS v FROM taken QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, v) = 1),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 3"""
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the long lines that five or more of them share, except in the largest."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -213,6 +241,7 @@ FROM marked GROUP BY r"""
 QUERIES = {f.__name__: f for f in (
     op1_fingerprints, op2_token_counts, op3_personal_data, op4_quality_rules, op5_sentencepiece, op6_warc_revisits,
     op7_minhash_neardup, op8_mixing, op9_toxicity, op10_secret_scan, op11_prefix_trie,
-    op13_line_dedup)}
+    op12_hard_negatives, op13_line_dedup)}
 
-ORACLE_SQL: dict[str, str] = {"op6_warc_revisits": OP6_SQL, "op8_mixing": OP8_SQL, "op11_prefix_trie": OP11_SQL, "op13_line_dedup": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_warc_revisits": OP6_SQL, "op8_mixing": OP8_SQL, "op11_prefix_trie": OP11_SQL, "op12_hard_negatives": OP12_SQL,
+                              "op13_line_dedup": OP13_SQL}
