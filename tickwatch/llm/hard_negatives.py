@@ -43,6 +43,16 @@ def block_rows(n: int) -> int:
     return min(LARGEST_BLOCK, max(LEAST_BLOCK, math.ceil(BLOCK_FACTOR * math.sqrt(n))))
 
 
+def _best(best: np.ndarray, score: np.ndarray, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``k`` of two sets of rows: higher scores first, then smaller row numbers."""
+    rows, scores = np.concatenate((best, rows)), np.concatenate((score, scores))
+    if len(rows) > 4 * k:
+        near = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+        rows, scores = rows[near], scores[near]
+    first = np.lexsort((rows, -scores))[:k]
+    return rows[first], scores[first]
+
+
 class SortedLists:
     """Rows of a block in id order, and their order in every dimension."""
 
@@ -67,14 +77,15 @@ class SortedLists:
         if not len(up) and not len(down):
             yield np.arange(n), np.zeros(n, np.int64), None
             return
-        while depth < n:
-            now = np.zeros(n, bool)
-            now[self.order[up, n - end:n - depth]] = True
-            now[self.order[down, depth:end]] = True
-            rows = np.flatnonzero(now & ~met)
-            met |= now
-            bound = int(self.values[up, n - end] @ a[up] + self.values[down, end - 1] @ a[down])
-            yield rows, self.scores(rows, a), None if end == n or met.all() else bound
+        while True:
+            before = met.copy()
+            met[self.order[up, n - end:n - depth]] = True
+            met[self.order[down, depth:end]] = True
+            rows = np.flatnonzero(met > before)
+            if met.all():
+                yield rows, self.scores(rows, a), None
+                return
+            yield rows, self.scores(rows, a), int(self.values[up, n - end] @ a[up] + self.values[down, end - 1] @ a[down])
             depth, end = end, min(n, 2 * end)
 
     def positives(self, a: np.ndarray, own: int, k: int = POSITIVES) -> tuple[np.ndarray, np.ndarray]:
@@ -82,9 +93,9 @@ class SortedLists:
         best, score = np.empty(0, np.int64), np.empty(0, np.int64)
         for rows, scores, bound in self.walk(a):
             fresh = self.ids[rows] != own
-            best, score = np.r_[best, rows[fresh]], np.r_[score, scores[fresh]]
-            first = np.lexsort((best, -score))[:k]
-            best, score = best[first], score[first]
+            if len(best) == k:
+                fresh &= scores >= score[-1]
+            best, score = _best(best, score, rows[fresh], scores[fresh], k)
             if bound is None or len(best) == k and bound < score[-1]:
                 break
         return self.ids[best], score
@@ -101,12 +112,10 @@ class SortedLists:
             left = []
             for i in todo:
                 p = int(positive[i])
-                hit = (2 * scores >= p) & (20 * scores <= 19 * p)
+                best, score = found[i]
+                hit = (20 * scores <= 19 * p) & (scores >= score[-1] if len(score) == k else 2 * scores >= p)
                 if hit.any():
-                    best, score = np.r_[found[i][0], rows[hit]], np.r_[found[i][1], scores[hit]]
-                    first = np.lexsort((best, -score))[:k]
-                    found[i] = best[first], score[first]
-                score = found[i][1]
+                    best, score = found[i] = _best(best, score, rows[hit], scores[hit], k)
                 if bound is not None and 2 * bound >= p and not (len(score) == k and bound < score[-1]):
                     left.append(i)
             todo = left
