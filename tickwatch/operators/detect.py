@@ -17,6 +17,7 @@ from tickwatch.operators.rolling import (
     add_moving_averages,
     lag_stage,
     min_max_stage,
+    ordered_rise_stages,
     row_frames,
 )
 from tickwatch.operators.validity import filter_valid
@@ -177,14 +178,23 @@ def detect_pump_dump(
     threshold: float = 8.0,
     readings: int = 10,
     chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
+    ordered: bool = False,
 ) -> DataFrame:
     """D7 (+W5): over the last ``readings`` prices (current included),
     ``pump = (max - min) / min * 100`` and ``dump = (max - current) / max * 100``;
     both ``> threshold`` trigger. As documented, the formula does not check
-    that the minimum came before the maximum."""
-    stages = [min_max_stage("price_usd", readings, "_lo", "_hi")]
+    that the minimum came before the maximum.
+
+    With ``ordered`` it does: ``pump`` is the largest rise from a reading to a
+    later one of the frame, and ``dump`` the fall from that later reading (the
+    highest, if several rises are equal) to the current one."""
+    if ordered:
+        stages = ordered_rise_stages("price_usd", readings, "_rise", "_hi")
+        pump = (F.col("_rise") - F.lit(1.0)) * F.lit(100.0)
+    else:
+        stages = [min_max_stage("price_usd", readings, "_lo", "_hi")]
+        pump = pct_change("_hi", "_lo")
     framed = row_frames(valid_ticks, stages, halo=readings - 1, chunk_rows=chunk_rows)
-    pump = pct_change("_hi", "_lo")
     dump = ratio(F.col("_hi") - F.col("price_usd"), "_hi") * F.lit(100.0)
     hit = framed.withColumn("_pump", pump).withColumn("_dump", dump).where(
         (F.col("_pump") > threshold) & (F.col("_dump") > threshold)
@@ -217,7 +227,7 @@ def detect_volume_spikes_spec(
     before the validity filter like the metrics table, then detected on
     valid rows."""
     with_ma = add_moving_averages(
-        ticks, {"_vma": ("volume_24h_usd", frame_rows - 1)}, chunk_rows=chunk_rows
+        ticks, {"_vma": ("volume_24h_usd", frame_rows - 1)}, chunk_rows=chunk_rows, blocks=True
     )
     return detect_volume_spikes(
         filter_valid(with_ma), threshold=threshold, high=2 * threshold, medium=1.5 * threshold, ma_col="_vma"

@@ -420,6 +420,29 @@ def q_pump_dump(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(detect.detect_pump_dump(valid), "variation_pct")
 
 
+@register(
+    "pump_dump_ordered",
+    f"""WITH {VALID_CTE},
+numbered AS (SELECT *, row_number() OVER (PARTITION BY crypto_id ORDER BY collection_timestamp, seq) AS rn FROM valid),
+rises AS (
+  SELECT r.crypto_id, r.rn, b.price_usd / a.price_usd AS rise, b.price_usd AS hi
+  FROM numbered r JOIN numbered b ON b.crypto_id = r.crypto_id AND b.rn BETWEEN r.rn - 9 AND r.rn
+  JOIN numbered a ON a.crypto_id = r.crypto_id AND a.rn BETWEEN r.rn - 9 AND b.rn
+  QUALIFY row_number() OVER (PARTITION BY r.crypto_id, r.rn ORDER BY b.price_usd / a.price_usd DESC, b.price_usd DESC) = 1),
+s AS (SELECT n.*, hi, (rise - 1) * 100 AS pump, (hi - price_usd) / hi * 100 AS dump FROM numbered n JOIN rises USING (crypto_id, rn))
+SELECT crypto_id, 'pump_dump' AS anomaly_type,
+       CASE WHEN least(pump, dump) > 16 THEN 'high' WHEN least(pump, dump) > 12 THEN 'medium' ELSE 'low' END AS severity,
+       collection_timestamp AS detected_at, price_usd AS current_price, hi AS reference_value,
+       round(dump + 1e-9, 6) AS variation_pct,
+       'Rose ' || format('{{:,.2f}}', pump) || '% then fell ' || format('{{:,.2f}}', dump) || '% within 10 readings' AS description
+FROM s WHERE pump > 8 AND dump > 8""",
+)
+def q_pump_dump_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """Pump and dump whose minimum comes before its maximum."""
+    valid = filter_valid(testdata.ticks(spark, sf))
+    return rounded(detect.detect_pump_dump(valid, ordered=True), "variation_pct")
+
+
 @register(
     "volume_spikes_spec",
     f"""WITH {TICKS_CTE},

@@ -25,7 +25,7 @@ def with_averages(
 
     The time columns are a per-row projection, so they are added after the
     window exchanges instead of being shuffled twice."""
-    averaged = add_moving_averages(ticks, chunk_rows=chunk_rows, with_counts=with_counts)
+    averaged = add_moving_averages(ticks, chunk_rows=chunk_rows, with_counts=with_counts, blocks=True)
     ma_cols = [c for c in averaged.columns if c not in ticks.columns]
     return add_time_columns(averaged).select(*ticks.columns, *TIME_COLUMN_NAMES, *ma_cols)
 
