@@ -65,7 +65,38 @@ def test_delivery_failure_mid_batch_does_not_stop_the_rest(spark):
     t = alerts.tally(res).first()
     assert (t.succeeded, t.failed) == (18, 2)
     errs = sorted(r.alert_key for r in res.where(~F.col("ok")).collect())
-    assert errs == ["k13|price_variation|13", "k7|price_variation|7"]
+    assert errs == ["k13|price_variation|13|1.0", "k7|price_variation|7|1.0"]
+
+
+def test_two_readings_of_one_second_are_both_sent_once(spark, tmp_dir):
+    out, sent = os.path.join(tmp_dir, "outbox"), os.path.join(tmp_dir, "sent")
+    os.mkdir(sent)
+
+    def send(key, subject, message):
+        open(os.path.join(sent, f"{key.replace('/', '_')}-{os.urandom(4).hex()}"), "w").close()
+        return "id"
+
+    first = [("bitcoin", "volume_spike", "low", 1704067200, 10.5, 1.0, 3.0, "d")]
+    second = [("bitcoin", "volume_spike", "low", 1704067200, 11.5, 1.0, 3.0, "d"),
+              ("bitcoin", "volume_spike", "low", 1704153600, 11.5, 1.0, 3.0, "d")]
+    runs = [tuple(alerts.tally(alerts.deliver_pending(_anoms(spark, rows), out, send)).first())
+            for rows in (first, first, first + second, second, [])]
+    assert runs == [(1, 0), (0, 0), (2, 0), (0, 0), (0, 0)]
+    assert sorted(name.rsplit("-", 1)[0] for name in os.listdir(sent)) == [
+        "bitcoin|volume_spike|1704067200|10.5", "bitcoin|volume_spike|1704067200|11.5", "bitcoin|volume_spike|1704153600|11.5"]
+    assert sorted(os.listdir(out))[-2:] == ["detection_date=2024-01-01", "detection_date=2024-01-02"]
+
+
+def test_the_outbox_is_read_by_the_dates_of_the_batch(spark, tmp_dir):
+    import datetime as dt
+
+    out = os.path.join(tmp_dir, "outbox")
+    days = [("k", "volume_spike", "low", 1704067200 + i * 86400, 1.0, 1.0, 3.0, "d") for i in range(5)]
+    alerts.deliver_pending(_anoms(spark, days), out)
+    one = alerts.outbox(spark, out, [dt.date(2024, 1, 3)])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == 1 and "PartitionFilters: [" in plan and "detection_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert alerts.outbox(spark, out, [None]).count() == 0 and alerts.outbox(spark, out).count() == 5
 
 
 def test_counts_latest_top(spark):

@@ -4,7 +4,8 @@ Nothing is collected to the driver. Text is built with Catalyst string
 functions; delivery runs inside executors through ``mapInPandas`` with a
 pluggable ``send`` function. A task retry may call ``send`` again for the
 same alert, so delivery is at-least-once: every alert carries a stable
-``alert_key`` (key, type, detection time) that receivers can deduplicate on.
+``alert_key``, made of what makes an anomaly the same (key, type, detection
+time, reading), that receivers can deduplicate on.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tickwatch.functions.columns import double_text, epoch_text
 from tickwatch.schemas import ALERTS, DELIVERY_RESULT, OUTBOX
-from tickwatch.sources.tables import table_exists
+from tickwatch.sources.tables import ANOMALY_KEY, table_exists, with_detection_date
 
 # Alert text.
 RULE = "═" * 55
@@ -42,7 +43,8 @@ def to_alerts(anomalies: DataFrame) -> DataFrame:
 
 
 def alert_key() -> Column:
-    return F.concat_ws("|", F.col("crypto_id"), F.col("anomaly_type"), F.col("detected_at").cast("string"))
+    """The identity of the anomaly table as text, so two readings of one second are two alerts."""
+    return F.concat_ws("|", *[F.col(c).cast("string") for c in ANOMALY_KEY])
 
 
 def subject() -> Column:
@@ -144,28 +146,49 @@ def deliver(alerts_text: DataFrame, send: Send | None = None) -> DataFrame:
     return alerts_text.select("alert_key", "subject", "detected_at", "message").mapInPandas(run, DELIVERY_RESULT)
 
 
+def outbox(spark: SparkSession, outbox_path: str, dates: list | None = None) -> DataFrame:
+    """The attempts in the outbox table; with ``dates``, only those detection dates' directories are read."""
+    attempts = spark.read.schema(OUTBOX).parquet(outbox_path)
+    if dates is None:
+        return attempts
+    known = F.col("detection_date").isin([d for d in dates if d is not None])
+    return attempts.where(known | F.col("detection_date").isNull() if None in dates else known)
+
+
 def deliver_pending(anomalies: DataFrame, outbox_path: str, send: Send | None = None) -> DataFrame:
     """Deliver the alerts of ``anomalies`` that the outbox table does not hold
     as delivered, newest first, and append the attempts to it. Returns this
     run's attempts, read back from the table, so later actions deliver
     nothing. A run that stops
     between delivery and the end of its write repeats its alerts
-    (at-least-once); a failed attempt is tried again by the next run."""
+    (at-least-once); a failed attempt is tried again by the next run.
+
+    The outbox is partitioned by detection date and only the dates of the batch
+    (a short list) are read. The batch is cached for the dates and the delivery."""
     spark = anomalies.sparkSession
-    text = with_text(to_alerts(anomalies))
-    if table_exists(spark, outbox_path):
-        done = spark.read.schema(OUTBOX).parquet(outbox_path).where("ok").select("alert_key").distinct()
-        text = text.join(done, "alert_key", "left_anti")
-    run_id = uuid.uuid4().hex
-    attempts = deliver(text.orderBy(F.col("detected_at").desc(), "alert_key"), send).withColumn("run_id", F.lit(run_id))
-    attempts.select(*OUTBOX.fieldNames()).write.mode("append").parquet(outbox_path)
-    return spark.read.schema(OUTBOX).parquet(outbox_path).where(F.col("run_id") == run_id)
+    text = with_text(with_detection_date(to_alerts(anomalies)))
+    dates = None
+    if known := table_exists(spark, outbox_path):
+        text = text.persist()
+    try:
+        pending = text
+        if known:
+            dates = [r[0] for r in text.select("detection_date").distinct().collect()]
+            done = outbox(spark, outbox_path, dates).where("ok").select(
+                F.col("detection_date").alias("_date"), F.col("alert_key").alias("_key")).distinct()
+            pending = text.join(done, F.col("detection_date").eqNullSafe(F.col("_date")) & (F.col("alert_key") == F.col("_key")), "left_anti")
+        run_id = uuid.uuid4().hex
+        attempts = deliver(pending.orderBy(F.col("detected_at").desc(), "alert_key"), send).withColumn("run_id", F.lit(run_id))
+        with_detection_date(attempts).select(*OUTBOX.fieldNames()).write.mode("append").partitionBy("detection_date").parquet(outbox_path)
+    finally:
+        if known:
+            text.unpersist()
+    return outbox(spark, outbox_path, dates).where(F.col("run_id") == run_id)
 
 
 def sent_alerts(spark: SparkSession, outbox_path: str) -> DataFrame:
     """The delivered alerts, newest first."""
-    sent = spark.read.schema(OUTBOX).parquet(outbox_path).where("ok")
-    return sent.orderBy(F.col("detected_at").desc(), "alert_key")
+    return outbox(spark, outbox_path).where("ok").orderBy(F.col("detected_at").desc(), "alert_key")
 
 
 def tally(results: DataFrame) -> DataFrame:

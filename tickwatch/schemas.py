@@ -126,8 +126,8 @@ DELIVERY_RESULT = T.StructType(
     ]
 )
 
-# The outbox: one row per delivery attempt.
-OUTBOX = T.StructType([T.StructField("run_id", T.StringType()), *DELIVERY_RESULT.fields])
+# The outbox: one row per delivery attempt, partitioned by the anomaly's detection date.
+OUTBOX = T.StructType([T.StructField("run_id", T.StringType()), *DELIVERY_RESULT.fields, T.StructField("detection_date", T.DateType())])
 
 RUN_LOG = T.StructType(
     [

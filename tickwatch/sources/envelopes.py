@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tickwatch.operators.timecols import landing_columns
 from tickwatch.schemas import ENVELOPE
+from tickwatch.sources import files
 
 PARTITIONS = ("year", "month", "day", "hour")
 CORRUPT = "_corrupt_record"
@@ -104,23 +105,14 @@ def land_envelopes(envelopes: DataFrame, root: str) -> None:
 
 
 def expire_raw(spark: SparkSession, root: str, as_of, days: int = 30) -> list[str]:
-    """S12 on the landing layout: empty every hour directory of the days that
-    are ``days`` or more before ``as_of`` (a ``datetime.date``).
-
-    The expired hours come from a distinct query over the partition columns
-    (bounded by the number of hours); each hour directory is then statically
-    overwritten with no rows, which keeps the four-level layout readable.
-    Returns the expired days as ``yyyy-MM-dd`` strings.
+    """S12 on the landing layout: remove every day directory that is ``days`` or
+    more before ``as_of`` (a ``datetime.date``), through the file system: one
+    listing of days, no Spark job. Returns the expired days as ``yyyy-MM-dd`` strings.
     """
     import datetime as dt
 
-    cutoff = (as_of - dt.timedelta(days=days)).strftime("%Y%m%d")
-    raw = read_envelopes_raw(spark, root)
-    day_key = F.concat(F.col("year"), F.col("month"), F.col("day"))
-    hours = raw.where(day_key <= F.lit(cutoff)).select(*PARTITIONS).distinct().collect()
-    empty = spark.createDataFrame([], ENVELOPE)
-    for r in hours:
-        empty.write.mode("overwrite").json(
-            f"{root.rstrip('/')}/year={r.year}/month={r.month}/day={r.day}/hour={r.hour}"
-        )
-    return sorted({f"{r.year}-{r.month}-{r.day}" for r in hours})
+    cutoff = (as_of - dt.timedelta(days=days)).isoformat()
+    found = files.directories(spark, f"{root.rstrip('/')}/year=*/month=*/day=*")
+    expired = {d: "-".join(v) for d, v in zip(found, files.values(found, "year", "month", "day")) if "-".join(v) <= cutoff}
+    files.remove(spark, expired)
+    return sorted(expired.values())

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwatch.schemas import ANOMALY_COLUMNS, METRICS, STORED_ANOMALIES
+from tickwatch.sources import files
 
 METRIC_PARTITIONS = ("collection_date", "crypto_id")
 ANOMALY_PARTITIONS = ("detection_date", "severity")
@@ -147,16 +148,21 @@ def retain(df: DataFrame, as_of: Column | dt.date | str, days: int = 30, date_co
 
 def expire_dates(spark: SparkSession, path: str, date_col: str, schema: T.StructType,
                  as_of: dt.date, days: int = 30) -> list[dt.date]:
-    """S12 on storage: empty every ``date_col=<d>`` directory older than the
-    retention (static overwrite with no rows). Returns the expired dates
-    (one small distinct-dates query)."""
-    stored = spark.read.schema(schema).parquet(path)
+    """S12 on storage: remove every ``date_col=<d>`` directory that is ``days`` or
+    more before ``as_of``, through the file system: one listing, no Spark job.
+    ``date_col`` is the table's first partition column. Returns the expired dates."""
     cutoff = as_of - dt.timedelta(days=days)
-    expired = [r[0] for r in stored.where(F.col(date_col) <= F.lit(cutoff)).select(date_col).distinct().collect()]
-    empty = spark.createDataFrame([], T.StructType([f for f in schema.fields if f.name != date_col]))
-    for d in expired:
-        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{date_col}={d.isoformat()}")
-    return expired
+    found = files.directories(spark, f"{path.rstrip('/')}/{date_col}=*")
+    expired = {}
+    for directory, (value,) in zip(found, files.values(found, date_col)):
+        try:
+            day = dt.date.fromisoformat(value)
+        except ValueError:  # rows without a date
+            continue
+        if day <= cutoff:
+            expired[directory] = day
+    files.remove(spark, expired)
+    return sorted(expired.values())
 
 
 def write_daily(df: DataFrame, root: str, name: str, ts_col: str) -> None:
