@@ -67,3 +67,74 @@ def test_rolling_sink_replay_is_idempotent(spark, tmp_dir):
     assert (spark.read.parquet(tp).count(), tables.read_metrics(spark, mp).count(),
             tables.read_anomalies(spark, ap).count()) == counts
     assert counts[0] == 100 and counts[1] == 100 and counts[2] > 0
+
+
+def _paths(root):
+    return [os.path.join(root, x) for x in ("ticks", "metrics", "anoms")]
+
+
+def _run(spark, paths, rows, batch_id=0, **kw):
+    from tickwatch.operators.timecols import add_time_columns
+
+    ingest.rolling_metrics_sink(*paths, **{"chunk_rows": 480, **kw})(add_time_columns(ticks_df(spark, rows)), batch_id)
+
+
+def _averages(df):
+    return sorted((r.crypto_id or "", r.collection_timestamp, r.price_usd, round(r.volume_ma_24h, 9), round(r.price_ma_15min, 9))
+                  for r in df.collect())
+
+
+def _ticks(n, keys, start=0, step=180):
+    return [tick(1704067200 + i * step, k, price=50.0 + i % 7, volume=float(1 + (i * 7) % 90)) for i in range(start, n) for k in keys]
+
+
+def test_a_batch_reads_its_own_keys_tails_only(spark, tmp_dir):
+    """A key with much history and a key that ended: the context of a batch is at most the frame, from its keys."""
+    paths = _paths(tmp_dir)
+    old = _ticks(1500, ["hot"]) + _ticks(10, ["retired"])
+    _run(spark, paths, old)
+    tail = ingest.Tail(spark, paths[0], 480)
+    buckets = list(range(ingest.TAIL_BUCKETS))
+    counts = {r.crypto_id: r["count"] for r in tail.before(-1, buckets).groupBy("crypto_id").count().collect()}
+    assert counts == {"hot": 480, "retired": 10}
+    history = spark.read.parquet(paths[0]).count()
+    for i in range(1500, 1506):
+        _run(spark, paths, _ticks(i + 1, ["hot"], i))
+        assert {r.crypto_id: r["count"] for r in tail.before(-1, buckets).groupBy("crypto_id").count().collect()} == counts
+    # Two versions of a touched bucket remain, one of the untouched.
+    dirs = [os.path.join(d, x) for d, sub, _ in os.walk(paths[0] + "-tail") for x in sub if x.startswith("batch=")]
+    assert len(dirs) <= 4 and spark.read.parquet(paths[0]).count() == history + 6
+    assert _averages(tables.read_metrics(spark, paths[1])) == _averages(transform.metrics(ticks_df(spark, old + _ticks(1506, ["hot"], 1500))))
+
+
+def test_a_batch_replayed_twice_and_a_broken_tail_version(spark, tmp_dir):
+    paths = _paths(tmp_dir)
+    first, second, third = _ticks(600, ["a", "b"]), _ticks(700, ["a", "b"], 600), _ticks(720, ["a", "b"], 700)
+    for rows in (first, second, second, second, third):
+        _run(spark, paths, rows)
+    want = _averages(transform.metrics(ticks_df(spark, first + second + third)))
+    assert _averages(tables.read_metrics(spark, paths[1])) == want
+    # A version whose write broke off: too few rows of key a.
+    tail, buckets = ingest.Tail(spark, paths[0], 480), list(range(ingest.TAIL_BUCKETS))
+    state = tail.before(-1, buckets).collect()
+    broken = spark.createDataFrame([(*r, 480, 0, 99, 5) for r in state if r.crypto_id == "a"][:100], ingest._TAIL).withColumn("bucket", ingest._bucket())
+    broken.write.mode("append").partitionBy("bucket", "version", "batch").parquet(paths[0] + "-tail")
+    assert sorted(map(tuple, tail.before(-1, buckets).collect())) == sorted(map(tuple, state))
+
+
+def test_late_ticks_a_second_reading_and_a_table_without_tail(spark, tmp_dir):
+    paths = _paths(tmp_dir)
+    first, second = _ticks(520, ["a", None]), _ticks(560, ["a", None], 520)
+    reading = [tick(second[-2][0], "a", price=77.0, volume=5.0)]  # the last second once more
+    _run(spark, paths, first)
+    os.rename(paths[0] + "-tail", paths[0] + "-tail-of-before")  # as a table written by an earlier release
+    _run(spark, paths, second)
+    _run(spark, paths, reading)
+    got = tables.read_metrics(spark, paths[1])
+    want = transform.metrics(ticks_df(spark, first + second + reading))
+    assert _averages(got) == _averages(want)
+    late = [tick(first[100][0] + 1, "a", price=60.0, volume=9.0)]
+    _run(spark, paths, late)
+    (row,) = tables.read_metrics(spark, paths[1]).where("price_usd = 60.0").collect()
+    (exp,) = transform.metrics(ticks_df(spark, first + late)).where("price_usd = 60.0").collect()
+    assert abs(row.volume_ma_24h - exp.volume_ma_24h) < 1e-9

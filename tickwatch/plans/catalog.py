@@ -888,25 +888,22 @@ def q_stream_price_variations(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "incremental_metrics",
-    f"""WITH {UNIQUE_TICKS_CTE},
-averaged AS (
-  SELECT *, avg(price_usd) OVER w AS price_ma_24h, avg(volume_24h_usd) OVER w AS volume_ma_24h FROM ticks
-  WINDOW w AS (PARTITION BY crypto_id ORDER BY collection_timestamp ROWS BETWEEN 480 PRECEDING AND CURRENT ROW))
-SELECT crypto_id, collection_timestamp, {_sql_round('price_ma_24h', 'volume_ma_24h')} FROM averaged
+    f"""WITH {averaged_cte(ROW_ORDER)}
+SELECT crypto_id, collection_timestamp, price_usd, {_sql_round('price_ma_24h', 'volume_ma_24h')} FROM averaged
 WHERE price_usd > 0 AND volume_24h_usd > 0 AND crypto_id IS NOT NULL""",
 )
 def q_incremental_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """ST3: two increments, cut in the middle of the hours, give the batch result at the events' uneven cadence."""
+    """ST3: two increments give the batch result at the events' uneven cadence, two readings of one second included."""
     from tickwatch.plans import jobs
 
-    ticks = _unique_ticks(spark, sf)
+    ticks = _flatten.ticks_only(testdata.ticks(spark, sf)).drop("seq")
     raw, tp, mp, ap = (scratch_path(spark, x) for x in ("raw", "ticks", "metrics", "anomalies"))
     _envelopes.land_envelopes(_flatten.envelopes_from_ticks(ticks, testdata.EVENT_KEYS), raw)
     lo, hi = ticks.agg(F.min("collection_timestamp"), F.max("collection_timestamp")).first()
     cut = (lo + hi) // 2 // 3600 * 3600
     jobs.incremental_job(spark, raw, lo, cut - 1, tp, mp, ap)
     jobs.incremental_job(spark, raw, cut, hi, tp, mp, ap)
-    out = _tables.read_metrics(spark, mp).select("crypto_id", "collection_timestamp", "price_ma_24h", "volume_ma_24h")
+    out = _tables.read_metrics(spark, mp).select("crypto_id", "collection_timestamp", "price_usd", "price_ma_24h", "volume_ma_24h")
     return rounded(out, "price_ma_24h", "volume_ma_24h")
 
 
