@@ -31,7 +31,8 @@ RANGE_ROWS, MOST_RANGES = 512, 65536
 
 def terms(text: Column | str) -> Column:
     """SQL array of (hash, weight) of a text's terms: pairs of neighbouring
-    words in lower case; a single word, or a text without words as a whole, is one term."""
+    words in lower case, weighing their letters but at most 32; a single word, or
+    a text without words as a whole, is one term of weight 1."""
     return F.transform(
         F.array(F.lower(text_or_empty(text))),
         lambda t: F.transform(F.array(F.array_remove(F.split(t, r"[\x20\x09-\x0D]+", -1), "")), lambda w: F.when(
@@ -90,7 +91,8 @@ def in_ranges(df: DataFrame, id_col: str) -> DataFrame:
     the first to the last), so that a window per range sees every row's next one."""
     bounds = _ranges(df, id_col)
     n = max(1, len(bounds))
-    array = F.expr("transform(split('{}', ','), x -> CAST(x AS BIGINT))".format(",".join(map(str, bounds or [0]))))
+    # Spark folds this into one literal; a lambda over the list would run again for every row and step.
+    array = F.expr("CAST(split('{}', ',') AS ARRAY<BIGINT>)".format(",".join(map(str, bounds or [0]))))
     steps = [1 << k for k in reversed(range(max(1, n.bit_length())))]
     search = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda p, s: F.when(
         (p + s < n) & (F.get(array, p + s) <= F.col("_id")), p + s).otherwise(p))
