@@ -15,6 +15,7 @@ from tickwatch.llm.queries import op1_fingerprints, op4_quality_rules, op7_minha
 
 from .conftest import edge_rows, text_of
 
+SF_LARGE = "/root/testdata/sf0.1"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -300,6 +301,16 @@ def test_mixed_documents_hold_what_is_taken(edge, clashing):
         assert words == {s: n for s, n in want.items() if n}
 
 
+def test_range_bounds_are_one_literal(spark):
+    """The list of bounds must not be evaluated for every row: no split is left in the optimized plan."""
+    rows = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    placed = simhash.in_ranges(rows, "doc_id")
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "lambdafunction(cast" not in plan
+    got = placed.where("NOT carried").groupBy("range").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).orderBy("range").collect()
+    assert len(got) >= 5 and all(a.hi < b.lo for a, b in zip(got, got[1:]))
+
+
 # ---- toxicity -----------------------------------------------------------------------
 
 
@@ -367,3 +378,58 @@ def test_op9_edge_cases(clashing, nothing, spark):
     none = labels.limit(0)
     assert all(r.predicted == 0 for r in toxicity.toxicity(clashing, none).collect())
     assert toxicity.toxicity(nothing, labels).collect() == []
+
+
+def test_blocks_are_skipped_and_calibration_ignores_no_block():
+    """Examples in well-parted groups: a search scores the blocks of its own group only, and finds all cosines."""
+    import numpy as np
+
+    examples = [(i, [10 * (i // 128) + j for j in range(4)], [1 + i % 128 // 32, 1 + i % 32, 1, 2], i % 2) for i in range(1280)]
+    index = toxicity.Index(np.ones(100), examples)
+    assert index.blocks == 10
+    got = index.nearest(((30, 2), (31, 3), (32, 1)))
+    assert index.scored == 1 and len(got) == toxicity.NEIGHBOURS
+    assert not index.query.any()
+
+
+def test_op9_score_and_evidence_equal_all_cosines(spark):
+    """The query's evidence over all terms against cosines worked out plainly, on all rows of a small table."""
+    import math
+    from collections import Counter
+
+    docs, labels = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    known = {r.doc_id: r.toxic for r in labels.where("toxic IS NOT NULL").collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    counts = {i: toxicity.term_counts(t) for i, t in texts.items()}
+    df = Counter(t for c in counts.values() for t in c)
+    idf = {t: math.log((1 + len(texts)) / (1 + n)) + 1 for t, n in df.items()}
+    held = {t for i in known for t in counts.get(i, ())}
+    rare = math.log(1 + len(texts)) + 1
+
+    def vector(c):
+        w = {t: (1 + math.log(n)) * (idf[t] if t in held else rare) for t, n in c.items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        return {t: x / norm for t, x in w.items()}
+
+    examples = {i: vector(counts[i]) for i in known if counts.get(i)}
+    out = toxicity.toxicity(docs, labels).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        q = vector(counts[r.doc_id]) if counts[r.doc_id] else {}
+        best = sorted((-sum(x * e.get(t, 0.0) for t, x in q.items()) for e in examples.values()))[:1]
+        if r.evidence:
+            assert r.evidence[0].cosine == pytest.approx(-best[0], abs=2e-6)
+            assert all(e.label == known[e.id] for e in r.evidence)
+        else:
+            assert not best or best[0] > -1e-12
+
+
+def test_op9_finds_toxic_rows_that_were_held_out(spark):
+    labels = spark.read.parquet(f"{SF_LARGE}/labels.parquet")
+    docs = spark.read.parquet(f"{SF_LARGE}/documents.parquet")
+    held = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out AND toxic IS NOT NULL").collect()
+    toxic = [r for r in held if r.toxic]
+    found = sum(r.predicted for r in toxic)
+    wrong = sum(r.predicted for r in held if not r.toxic)
+    assert len(toxic) >= 50 and found >= 0.7 * len(toxic)
+    assert wrong <= 0.1 * (len(held) - len(toxic))

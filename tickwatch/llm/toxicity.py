@@ -1,11 +1,14 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
 Learning reads a bounded sample of labelled rows (:data:`EXAMPLES`, chosen by a
-hash of the id) and keeps its rows as examples. All texts are compared with the
-examples twice: over all terms of the examples, and over the telling terms,
-whose texts are toxic clearly more often than others. Document frequencies
-count all documents. Each comparison goes through an inverted index over all
-examples, so the nearest ones are exact; their labels vote with the squared
+hash of the id). All texts are compared with examples twice: over the telling
+terms, whose texts are toxic clearly more often than others, with the whole
+sample; and over all terms, with the first :data:`WHOLE_EXAMPLES` of it.
+Document frequencies count all documents. Each comparison goes through a
+block-max index: examples lie in blocks, an inverted index holds each term's
+largest weight in every block, and the sums of these bound a block's cosines.
+Blocks are scored in the order of their bounds until no block can hold a nearer
+example, so the nearest ones are exact. Their labels vote with the squared
 cosine. A logistic curve over both votes, fitted to leave-one-out votes of the
 examples, calibrates the score. Texts without any of the terms get the rate of
 such examples. The evidence is that of all terms.
@@ -31,12 +34,14 @@ from tickwatch.llm.common import ship_code, stored, text_or_empty, worker_cache
 
 #: Labelled rows to learn from, about: bounds what is broadcast and what the driver and each worker hold.
 EXAMPLES = 20_000
+#: Examples that are compared over all their terms.
+WHOLE_EXAMPLES = 2_048
 #: Telling terms at most.
 TERMS = 1024
 #: Fewest examples with a term, and how many times the overall rate its lower confidence bound must reach.
 LEAST_EXAMPLES, LEAST_LIFT, DEVIATIONS = 5, 2.0, 3.0
-#: Distinct example vectors that vote, and examples named as evidence.
-NEIGHBOURS, EVIDENCE = 10, 3
+#: Distinct example vectors that vote, entries of a block, and examples named as evidence.
+NEIGHBOURS, BLOCK, EVIDENCE = 10, 128, 3
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
 
@@ -87,6 +92,21 @@ def informative_terms(labelled: DataFrame, most: int = TERMS) -> list[str]:
     return [r["term"] for r in ranked.orderBy(F.desc("lower"), "term").limit(most).collect()]
 
 
+def telling_vectors(learned: DataFrame, terms: list[str]) -> DataFrame:
+    """``label, terms, counts`` of ``(label, text)``: which of the terms every whole text has, and how often."""
+    number = {t: i for i, t in enumerate(terms)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits = [Counter(number[t] for t in TERM.findall(text.lower()) if t in number) for text in batch.column(1).to_pylist()]
+            found = [sorted(h.items()) for h in hits]
+            ints = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([[x[i] for x in f] for f in found], ints) for i in (0, 1))],
+                                             names=["label", "terms", "counts"])
+
+    return learned.select("label", "text").mapInArrow(run, "label int, terms array<int>, counts array<int>")
+
+
 def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Offsets and values of a list column."""
     offsets = column.offsets.to_numpy()
@@ -123,7 +143,7 @@ class _Entries:
 
 
 class Index:
-    """Examples under an inverted index."""
+    """Examples in blocks, under an inverted index of each term's largest weight per block."""
 
     def __init__(self, idf: np.ndarray, examples: Iterable[tuple[int, list[int], list[int], int]]):
         """examples: (id, terms, counts, label), terms in order. Equal vectors become one entry; those without terms the blank rate."""
@@ -151,10 +171,18 @@ class Index:
         weight = (1 + np.log(counts)) * idf[terms] if len(terms) else np.zeros(0)
         norm = np.sqrt(np.add.reduceat(weight * weight, starts[:-1])) if len(keys) else np.ones(0)
         weight /= np.repeat(norm, np.diff(starts))
-        order = np.argsort(terms, kind="stable")
-        self.at = np.repeat(np.arange(len(keys), dtype=np.int32), np.diff(starts))[order]
-        self.weight = weight[order]
-        self.begin = np.searchsorted(terms[order], np.arange(len(idf) + 1))
+        self.weight = weight
+        # Largest weights by term, then block.
+        block = np.repeat(np.arange(len(keys)) // BLOCK, np.diff(starts))
+        order = np.lexsort((block, terms))
+        at_term, at_block = terms[order], block[order]
+        first = np.flatnonzero(np.r_[True, (at_term[1:] != at_term[:-1]) | (at_block[1:] != at_block[:-1])]) if len(order) else order
+        self.most = np.maximum.reduceat(weight[order], first) if len(first) else np.zeros(0)
+        self.most_block = at_block[first]
+        self.begin = np.searchsorted(at_term[first], np.arange(len(idf) + 1))
+        self.blocks = -(-len(keys) // BLOCK)
+        self.query = np.zeros(len(idf))  # of one text at a time
+        self.scored = 0  # blocks, of all searches
 
     @staticmethod
     def _key(terms, counts) -> tuple[bytes, bytes]:
@@ -180,17 +208,25 @@ class Index:
         t = np.array([e[0] for e in entry])
         w = (1 + np.log([e[1] for e in entry])) * self.idf[t]
         w = w / np.sqrt(np.dot(w, w) + unseen)
-        scores = np.zeros(len(self.n))
-        at, weight = self.at, self.weight
-        for x, a, b in zip(w.tolist(), self.begin[t].tolist(), self.begin[t + 1].tolist()):
-            scores[at[a:b]] += x * weight[a:b]  # a term has an entry once
-        if len(scores) > k:
-            least = np.partition(scores, len(scores) - k)[len(scores) - k]
-            hits = np.nonzero((scores >= least) & (scores > 0))[0]
-        else:
-            hits = np.nonzero(scores)[0]
-        best = sorted((-scores[i], int(i)) for i in hits)[:k]
-        return [(float(-s), i) for s, i in best]
+        lengths = self.begin[t + 1] - self.begin[t]
+        entries = np.repeat(self.begin[t] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        bound = np.bincount(self.most_block[entries], self.most[entries] * np.repeat(w, lengths), minlength=self.blocks)
+        self.query[t] = w
+        best: list[tuple[float, int]] = []
+        starts, terms = self.entries.starts, self.entries.terms
+        for block in np.argsort(-bound, kind="stable").tolist():
+            if bound[block] <= 0 or (len(best) == k and bound[block] + 1e-9 < -best[-1][0]):
+                break
+            self.scored += 1
+            lo, hi = block * BLOCK, min(len(self.n), (block + 1) * BLOCK)
+            a, b = starts[lo], starts[hi]
+            scores = np.add.reduceat(self.query[terms[a:b]] * self.weight[a:b], starts[lo:hi] - a)
+            hits = np.flatnonzero(scores >= -best[-1][0] if len(best) == k else scores > 0)
+            if len(hits) > 2 * k:
+                hits = hits[scores[hits] >= np.partition(scores[hits], len(hits) - k)[len(hits) - k]]
+            best = sorted([*best, *((-float(scores[i]), lo + int(i)) for i in hits)])[:k]
+        self.query[t] = 0.0
+        return [(-s, i) for s, i in best]
 
     def vote(self, near: list[tuple[float, int]], entry: int = -1, label: int = 0) -> float:
         """Weighted share of toxic neighbours, drawn to the overall rate; an example given by ``entry`` and ``label`` is left out."""
@@ -283,6 +319,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     never read. Null texts are empty; ids in no label, null ids and repeated
     rows are scored like others; without any usable labels all rows get one
     low score. Labels, language, source and id are no inputs of a score.
+    Whole texts are scored, however long; examples of equal cosine rank by their
+    vectors; an empty table gives no rows. The driver and each worker hold the
+    terms of WHOLE_EXAMPLES texts, and a few numbers for each of EXAMPLES.
     """
     ship_code()
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(f"`{text_col}`").alias("text"))
@@ -290,7 +329,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     labelled = rows.join(F.broadcast(few), "id")  # about EXAMPLES rows of an id and a label
     telling = informative_terms(labelled)
     once = labelled.groupBy("id").agg(F.min(F.struct("text", "label")).alias("e")).select("id", "e.label", "e.text")  # repeated ids teach once
-    learned = stored(example_terms(once), "toxicity-examples")
+    # The nested sample for all terms: the first by the same hash.
+    first = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 30))
+    bound = few.select(F.max(first)).first()[0] or 0
+    most = int((bound + 1) * min(1.0, WHOLE_EXAMPLES / max(1, few.count())))
+    once = stored(once, "toxicity-texts")
+    told = telling_vectors(once, telling).orderBy("label", "terms", "counts").toArrow()  # a few numbers for each of the sample
+    learned = stored(example_terms(once.where(first < most)), "toxicity-examples")
     table = learned.orderBy("id").toArrow().combine_chunks()
     if len(table):
         offsets, flat = _lists(table["terms"].chunk(0))
@@ -303,7 +348,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     # Broadcasts are small bytes, as every executor keeps them on disk; a worker builds its index from them once.
     send = lambda x: rows.sparkSession.sparkContext.broadcast(zlib.compress(cloudpickle.dumps(x)))
     receive = lambda sent: cloudpickle.loads(zlib.decompress(sent.value))
-    vocabulary = vocabulary.to_pylist()
+    vocabulary = list(dict.fromkeys([*vocabulary.to_pylist(), *telling]))
     shared = send("\n".join(vocabulary))  # terms are letters
     key = uuid.uuid4().hex
 
@@ -314,9 +359,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         number = numbers()
         seen = np.zeros(len(number) + 1, np.int64)  # the last counts texts
         for batch in batches:
+            found: Counter = Counter()
             for text in batch.column(0).to_pylist():
-                hits = [i for t in set(TERM.findall(text.lower())) if (i := number.get(t)) is not None]
-                seen[hits] += 1
+                found.update(set(TERM.findall(text.lower())))
+            for t, n in found.items():
+                if (i := number.get(t)) is not None:
+                    seen[i] += n
             seen[-1] += batch.num_rows
         at = np.nonzero(seen)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at])], names=["t", "n"])
@@ -330,25 +378,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     keep = np.array([number.get(t, -1) for t in vocabulary], np.int32)
     ends, n_telling = np.array(offsets), len(telling)
     order = np.lexsort((codes, np.repeat(np.arange(len(ys)), np.diff(ends))))  # each example's terms by number
-    indexed = send((codes[order], counts[order], ends, ys, idf, keep))
-    del table, flat, coded, order, codes, counts, vocabulary
+    told_rows = list(zip(told["terms"].to_pylist(), told["counts"].to_pylist(), told["label"].to_pylist()))
+    indexed = send((codes[order], counts[order], ends, ys, idf, keep, told_rows))
+    del table, flat, coded, order, codes, counts, vocabulary, told, told_rows
 
     def build() -> Scorer:
-        codes, counts, ends, ys, idf, keep = receive(indexed)
-
-        def vectors(all_terms: bool) -> Iterator[tuple]:
-            for i, y in enumerate(ys):
-                t, c = codes[ends[i]:ends[i + 1]], counts[ends[i]:ends[i + 1]]
-                if not all_terms:
-                    t = keep[t]
-                    t, c = t[t >= 0], c[t >= 0]
-                    by = np.argsort(t)
-                    t, c = t[by], c[by]
-                yield i, t, c, y
-
+        codes, counts, ends, ys, idf, keep, told_rows = receive(indexed)
+        whole = ((i, codes[ends[i]:ends[i + 1]], counts[ends[i]:ends[i + 1]], y) for i, y in enumerate(ys))
         focused_idf = np.ones(n_telling)
         focused_idf[keep[keep >= 0]] = idf[keep >= 0]
-        return Scorer(numbers(), keep, Index(idf, vectors(True)), Index(focused_idf, vectors(False)), rare)
+        focused = Index(focused_idf, ((i, t, c, y) for i, (t, c, y) in enumerate(told_rows)))
+        return Scorer(numbers(), keep, Index(idf, whole), focused, rare)
 
     scorer = lambda: worker_cache(key, build)
 
@@ -359,7 +399,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array([f[i] for f in found], pa.float64()) for i in (0, 1))],
                                              names=["label", "every", "told"])
 
-    own = learned.repartition(48, "id").mapInArrow(left_out, "label int, every double, told double").orderBy("label", "every", "told").toArrow()
+    own = learned.repartition("id").mapInArrow(left_out, "label int, every double, told double").orderBy("label", "every", "told").toArrow()
     curve = calibration(np.column_stack([own["every"].to_numpy(), own["told"].to_numpy()]), own["label"].to_numpy().astype(float))
     kind = rows.schema["id"].dataType.simpleString()
 
