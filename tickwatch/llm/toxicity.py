@@ -17,6 +17,7 @@ such examples. The evidence is that of all terms.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 import uuid
@@ -35,13 +36,13 @@ from tickwatch.llm.common import ship_code, stored, text_or_empty, worker_cache
 #: Labelled rows to learn from, about: bounds what is broadcast and what the driver and each worker hold.
 EXAMPLES = 20_000
 #: Examples that are compared over all their terms.
-WHOLE_EXAMPLES = 2_048
+WHOLE_EXAMPLES = 1_536
 #: Telling terms at most.
 TERMS = 1024
 #: Fewest examples with a term, and how many times the overall rate its lower confidence bound must reach.
 LEAST_EXAMPLES, LEAST_LIFT, DEVIATIONS = 5, 2.0, 3.0
 #: Distinct example vectors that vote, entries of a block, and examples named as evidence.
-NEIGHBOURS, BLOCK, EVIDENCE = 10, 128, 3
+NEIGHBOURS, BLOCK, EVIDENCE = 10, 256, 3
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
 
@@ -126,6 +127,12 @@ def example_terms(learned: DataFrame) -> DataFrame:
     return learned.select("id", "label", "text").mapInArrow(run, f"id {kind}, label int, terms array<string>, counts array<int>")
 
 
+def _ranges(begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges, one after another, and the range each belongs to."""
+    owner = np.repeat(np.arange(len(begin)), length)
+    return np.arange(len(owner)) + (begin - np.cumsum(length) + length)[owner], owner
+
+
 class _Entries:
     """Rows of a sparse matrix as ((term, count), ...)."""
 
@@ -171,17 +178,17 @@ class Index:
         weight = (1 + np.log(counts)) * idf[terms] if len(terms) else np.zeros(0)
         norm = np.sqrt(np.add.reduceat(weight * weight, starts[:-1])) if len(keys) else np.ones(0)
         weight /= np.repeat(norm, np.diff(starts))
-        self.weight = weight
-        # Largest weights by term, then block.
-        block = np.repeat(np.arange(len(keys)) // BLOCK, np.diff(starts))
-        order = np.lexsort((block, terms))
-        at_term, at_block = terms[order], block[order]
-        first = np.flatnonzero(np.r_[True, (at_term[1:] != at_term[:-1]) | (at_block[1:] != at_block[:-1])]) if len(order) else order
-        self.most = np.maximum.reduceat(weight[order], first) if len(first) else np.zeros(0)
-        self.most_block = at_block[first]
-        self.begin = np.searchsorted(at_term[first], np.arange(len(idf) + 1))
+        # Postings by term, then entry; a pair is the run of a term's postings in one block.
+        order = np.argsort(terms, kind="stable")
+        at = np.repeat(np.arange(len(keys), dtype=np.int32), np.diff(starts))[order]
+        term, block = terms[order], at // BLOCK
+        first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(order) else order
+        self.at, self.weight = at % BLOCK, weight[order]
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.pair_block, self.pair_begin = block[first].astype(np.int16 if len(keys) < BLOCK << 15 else np.int32), first
+        self.pair_length = np.diff(np.r_[first, len(order)])
+        self.begin = np.searchsorted(term[first], np.arange(len(idf) + 1))
         self.blocks = -(-len(keys) // BLOCK)
-        self.query = np.zeros(len(idf))  # of one text at a time
         self.scored = 0  # blocks, of all searches
 
     @staticmethod
@@ -203,29 +210,32 @@ class Index:
 
         unseen: the squared TF-IDF length of the text's terms that no example has.
         """
-        if not entry or not len(self.n):
+        return self.search(np.array([e[0] for e in entry], np.int64), np.array([e[1] for e in entry], float), k, unseen)
+
+    def search(self, t: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS, unseen: float = 0.0) -> list[tuple[float, int]]:
+        """:meth:`nearest` of terms, each once, and their counts."""
+        if not len(t) or not len(self.n):
             return []
-        t = np.array([e[0] for e in entry])
-        w = (1 + np.log([e[1] for e in entry])) * self.idf[t]
+        w = (1 + np.log(counts)) * self.idf[t]
         w = w / np.sqrt(np.dot(w, w) + unseen)
-        lengths = self.begin[t + 1] - self.begin[t]
-        entries = np.repeat(self.begin[t] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        bound = np.bincount(self.most_block[entries], self.most[entries] * np.repeat(w, lengths), minlength=self.blocks)
-        self.query[t] = w
+        pairs, owner = _ranges(self.begin[t], self.begin[t + 1] - self.begin[t])
+        block = self.pair_block[pairs]
+        bound = np.bincount(block, self.most[pairs] * w[owner], minlength=self.blocks)
+        by_block = np.argsort(block, kind="stable")
+        pairs, share = pairs[by_block], w[owner[by_block]]
+        cut = np.searchsorted(block[by_block], np.arange(self.blocks + 1)).tolist()
         best: list[tuple[float, int]] = []
-        starts, terms = self.entries.starts, self.entries.terms
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or (len(best) == k and bound[block] + 1e-9 < -best[-1][0]):
+        for b in np.argsort(-bound, kind="stable").tolist():
+            if bound[b] <= 0 or (len(best) == k and bound[b] + 1e-9 < -best[-1][0]):
                 break
             self.scored += 1
-            lo, hi = block * BLOCK, min(len(self.n), (block + 1) * BLOCK)
-            a, b = starts[lo], starts[hi]
-            scores = np.add.reduceat(self.query[terms[a:b]] * self.weight[a:b], starts[lo:hi] - a)
+            part = slice(cut[b], cut[b + 1])
+            postings, pair = _ranges(self.pair_begin[pairs[part]], self.pair_length[pairs[part]])
+            scores = np.bincount(self.at[postings], self.weight[postings] * share[part][pair])
             hits = np.flatnonzero(scores >= -best[-1][0] if len(best) == k else scores > 0)
             if len(hits) > 2 * k:
                 hits = hits[scores[hits] >= np.partition(scores[hits], len(hits) - k)[len(hits) - k]]
-            best = sorted([*best, *((-float(scores[i]), lo + int(i)) for i in hits)])[:k]
-        self.query[t] = 0.0
+            best = sorted([*best, *((-x, b * BLOCK + i) for x, i in zip(scores[hits].tolist(), hits.tolist()))])[:k]
         return [(-s, i) for s, i in best]
 
     def vote(self, near: list[tuple[float, int]], entry: int = -1, label: int = 0) -> float:
@@ -277,27 +287,27 @@ class Scorer:
     def __init__(self, number: dict[str, int], keep: np.ndarray, whole: Index, focused: Index, rare_idf: float):
         """number: of every term; keep: a term's number among the telling ones, or -1."""
         self.number = number
-        self.telling = {int(t): int(keep[t]) for t in np.nonzero(keep >= 0)[0]}
+        self.keep = keep
         self.whole, self.focused, self.rare = whole, focused, rare_idf
         self.known: dict[tuple, float] = {}
 
     def votes(self, found: dict[str, int], label: int | None = None) -> tuple[float, float, list[tuple[float, int]]]:
         """Log odds of both votes, and the nearest examples over all terms; an example's label is left out of its votes."""
-        hits, unseen = [], 0.0
-        for term, n in found.items():
-            t = self.number.get(term)
-            if t is None:
-                unseen += ((1 + math.log(n)) * self.rare) ** 2
-            else:
-                hits.append((t, n))
-        hits.sort()
-        near = self.whole.nearest(tuple(hits), NEIGHBOURS + (label is not None), unseen)
-        own = self.whole.entry_of(*zip(*hits)) if label is not None and hits else -1
+        t = np.fromiter(map(self.number.get, found, itertools.repeat(-1)), np.int64, len(found))
+        n = np.fromiter(found.values(), np.int64, len(found))
+        rest = (1 + np.log(n[t < 0])) * self.rare
+        t, n = t[t >= 0], n[t >= 0]
+        near = self.whole.search(t, n, NEIGHBOURS + (label is not None), float(np.dot(rest, rest)))
+        own = -1
+        if label is not None and len(t):
+            by_term = np.argsort(t)
+            own = self.whole.entry_of(t[by_term], n[by_term])
         if own >= 0:  # an example alone with its vector takes no place among its neighbours
             near = [x for x in near if x[1] != own or self.whole.n[own] > 1]
         near = near[:NEIGHBOURS]
-        every = self.whole.vote(near, own, label or 0) if hits else self.whole.blank_score
-        entry = tuple(sorted((self.telling[t], n) for t, n in hits if t in self.telling))
+        every = self.whole.vote(near, own, label or 0) if len(t) else self.whole.blank_score
+        said = self.keep[t]
+        entry = tuple(sorted(zip(said[said >= 0].tolist(), n[said >= 0].tolist())))
         if not entry:
             return _log_odds(every), _log_odds(self.focused.blank_score), near
         told = self.known.get(entry) if label is None else None
@@ -334,7 +344,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     bound = few.select(F.max(first)).first()[0] or 0
     most = int((bound + 1) * min(1.0, WHOLE_EXAMPLES / max(1, few.count())))
     once = stored(once, "toxicity-texts")
-    told = telling_vectors(once, telling).orderBy("label", "terms", "counts").toArrow()  # a few numbers for each of the sample
+    told = telling_vectors(once, telling).toArrow()  # a few numbers for each of the sample
     learned = stored(example_terms(once.where(first < most)), "toxicity-examples")
     table = learned.orderBy("id").toArrow().combine_chunks()
     if len(table):
