@@ -138,3 +138,50 @@ def test_late_ticks_a_second_reading_and_a_table_without_tail(spark, tmp_dir):
     (row,) = tables.read_metrics(spark, paths[1]).where("price_usd = 60.0").collect()
     (exp,) = transform.metrics(ticks_df(spark, first + late)).where("price_usd = 60.0").collect()
     assert abs(row.volume_ma_24h - exp.volume_ma_24h) < 1e-9
+
+
+def _lines(spark, rows, broken=()):
+    from pyspark.sql import functions as F
+
+    env = flatten.envelopes_from_ticks(ticks_df(spark, rows)).withColumn(envelopes.CORRUPT, F.lit(None).cast("string"))
+    bad = spark.createDataFrame([(None, None, b) for b in broken], envelopes.LINE)
+    return env.unionByName(bad)
+
+
+def test_every_landed_row_is_a_tick_or_has_a_reason(spark, tmp_dir):
+    out, side = os.path.join(tmp_dir, "ticks"), os.path.join(tmp_dir, "side")
+    t0 = 1704067200
+    first = [tick(t0 + i * 180, k) for i in range(60) for k in ("bitcoin", None)] + [tick(t0, "bitcoin", price=9.0)]
+    second = [tick(t0, "solana"), tick(t0 + 59 * 180 - 3600, "solana"), tick(t0 + 59 * 180 - 3601, "solana"),
+              tick(t0 + 59 * 180, "bitcoin", price=5.0), tick(t0 + 60 * 180, "bitcoin"), tick(t0 + 60 * 180, "bitcoin")]
+    sink = ingest.ingest_sink(out, side)
+
+    def state():
+        got = spark.read.parquet(side).groupBy("batch_id", "reason").count().collect()
+        return spark.read.parquet(out).count(), {(r.batch_id, r.reason): r["count"] for r in got}
+
+    sink(_lines(spark, first, ["{broken"]), 0)
+    assert state() == (120, {(0, "malformed"): 1, (0, "duplicate"): 1})
+    for _ in range(2):  # the second time as a replay
+        sink(_lines(spark, second, ["oops", "{"]), 1)
+        assert state() == (122, {(0, "malformed"): 1, (0, "duplicate"): 1, (1, "late"): 2, (1, "duplicate"): 2, (1, "malformed"): 2})
+    late = spark.read.parquet(side).where("reason = 'late'").orderBy("collection_timestamp").collect()
+    assert [r.collection_timestamp for r in late] == [t0, t0 + 59 * 180 - 3601] and '"crypto_id":"solana"' in late[0].line
+    assert spark.read.parquet(out).where("collection_timestamp = 1704067200 AND crypto_id = 'bitcoin'").first().price_usd == 9.0
+    sink(_lines(spark, []), 2)
+    assert state()[0] == 122
+
+
+def test_a_replay_after_the_side_rows_stores_the_missing_ticks(spark, tmp_dir, monkeypatch):
+    out, side = os.path.join(tmp_dir, "ticks"), os.path.join(tmp_dir, "side")
+    rows = [tick(1704067200 + i * 180, "bitcoin") for i in range(5)]
+    sink = ingest.ingest_sink(out, side)
+    written = ingest.write_ticks
+    monkeypatch.setattr(ingest, "write_ticks", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    try:
+        sink(_lines(spark, rows + rows[:2]), 0)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(ingest, "write_ticks", written)
+    sink(_lines(spark, rows + rows[:2]), 0)
+    assert spark.read.parquet(out).count() == 5 and spark.read.parquet(side).count() == 2

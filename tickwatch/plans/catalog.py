@@ -799,6 +799,109 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).select("crypto_id", "collection_timestamp")
 
 
+@register(
+    "stream_side_outputs",
+    f"""WITH {TICKS_CTE},
+a AS (SELECT * FROM ticks WHERE seq % 10 <> 0),
+b AS (SELECT *, collection_timestamp < (SELECT max(collection_timestamp) FROM a) - 3600 AS late FROM ticks WHERE seq % 10 = 0),
+firsts AS (SELECT DISTINCT crypto_id, collection_timestamp FROM a),
+onward AS (SELECT * FROM b WHERE NOT late),
+fresh AS (SELECT DISTINCT crypto_id, collection_timestamp FROM onward
+          EXCEPT SELECT crypto_id, collection_timestamp FROM firsts)
+SELECT 'tick' AS outcome, (SELECT count(*) FROM firsts) + (SELECT count(*) FROM fresh) AS n
+UNION ALL SELECT 'late', (SELECT count(*) FROM b WHERE late)
+UNION ALL SELECT 'duplicate', (SELECT count(*) FROM a) - (SELECT count(*) FROM firsts)
+                              + (SELECT count(*) FROM onward) - (SELECT count(*) FROM fresh)
+UNION ALL SELECT 'malformed', (SELECT count(*) FROM ticks WHERE seq % 50 = 0)""",
+)
+def q_stream_side_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """ST1 at the default watermark: rows landed later and broken lines are in the side table, nothing is lost."""
+    from tickwatch.streaming import ingest
+
+    raw, out, side, ck = (scratch_path(spark, x) for x in ("raw", "ticks", "side", "ck"))
+    every = testdata.ticks(spark, sf)
+    for late in (False, True):
+        rows = _flatten.ticks_only(every.where(F.col("seq") % 10 == 0 if late else F.col("seq") % 10 != 0)).drop("seq")
+        _envelopes.land_envelopes(_flatten.envelopes_from_ticks(rows, testdata.EVENT_KEYS), raw)
+        if late:
+            broken = landing_columns(every.where("seq % 50 = 0"), "collection_timestamp").select(
+                F.concat(F.lit('{"metadata": broken '), F.col("seq").cast("string")).alias("value"), *_envelopes.PARTITIONS)
+            broken.write.mode("append").partitionBy(*_envelopes.PARTITIONS).text(raw)
+        ingest.start(ingest.stream_landed(spark, raw), ingest.ingest_sink(out, side), ck, available_now=True).awaitTermination()
+    outcomes = spark.read.parquet(out).select(F.lit("tick").alias("outcome")).unionByName(
+        spark.read.parquet(side).select(F.col("reason").alias("outcome")))
+    return outcomes.groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+QUOTES_SQL = f"""WITH {TICKS_CTE},
+placed AS (SELECT *, seq // 5 AS answer_id, min(collection_timestamp) OVER (PARTITION BY seq // 5) AS asked FROM ticks),
+quotes AS (SELECT * FROM placed QUALIFY row_number() OVER (PARTITION BY answer_id, crypto_id ORDER BY seq DESC) = 1)
+SELECT asked AS collection_timestamp, crypto_id, price_usd, price_brl, volume_24h_usd, change_24h_pct, last_updated_at, asked AS collected_at
+FROM quotes
+WHERE answer_id % 13 <> 0 AND answer_id % 17 <> 0
+  AND answer_id NOT IN (SELECT answer_id FROM quotes WHERE price_usd IS NULL)"""
+
+
+def _answer_envelopes(spark: SparkSession, sf: str) -> DataFrame:
+    decoded = price_answer.decode(testdata.answers(spark, sf))
+    return _flatten.envelopes_from_answers(decoded, expected_keys=testdata.EVENT_KEYS, error=price_answer.decode_error())
+
+
+@register("answer_flatten", QUOTES_SQL)
+def q_answer_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    """P2 and P6 over envelopes of several keys, failed and empty ones among them."""
+    return _flatten.explode_and_flatten(_answer_envelopes(spark, sf))
+
+
+@register("answer_landing_roundtrip", QUOTES_SQL)
+def q_answer_landing_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """S3 and S1 with the same envelopes: landed as JSON lines and read back."""
+    root = scratch_path(spark, "raw")
+    _envelopes.land_envelopes(_answer_envelopes(spark, sf), root)
+    return _flatten.explode_and_flatten(_envelopes.read_envelopes(spark, root))
+
+
+@register(
+    "run_record",
+    f"""WITH {anomalies_cte(ROW_ORDER)}
+SELECT 'processing' AS pipeline_stage, CAST(5 AS INTEGER) AS cryptos_processed, (SELECT count(*) FROM metrics) AS records_processed,
+       (SELECT count(*) FROM anomalies) AS anomalies_detected, CAST((SELECT count(*) FROM anomalies) AS INTEGER) AS alerts_sent,
+       true AS success, CAST(NULL AS VARCHAR) AS error_message, true AS timed
+UNION ALL SELECT 'processing', 5, 0, 0, 0, false, 'missing', true""",
+)
+def q_run_record(spark: SparkSession, sf: str) -> DataFrame:
+    """A10: the run records of one processing job that succeeds and of one whose input is not there."""
+    from tickwatch.plans import jobs
+
+    raw, metrics_path, anomalies_path, runs = (scratch_path(spark, x) for x in ("raw", "metrics", "anomalies", "runs"))
+    ticks = _flatten.ticks_only(testdata.ticks(spark, sf)).drop("seq")
+    _envelopes.land_envelopes(_flatten.envelopes_from_ticks(ticks, testdata.EVENT_KEYS), raw)
+    jobs.processing_job(spark, raw, metrics_path, anomalies_path, runs, keys_configured=len(testdata.EVENT_KEYS))
+    try:
+        jobs.processing_job(spark, raw + "-missing", metrics_path + "-2", anomalies_path + "-2", runs, keys_configured=len(testdata.EVENT_KEYS))
+    except Exception as exc:  # noqa: BLE001 - the record is what is asked for
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+    record = _run_log.read_run_log(spark, runs)
+    return record.select(
+        "pipeline_stage", "cryptos_processed", "records_processed", "anomalies_detected", "alerts_sent", "success",
+        F.when(F.col("error_message").contains("PATH_NOT_FOUND"), "missing").otherwise(F.col("error_message")).alias("error_message"),
+        ((F.col("execution_time_ms") >= 0) & F.to_timestamp("timestamp", "yyyy-MM-dd HH:mm:ss").isNotNull()).alias("timed"))
+
+
+@register(
+    "empty_probes",
+    f"""WITH {VALID_CTE}
+SELECT k AS crypto_id, NOT exists(SELECT 1 FROM valid WHERE crypto_id = k AND abs(change_24h_pct) > 9.9) AS nothing_found
+FROM (SELECT unnest({KEYS_SQL[:-1]}, 'nokey']) AS k)""",
+)
+def q_empty_probes(spark: SparkSession, sf: str) -> DataFrame:
+    """Is there anything to save for a key? A key that does not exist is asked about too."""
+    found = detect.detect_price_variations(_valid(spark, sf), threshold=9.9)
+    probes = [(k, reports.is_empty(found.where(F.col("crypto_id") == k))) for k in (*testdata.EVENT_KEYS, "nokey")]
+    return spark.createDataFrame(probes, "crypto_id string, nothing_found boolean")
+
+
 @register("ingestion_summary", ANSWERS_SQL)
 def q_ingestion_summary(spark: SparkSession, sf: str) -> DataFrame:
     """The ingestion job end to end: answers of several keys, some broken,

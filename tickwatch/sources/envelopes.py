@@ -20,11 +20,9 @@ from tickwatch.sources import files
 PARTITIONS = ("year", "month", "day", "hour")
 CORRUPT = "_corrupt_record"
 
-_READ_SCHEMA = T.StructType(
-    ENVELOPE.fields
-    + [T.StructField(CORRUPT, T.StringType())]
-    + [T.StructField(p, T.StringType()) for p in PARTITIONS]
-)
+# A landed line: an envelope, or its text if it is none.
+LINE = T.StructType(ENVELOPE.fields + [T.StructField(CORRUPT, T.StringType())])
+_READ_SCHEMA = T.StructType(LINE.fields + [T.StructField(p, T.StringType()) for p in PARTITIONS])
 
 
 def read_envelopes_raw(spark: SparkSession, root: str, multiline: bool = False) -> DataFrame:

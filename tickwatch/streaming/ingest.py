@@ -3,6 +3,8 @@
 * ST1 :func:`stream_ticks` — envelopes landing under the hourly layout are
   read continuously, flattened (P6) and deduplicated on
   ``(crypto_id, collection_timestamp)`` within an event-time watermark.
+  :func:`ingest_sink` does the same per micro-batch and keeps what it does not
+  admit (late, duplicate, malformed) in a side table.
 * ST2 :func:`price_variation_sink` — the stateless detector (D2) per
   micro-batch into the anomaly table through the idempotent writer (S5+J2),
   so a replayed batch stores nothing twice.
@@ -28,7 +30,7 @@ from tickwatch.operators.timecols import add_time_columns
 from tickwatch.operators.validity import filter_valid
 from tickwatch.plans import transform
 from tickwatch.schemas import ENVELOPE, FLAT_TICKS, TICK_COLUMNS
-from tickwatch.sources import files, tables
+from tickwatch.sources import envelopes, files, tables
 
 # The stored flat-ticks table (partitioned by date; explicit read schema).
 _TICKS_STORED = T.StructType(FLAT_TICKS.fields + [T.StructField("collection_date", T.DateType())])
@@ -50,6 +52,75 @@ def stream_ticks(spark: SparkSession, raw_root: str, watermark: str = "1 hour",
     return add_time_columns(deduped)
 
 
+def stream_landed(spark: SparkSession, raw_root: str, max_files: int | None = None) -> DataFrame:
+    """Landed lines as a stream, malformed ones included, for :func:`ingest_sink`."""
+    reader = spark.readStream.schema(envelopes.LINE).option("recursiveFileLookup", "true").option(
+        "columnNameOfCorruptRecord", envelopes.CORRUPT)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.json(raw_root)
+
+
+def ingest_sink(ticks_path: str, side_path: str, watermark_seconds: int = 3_600, keep_marks: int = 100):
+    """ST1 without loss: a ``foreachBatch`` function over :func:`stream_landed`
+    that stores every landed row either as a tick or, with the reason, in the side table.
+
+    Reasons: ``malformed`` (a line that is no envelope, kept as it is), ``late``
+    (older than the newest tick of earlier batches by more than the watermark) and
+    ``duplicate`` (its key and second are stored already or appear earlier in the
+    batch, in the order of the other columns). Side rows carry the tick as JSON.
+
+    The newest tick so far is a small state, a row per batch. It is written
+    after the batch's side rows and before its ticks, so a replayed batch finds
+    its own row, leaves the side rows as they are and stores only the ticks that are missing.
+    """
+    marks_path = ticks_path.rstrip("/") + "-watermark"
+    mark_schema = T.StructType([T.StructField("newest", T.LongType()), T.StructField("batch_id", T.LongType())])
+    ident = ["crypto_id", "collection_timestamp"]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        lines = batch.persist()
+        flat = add_time_columns(flatten.explode_and_flatten(lines.where("metadata IS NOT NULL"))).persist()
+        try:
+            marks = {}
+            if tables.table_exists(spark, marks_path):  # a row for each of the last batches
+                marks = {r["batch_id"]: r["newest"] for r in spark.read.schema(mark_schema).parquet(marks_path).collect()}
+            before = max((v for b, v in marks.items() if b < batch_id and v is not None), default=None)
+            info = flat.agg(F.collect_set("collection_date").alias("dates"), F.max("collection_timestamp").alias("newest")).first()
+            late = F.lit(False) if before is None else F.coalesce(F.col("collection_timestamp") < before - watermark_seconds, F.lit(False))
+            marked = flat.withColumn("_late", late)
+            rest = [F.col(c).asc_nulls_first() for c in TICK_COLUMNS if c not in ident]
+            nth = F.row_number().over(Window.partitionBy("_late", *ident).orderBy(*rest))
+            ranked = marked.withColumn("_again", ~F.col("_late") & (nth > 1))
+            if tables.table_exists(spark, ticks_path):
+                stored = spark.read.schema(_TICKS_STORED).parquet(ticks_path).where(F.col("collection_date").isin(info["dates"]))
+                held = stored.select(*[F.col(c).alias(f"_{c}") for c in ident]).distinct().withColumn("_held", F.lit(True))
+                ranked = ranked.join(held, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ident], "left")
+            else:
+                ranked = ranked.withColumn("_held", F.lit(None).cast("boolean"))
+            again = F.col("_again") | F.coalesce("_held", F.lit(False))
+            reason = F.when(F.col("_late"), "late").when(again, "duplicate")
+            judged = ranked.withColumn("reason", reason)
+            if batch_id not in marks:
+                side = judged.where("reason IS NOT NULL").select(
+                    "reason", *ident, F.to_json(F.struct(*TICK_COLUMNS)).alias("line"))
+                broken = lines.where(F.col("metadata").isNull() & F.col(envelopes.CORRUPT).isNotNull()).select(
+                    F.lit("malformed").alias("reason"), F.lit(None).cast("string").alias("crypto_id"),
+                    F.lit(None).cast("long").alias("collection_timestamp"), F.col(envelopes.CORRUPT).alias("line"))
+                side.unionByName(broken).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
+                    "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(side_path)
+                newest = spark.createDataFrame([(info["newest"], batch_id)], mark_schema)
+                newest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(marks_path)
+            write_ticks(judged.where("reason IS NULL"), ticks_path)
+            files.remove(spark, [f"{marks_path}/batch_id={b}" for b in sorted(marks) if b < batch_id - keep_marks and marks[b] != before])
+        finally:
+            flat.unpersist()
+            lines.unpersist()
+
+    return run
+
+
 def write_ticks(batch: DataFrame, ticks_path: str) -> None:
     """Append flat ticks (pre-filter: averages need invalid rows too) by date."""
     cols = list(TICK_COLUMNS) + ["collection_date"]
