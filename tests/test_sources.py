@@ -238,6 +238,34 @@ def test_run_log_csv_import_and_report(spark, tmp_dir):
         "No metrics available yet.")
 
 
+def test_multi_line_run_log_is_read_in_several_tasks(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    path = os.path.join(tmp_dir, "log-csv")
+    texts = ["plain", 'a "quoted" word', "two\nlines", '\n"\n,",\n\n', "commas, only", None, "2026,x,1\n2026,y,2", 'ends with "\n"']
+    rows = [(f"2026-02-08 18:{i // 60 % 60:02d}:{i % 60:02d}", "processing", 5, i, 1, 0, 10, i % 2 == 0, texts[i % len(texts)]) for i in range(400)]
+    log = spark.createDataFrame(rows, "timestamp string, pipeline_stage string, cryptos_processed int, records_processed long, "
+                                      "anomalies_detected long, alerts_sent int, execution_time_ms long, success boolean, error_message string")
+    run_log.write_run_log_csv(log.coalesce(2), path)
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("300", "1111", before):
+        spark.conf.set(key, size)
+        try:
+            back = run_log.read_run_log_csv(spark, path)
+            got = sorted((r.records_processed, r.success, (r.error_message or "").strip()) for r in back.collect())
+            tasks = spark.read.text(path).select(F.spark_partition_id().alias("p")).distinct().count()
+        finally:
+            spark.conf.set(key, before)
+        assert got == sorted((r[3], r[7], (r[8] or "").strip()) for r in rows), size
+        assert size == before or tasks > 10
+    crlf = os.path.join(tmp_dir, "crlf.csv")
+    with open(crlf, "w", newline="") as f:
+        f.write(",".join(back.columns) + "\r\n" + '2026-02-08 18:00:00,processing,5,7,1,0,10,false,"x\r\ny"\r\n')
+    (row,) = run_log.read_run_log_csv(spark, crlf).collect()
+    assert row.records_processed == 7 and row.error_message.split() == ["x", "y"]
+    assert run_log.read_run_log_csv(spark, crlf, quoted_newlines=False).count() >= 1
+
+
 def test_run_log_append(spark, tmp_dir):
     path = os.path.join(tmp_dir, "runlog")
     for ok in (True, False):

@@ -767,9 +767,11 @@ def q_anomalies_one_day(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("run_log_csv_report", ORACLE_SQL["run_report"])
 def q_run_log_csv_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The log as CSV, its error texts of two lines with quotes and commas."""
     path = scratch_path(spark, "runlog-csv")
     typed = reports.parse_run_log(testdata.run_log_text_from_orders(testdata.table(spark, sf, "orders")))
-    _run_log.write_run_log_csv(typed, path)
+    texts = F.when(F.col("error_message").isNotNull(), F.concat("error_message", F.lit(':\n"line" two, 2026-01-01')))
+    _run_log.write_run_log_csv(typed.withColumn("error_message", texts), path)
     return reports.run_report(_run_log.read_run_log_csv(spark, path))
 
 
