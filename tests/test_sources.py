@@ -238,6 +238,44 @@ def test_run_log_csv_import_and_report(spark, tmp_dir):
         "No metrics available yet.")
 
 
+def _found(spark, n=40):
+    return spark.createDataFrame(
+        [("k", "volume_spike", "low", 1704067200 + i * 3600, float(i), 1.0, 3.0, "d") for i in range(n)],
+        "crypto_id string, anomaly_type string, severity string, detected_at long, current_price double, "
+        "reference_value double, variation_pct double, description string")
+
+
+def test_writers_at_the_same_time_store_once(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = os.path.join(tmp_dir, "anomalies")
+    tables.save_anomalies(_found(spark, 3), path)
+    batches = [_found(spark, 40), _found(spark, 40), _found(spark, 25), _found(spark, 50)]
+    with ThreadPoolExecutor(4) as pool:
+        assert all(pool.map(lambda b: tables.save_anomalies(b, path), batches))
+    assert tables.read_anomalies(spark, path).count() == 50
+    assert not os.path.exists(path + "-writer")
+
+
+def test_a_claim_left_behind_is_moved_away(spark, tmp_dir, monkeypatch):
+    import pytest
+    from tickwatch.sources import files
+
+    path = os.path.join(tmp_dir, "anomalies")
+    open(path + "-writer", "w").close()
+    with pytest.raises(TimeoutError), files.sole_writer(spark, path, wait=0.3):
+        pass
+    os.utime(path + "-writer", (1, 1))  # its driver died long ago
+    assert tables.save_anomalies(_found(spark, 2), path)
+    assert not os.path.exists(path + "-writer") and any("-left-" in x for x in os.listdir(tmp_dir))
+    monkeypatch.setattr(files, "RENEWED", 0.05)
+    with files.sole_writer(spark, path):
+        os.utime(path + "-writer", (1, 1))
+        import time
+        time.sleep(0.5)
+        assert os.stat(path + "-writer").st_mtime > 1000
+
+
 def test_multi_line_run_log_is_read_in_several_tasks(spark, tmp_dir):
     from pyspark.sql import functions as F
 

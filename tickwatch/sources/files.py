@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import threading
+import time
+import uuid
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +41,60 @@ def remove(spark: SparkSession, paths: Iterable[str]) -> None:
 def values(paths: Iterable[str], *columns: str) -> list[tuple[str, ...]]:
     """The values of partition columns in directory paths (``.../name=value/...``)."""
     return [tuple(dict(part.split("=", 1) for part in path.split("/") if "=" in part)[c] for c in columns) for path in paths]
+
+
+#: A writer renews its claim this often, and a claim not renewed for this long counts as left behind (seconds).
+RENEWED, LEFT = 20.0, 180.0
+
+
+def _create(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless there is one: a single atomic step of the file system."""
+    fs, p = _path(spark, path)
+    if fs.getUri().getScheme() == "file":  # the local file system's own create looks first and writes then
+        fs.mkdirs(p.getParent())
+        return spark.sparkContext._jvm.java.io.File(p.toUri().getPath()).createNewFile()
+    try:
+        fs.create(p, False).close()
+    except Exception as exc:  # a Py4J error around the Java one
+        if "AlreadyExists" in str(exc):
+            return False
+        raise
+    return True
+
+
+@contextmanager
+def sole_writer(spark: SparkSession, table_path: str, wait: float = 3_600.0) -> Iterator[None]:
+    """Hold the claim ``<table_path>-writer`` while the block runs; other writers wait for it.
+
+    The holder renews the claim's time. One that was not renewed for :data:`LEFT`
+    seconds, because its driver died, is moved away by whoever waits; only one
+    can move it, and the next creation decides again. Needs a file system whose
+    creation without overwriting is atomic (HDFS, local, object stores with conditional writes).
+    """
+    claim = f"{table_path.rstrip('/')}-writer"
+    fs, p = _path(spark, claim)
+    until, pause = time.monotonic() + wait, 0.1
+    while not _create(spark, claim):
+        try:
+            age = time.time() - fs.getFileStatus(p).getModificationTime() / 1000
+        except Exception:  # released just now
+            continue
+        if age > LEFT:
+            fs.rename(p, _path(spark, f"{claim}-left-{uuid.uuid4().hex[:8]}")[1])
+            continue
+        if time.monotonic() > until:
+            raise TimeoutError(f"another writer holds {claim}")
+        time.sleep(pause)
+        pause = min(2.0, pause * 1.5)
+    over = threading.Event()
+
+    def renew() -> None:
+        while not over.wait(RENEWED):
+            fs.setTimes(p, int(time.time() * 1000), -1)
+
+    threading.Thread(target=renew, daemon=True).start()
+    try:
+        yield
+    finally:
+        over.set()
+        fs.delete(p, False)

@@ -78,8 +78,10 @@ def save_anomalies(anomalies: DataFrame, path: str, dedup: bool = True) -> bool:
     removed first by a left-anti join against only the dates present in the
     batch (static partition pruning on ``detection_date``), so saving a batch
     twice stores it once. Different readings of one second are different
-    anomalies, in one batch or in two. Repeats inside one batch are kept. Assumes a single
-    writer per table. The batch is cached for the probe, the date lookup and
+    anomalies, in one batch or in two. Repeats inside one batch are kept. Several
+    writers may save to one table: the batch is worked out beside the others, and from the
+    look at what is stored to the end of the write one holds the table's claim
+    (:func:`tickwatch.sources.files.sole_writer`). The batch is cached for the probe, the date lookup and
     the write. Returns whether anything was written.
     """
     spark = anomalies.sparkSession
@@ -87,26 +89,32 @@ def save_anomalies(anomalies: DataFrame, path: str, dedup: bool = True) -> bool:
     try:
         if batch.isEmpty():
             return False
-        out = batch
-        if dedup and table_exists(spark, path):
-            # Bounded by the number of distinct days in the batch.
-            dates = [r[0] for r in batch.select("detection_date").distinct().collect()]
-            stored = read_anomalies(spark, path).where(F.col("detection_date").isin(dates))
-            identity = ["detection_date", *ANOMALY_KEY]
-            known = stored.select(*[F.col(c).alias(f"_{c}") for c in identity]).distinct()
-            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in identity]
-            out = batch.join(known, same, "left_anti")
-        (
-            out.hint("rebalance", *ANOMALY_PARTITIONS)
-            .write.mode("append")
-            .partitionBy(*ANOMALY_PARTITIONS)
-            .parquet(path)
-        )
+        with files.sole_writer(spark, path):
+            _append_new(batch, path, dedup)
         return True
     finally:
         batch.unpersist()
 
 
+def _append_new(batch: DataFrame, path: str, dedup: bool) -> None:
+    """Append the rows of ``batch`` (with ``detection_date``) that the table does not hold."""
+    spark, out = batch.sparkSession, batch
+    if dedup and table_exists(spark, path):
+        # Bounded by the number of distinct days in the batch.
+        dates = [r[0] for r in batch.select("detection_date").distinct().collect()]
+        stored = read_anomalies(spark, path).where(F.col("detection_date").isin(dates))
+        identity = ["detection_date", *ANOMALY_KEY]
+        known = stored.select(*[F.col(c).alias(f"_{c}") for c in identity]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in identity]
+        out = batch.join(known, same, "left_anti")
+    (
+        out.hint("rebalance", *ANOMALY_PARTITIONS)
+        .write.mode("append")
+        .partitionBy(*ANOMALY_PARTITIONS)
+        .parquet(path)
+    )
+
+
 def replace_anomaly_dates(anomalies: DataFrame, path: str, dates: Iterable[dt.date]) -> None:
     """Recompute mode: replace whole detection dates (a late file may move an
     old anomaly to another severity). Each date directory is overwritten
