@@ -832,7 +832,9 @@ def q_stream_side_outputs(spark: SparkSession, sf: str) -> DataFrame:
         ingest.start(ingest.stream_landed(spark, raw), ingest.ingest_sink(out, side), ck, available_now=True).awaitTermination()
     outcomes = spark.read.parquet(out).select(F.lit("tick").alias("outcome")).unionByName(
         spark.read.parquet(side).select(F.col("reason").alias("outcome")))
-    return outcomes.groupBy("outcome").agg(F.count("*").alias("n"))
+    names = ("tick", "late", "duplicate", "malformed")
+    counts = outcomes.agg(*[F.count_if(F.col("outcome") == n).alias(n) for n in names])
+    return counts.unpivot([], list(names), "outcome", "n")
 
 
 QUOTES_SQL = f"""WITH {TICKS_CTE},
