@@ -15,7 +15,7 @@ from tickwatch.llm.queries import ORACLE_SQL, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_MID}/{t}.parquet')")
     cursor = con.execute(ORACLE_SQL[name])
     names = [d[0] for d in cursor.description]

@@ -260,6 +260,8 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     Texts without words (null, empty, blank) link with nothing; rows without
     an id neither (their component is null, they are kept); rows that share an id are one document.
+    Whole texts are compared, however long. An empty table gives no rows; other
+    columns, whatever their names, are not read.
     """
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     signed = stored(signed_rows(rows, "id"), "signatures")

@@ -167,7 +167,8 @@ def scan(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Replace the text by ``base`` and ``linked``, arrays of (kind, start, end) in code points, end exclusive.
 
     A null text counts as empty; other columns pass through; columns already
-    named ``base`` or ``linked`` are replaced. No shuffle.
+    named ``base`` or ``linked`` are replaced. Whole texts are scanned, however long; repeated rows each
+    get their row; an empty table gives none. No shuffle.
     """
     ship_code()
     rows = df.select(*without(df, [text_col, "base", "linked"]), text_or_empty(f"`{text_col}`").alias("base"))

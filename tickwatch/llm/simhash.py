@@ -202,7 +202,10 @@ def fingerprint_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       query_step: int = 20) -> DataFrame:
     """:func:`edited_fingerprints` with likenesses, and for rows whose id is
     divisible by ``query_step`` ``n_near``: how many other rows have a
-    fingerprint within the radius (null for other rows). The fingerprints are stored once."""
+    fingerprint within the radius (null for other rows). The fingerprints are stored once.
+
+    An empty table gives no rows; other columns, whatever their names, are not read; repeated rows each get
+    their row. Null, empty and very long texts: as in :func:`edited_fingerprints`, whole texts always."""
     made = stored(edited_fingerprints(df, id_col, text_col), "simhash")
     asks = F.col("id") % query_step == 0
     found = count_within(made.where(asks), made, radius).withColumnRenamed("fingerprint", "asked")
