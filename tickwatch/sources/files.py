@@ -69,10 +69,15 @@ def sole_writer(spark: SparkSession, table_path: str, wait: float = 3_600.0) ->
     The holder renews the claim's time. One that was not renewed for :data:`LEFT`
     seconds, because its driver died, is moved away by whoever waits; only one
     can move it, and the next creation decides again. Needs a file system whose
-    creation without overwriting is atomic (HDFS, local, object stores with conditional writes).
+    creation without overwriting is atomic (HDFS, local, object stores with conditional writes). A session
+    without a SparkContext has no way to claim and must be the only writer.
     """
     claim = f"{table_path.rstrip('/')}-writer"
-    fs, p = _path(spark, claim)
+    try:
+        fs, p = _path(spark, claim)
+    except RuntimeError:
+        yield
+        return
     until, pause = time.monotonic() + wait, 0.1
     while not _create(spark, claim):
         try:
