@@ -166,6 +166,54 @@ def test_linking_equals_all_pairs():
         assert set(linked) == want
 
 
+def test_wider_scopes_ask_for_stricter_secrets():
+    found = lambda text: [(k, text[a:b]) for k, a, b in secret_scan.scan_text(text)[1]]
+    linked = [("linked_access", "bob77"), ("linked_secret", "hunter22x")]
+    assert found("client_id: bob77\n\npwd: hunter22x") == linked
+    assert found("client_id: bob77" + " word" * 1000 + "\n\n# other\n\npwd: hunter22x") == linked
+    assert secret_scan.redact_text("client_id: bob77\n\npwd: hunter22x") == "client_id: [SECRET]\n\npwd: [SECRET]"
+    assert found("user: ann\n\nuser: bob77\n\npwd: hunter22x\n\n\n\nuser: eve") == linked  # the nearest identifier only
+    assert found("user: bob\n\npwd: monkeyhouse") == []  # no digit
+    assert found("https://db.io/x\n\npwd: hunter22x") == []  # an endpoint is no identifier
+    run = "wJalrXUtnFEMI7MDENGbPxRfiCYEXAMPLEKEY9"
+    assert found(f"[main]\nuser: bob\n\nwith {run}") == [("linked_access", "bob"), ("linked_secret", run)]
+    assert found(f"[main]\nuser: bob\n\n[other]\nwith {run}") == []  # another section
+    assert found(f"user: bob{' ' * 300}\n\npwd{' ' * 50}:{' ' * 50}hunter22x")[1] == ("linked_secret", "hunter22x")
+
+
+def test_wide_linking_equals_all_pairs():
+    """The nearest identifier of every strict secret against all pairs."""
+    import random
+
+    rng = random.Random(5)
+    run = "wJalrXUtnFEMI7MDENGbPxRfiCYEXAMPLEKEY9"
+    pieces = ["user: bob ", "pwd: hunter22x ", f"{run} ", "\n\n", "\n## part\n", "word " * 60, "word " * 60]
+    for _ in range(200):
+        text = "".join(rng.choice(pieces) for _ in range(20))
+        cuts = [m.start() for m in secret_scan.PARAGRAPH.finditer(text)]
+        heads = [m.start() for m in re.finditer(r"(?m)^## ", text)]
+        scope = lambda at: sum(c <= at for c in cuts)
+        part = lambda at: sum(c <= at for c in heads)
+        names = [m.span(1) for m in re.finditer("user: (bob)", text)]
+        values = [(True, *m.span(1)) for m in re.finditer("pwd: (hunter22x)", text)]
+        values += [(False, *m.span()) for m in re.finditer(run, text)]
+        gap = lambda a, b, c, d: a - d if d <= a else c - b
+        want = set()
+        for labelled, a, b in values:
+            close = {n for n in names if gap(a, b, *n) <= secret_scan.WINDOW and scope(n[0]) == scope(a)}
+            if close:
+                want |= {("linked_secret", a, b)}
+                continue
+            sides = [n for n in (max((n for n in names if n[1] <= a), default=None), min((n for n in names if n[0] >= b), default=None)) if n]
+            sides = [n for n in sides if labelled or part(n[0]) == part(a)]
+            if sides:
+                want |= {("linked_secret", a, b), ("linked_access", *min(sides, key=lambda n: (gap(a, b, *n), n[0] >= b)))}
+        for n in names:
+            if any(gap(a, b, *n) <= secret_scan.WINDOW and scope(n[0]) == scope(a) for _, a, b in values):
+                want.add(("linked_access", *n))
+        assert set(secret_scan.scan_text(text)[1]) == want
+
+
 def test_long_values_are_whole(spark):
     """Values of some thousand characters are reported and redacted to their end, also around base findings."""
     import random

@@ -3,10 +3,19 @@
 Strong patterns are reported alone. Other parts of a credential are too common
 to report alone: an access identifier (a user or client id), a secret (a short
 or unlabelled random string), an endpoint (a URL or host). They are reported
-when complementary parts co-occur: in one scope (a paragraph) and at most
-``WINDOW`` characters apart. A scope lies inside one document, so documents are
-the unit Spark deals out, and the interval join of a scope's parts is a sorted
-sweep over them; there is no shuffle.
+when complementary parts co-occur in a scope; the wider the scope, the stricter
+the condition:
+
+* a paragraph, at most ``WINDOW`` characters apart: any parts;
+* a section (up to a heading or ruled line), at any distance: identifiers and
+  unlabelled random-looking strings;
+* the document, at any distance: identifiers and labelled values of at least
+  ``STRICT_LENGTH`` characters with letters and digits.
+
+In the wider scopes a secret without an identifier in its paragraph is linked to
+the nearest one (ties: the one before). Scopes lie inside one document, so
+documents are the unit Spark deals out, and the interval join of a scope's parts
+is a sorted sweep over them; there is no shuffle.
 """
 
 from __future__ import annotations
@@ -28,8 +37,10 @@ from tickwatch.llm.common import ship_code, text_or_empty, without
 BASE_KINDS = ("assign", "access", "hex")
 #: Kinds the linking adds, in the order in which ties are listed.
 LINKED_KINDS = ("linked_access", "linked_secret", "linked_endpoint")
-#: Characters between linked parts at most.
+#: Characters between linked parts of a paragraph at most.
 WINDOW = 240
+#: Characters of a labelled value at least that is linked anywhere in its document.
+STRICT_LENGTH = 9
 
 #: The base patterns and least lengths.
 ASSIGN = re.compile(
@@ -43,19 +54,20 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 LONG_RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 WEAK_ACCESS = re.compile(
     r"""(?<![A-Za-z0-9])(?:access[_-]?key(?:[_-]?id)?|client[_-]?id|user(?:name)?|login|account)["']?"""
-    r"""[\x20\t]{0,8}[:=][\x20\t]{0,8}["']?([A-Za-z0-9._@+-]{3,}+)""", re.ASCII | re.IGNORECASE)
+    r"""[\x20\t]*+[:=][\x20\t]*+["']?([A-Za-z0-9._@+-]{3,}+)""", re.ASCII | re.IGNORECASE)
 WEAK_SECRET = re.compile(
     r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|auth|bearer|credential|private[_-]?key)["']?"""
-    r"""[\x20\t]{0,8}[:=][\x20\t]{0,8}["']?([A-Za-z0-9+/_.=!@#$%^&*-]{6,}+)""", re.ASCII | re.IGNORECASE)
+    r"""[\x20\t]*+[:=][\x20\t]*+["']?([A-Za-z0-9+/_.=!@#$%^&*-]{6,}+)""", re.ASCII | re.IGNORECASE)
 ENDPOINT = re.compile(
     r"""(?<![A-Za-z0-9])(?:[a-z][a-z0-9+]{1,15}://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]{4,}+"""
-    r"""|(?:host|hostname|endpoint|server|url)["']?[\x20\t]{0,8}[:=][\x20\t]{0,8}["']?[A-Za-z0-9._:/-]{3,}+)""",
+    r"""|(?:host|hostname|endpoint|server|url)["']?[\x20\t]*+[:=][\x20\t]*+["']?[A-Za-z0-9._:/-]{3,}+)""",
     re.ASCII | re.IGNORECASE)
 #: Strings one of which every match of the patterns beside it has, in lower case.
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 WEAK_HINTS = ("access", "client", "user", "login", "account", "pass", "pwd", "auth", "bearer", "credential", "private",
               "://", "host", "endpoint", "server", "url", *ASSIGN_HINTS)
 PARAGRAPH = re.compile(r"\n[\x20\t\r]*\n")
+SECTION = re.compile(r"^(?:#{1,6}\x20|\[[^\]\n]++\][\x20\t\r]*$|[-=_*#]{3,}+[\x20\t\r]*$)", re.MULTILINE)
 #: Bits a character an unlabelled string must carry to be a candidate secret.
 LEAST_ENTROPY = 3.5
 
@@ -81,8 +93,13 @@ def _random_looking(value: str) -> bool:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) >= LEAST_ENTROPY
 
 
+def _strict(value: str) -> bool:
+    """A value long enough, with letters and digits, to be linked anywhere in its document."""
+    return len(value) >= STRICT_LENGTH and bool(re.search("[0-9]", value)) and bool(re.search("[A-Za-z]", value))
+
+
 def linked_spans(text: str, base: list[Span], runs: list[tuple[int, int]], lowered: str) -> list[Span]:
-    """Weak parts with a complementary part in their scope, or inside their span under a label of its own."""
+    """Weak parts with a complementary part in one of their scopes, or inside their span under a label of its own."""
     weak: dict[str, list[tuple[int, int]]] = {"access": [], "secret": [], "endpoint": []}
     random = [r for r in runs if r[1] - r[0] >= 20 and _random_looking(text[slice(*r)])]
     weak["secret"] += random
@@ -144,6 +161,24 @@ def linked_spans(text: str, base: list[Span], runs: list[tuple[int, int]], lower
         for a, b in parts:
             if not reported(a, b) and ((role, a, b) in holding or any(near(p, a, b) for p in partners[role])):
                 found.add((f"linked_{role}", a, b))
+    # Wider scopes: strict secrets and their nearest identifier.
+    by_start = sorted({*weak["access"], *strong["access"]})
+    by_end = sorted((b, a) for a, b in by_start)
+    heads = [m.start() for m in SECTION.finditer(text)] if by_start and unlabelled else []
+    section = lambda at: bisect_right(heads, at)
+    strict = {(a, b) for _, a, b in matches.get("secret", []) if _strict(text[a:b])} if by_start else set()
+    for a, b in strict | (unlabelled if by_start else set()):
+        if near("access", a, b):
+            continue
+        around = []
+        if (at := bisect_right(by_end, (a, len(text))) - 1) >= 0:
+            around.append((a - by_end[at][0], 0, by_end[at][::-1]))
+        if (at := bisect_left(by_start, (b,))) < len(by_start):
+            around.append((by_start[at][0] - b, 1, by_start[at]))
+        if (a, b) not in strict:
+            around = [x for x in around if section(x[2][0]) == section(a)]
+        if around:
+            found |= {(f"linked_{role}", *span) for role, span in (("secret", (a, b)), ("access", min(around)[2])) if not reported(*span)}
     return list(found)
 
 
