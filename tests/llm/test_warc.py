@@ -59,3 +59,23 @@ def test_clashing_columns(spark):
 
     table = pages(spark).select("*", *[F.lit("x").alias(n) for n in ("type", "payload", "record_id", "digest", "TYPE_")])
     assert len(warc.archived_pages(table).collect()) == len(HTML)
+
+
+def test_files_are_bounded_by_bytes(spark, monkeypatch):
+    """Small, larger and very large records: no file holds more than the bound, or one record alone."""
+    import glob
+    import gzip
+
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 18)
+    sizes = [100] * 30 + [70_000] * 9 + [200_000] * 4 + [900_000] * 3
+    rows = [(i, f"http://h/{i}", chr(97 + i % 26) * n + str(i)) for i, n in enumerate(sizes)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    first, second = scratch_path(spark, "w"), scratch_path(spark, "w")
+    warc.capture(table, first)
+    warc.deduplicate(spark, first, second)
+    for path in (first, second):
+        files = [gzip.open(f).read() for f in glob.glob(f"{path.removeprefix('file:')}/part-*")]
+        counts = [sum(1 for _ in warc.parse_records(f)) for f in files]
+        assert sum(counts) == len(sizes)
+        assert all(len(f) <= 1 << 18 or n == 1 for f, n in zip(files, counts))
+    assert len(warc.archived_pages(table).collect()) == len(sizes)

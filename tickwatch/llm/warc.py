@@ -1,10 +1,12 @@
 """WARC archives, and their deduplication by revisit resolution.
 
 Archives are written by Spark's text writer: a row is a record, and the line
-separator is the two line ends that close a record, so any store that Spark
-writes to will do. Files are compressed as a whole by the writer. Archives are
-read as whole files (their records are bounded by ``RECORDS_PER_FILE``) and
-parsed by content length, so payloads may hold anything.
+separator is the two line ends that close a record, so any store that
+Spark writes to will do. Files are compressed as a whole by the writer. Archives are
+read as whole files and parsed by content length, so payloads may hold anything.
+Bytes of a file are bounded: records are written by classes of size, a class
+with as many records a file as ``FILE_BYTES`` hold; a record larger than that
+has a file of its own.
 
 Resolution shuffles record headers, not payloads: the headers meet by payload
 digest, where the record with the largest page id stays a response; the
@@ -26,8 +28,12 @@ from pyspark.sql import functions as F
 from tickwatch.llm.common import ship_code, stored
 from tickwatch.session import scratch_path
 
-#: Records of an archive file at most: bounds what one task holds.
-RECORDS_PER_FILE = 2000
+#: Uncompressed bytes of an archive file, about, at most: bounds what one task holds.
+FILE_BYTES = 1 << 27
+#: Bytes of the smallest class's records at most; each further class takes four times as many.
+SMALL_RECORD = 1 << 16
+#: Bytes of a record's headers without its address, at most.
+HEADER_BYTES = 1 << 11
 #: Fixed values of the format.
 VERSION = "WARC/1.1"
 END = "\r\n"
@@ -53,9 +59,21 @@ def _line(name: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), F.regexp_replace(value, r"[\x00-\x1F]+", " "), F.lit(END)))
 
 
-def write_archive(records: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z") -> None:
-    """Write one WARC record per row of ``type, record_id, page_id, uri, digest,
-    refers_to, refers_to_uri, payload``. A null payload (of a revisit) leaves the record without one."""
+def size_class(payload_bytes: Column, *addresses: Column) -> Column:
+    """Class of a record's size: 0 up to ``SMALL_RECORD`` bytes, k up to 4^k times as many."""
+    size = sum((F.coalesce(n, F.lit(0)) for n in (payload_bytes, *map(F.octet_length, addresses))), F.lit(HEADER_BYTES))
+    return F.greatest(F.ceil(F.log2(size / SMALL_RECORD) / 2), F.lit(0)).cast("int")
+
+
+def present_classes(classes: DataFrame) -> list[int]:
+    """The distinct values of a column of classes (some twenty at most; 0 for no rows)."""
+    return sorted(r[0] for r in classes.distinct().collect()) or [0]
+
+
+def write_archive(records: DataFrame, path: str, kind: int = 0, date: str = "1970-01-01T00:00:00Z") -> None:
+    """Add to the archive one WARC record per row of ``type, record_id, page_id, uri, digest,
+    refers_to, refers_to_uri, payload``, all at most of size class ``kind``. A null payload
+    (of a revisit) leaves the record without one."""
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}{END}"),
                     F.coalesce("payload", F.lit("")))
     revisit = F.col("type") == "revisit"
@@ -69,8 +87,8 @@ def write_archive(records: DataFrame, path: str, date: str = "1970-01-01T00:00:0
         F.lit(f"Content-Type: application/http;msgtype=response{END}"))
     blocks = records.select(head.alias("head"), http.alias("block"))
     value = F.concat("head", F.lit("Content-Length: "), F.octet_length("block").cast("string"), F.lit(END + END), "block")
-    blocks.select(value.alias("value")).write.option("lineSep", END + END).option("compression", "gzip").option(
-        "maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    blocks.select(value.alias("value")).write.mode("append").option("lineSep", END + END).option("compression", "gzip").option(
+        "maxRecordsPerFile", max(1, FILE_BYTES // (SMALL_RECORD << 2 * kind))).text(path)
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -135,11 +153,14 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = False, id_type
 def capture(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """Write one response record per page (null html: an empty payload)."""
     payload = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
-    name = F.concat_ws(":", F.lit("capture"), F.monotonically_increasing_id(), F.col(f"`{id_col}`"))
-    write_archive(pages.select(
+    size = size_class(F.octet_length(payload), F.col(f"`{url_col}`"))
+    name = F.concat_ws(":", F.lit("capture"), size, F.monotonically_increasing_id(), F.col(f"`{id_col}`"))
+    records = pages.select(
         F.lit("response").alias("type"), record_id(name).alias("record_id"), F.col(f"`{id_col}`").alias("page_id"),
         F.col(f"`{url_col}`").alias("uri"), sha1_base32(payload).alias("digest"), F.lit(None).cast("string").alias("refers_to"),
-        F.lit(None).cast("string").alias("refers_to_uri"), payload.alias("payload")), path)
+        F.lit(None).cast("string").alias("refers_to_uri"), payload.alias("payload"), size.alias("size_class"))
+    for kind in present_classes(pages.select(size)):
+        write_archive(records.where(F.col("size_class") == kind), path, kind)
 
 
 def deduplicate(spark: SparkSession, source: str, target: str, least_bytes: int = 0, id_type: str = "bigint") -> None:
@@ -156,16 +177,20 @@ def deduplicate(spark: SparkSession, source: str, target: str, least_bytes: int
     roles = stored(
         headers.join(originals, ["digest", "payload_bytes"], "left").withColumn(
             "original", F.col("o.record_id").isNull() | (F.col("o.record_id") == F.col("record_id"))), "warc-roles")
+    roles = roles.withColumn("size_class", F.when(F.col("original"), size_class(F.col("payload_bytes"), F.col("uri"))).otherwise(
+        size_class(F.lit(0), F.col("uri"), F.col("o.uri"))))
     fresh = lambda c: record_id(F.concat(F.lit("deduplicated:"), c))
     nothing = F.lit(None).cast("string")
     revisits = roles.where("NOT original").select(
         F.lit("revisit").alias("type"), fresh(F.col("record_id")).alias("record_id"), "page_id", "uri", "digest",
-        fresh(F.col("o.record_id")).alias("refers_to"), F.col("o.uri").alias("refers_to_uri"), nothing.alias("payload"))
+        fresh(F.col("o.record_id")).alias("refers_to"), F.col("o.uri").alias("refers_to_uri"), nothing.alias("payload"), "size_class")
     bodies = read_archive(spark, source, payloads=True, id_type=id_type).select("record_id", F.col("payload").cast("string").alias("payload"))
     responses = bodies.join(roles.where("original").drop("payload"), "record_id").select(
         F.lit("response").alias("type"), fresh(F.col("record_id")).alias("record_id"), "page_id", "uri", "digest",
-        nothing.alias("refers_to"), nothing.alias("refers_to_uri"), "payload")
-    write_archive(responses.unionByName(revisits), target)
+        nothing.alias("refers_to"), nothing.alias("refers_to_uri"), "payload", "size_class")
+    records = responses.unionByName(revisits)
+    for kind in present_classes(roles.select("size_class")):
+        write_archive(records.where(F.col("size_class") == kind), target, kind)
 
 
 def resolved(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
