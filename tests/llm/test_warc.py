@@ -74,7 +74,7 @@ def test_files_are_bounded_by_bytes(spark, monkeypatch):
     warc.capture(table, first)
     warc.deduplicate(spark, first, second)
     for path in (first, second):
-        files = [gzip.open(f).read() for f in glob.glob(f"{path.removeprefix('file:')}/part-*")]
+        files = [gzip.open(f).read() for f in glob.glob(f"{path.removeprefix('file:')}/size_class=*/part-*")]
         counts = [sum(1 for _ in warc.parse_records(f)) for f in files]
         assert sum(counts) == len(sizes)
         assert all(len(f) <= 1 << 18 or n == 1 for f, n in zip(files, counts))

@@ -4,9 +4,9 @@ Archives are written by Spark's text writer: a row is a record, and the line
 separator is the two line ends that close a record, so any store that
 Spark writes to will do. Files are compressed as a whole by the writer. Archives are
 read as whole files and parsed by content length, so payloads may hold anything.
-Bytes of a file are bounded: records are written by classes of size, a class
-with as many records a file as ``FILE_BYTES`` hold; a record larger than that
-has a file of its own.
+Bytes of a file are bounded: records are written by classes of size, each in a
+directory of its own, with as many records a file as ``FILE_BYTES`` hold; a
+record larger than that has a file of its own.
 
 Resolution shuffles record headers, not payloads: the headers meet by payload
 digest, where the record with the largest page id stays a response; the
@@ -88,7 +88,7 @@ def write_archive(records: DataFrame, path: str, kind: int = 0, date: str = "197
     blocks = records.select(head.alias("head"), http.alias("block"))
     value = F.concat("head", F.lit("Content-Length: "), F.octet_length("block").cast("string"), F.lit(END + END), "block")
     blocks.select(value.alias("value")).write.mode("append").option("lineSep", END + END).option("compression", "gzip").option(
-        "maxRecordsPerFile", max(1, FILE_BYTES // (SMALL_RECORD << 2 * kind))).text(path)
+        "maxRecordsPerFile", max(1, FILE_BYTES // (SMALL_RECORD << 2 * kind))).text(f"{path}/size_class={kind}")
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -110,11 +110,11 @@ def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 4
 
 
-RECORD = "type string, record_id string, page_id {0}, uri string, digest string, refers_to string, payload_bytes bigint, payload binary"
+RECORD = "type string, record_id string, page_id {0}, uri string, digest string, refers_to string, payload_bytes bigint, payload binary, size_class int"
 
 
-def read_archive(spark: SparkSession, path: str, payloads: bool = False, id_type: str = "bigint") -> DataFrame:
-    """The records of all archive files below ``path``.
+def read_archive(spark: SparkSession, path: str, payloads: bool = False, id_type: str = "bigint", kind: int | None = None) -> DataFrame:
+    """The records of all archive files below ``path``, or of those of one size class.
 
     ``digest`` and ``payload_bytes`` of a record with a payload are those of the
     bytes read; a revisit's digest is its header's, its size null. ``payload`` is null without ``payloads``.
@@ -122,14 +122,14 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = False, id_type
     ship_code()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["type", "record_id", "page_id", "uri", "digest", "refers_to", "payload_bytes", "payload"]
-        kinds = [pa.string()] * 6 + [pa.int64(), pa.binary()]
+        names = ["type", "record_id", "page_id", "uri", "digest", "refers_to", "payload_bytes", "payload", "size_class"]
+        kinds = [pa.string()] * 6 + [pa.int64(), pa.binary(), pa.int32()]
 
         def batch_of(rows: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
-            for content in batch.column(0):
+            for content, size_class in zip(batch.column(0), batch.column(1).to_pylist()):
                 rows, size = [], 0
                 for h, block in parse_records(gzip.decompress(content.as_py())):
                     digest, payload = h.get("warc-payload-digest", "").removeprefix("sha1:"), None
@@ -137,7 +137,7 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = False, id_type
                         payload = block[block.index(b"\r\n\r\n") + 4:]
                         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode("ascii")
                     rows.append((h["warc-type"], h["warc-record-id"], h.get("x-page-id"), h.get("warc-target-uri"), digest,
-                                 h.get("warc-refers-to"), None if payload is None else len(payload), payload if payloads else None))
+                                 h.get("warc-refers-to"), None if payload is None else len(payload), payload if payloads else None, size_class))
                     size += len(block)
                     if size > 1 << 23:
                         yield batch_of(rows)
@@ -145,7 +145,8 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = False, id_type
                 if rows:
                     yield batch_of(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option(
+        "basePath", path).load(path if kind is None else f"{path}/size_class={kind}").select("content", F.col("size_class").cast("int"))
     read = files.mapInArrow(run, RECORD.format("string"))
     return read.withColumn("page_id", F.col("page_id").cast(id_type))
 
@@ -155,12 +156,12 @@ def capture(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str =
     payload = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
     size = size_class(F.octet_length(payload), F.col(f"`{url_col}`"))
     name = F.concat_ws(":", F.lit("capture"), size, F.monotonically_increasing_id(), F.col(f"`{id_col}`"))
-    records = pages.select(
+    records = lambda rows: rows.select(
         F.lit("response").alias("type"), record_id(name).alias("record_id"), F.col(f"`{id_col}`").alias("page_id"),
         F.col(f"`{url_col}`").alias("uri"), sha1_base32(payload).alias("digest"), F.lit(None).cast("string").alias("refers_to"),
-        F.lit(None).cast("string").alias("refers_to_uri"), payload.alias("payload"), size.alias("size_class"))
+        F.lit(None).cast("string").alias("refers_to_uri"), payload.alias("payload"))
     for kind in present_classes(pages.select(size)):
-        write_archive(records.where(F.col("size_class") == kind), path, kind)
+        write_archive(records(pages.where(size == kind)), path, kind)
 
 
 def deduplicate(spark: SparkSession, source: str, target: str, least_bytes: int = 0, id_type: str = "bigint") -> None:
@@ -171,26 +172,30 @@ def deduplicate(spark: SparkSession, source: str, target: str, least_bytes: int
     the others become revisits of it; smaller ones all stay.
     """
     headers = stored(read_archive(spark, source, id_type=id_type).where("type = 'response'").select(
-        "record_id", "page_id", "uri", "digest", "payload_bytes"), "warc-headers")
+        "record_id", "page_id", "uri", "digest", "payload_bytes", "size_class"), "warc-headers")
     large = headers.where(F.col("payload_bytes") >= least_bytes)
     originals = large.groupBy("digest", "payload_bytes").agg(F.max(F.struct("page_id", "record_id", "uri")).alias("o"))
     roles = stored(
         headers.join(originals, ["digest", "payload_bytes"], "left").withColumn(
             "original", F.col("o.record_id").isNull() | (F.col("o.record_id") == F.col("record_id"))), "warc-roles")
-    roles = roles.withColumn("size_class", F.when(F.col("original"), size_class(F.col("payload_bytes"), F.col("uri"))).otherwise(
-        size_class(F.lit(0), F.col("uri"), F.col("o.uri"))))
     fresh = lambda c: record_id(F.concat(F.lit("deduplicated:"), c))
     nothing = F.lit(None).cast("string")
+    plain = size_class(F.lit(0), F.col("uri"), F.col("o.uri"))
     revisits = roles.where("NOT original").select(
         F.lit("revisit").alias("type"), fresh(F.col("record_id")).alias("record_id"), "page_id", "uri", "digest",
-        fresh(F.col("o.record_id")).alias("refers_to"), F.col("o.uri").alias("refers_to_uri"), nothing.alias("payload"), "size_class")
-    bodies = read_archive(spark, source, payloads=True, id_type=id_type).select("record_id", F.col("payload").cast("string").alias("payload"))
-    responses = bodies.join(roles.where("original").drop("payload"), "record_id").select(
-        F.lit("response").alias("type"), fresh(F.col("record_id")).alias("record_id"), "page_id", "uri", "digest",
-        nothing.alias("refers_to"), nothing.alias("refers_to_uri"), "payload", "size_class")
-    records = responses.unionByName(revisits)
-    for kind in present_classes(roles.select("size_class")):
-        write_archive(records.where(F.col("size_class") == kind), target, kind)
+        fresh(F.col("o.record_id")).alias("refers_to"), F.col("o.uri").alias("refers_to_uri"), nothing.alias("payload"),
+        plain.alias("size_class"))
+
+    def responses(kind: int) -> DataFrame:
+        bodies = read_archive(spark, source, True, id_type, kind).select("record_id", F.col("payload").cast("string").alias("payload"))
+        return bodies.join(roles.where(F.col("original") & (F.col("size_class") == kind)), "record_id").select(
+            F.lit("response").alias("type"), fresh(F.col("record_id")).alias("record_id"), "page_id", "uri", "digest",
+            nothing.alias("refers_to"), nothing.alias("refers_to_uri"), "payload")
+
+    sizes = [{r[0] for r in part.distinct().collect()} for part in (roles.where("original").select("size_class"), revisits.select("size_class"))]
+    for kind in sorted(sizes[0] | sizes[1]) or [0]:
+        without_payload = revisits.where(F.col("size_class") == kind).drop("size_class")
+        write_archive(responses(kind).unionByName(without_payload) if kind in sizes[0] or not sizes[1] else without_payload, target, kind)
 
 
 def resolved(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
