@@ -4,6 +4,8 @@ import hashlib
 import re
 
 from conftest import SF_MID, SF_SMALL
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tickwatch.llm import pii, secret_scan
@@ -98,6 +100,31 @@ def test_op3_recall_of_altered_findings(spark):
     assert set(got) == {"contact", "number"} and all(recall >= 0.9 for _, _, recall in got.values())
 
 
+def test_op3_learns_from_every_row_of_known_label(spark, monkeypatch):
+    """More rows than a sample of 50,000: the trees are given all of them, and all held-out findings set the threshold."""
+    learned = []
+
+    class Counting(pii.GBTClassifier):
+        def fit(self, rows):
+            learned.append(rows.count())
+            return super().fit(rows)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Counting)
+    plain = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.concat(F.lit("item "), F.col("id") * 100 + i + 1000000)), " ")
+    called = F.concat(F.lit(" call +1 ("), F.col("id") + 200, F.lit(") 555-"), F.col("id") + 1000, F.lit(" today"))
+    docs = spark.range(700).select("id", F.concat(plain, called).alias("text"))
+    table = pii.examples(pii.stored(pii.found(docs).withColumn("row", F.monotonically_increasing_id()), "pii-test"))
+    known = table.where("kind = 'number' AND label IS NOT NULL AND proposed AND NOT held").count()
+    got = pii.fitted(table)
+    assert known > 50_000 and learned == [known]
+    trees, threshold, recall = got["number"]
+    altered = VectorAssembler(inputCols=list(pii.features()), outputCol="features").transform(
+        table.where("kind = 'number' AND held AND known AND altered AND label = 1"))
+    score = F.round(vector_to_array("probability")[1], 2)
+    taken = trees.transform(altered).where(F.col("proposed") & (score >= threshold)).count()
+    assert recall == taken / altered.count()
+
+
 def test_op3_edge_cases(clashing, nothing):
     rows = pii.personal_data(clashing).collect()
     assert len(rows) == len(edge_rows()) and all(r.base == [] for r in rows)
