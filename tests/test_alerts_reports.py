@@ -99,6 +99,33 @@ def test_the_outbox_is_read_by_the_dates_of_the_batch(spark, tmp_dir):
     assert alerts.outbox(spark, out, [None]).count() == 0 and alerts.outbox(spark, out).count() == 5
 
 
+def test_repeated_alerts_and_saves_stage_their_batch_without_texts(spark, tmp_dir, monkeypatch):
+    """A cached partition is read whole, texts included: nothing is cached, and what is staged holds no text and is removed."""
+    from tickwatch.session import checkpoint_root
+    from tickwatch.sources import files, tables
+
+    batch = _anoms(spark, [(f"k{i}", "volume_spike", "low", 1704067200 + i, 1.0, 0.0, 3.0, "d") for i in range(20)])
+    cached, staged, paths = [], [], []
+    monkeypatch.setattr(type(batch), "persist", lambda self, *a: cached.append(self.columns) or self)
+    monkeypatch.setattr(files, "scratch_path", lambda s, name: paths.append(f"{checkpoint_root(s)}/{name}-{len(paths)}") or paths[-1])
+    first = alerts.staged
+    monkeypatch.setattr(alerts, "staged", lambda df, name: staged.append(df.columns) or first(df, name))
+    out, table, told = (os.path.join(tmp_dir, x) for x in ("outbox", "anomalies", "told"))
+    os.mkdir(told)
+
+    def send(key, subject, message):
+        open(os.path.join(told, f"{key}~{subject}~{message.count(chr(10))}".replace("/", "_")), "w").close()
+        return "id"
+
+    assert tuple(alerts.tally(alerts.deliver_pending(batch.limit(5), out, send)).first()) == (5, 0)
+    assert tuple(alerts.tally(alerts.deliver_pending(batch, out, send)).first()) == (15, 0)
+    assert tables.save_anomalies(batch, table) and tables.save_anomalies(batch, table)
+    assert tables.read_anomalies(spark, table).count() == 20
+    assert cached == [] and len(staged) == 1 and not {"message", "subject"} & set(staged[0])
+    assert len(os.listdir(told)) == 20 and all("HIGH" not in x and "~_ Crypto Alert: K" in x and x.endswith("~19") for x in os.listdir(told))
+    assert len(paths) == 3 and not any(os.path.exists(p.removeprefix("file:")) for p in paths)
+
+
 def test_counts_latest_top(spark):
     rows = [tick(100, "b", price=1.0, seq=1), tick(200, "b", price=2.0, seq=2), tick(200, "b", price=3.0, seq=3),
             tick(50, "a", price=9.0, seq=4)]

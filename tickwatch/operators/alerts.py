@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import ExitStack
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tickwatch.functions.columns import double_text, epoch_text
 from tickwatch.schemas import ALERTS, DELIVERY_RESULT, OUTBOX
+from tickwatch.sources.files import staged
 from tickwatch.sources.tables import ANOMALY_KEY, table_exists, with_detection_date
 
 # Alert text.
@@ -164,25 +166,24 @@ def deliver_pending(anomalies: DataFrame, outbox_path: str, send: Send | None =
     (at-least-once); a failed attempt is tried again by the next run.
 
     The outbox is partitioned by detection date and only the dates of the batch
-    (a short list) are read. The batch is cached for the dates and the delivery."""
+    (a short list) are read. The batch is then staged for the dates and the delivery, without texts: only what is
+    pending gets its subject and message, after it was ordered."""
     spark = anomalies.sparkSession
-    text = with_text(with_detection_date(to_alerts(anomalies)))
+    batch = with_detection_date(to_alerts(anomalies))
     dates = None
-    if known := table_exists(spark, outbox_path):
-        text = text.persist()
-    try:
-        pending = text
+    with ExitStack() as stack:
+        if known := table_exists(spark, outbox_path):
+            batch = stack.enter_context(staged(batch, "alerts-batch"))
+        pending = batch.withColumn("alert_key", alert_key())
         if known:
-            dates = [r[0] for r in text.select("detection_date").distinct().collect()]
+            dates = [r[0] for r in batch.select("detection_date").distinct().collect()]
             done = outbox(spark, outbox_path, dates).where("ok").select(
                 F.col("detection_date").alias("_date"), F.col("alert_key").alias("_key")).distinct()
-            pending = text.join(done, F.col("detection_date").eqNullSafe(F.col("_date")) & (F.col("alert_key") == F.col("_key")), "left_anti")
+            pending = pending.join(done, F.col("detection_date").eqNullSafe(F.col("_date")) & (F.col("alert_key") == F.col("_key")), "left_anti")
         run_id = uuid.uuid4().hex
-        attempts = deliver(pending.orderBy(F.col("detected_at").desc(), "alert_key"), send).withColumn("run_id", F.lit(run_id))
+        text = with_text(pending.orderBy(F.col("detected_at").desc(), "alert_key"))
+        attempts = deliver(text, send).withColumn("run_id", F.lit(run_id))
         with_detection_date(attempts).select(*OUTBOX.fieldNames()).write.mode("append").partitionBy("detection_date").parquet(outbox_path)
-    finally:
-        if known:
-            text.unpersist()
     return outbox(spark, outbox_path, dates).where(F.col("run_id") == run_id)
 
 

@@ -87,19 +87,15 @@ def processing_job(
         tables.write_metrics(metrics, metrics_path)
         result.records = int(obs.get.get("rows", 0))
         stored = tables.read_metrics(spark, metrics_path)
-        # Anomalies are a small fraction of the metrics: cache them once for
-        # the count, the sink (probe, date lookup, write) and the alerts.
-        # A lost executor only means recomputing from the metrics parquet.
-        found = detect.detect_all(stored, sort=False).persist()
-        try:
-            result.anomalies = found.count()
-            tables.save_anomalies(found, anomalies_path)
-            if alert and result.anomalies:
-                attempts = alerts.deliver_pending(found, outbox_path or default_outbox(anomalies_path), send)
-                row = alerts.tally(attempts).first()
-                result.alerts_sent, result.alerts_failed = int(row["succeeded"]), int(row["failed"])
-        finally:
-            found.unpersist()
+        # A filter and a projection of the stored metrics: the count, the sink
+        # and the alerts each read them, in splits of bounded size.
+        found = detect.detect_all(stored, sort=False)
+        result.anomalies = found.count()
+        tables.save_anomalies(found, anomalies_path)
+        if alert and result.anomalies:
+            attempts = alerts.deliver_pending(found, outbox_path or default_outbox(anomalies_path), send)
+            row = alerts.tally(attempts).first()
+            result.alerts_sent, result.alerts_failed = int(row["succeeded"]), int(row["failed"])
         result.success = True
     except Exception as exc:  # noqa: BLE001 - recorded, then re-raised
         result.error = f"{type(exc).__name__}: {exc}"

@@ -9,7 +9,9 @@ from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from tickwatch.session import scratch_path
 
 
 def _path(spark: SparkSession, path: str):
@@ -38,6 +40,30 @@ def remove(spark: SparkSession, paths: Iterable[str]) -> None:
         list(pool.map(lambda path: fs.delete(_path(spark, path)[1], True), paths))
 
 
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` evaluated once for several readers: written below the shared checkpoint directory, and removed when
+    the block ends. Readers take splits of files, whose size is bounded, and only the columns they need; a cached
+    partition is as large as whatever one task made, and is read whole. A session without a SparkContext
+    cannot remove files and caches instead."""
+    spark = df.sparkSession
+    try:
+        spark.sparkContext
+    except Exception:
+        df = df.persist()
+        try:
+            yield df
+        finally:
+            df.unpersist()
+        return
+    path = scratch_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, [path])
+
+
 def values(paths: Iterable[str], *columns: str) -> list[tuple[str, ...]]:
     """The values of partition columns in directory paths (``.../name=value/...``)."""
     return [tuple(dict(part.split("=", 1) for part in path.split("/") if "=" in part)[c] for c in columns) for path in paths]

@@ -81,19 +81,16 @@ def save_anomalies(anomalies: DataFrame, path: str, dedup: bool = True) -> bool:
     anomalies, in one batch or in two. Repeats inside one batch are kept. Several
     writers may save to one table: the batch is worked out beside the others, and from the
     look at what is stored to the end of the write one holds the table's claim
-    (:func:`tickwatch.sources.files.sole_writer`). The batch is cached for the probe, the date lookup and
-    the write. Returns whether anything was written.
+    (:func:`tickwatch.sources.files.sole_writer`). The batch is staged for the probe, the date lookup and
+    the write (:func:`tickwatch.sources.files.staged`). Returns whether anything was written.
     """
     spark = anomalies.sparkSession
-    batch = with_detection_date(anomalies.select(*ANOMALY_COLUMNS)).persist()
-    try:
+    with files.staged(with_detection_date(anomalies.select(*ANOMALY_COLUMNS)), "anomalies-batch") as batch:
         if batch.isEmpty():
             return False
         with files.sole_writer(spark, path):
             _append_new(batch, path, dedup)
         return True
-    finally:
-        batch.unpersist()
 
 
 def _append_new(batch: DataFrame, path: str, dedup: bool) -> None:
