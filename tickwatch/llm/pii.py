@@ -26,6 +26,8 @@ that the time for a text grows with its length only; they match the same.
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -221,6 +223,12 @@ def examples(rows: DataFrame) -> DataFrame:
     return stored(seen.unionByName(forms).withColumn("held", held).drop("origin"), "pii-examples")
 
 
+def _bins(rows: int) -> int:
+    """Bins at most, so that every row has a say in the splits: MLlib places them from ``maxBins`` squared rows, or 10,000 if
+    those are more. A feature has as many bins as it has values."""
+    return 32 if rows <= 10_000 else min(isqrt(rows) + 1, 46_340)  # the square is a 32-bit number
+
+
 def fitted(table: DataFrame, precision: float = PRECISION) -> dict[str, tuple]:
     """Fits to every row of known label. Per candidate kind (trees, threshold, recall): ``recall`` is the share of the altered
     forms of held-out findings that a generator proposes and the trees accept (None without any).
@@ -233,9 +241,10 @@ def fitted(table: DataFrame, precision: float = PRECISION) -> dict[str, tuple]:
         own = VectorAssembler(inputCols=list(features()), outputCol="features").transform(
             table.where((F.col("kind") == kind) & F.col("label").isNotNull()))
         learn = own.where("NOT held AND proposed").select("features", "label")
-        if learn.select("label").distinct().count() < 2:
+        by_label = [r["count"] for r in learn.groupBy("label").count().collect()]
+        if len(by_label) < 2:
             continue
-        trees = GBTClassifier(maxIter=10, maxDepth=4, maxBins=32, stepSize=0.3, minInstancesPerNode=LEAST_ROWS, seed=7, maxMemoryInMB=64).fit(learn)
+        trees = GBTClassifier(maxIter=10, maxDepth=4, maxBins=_bins(sum(by_label)), stepSize=0.3, minInstancesPerNode=LEAST_ROWS, seed=7, maxMemoryInMB=64).fit(learn)
         score = F.when(F.col("proposed"), F.round(vector_to_array("probability")[1], 2)).otherwise(-1.0)
         steps = trees.transform(own.where("held AND known")).withColumn("score", score).groupBy("score").agg(
             F.count_if(F.col("label") == 1).alias("good"), F.count("*").alias("n"),
